@@ -1,0 +1,34 @@
+"""Registered end-to-end queries (L-series) over the driver's tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from landframe.plans import pipelines as P
+from landframe.plans import standins as S
+from landframe.plans.registry import register
+from landframe.plans.tables import table
+
+
+@register("l4_period_change", sql="""
+WITH w AS (
+  SELECT c.c_nationkey AS area, year(o.o_orderdate) AS yr,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS v
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+s AS (
+  SELECT area,
+         SUM(CASE WHEN yr = 1996 THEN v ELSE 0 END) AS y0,
+         SUM(CASE WHEN yr = 2000 THEN v ELSE 0 END) AS y1
+  FROM w GROUP BY area)
+SELECT n.n_nationkey, n.n_name, n.n_regionkey,
+       CAST(s.y0 AS DOUBLE) AS Y1996, CAST(s.y1 AS DOUBLE) AS Y2000,
+       CAST(s.y1 - s.y0 AS DOUBLE) AS change
+FROM nation n JOIN s ON n.n_nationkey = s.area
+""")
+def l4_period_change(spark, sf_dir):
+    """L4: order value per nation, 1996 vs 2000, from a wide per-year table."""
+    wide = S.population_wide(spark, sf_dir)
+    res = P.population_change(wide, ["area", "district", "age"], "area", "1996", "2000",
+                              areas=table(spark, sf_dir, "nation"), area_key="n_nationkey")
+    return res.select("n_nationkey", "n_name", "n_regionkey",
+                      *[F.col(c).cast("double").alias(c) for c in ("Y1996", "Y2000", "change")])
