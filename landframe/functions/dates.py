@@ -25,7 +25,7 @@ AUTO_DATE_FORMATS = (
 
 def parse_day_month_year(c) -> Column:
     """``'3 April 2017'`` -> date; anything else -> null."""
-    return F.try_to_date(as_col(c), F.lit("d MMMM yyyy"))
+    return F.try_to_date(as_col(c), "d MMMM yyyy")
 
 
 def _auto_timestamp(text: Column, formats: Sequence[str]) -> Column:

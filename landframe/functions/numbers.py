@@ -19,7 +19,12 @@ def plain_number(c, scale: int = 0) -> Column:
 
 
 def round_half_even(c, digits: int = 0) -> Column:
-    """banker's rounding, the closest native match to R's round()."""
+    """banker's rounding, the closest native match to R's round().
+
+    On doubles Spark rounds the shortest decimal form of the value, so ``1149.17125``
+    (printed form) is a tie and goes to ``1149.1712`` even if the binary value lies a
+    hair above it.  Round exact decimals when ties matter.
+    """
     return F.bround(as_col(c), digits)
 
 
