@@ -1,0 +1,145 @@
+"""Registered spatial queries (G*): lineitem rows as points against a small polygon layer.
+
+Points: x = ``l_quantity``, y = ``l_suppkey``.  The layer below has a concave polygon,
+an overlapping pair, a polygon with a hole and shared edges/vertices, so boundary,
+notch, hole and overlap cases all occur on integer coordinates.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from landframe.operators import spatial as G
+from landframe.plans.registry import register
+from landframe.plans.tables import table
+
+# The test polygon layer (poly_id, name, rings); rings are closed when loaded.
+POLYGONS = [
+    (1, "square", [[(0, 0), (20, 0), (20, 40), (0, 40)]]),
+    (2, "notched", [[(25, 0), (45, 0), (45, 40), (40, 40), (40, 10), (30, 10), (30, 40), (25, 40)]]),
+    (3, "triangle", [[(10, 20), (30, 60), (5, 60)]]),
+    (4, "holed", [[(0, 70), (50, 70), (50, 110), (0, 110)], [(20, 80), (30, 80), (30, 100), (20, 100)]]),
+    (5, "diamond", [[(35, 45), (50, 55), (35, 65), (20, 55)]]),
+]
+
+
+def polygons(spark):
+    return G.polygon_layer(spark, POLYGONS, T.StructType([T.StructField("name", T.StringType())]))
+
+
+def _edges_sql() -> str:
+    rows = []
+    for pid, _name, rings in POLYGONS:
+        for ri, ring in enumerate(rings):
+            closed = list(ring) + [ring[0]]
+            for a, b in zip(closed, closed[1:]):
+                rows.append(f"({pid}, {ri}, {float(a[0])}, {float(a[1])}, {float(b[0])}, {float(b[1])})")
+    return ",\n    ".join(rows)
+
+
+def _names_sql() -> str:
+    return ", ".join(f"({pid}, '{name}')" for pid, name, _ in POLYGONS)
+
+
+_HITS_SQL = f"""
+edges(poly_id, ring_id, x1, y1, x2, y2) AS (VALUES
+    {_edges_sql()}),
+pts AS (SELECT DISTINCT CAST(l_quantity AS DOUBLE) AS px, CAST(l_suppkey AS DOUBLE) AS py FROM lineitem),
+hits AS (
+  SELECT px, py, poly_id FROM pts, edges
+  GROUP BY px, py, poly_id
+  HAVING bool_or((px - x1) * (y2 - y1) - (py - y1) * (x2 - x1) = 0
+                 AND px BETWEEN least(x1, x2) AND greatest(x1, x2)
+                 AND py BETWEEN least(y1, y2) AND greatest(y1, y2))
+      OR sum(CASE WHEN ((y1 > py) <> (y2 > py))
+                       AND px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1)"""
+
+
+def _points(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("x"),
+                     F.col("l_suppkey").cast("double").alias("y"))
+
+
+@register("g2_clip", sql=f"""
+WITH {_HITS_SQL}
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y
+FROM lineitem
+WHERE (CAST(l_quantity AS DOUBLE), CAST(l_suppkey AS DOUBLE)) IN (SELECT (px, py) FROM hits)
+""")
+def g2_clip(spark, sf_dir):
+    """Lines whose (quantity, supplier) point lies in any polygon (edges count)."""
+    return G.clip(_points(spark, sf_dir), polygons(spark), "x", "y")
+
+
+@register("g3_tag", sql=f"""
+WITH {_HITS_SQL},
+names(poly_id, name) AS (VALUES {_names_sql()}),
+best AS (SELECT px, py, max(poly_id) AS poly_id FROM hits GROUP BY px, py)
+SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_quantity AS DOUBLE) AS x, CAST(l.l_suppkey AS DOUBLE) AS y,
+       CAST(b.poly_id AS BIGINT) AS poly_id, n.name
+FROM lineitem l
+LEFT JOIN best b ON CAST(l.l_quantity AS DOUBLE) = b.px AND CAST(l.l_suppkey AS DOUBLE) = b.py
+LEFT JOIN names n ON b.poly_id = n.poly_id
+""")
+def g3_tag(spark, sf_dir):
+    """Every line tagged with the last (highest ordinal) polygon containing its point."""
+    return G.tag_with_polygon(_points(spark, sf_dir), polygons(spark), "x", "y", ["name"], pick="last")
+
+
+@register("g3_tag_first", sql=f"""
+WITH {_HITS_SQL},
+best AS (SELECT px, py, min(poly_id) AS poly_id FROM hits GROUP BY px, py)
+SELECT l.l_orderkey, l.l_linenumber, CAST(b.poly_id AS BIGINT) AS poly_id
+FROM lineitem l
+LEFT JOIN best b ON CAST(l.l_quantity AS DOUBLE) = b.px AND CAST(l.l_suppkey AS DOUBLE) = b.py
+""")
+def g3_tag_first(spark, sf_dir):
+    """G3 with ``pick="first"``: the lowest ordinal wins where polygons overlap."""
+    t = G.tag_with_polygon(_points(spark, sf_dir), polygons(spark), "x", "y", [], pick="first")
+    return t.select("l_orderkey", "l_linenumber", "poly_id")
+
+
+@register("g7_bbox", sql="""
+SELECT p_partkey,
+       CAST(p_size AS DOUBLE) AS minx, 0.0 AS miny,
+       CAST(p_size + 5 AS DOUBLE) AS maxx, p_retailprice AS maxy
+FROM part
+""")
+def g7_bbox(spark, sf_dir):
+    """Bounding box of an extent polygon given as a GML posList text per part."""
+    p = table(spark, sf_dir, "part")
+    x0, x1, y1 = F.col("p_size").cast("double"), (F.col("p_size") + 5).cast("double"), F.col("p_retailprice")
+    pos = F.concat_ws(" ", *[v.cast("string") for v in (x0, F.lit(0.0), x1, F.lit(0.0), x1, y1, x0, y1, x0, F.lit(0.0))])
+    b = p.select("p_partkey", G.ring_bbox(F.array(G.poslist_ring(pos))).alias("b"))
+    return b.select("p_partkey", "b.minx", "b.miny", "b.maxx", "b.maxy")
+
+
+_XTEXT_SQL = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'n/a' ELSE CAST(c_custkey AS VARCHAR) END"
+
+
+def _coord_text(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    xt = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a")).otherwise(F.col("c_custkey").cast("string"))
+    return c.select("c_custkey", "c_mktsegment", xt.alias("xt"), F.col("c_acctbal").cast("string").alias("yt"))
+
+
+@register("g1_points", sql=f"""
+SELECT c_custkey, TRY_CAST({_XTEXT_SQL} AS DOUBLE) AS px, CAST(c_acctbal AS DOUBLE) AS py
+FROM customer WHERE TRY_CAST({_XTEXT_SQL} AS DOUBLE) IS NOT NULL
+""")
+def g1_points(spark, sf_dir):
+    """G1: coordinates parsed from text; rows with a non-numeric coordinate set aside."""
+    ok, _rejected = G.with_point(_coord_text(spark, sf_dir), "xt", "yt")
+    return ok.select("c_custkey", "px", "py")
+
+
+@register("q4_rejected_points", sql=f"""
+SELECT c_custkey, c_mktsegment FROM customer
+WHERE TRY_CAST({_XTEXT_SQL} AS DOUBLE) IS NULL
+""")
+def q4_rejected_points(spark, sf_dir):
+    """Q4: the rejected-row side output of G1 (unparsable coordinates)."""
+    _ok, rejected = G.with_point(_coord_text(spark, sf_dir), "xt", "yt")
+    return rejected.select("c_custkey", "c_mktsegment")
