@@ -1,0 +1,130 @@
+"""Registered source/sink and load-check queries (S*, Q*).
+
+Round-trip queries write the driver's rows in the job's file layout into the shared
+checkpoint folder (never a machine-local temp folder), read them back through the
+library's readers, and return the rows read.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from landframe.operators import quality as Q
+from landframe.plans.registry import register
+from landframe.plans.tables import table
+from landframe.session import checkpoint_dir
+from landframe.sources import files as S
+from landframe.sources.release import releases_to_ingest
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/landframe-io/{name}-{uuid.uuid4().hex}"
+
+
+# The external names list applied to the headerless order extract.
+ORDER_NAMES = ["ORDER_ID", "CUSTOMER", "STATUS", "PRIORITY", "ORDER_DATE"]
+
+
+@register("s1_headerless", sql="""
+SELECT CAST(o_orderkey AS VARCHAR) AS ORDER_ID, CAST(o_custkey AS VARCHAR) AS CUSTOMER,
+       o_orderstatus AS STATUS, o_orderpriority AS PRIORITY, strftime(o_orderdate, '%Y-%m-%d') AS ORDER_DATE,
+       'part' AS src_kind
+FROM orders
+""")
+def s1_headerless(spark, sf_dir):
+    """Orders written as several headerless CSV files, read back as text with
+    external names and provenance."""
+    o = table(spark, sf_dir, "orders")
+    text = o.select(*[F.col(c).cast("string") for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")],
+                    F.date_format("o_orderdate", "yyyy-MM-dd"))
+    path = _scratch(spark, "headerless")
+    text.repartition(4).write.option("header", False).csv(path)
+    df = S.read_headerless(spark, path, ORDER_NAMES, provenance=True)
+    return df.select(*ORDER_NAMES, F.regexp_extract("tile", "^(part)-", 1).alias("src_kind"))
+
+
+@register("s3_s4_features", sql="""
+SELECT p_partkey, p_name, p_size, p_retailprice, 'part' AS src_kind FROM part
+""")
+def s3_s4_features(spark, sf_dir):
+    """Parts written as XML feature files, one layer read back by row tag with
+    a declared schema and provenance columns."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    path = _scratch(spark, "features")
+    p.repartition(3).write.format("xml").option("rowTag", "TopographicArea").option("rootTag", "features").save(path)
+    schema = "p_partkey bigint, p_name string, p_size int, p_retailprice double"
+    df = S.read_features(spark, path, "TopographicArea", schema)
+    return df.select("p_partkey", "p_name", "p_size", "p_retailprice",
+                     F.regexp_extract("tile", "^(part)-", 1).alias("src_kind"))
+
+
+@register("s2_read_csv", sql="""
+SELECT c_custkey, c_name, NULLIF(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer
+""")
+def s2_read_csv(spark, sf_dir):
+    """Header CSV with a custom null token (here ``BUILDING`` stands for missing)."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path = _scratch(spark, "csv")
+    c.repartition(2).write.option("header", True).csv(path)
+    return S.read_csv(spark, path, null_value="BUILDING",
+                      schema="c_custkey bigint, c_name string, c_mktsegment string")
+
+
+@register("s6_release_partitions", sql="""
+SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS release FROM orders
+""")
+def s6_release_partitions(spark, sf_dir):
+    """Orders written partitioned by release month, 1997 releases then re-written
+    (dynamic overwrite keeps the others), all read back."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus",
+                                              F.date_format("o_orderdate", "yyyyMM").alias("release"))
+    path = _scratch(spark, "releases")
+    S.write_release(o, path)
+    S.write_release(o.filter(F.col("release").startswith("1997")), path)
+    back = spark.read.schema("o_orderkey bigint, o_orderstatus string, release string").parquet(path)
+    return back.select("o_orderkey", "o_orderstatus", "release")
+
+
+@register("s10_releases_to_ingest", sql="""
+SELECT o_orderkey AS release, o_orderpriority AS product, strftime(o_orderdate, '%-d %B %Y') AS update_date
+FROM orders o
+WHERE contains(o_orderpriority, 'URGENT') AND CAST(o_orderdate AS DATE) = DATE '1997-07-10'
+  AND NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderstatus = 'F' AND d.o_orderkey = o.o_orderkey)
+""")
+def s10_releases_to_ingest(spark, sf_dir):
+    """Releases of the wanted product updated on the run date, minus those done."""
+    o = table(spark, sf_dir, "orders")
+    rel = o.select(F.col("o_orderkey").alias("release"), F.col("o_orderpriority").alias("product"),
+                   F.date_format("o_orderdate", "d MMMM yyyy").alias("update_date"))
+    done = o.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("release"))
+    return releases_to_ingest(rel, _dt.date(1997, 7, 10), "URGENT", done)
+
+
+@register("q1_duplicate_keys", sql="""
+SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1
+""")
+def q1_duplicate_keys(spark, sf_dir):
+    """Q1: key values occurring more than once (order key is not unique in lines)."""
+    return Q.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
+
+
+@register("q1_unique_orders", sql="""
+SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey HAVING count(*) > 1
+""")
+def q1_unique_orders(spark, sf_dir):
+    """Q1: the primary-key check on orders (empty when the key is unique)."""
+    return Q.duplicate_keys(table(spark, sf_dir, "orders"), ["o_orderkey"])
+
+
+@register("q2_q3_gate", sql="""
+SELECT 'lineitem' AS "table", count(*) AS n_rows, true AS present,
+       CASE WHEN count(*) > 1000 THEN 'SUCCESSFUL' ELSE 'FAILED' END AS status
+FROM lineitem
+""")
+def q2_q3_gate(spark, sf_dir):
+    """Q2/Q3: minimum-rows gate and the status record for a loaded table."""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    return Q.row_gate(table(spark, sf_dir, "lineitem"), "lineitem", 1000, Q.table_present(spark, path))

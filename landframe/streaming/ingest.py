@@ -1,0 +1,37 @@
+"""S10 on Structured Streaming: pick up each new release file exactly once.
+
+The batch job's "skip if already ingested" bookkeeping is the file source's own
+checkpointed log of processed files; ``trigger(availableNow=True)`` runs it as a
+scheduled job that processes whatever arrived since the last run and stops.  The
+checkpoint lives in the shared folder named by ``spark.checkpoint.dir``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from landframe.session import checkpoint_dir
+from landframe.sources.files import text_schema
+
+
+def stream_headerless(spark: SparkSession, folder: str, names: Sequence[str], sep: str = ",") -> DataFrame:
+    """Streaming S1: new headerless files in ``folder`` as all-text rows + source path."""
+    df = (spark.readStream.schema(text_schema(names)).option("header", False).option("sep", sep)
+          .csv(folder))
+    return df.withColumn("file", F.col("_metadata.file_path"))
+
+
+def ingest_available(spark: SparkSession, folder: str, names: Sequence[str], out: str, job: str,
+                     transform: Callable[[DataFrame], DataFrame] = lambda d: d,
+                     partition_by: Sequence[str] = ()) -> None:
+    """Process every file not yet ingested, append the result to ``out`` (Parquet), stop."""
+    src = transform(stream_headerless(spark, folder, names))
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{job}"
+    w = src.writeStream.format("parquet").option("checkpointLocation", ckpt).outputMode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    q = w.trigger(availableNow=True).start(out)
+    q.awaitTermination()
