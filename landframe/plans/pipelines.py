@@ -52,3 +52,135 @@ def postcode_quality(records: DataFrame, id_col: str, postcode_col: str, start_c
     durations = (records.filter((F.col(start_col) > 0) & (F.col(end_col) > 0))
                  .withColumn("duration", F.col(end_col) - F.col(start_col)))
     return valid, missing, durations
+
+
+# --------------------------------------------------------------------------- L1 / L12
+
+
+def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by: Sequence,
+                    batch_size: int = 100_000, x: str = "X_COORDINATE", y: str = "Y_COORDINATE",
+                    uprn: str = "UPRN", parent: str = "PARENT_UPRN") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """L1: shape one address release and clip it to a boundary.
+
+    Steps: keep the raw id as ``OBJECTID``; pad ids to 12 characters (never cut);
+    coordinates to numbers rounded half-even to 2 places; ``FLAT`` = rows sharing the
+    coordinate pair; ``update_date`` release stamp; ``group`` = insert batch of
+    ``batch_size`` rows in ``order_by`` order; rows with unusable coordinates set aside;
+    names lower-cased; clip to the boundary polygons.
+
+    Returns ``(all_rows, clipped_rows, rejected_rows)``.
+    """
+    from landframe.functions import pad_left, round_half_even, to_double
+    from landframe.operators.columns import copy_col, lower_names, with_const
+    from landframe.operators.spatial import clip, with_point
+    from landframe.operators.window import add_batch, add_count
+
+    df = copy_col(raw, uprn, "OBJECTID")
+    df = df.withColumns({uprn: pad_left(uprn, 12), parent: pad_left(parent, 12),
+                         x: round_half_even(to_double(x), 2), y: round_half_even(to_double(y), 2)})
+    df = add_count(df, [x, y], "FLAT")
+    df = with_const(df, "update_date", release)
+    df = df.withColumn("__order", F.struct(*order_by))
+    df = add_batch(df, batch_size, ["__order"], "group").drop("__order")
+    ok, rejected = with_point(df, x, y, "__px", "__py")
+    ok = lower_names(ok.drop("__px", "__py"))
+    clipped = clip(ok, boundary, x.lower(), y.lower())
+    return ok, clipped, lower_names(rejected)
+
+
+def publish_address_release(all_rows: DataFrame, clipped: DataFrame, root: str,
+                            jdbc_url: str | None = None, key: str = "objectid") -> DataFrame:
+    """L1 sinks: both frames to release-partitioned Parquet (fan-out), optionally to a
+    database table each (replace load, key checked first), then one status row."""
+    from landframe.operators.quality import row_gate
+    from landframe.sources.files import fan_out, replace_table, write_release
+    sinks = {
+        "all": (lambda d: d, lambda d: write_release(d, f"{root}/all", "update_date")),
+        "clipped": (lambda d: d, lambda d: write_release(d, f"{root}/clipped", "update_date")),
+    }
+    fan_out(all_rows, {"all": sinks["all"]})
+    fan_out(clipped, {"clipped": sinks["clipped"]})
+    if jdbc_url:
+        replace_table(all_rows.drop("group"), jdbc_url, "addbase", key)
+        replace_table(clipped.drop("group"), jdbc_url, "addbase_ldn", key)
+    written = all_rows.sparkSession.read.parquet(f"{root}/clipped")
+    return row_gate(written, "addbase_ldn", 1000)
+
+
+def address_graph(raw: DataFrame, names: Sequence[str], date_cols: Sequence[str],
+                  x: str = "X_COORDINATE", y: str = "Y_COORDINATE", uprn: str = "UPRN",
+                  parent: str = "PARENT_UPRN") -> tuple[DataFrame, DataFrame]:
+    """The address graph: positional names, ``OBJECTID`` copy, 12-character ids,
+    dates re-emitted as ``yyyyMMdd`` (unparsable left as they are), points made from the
+    coordinates with failures routed to a reject output, names lower-cased.
+
+    Returns ``(features, rejected)``.
+    """
+    from landframe.functions import normalise_date, pad_left
+    from landframe.operators.columns import copy_col, lower_names, rename_all
+    from landframe.operators.spatial import with_point
+
+    df = rename_all(raw, names)
+    df = copy_col(df, uprn, "OBJECTID")
+    df = df.withColumns({uprn: pad_left(uprn, 12), parent: pad_left(parent, 12)})
+    df = df.withColumns({c: normalise_date(c) for c in date_cols})
+    ok, rejected = with_point(df, x, y, "px", "py")
+    return lower_names(ok), lower_names(rejected)
+
+
+# --------------------------------------------------------------------------- L2
+
+
+def building_heights(layer: DataFrame, heights: DataFrame, tiles: Sequence[str] = ("TQ", "TL"),
+                     theme: str = "Buildings", prefix: str = "osgb", order_by: Sequence[str] = ("BHA_ProcessDate",),
+                     renames: dict | None = None) -> DataFrame:
+    """L2: attach building heights to map-layer features.
+
+    Heights rows are kept for the wanted tiles (text contains any tile code); their key
+    gets the layer's ``osgb`` prefix; layer features are kept for one theme; every
+    feature with a height takes the first height row by ``order_by`` plus the number of
+    height rows for it (features without heights drop out); the process date is
+    re-emitted as ``yyyyMMddHHmmss``; attributes renamed where present.
+    """
+    from landframe.functions import add_prefix, contains_any, normalise_datetime
+    from landframe.operators.columns import rename_if_present
+    from landframe.operators.joins import lookup_first
+
+    h = heights.filter(contains_any("TileRef", tiles))
+    h = h.withColumn("TOID", add_prefix("OS_TOPO_TOID", prefix)).drop("OS_TOPO_TOID")
+    feats = layer.filter(F.col("Theme") == theme)
+    joined = lookup_first(feats, h, "TOID", "TOID", list(order_by), count_col="match_count")
+    joined = joined.withColumn("BHA_ProcessDate", normalise_datetime("BHA_ProcessDate"))
+    return rename_if_present(joined, renames or {})
+
+
+# --------------------------------------------------------------------------- L5 / L8
+
+
+def flats_by_area(addresses: DataFrame, areas: DataFrame, x: str, y: str, order_by: Sequence[str],
+                  area_attrs: Sequence[str] = ("name",)) -> DataFrame:
+    """Per area polygon, the number of addresses at coordinates shared by more than
+    one address.  Points are tagged with their area (point-in-polygon), points outside
+    every area dropped, each coordinate counted once with the area of its first row,
+    counts above one summed per area, area attributes joined on."""
+    from landframe.operators.aggregate import multi_occupancy
+    from landframe.operators.spatial import tag_with_polygon
+
+    tagged = tag_with_polygon(addresses, areas, x, y, [], pick="last").filter(F.col("poly_id").isNotNull())
+    per_area = multi_occupancy(tagged, x, y, "poly_id", order_by)
+    return merge_on(areas.select("poly_id", *area_attrs), per_area, "poly_id", "poly_id")
+
+
+def postcodes_in_subareas(points: DataFrame, polygons: DataFrame, lookup_rows: DataFrame,
+                          x: str, y: str, keep: Sequence[str], key: str = "poly_id",
+                          label: str = "Sub_Area") -> DataFrame:
+    """Sub-area name for every postcode point inside a sub-area polygon.
+
+    The name lookup is left-joined onto the polygons, points are tagged with the
+    polygon containing them, points without a sub-area name are dropped."""
+    from landframe.operators.joins import left_lookup
+    from landframe.operators.spatial import tag_with_polygon
+
+    named = left_lookup(polygons, lookup_rows, key, key)
+    tagged = tag_with_polygon(points, named, x, y, [label], pick="last", order=key)
+    return tagged.filter(F.col(label).isNotNull()).select(*keep, label)

@@ -32,3 +32,220 @@ def l4_period_change(spark, sf_dir):
                               areas=table(spark, sf_dir, "nation"), area_key="n_nationkey")
     return res.select("n_nationkey", "n_name", "n_regionkey",
                       *[F.col(c).cast("double").alias(c) for c in ("Y1996", "Y2000", "change")])
+
+
+# --------------------------------------------------------------------------- shared stand-ins
+
+from pyspark.sql import types as T  # noqa: E402
+
+from landframe.operators.filters import POSTCODE_PATTERN  # noqa: E402
+from landframe.operators.window import add_row_id  # noqa: E402
+from landframe.plans.q_functions import _DATE_TEXT_SQL, _POSTCODE_SQL, _date_text, _postcode  # noqa: E402
+from landframe.plans.q_spatial import _HITS_SQL, _names_sql, polygons  # noqa: E402
+from landframe.sources.files import lookup  # noqa: E402
+
+
+def _address_raw(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string").alias("UPRN"),
+                     F.col("l_orderkey").cast("string").alias("PARENT_UPRN"),
+                     F.col("l_quantity").cast("string").alias("X_COORDINATE"),
+                     F.col("l_suppkey").cast("string").alias("Y_COORDINATE"))
+
+
+def _pad_sql(c: str) -> str:
+    return f"CASE WHEN length({c}) >= 12 THEN {c} ELSE lpad({c}, 12, '0') END"
+
+
+@register("l1_address_clipped", sql=f"""
+WITH {_HITS_SQL},
+a AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS VARCHAR) AS objectid, l_orderkey * 8 + l_linenumber AS k,
+             CAST(l_orderkey AS VARCHAR) AS parent,
+             CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y FROM lineitem),
+b AS (SELECT *, count(*) OVER (PARTITION BY x, y) AS flat,
+             CAST(ceil(row_number() OVER (ORDER BY k) / 100000) AS BIGINT) AS grp FROM a)
+SELECT objectid, {_pad_sql('objectid')} AS uprn, {_pad_sql('parent')} AS parent_uprn,
+       round_even(x, 2) AS x_coordinate, round_even(y, 2) AS y_coordinate,
+       flat, '201704' AS update_date, grp AS "group"
+FROM b WHERE (x, y) IN (SELECT (px, py) FROM hits)
+""")
+def l1_address_clipped(spark, sf_dir):
+    """L1: address release shaped (ids, coordinates, flat counts, batches) and clipped."""
+    raw = _address_raw(spark, sf_dir)
+    _all, clipped, _rej = P.address_release(raw, polygons(spark), "201704",
+                                            order_by=[F.col("OBJECTID").cast("long")])
+    return clipped.select("objectid", "uprn", "parent_uprn", "x_coordinate", "y_coordinate",
+                          "flat", "update_date", "group")
+
+
+@register("l2_building_heights", sql="""
+WITH h AS (
+  SELECT 'osgb' || CAST(l_partkey AS VARCHAR) AS TOID,
+         CASE l_returnflag WHEN 'A' THEN 'TQ' WHEN 'N' THEN 'TL' ELSE 'SU' END || l_linestatus AS TileRef,
+         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS pdate, l_quantity AS RelH2,
+         l_orderkey * 8 + l_linenumber AS ROW_REF
+  FROM lineitem),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY TOID ORDER BY pdate, ROW_REF) AS rn,
+         count(*) OVER (PARTITION BY TOID) AS match_count
+  FROM h WHERE contains(TileRef, 'TQ') OR contains(TileRef, 'TL'))
+SELECT r.TOID, p.p_size AS FeatureCode, 'Buildings' AS Theme, r.TileRef,
+       strftime(strptime(r.pdate, '%Y-%m-%d %H:%M:%S'), '%Y%m%d%H%M%S') AS BHA_ProcessDate,
+       r.RelH2 AS height_rel, r.ROW_REF, r.match_count
+FROM part p JOIN r ON 'osgb' || CAST(p.p_partkey AS VARCHAR) = r.TOID AND r.rn = 1
+WHERE p.p_type = 'ECONOMY'
+""")
+def l2_building_heights(spark, sf_dir):
+    """L2: building heights (tile filter, key repair, first match + count, date format)
+    attached to the 'Buildings' features of a layer."""
+    p = table(spark, sf_dir, "part")
+    layer = p.select(F.concat(F.lit("osgb"), F.col("p_partkey").cast("string")).alias("TOID"),
+                     F.col("p_size").alias("FeatureCode"),
+                     F.when(F.col("p_type") == "ECONOMY", F.lit("Buildings")).otherwise(F.col("p_type")).alias("Theme"))
+    li = table(spark, sf_dir, "lineitem")
+    tile = (F.when(F.col("l_returnflag") == "A", F.lit("TQ")).when(F.col("l_returnflag") == "N", F.lit("TL"))
+            .otherwise(F.lit("SU")))
+    heights = li.select(F.col("l_partkey").cast("string").alias("OS_TOPO_TOID"),
+                        F.concat(tile, F.col("l_linestatus")).alias("TileRef"),
+                        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("BHA_ProcessDate"),
+                        F.col("l_quantity").alias("RelH2"),
+                        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ROW_REF"))
+    return P.building_heights(layer, heights, order_by=["BHA_ProcessDate", "ROW_REF"],
+                              renames={"RelH2": "height_rel", "NotThere": "x"})
+
+
+def _points(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("x"),
+                     F.col("l_suppkey").cast("double").alias("y"), "l_returnflag")
+
+
+@register("l5_flats_by_area", sql=f"""
+WITH {_HITS_SQL},
+names(poly_id, name) AS (VALUES {_names_sql()}),
+best AS (SELECT px, py, max(poly_id) AS poly_id FROM hits GROUP BY px, py),
+t AS (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y, b.poly_id
+      FROM lineitem JOIN best b ON CAST(l_quantity AS DOUBLE) = b.px AND CAST(l_suppkey AS DOUBLE) = b.py),
+xy AS (SELECT x, y, count(*) AS flat, min(poly_id) AS poly_id FROM t GROUP BY x, y)
+SELECT CAST(n.poly_id AS BIGINT) AS poly_id, n.name, CAST(sum(flat) AS BIGINT) AS total_flats
+FROM xy JOIN names n ON xy.poly_id = n.poly_id
+WHERE flat > 1 GROUP BY n.poly_id, n.name
+""")
+def l5_flats_by_area(spark, sf_dir):
+    """Addresses sharing a coordinate, counted per area polygon."""
+    pts = _points(spark, sf_dir).drop("l_returnflag")
+    return P.flats_by_area(pts, polygons(spark), "x", "y", ["l_orderkey", "l_linenumber"])
+
+
+# The sub-area names looked up by polygon ordinal (polygon 4 has none).
+SUB_AREAS = [(1, "North Acton"), (2, "Park Royal"), (3, "Old Oak"), (5, "Willesden Junction")]
+
+
+@register("l8_postcodes_in_subareas", sql=f"""
+WITH {_HITS_SQL},
+sub(poly_id, Sub_Area) AS (VALUES {", ".join(f"({k}, '{v}')" for k, v in SUB_AREAS)}),
+best AS (SELECT px, py, max(poly_id) AS poly_id FROM hits GROUP BY px, py)
+SELECT 'P' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS POSTCODE,
+       l_returnflag AS DISTRICT_NAME, s.Sub_Area
+FROM lineitem
+JOIN best b ON CAST(l_quantity AS DOUBLE) = b.px AND CAST(l_suppkey AS DOUBLE) = b.py
+JOIN sub s ON s.poly_id = b.poly_id
+""")
+def l8_postcodes_in_subareas(spark, sf_dir):
+    """Postcode points tagged with the sub-area polygon containing them."""
+    pts = _points(spark, sf_dir).select(
+        F.concat(F.lit("P"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+        .alias("POSTCODE"), F.col("l_returnflag").alias("DISTRICT_NAME"), "x", "y")
+    names = lookup(spark, SUB_AREAS, T.StructType([T.StructField("poly_id", T.LongType()),
+                                                   T.StructField("Sub_Area", T.StringType())]))
+    return P.postcodes_in_subareas(pts, polygons(spark).drop("name"), names, "x", "y", ["POSTCODE", "DISTRICT_NAME"])
+
+
+def _planning_records(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    start = F.date_format("o_orderdate", "yyyyMMdd").cast("int")
+    done = F.when(F.col("o_orderstatus") == "O", F.lit(0)).otherwise(start + 10000)
+    return j.select(F.col("o_orderkey").alias("Ptno"), _postcode(None).alias("Pcode"),
+                    start.alias("Start_date"), done.alias("Completion_date"))
+
+
+_PLANNING_SQL = f"""
+WITH rec AS (
+  SELECT o_orderkey AS Ptno, {_POSTCODE_SQL} AS Pcode,
+         CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS Start_date,
+         CASE WHEN o_orderstatus = 'O' THEN 0 ELSE CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) + 10000 END AS Completion_date
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+@register("l7_valid_postcodes", sql=_PLANNING_SQL + """
+SELECT Ptno, Pcode FROM rec WHERE regexp_matches(Pcode, '{pat}')
+""".replace("{pat}", POSTCODE_PATTERN))
+def l7_valid_postcodes(spark, sf_dir):
+    """Planning records with a valid postcode."""
+    valid, _m, _d = P.postcode_quality(_planning_records(spark, sf_dir), "Ptno", "Pcode", "Start_date", "Completion_date")
+    return valid.select("Ptno", "Pcode")
+
+
+@register("l7_missing_valid", sql=_PLANNING_SQL + """
+SELECT Ptno, Pcode FROM rec r WHERE NOT EXISTS (
+  SELECT 1 FROM rec v WHERE regexp_matches(v.Pcode, '{pat}') AND v.Ptno = r.Ptno)
+""".replace("{pat}", POSTCODE_PATTERN))
+def l7_missing_valid(spark, sf_dir):
+    """Records whose id has no valid-postcode record (anti join)."""
+    _v, missing, _d = P.postcode_quality(_planning_records(spark, sf_dir), "Ptno", "Pcode", "Start_date", "Completion_date")
+    return missing.select("Ptno", "Pcode")
+
+
+@register("l7_durations", sql=_PLANNING_SQL + """
+SELECT Ptno, Completion_date - Start_date AS duration,
+       'ldd' || CAST(row_number() OVER (ORDER BY Ptno) AS VARCHAR) AS lddid
+FROM rec WHERE Start_date > 0 AND Completion_date > 0
+""")
+def l7_durations(spark, sf_dir):
+    """Build durations of records with both dates, numbered ``ldd1, ldd2, ...``."""
+    _v, _m, durations = P.postcode_quality(_planning_records(spark, sf_dir), "Ptno", "Pcode", "Start_date",
+                                           "Completion_date")
+    numbered = add_row_id(durations.select("Ptno", "duration"), ["Ptno"], out="lddid", prefix="ldd")
+    return numbered
+
+
+# The positional names applied to the raw address extract of the graph.
+GRAPH_NAMES = ["UPRN", "PARENT_UPRN", "STATE_DATE", "X_COORDINATE", "Y_COORDINATE"]
+
+
+def _graph_raw(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    ytext = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_custkey").cast("string"))
+    return o.select(F.col("o_orderkey").cast("string").alias("V1"), F.col("o_custkey").cast("string").alias("V2"),
+                    _date_text(o).alias("V3"), F.col("o_totalprice").cast("string").alias("V4"), ytext.alias("V5"))
+
+
+_GRAPH_SQL = f"""
+WITH g AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS objectid, CAST(o_custkey AS VARCHAR) AS parent, {_DATE_TEXT_SQL} AS dtext,
+         o_totalprice AS px, TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(o_custkey AS VARCHAR) END AS DOUBLE) AS py
+  FROM orders)"""
+
+
+@register("l12_address_graph", sql=_GRAPH_SQL + f"""
+SELECT objectid, {_pad_sql('objectid')} AS uprn, {_pad_sql('parent')} AS parent_uprn,
+       coalesce(strftime(coalesce(
+           try_strptime(dtext, '%Y-%m-%d'), try_strptime(dtext, '%Y%m%d'),
+           try_strptime(dtext, '%d/%m/%Y'), try_strptime(dtext, '%d %B %Y')), '%Y%m%d'), dtext) AS state_date,
+       px, py
+FROM g WHERE py IS NOT NULL
+""")
+def l12_address_graph(spark, sf_dir):
+    """The address graph's features (named, ids padded, dates normalised, points)."""
+    ok, _rej = P.address_graph(_graph_raw(spark, sf_dir), GRAPH_NAMES, ["STATE_DATE"])
+    return ok.select("objectid", "uprn", "parent_uprn", "state_date", "px", "py")
+
+
+@register("l12_rejected", sql=_GRAPH_SQL + """
+SELECT objectid FROM g WHERE py IS NULL
+""")
+def l12_rejected(spark, sf_dir):
+    """The graph's reject output (coordinates that are not numbers)."""
+    _ok, rej = P.address_graph(_graph_raw(spark, sf_dir), GRAPH_NAMES, ["STATE_DATE"])
+    return rej.select("objectid")
