@@ -81,16 +81,26 @@ def poslist_ring(text) -> Column:
                                                                F.get(nums, i * 2 + 1).alias("y"))))
 
 
-def _ring_stats(ring: Column, px: Column, py: Column) -> Column:
-    """One pass over the edges of a closed ring: ``struct(n, edge)`` = number of edges
-    a rightward ray from the point crosses, and whether the point lies on an edge."""
-    n = F.size(ring)
-    idx = F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0)))
+def ring_edges(rings) -> Column:
+    """All edges of all closed rings as ``array<struct<x1, y1, x2, y2>>``."""
+    def ring_to_edges(r):
+        idx = F.sequence(F.lit(0), F.greatest(F.size(r) - 2, F.lit(0)))
+        edges = F.transform(idx, lambda i: F.struct(
+            F.get(r, i)["x"].alias("x1"), F.get(r, i)["y"].alias("y1"),
+            F.get(r, i + 1)["x"].alias("x2"), F.get(r, i + 1)["y"].alias("y2")))
+        return F.filter(edges, lambda e: e["x2"].isNotNull())
+    return F.flatten(F.transform(as_col(rings), ring_to_edges))
+
+
+def point_in_edges(px, py, edges) -> Column:
+    """Exact test over precomputed edges, one pass: true when the point lies on an edge
+    (edges and vertices count as inside) or a rightward ray crosses an odd number of
+    edges (even-odd rule, so holes are handled)."""
+    px, py = as_col(px), as_col(py)
     zero = F.struct(F.lit(0).alias("n"), F.lit(False).alias("edge"))
 
-    def step(acc, i):
-        a, b = F.get(ring, i), F.get(ring, i + 1)
-        x1, y1, x2, y2 = a["x"], a["y"], b["x"], b["y"]
+    def step(acc, e):
+        x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
         hit = ((y1 > py) != (y2 > py)) & (px < (x2 - x1) * (py - y1) / (y2 - y1) + x1)
         cross = (px - x1) * (y2 - y1) - (py - y1) * (x2 - x1)
         on = ((cross == 0) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2))
@@ -98,21 +108,12 @@ def _ring_stats(ring: Column, px: Column, py: Column) -> Column:
         return F.struct((acc["n"] + F.when(hit, F.lit(1)).otherwise(F.lit(0))).alias("n"),
                         (acc["edge"] | on).alias("edge"))
 
-    return F.when(n >= 2, F.aggregate(idx, zero, step)).otherwise(zero)
+    return F.aggregate(as_col(edges), zero, step, lambda acc: acc["edge"] | (acc["n"] % 2 == 1))
 
 
 def point_in_rings(px, py, rings) -> Column:
-    """Exact test: true when the point is on any ring's boundary (edges and vertices
-    count as inside) or the ray-crossing count over all rings is odd."""
-    px, py, rings = as_col(px), as_col(py), as_col(rings)
-    zero = F.struct(F.lit(0).alias("n"), F.lit(False).alias("edge"))
-
-    def add(acc, r):
-        s = _ring_stats(r, px, py)
-        return F.struct((acc["n"] + s["n"]).alias("n"), (acc["edge"] | s["edge"]).alias("edge"))
-
-    tot = F.aggregate(rings, zero, add)
-    return tot["edge"] | (tot["n"] % 2 == 1)
+    """Exact point-in-polygon test against rings (see ``point_in_edges``)."""
+    return point_in_edges(px, py, ring_edges(rings))
 
 
 def default_cell_size(polygons: DataFrame, rings: str = "rings") -> float:
@@ -134,15 +135,15 @@ def _cell(v: Column, size: float) -> Column:
 def polygon_cells(polygons: DataFrame, attrs: Sequence[str], cell_size: float,
                   order: str = "poly_id", rings: str = "rings") -> DataFrame:
     """One row per grid cell: ``(cx, cy, cands)`` with ``cands`` = array of
-    ``struct(ord, attrs..., rings, bbox)`` for every polygon whose bbox touches the cell,
-    sorted by ordinal."""
+    ``struct(ord, attrs..., edges, bbox)`` for every polygon whose bbox touches the cell,
+    sorted by ordinal (edges are derived once per polygon, not per point)."""
     bb = polygons.withColumn("__bb", ring_bbox(rings))
     cells = (bb.withColumn("cx", F.explode(F.sequence(_cell(F.col("__bb.minx"), cell_size),
                                                       _cell(F.col("__bb.maxx"), cell_size))))
              .withColumn("cy", F.explode(F.sequence(_cell(F.col("__bb.miny"), cell_size),
                                                     _cell(F.col("__bb.maxy"), cell_size)))))
     cand = F.struct(F.col(order).alias("ord"), *[F.col(a) for a in attrs],
-                    F.col(rings).alias("rings"), F.col("__bb").alias("bb"))
+                    ring_edges(rings).alias("edges"), F.col("__bb").alias("bb"))
     return cells.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
 
 
@@ -150,7 +151,7 @@ def _inside(px: Column, py: Column):
     def test(c):
         bb = c["bb"]
         in_box = (px >= bb["minx"]) & (px <= bb["maxx"]) & (py >= bb["miny"]) & (py <= bb["maxy"])
-        return in_box & point_in_rings(px, py, c["rings"])
+        return in_box & point_in_edges(px, py, c["edges"])
     return test
 
 
