@@ -16,9 +16,9 @@ Point-in-polygon joins (G2/G3) are a grid-cell equi-join, not a cross join:
 4. the exact test (boundary counts as inside, then ray-crossing parity) runs as
    native higher-order expressions over the candidate array.
 
-The polygon-cell table is broadcast only after its size is checked against
-``broadcast_max_cells``; above that it is a shuffle join where AQE splits a cell
-holding a large share of the points.
+The polygon-cell table is broadcast only when its size is proven to be at most
+``broadcast_max_cells`` (a bound from the polygon count, else an exact count); above
+that it is a shuffle join where AQE splits a cell holding a large share of the points.
 """
 
 from __future__ import annotations
@@ -39,11 +39,12 @@ def polygon_layer(spark, rows: Sequence[tuple], attr_schema: T.StructType) -> Da
     """Polygon layer from literal rows ``(poly_id, *attrs, rings)`` (rings closed here)."""
     schema = T.StructType([T.StructField("poly_id", T.LongType())] + list(attr_schema.fields)
                           + [T.StructField("rings", RINGS)])
+    from landframe.sources.files import lookup
     closed = []
     for r in rows:
         rings = [list(ring) + ([ring[0]] if tuple(ring[0]) != tuple(ring[-1]) else []) for ring in r[-1]]
         closed.append((*r[:-1], [[(float(a), float(b)) for a, b in ring] for ring in rings]))
-    return spark.createDataFrame(closed, schema)
+    return lookup(spark, closed, schema)
 
 
 def with_point(df: DataFrame, x: str, y: str, out_x: str = "px", out_y: str = "py") -> tuple[DataFrame, DataFrame]:
@@ -116,18 +117,29 @@ def point_in_rings(px, py, rings) -> Column:
     return point_in_edges(px, py, ring_edges(rings))
 
 
-def default_cell_size(polygons: DataFrame, rings: str = "rings") -> float:
-    """Grid cell edge: the mean polygon extent, but no less than 1/64 of the largest one
-    (so no polygon spans more than 65 x 65 cells).  One small aggregate on the layer."""
+MAX_CELLS_PER_SIDE = 65
+
+
+def layer_stats(polygons: DataFrame, rings: str = "rings") -> tuple[int, float, float]:
+    """``(polygons, mean extent, max extent)`` of a layer: one small aggregate job."""
     b = polygons.select(ring_bbox(rings).alias("b")).select(
         F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")).alias("ext"))
-    row = b.agg(F.avg("ext").alias("avg"), F.max("ext").alias("mx")).first()
-    if row is None or row["mx"] is None:
-        return 1.0
-    size = max(row["avg"] or 0.0, (row["mx"] or 0.0) / 64.0)
+    row = b.agg(F.count(F.lit(1)).alias("n"), F.avg("ext").alias("avg"), F.max("ext").alias("mx")).first()
+    return int(row["n"]), float(row["avg"] or 0.0), float(row["mx"] or 0.0)
+
+
+def cell_size_for(avg_ext: float, max_ext: float) -> float:
+    """Grid cell edge: the mean polygon extent, but no less than 1/64 of the largest one,
+    so no polygon spans more than 65 x 65 cells."""
+    size = max(avg_ext, max_ext / (MAX_CELLS_PER_SIDE - 1))
     return size if size > 0 else 1.0
 
 
+def default_cell_size(polygons: DataFrame, rings: str = "rings") -> float:
+    _n, avg, mx = layer_stats(polygons, rings)
+    return cell_size_for(avg, mx)
+
+
 def _cell(v: Column, size: float) -> Column:
     return F.floor(v / F.lit(size)).cast("long")
 
@@ -155,11 +167,28 @@ def _inside(px: Column, py: Column):
     return test
 
 
+def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_cells: int) -> tuple[float, bool]:
+    """Cell size and whether the cell table may be broadcast.
+
+    The broadcast decision rests on a proven bound: with the default cell size no
+    polygon covers more than 65 x 65 cells, so ``polygons x 4225`` bounds the cell table.
+    Only when that bound is too large (or the cell size is user-given) is the exact
+    number of cells counted.
+    """
+    n, avg, mx = layer_stats(polygons)
+    if cell_size is None:
+        cell_size = cell_size_for(avg, mx)
+        if n * MAX_CELLS_PER_SIDE ** 2 <= broadcast_max_cells:
+            return cell_size, True
+    return cell_size, None
+
+
 def _join_cells(points: DataFrame, cells: DataFrame, x: str, y: str, cell_size: float,
-                how: str, broadcast_max_cells: int) -> DataFrame:
+                how: str, broadcast: bool | None, broadcast_max_cells: int) -> DataFrame:
     pts = points.withColumn("__cx", _cell(F.col(x), cell_size)).withColumn("__cy", _cell(F.col(y), cell_size))
-    n_cells = cells.count()
-    right = F.broadcast(cells) if n_cells <= broadcast_max_cells else cells
+    if broadcast is None:
+        broadcast = cells.count() <= broadcast_max_cells
+    right = F.broadcast(cells) if broadcast else cells
     cond = (F.col("__cx") == F.col("cx")) & (F.col("__cy") == F.col("cy"))
     return pts.join(right, cond, how).drop("__cx", "__cy", "cx", "cy")
 
@@ -173,9 +202,9 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     reports the last match), ``pick="first"`` the lowest.  Exactly one output row per
     input point.
     """
-    cs = cell_size or default_cell_size(polygons)
+    cs, bc = _plan_grid(polygons, cell_size, broadcast_max_cells)
     cells = polygon_cells(polygons, attrs, cs, order)
-    j = _join_cells(points, cells, x, y, cs, "left", broadcast_max_cells)
+    j = _join_cells(points, cells, x, y, cs, "left", bc, broadcast_max_cells)
     hits = F.filter(F.col("cands"), _inside(F.col(x), F.col(y)))
     chosen = F.get(hits, F.size(hits) - 1) if pick == "last" else F.get(hits, 0)
     j = j.withColumn("__hit", chosen)
@@ -187,8 +216,8 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
 def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: float | None = None,
          broadcast_max_cells: int = 200_000) -> DataFrame:
     """The points inside (or on the boundary of) any polygon; point columns only."""
-    cs = cell_size or default_cell_size(polygons)
+    cs, bc = _plan_grid(polygons, cell_size, broadcast_max_cells)
     cells = polygon_cells(polygons, [], cs)
-    j = _join_cells(points, cells, x, y, cs, "inner", broadcast_max_cells)
+    j = _join_cells(points, cells, x, y, cs, "inner", bc, broadcast_max_cells)
     return j.filter(F.exists(F.col("cands"), _inside(F.col(x), F.col(y)))).select(
         *[F.col(f"`{c}`") for c in points.columns])

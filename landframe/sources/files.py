@@ -58,9 +58,29 @@ def with_provenance(df: DataFrame, tile_col: str = "tile", file_col: str = "file
                      F.col("_metadata.file_path").alias(file_col))
 
 
+def literal_value(v, dtype: T.DataType):
+    """A Python value as a typed literal Column (arrays and structs nested)."""
+    if v is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.ArrayType):
+        items = [literal_value(x, dtype.elementType) for x in v]
+        return F.array(*items) if items else F.array().cast(dtype)
+    if isinstance(dtype, T.StructType):
+        return F.struct(*[literal_value(x, f.dataType).alias(f.name) for x, f in zip(v, dtype.fields)])
+    return F.lit(v).cast(dtype)
+
+
 def lookup(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A literal lookup table (small and fixed by construction)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A literal lookup table (small and fixed by construction).
+
+    Built as a constant JVM expression (``inline`` of an array of structs), so reading
+    it needs no Python worker and it is planned as a local relation that joins as a
+    broadcast."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    row_type = T.StructType(schema.fields)
+    arr = F.array(*[literal_value(tuple(r), row_type) for r in rows]) if rows else F.array().cast(T.ArrayType(row_type))
+    return spark.range(1).select(F.inline(arr)).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 def write_release(df: DataFrame, root: str, release_col: str = "release", fmt: str = "parquet") -> None:
