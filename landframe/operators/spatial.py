@@ -35,8 +35,10 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 RINGS = T.ArrayType(T.ArrayType(POINT))
 
 
-def polygon_layer(spark, rows: Sequence[tuple], attr_schema: T.StructType) -> DataFrame:
+def polygon_layer(spark, rows: Sequence[tuple], attr_schema: T.StructType | str) -> DataFrame:
     """Polygon layer from literal rows ``(poly_id, *attrs, rings)`` (rings closed here)."""
+    if isinstance(attr_schema, str):
+        attr_schema = T._parse_datatype_string(attr_schema)
     schema = T.StructType([T.StructField("poly_id", T.LongType())] + list(attr_schema.fields)
                           + [T.StructField("rings", RINGS)])
     from landframe.sources.files import lookup
