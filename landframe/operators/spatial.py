@@ -223,3 +223,15 @@ def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: floa
     j = _join_cells(points, cells, x, y, cs, "inner", bc, broadcast_max_cells)
     return j.filter(F.exists(F.col("cands"), _inside(F.col(x), F.col(y)))).select(
         *[F.col(f"`{c}`") for c in points.columns])
+
+
+def reproject(df: DataFrame, x: str, y: str, src: str, dst: str) -> DataFrame:
+    """Change of coordinate reference system.
+
+    Only the equal-CRS case (the common one in these jobs: both layers already in the
+    national grid) is handled, as a no-op that re-declares the CRS.  Transformations
+    between different systems are not implemented yet and raise.
+    """
+    if src == dst:
+        return set_crs(df, [x, y], dst)
+    raise NotImplementedError(f"reprojection {src} -> {dst} is not implemented")

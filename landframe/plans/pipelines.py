@@ -184,3 +184,119 @@ def postcodes_in_subareas(points: DataFrame, polygons: DataFrame, lookup_rows: D
     named = left_lookup(polygons, lookup_rows, key, key)
     tagged = tag_with_polygon(points, named, x, y, [label], pick="last", order=key)
     return tagged.filter(F.col(label).isNotNull()).select(*keep, label)
+
+
+# --------------------------------------------------------------------------- L3
+
+
+# Source -> target names of the school register fields (renamed when present).
+SCHOOL_RENAMES = {
+    "EstablishmentName": "SCHOOL_NAME", "TypeOfEstablishment__name_": "TYPE",
+    "PhaseOfEducation__name_": "PHASE", "Street": "ADDRESS", "Town": "TOWN",
+    "EstablishmentStatus__name_": "STATUS", "Gender__name_": "GENDER", "WardNM": "WARD_NAME",
+    "LSOA11NM": "LSOA_NAME", "LAD11NM": "LA_NAME", "SchoolWebsite": "WEBLINK", "Postcode": "POSTCODE",
+    "NumberOfBoys": "NoofBoys", "NumberOfGirls": "NoofGirls", "PercentageFSM": "PerFSM",
+    "TelephoneNum": "Tele", "OfstedSpecialMeasures__name_": "ofsted",
+}
+# Special-measures text -> code, applied in this order.
+OFSTED_CODES = [("Not in special measures", "1"), ("Not applicable", "2"), ("In special measures", "3")]
+
+
+def schools_update(register: DataFrame, previous: DataFrame, workforce: DataFrame, healthy: DataFrame,
+                   healthy_cols: dict, ratio_col: str = "Pupil......Teacher.Ratio",
+                   keep: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """L3: refresh the schools table and cross-flag it with a programme report.
+
+    Register fields renamed where present; ``AGE`` = low-high, ``BoyGirl_R`` = boys /
+    girls rounded half-even to 4 (null when no girls), telephone regrouped 4+7, special
+    measures recoded; merged with the previous table and the workforce table on URN;
+    text casts.  Both sides get three match keys - URN (trimmed), postcode (upper case,
+    no spaces) and school name + area - and each side is flagged 1 when any key occurs
+    on the other side (``healthyschools_2017`` / ``found``).
+
+    ``healthy_cols`` names the report's columns: ``name``, ``borough``, ``postcode``,
+    ``urn``.  Returns ``(schools, report)``.
+    """
+    from landframe.functions import compact_key, paste, recode, regroup, replace_all, safe_ratio, trim_ws
+    from landframe.operators.columns import rename_if_present
+    from landframe.operators.joins import flag_any_match
+
+    df = rename_if_present(register, SCHOOL_RENAMES)
+    df = df.withColumns({
+        "AGE": paste("StatutoryLowAge", "StatutoryHighAge", sep="-"),
+        "BoyGirl_R": safe_ratio("NoofBoys", "NoofGirls", 4),
+        "Tele": regroup("Tele", [(1, 4), (5, 11)]),
+        "ofsted": recode("ofsted", OFSTED_CODES),
+    })
+    if keep:
+        df = df.select(*keep)
+    df = merge_on(previous, df, "URN", "URN")
+    df = merge_on(df, workforce, "URN", "URN")
+    df = df.withColumnRenamed(ratio_col, "PupilTeach_R")
+    text_cols = [c for c in ("WEBLINK", "SCHOOL_NAME", "TYPE", "PHASE", "ADDRESS", "TOWN", "POSTCODE",
+                             "STATUS", "GENDER", "WARD_NAME") if c in df.columns]
+    df = df.withColumns({c: F.col(c).cast("string") for c in text_cols})
+
+    h = healthy.withColumn(healthy_cols["borough"],
+                           replace_all(replace_all(healthy_cols["borough"], " & ", " and "), "-", " "))
+    h = h.withColumn("working", paste(healthy_cols["name"], healthy_cols["borough"]))
+    df = df.withColumn("working", paste("SCHOOL_NAME", "LA_NAME"))
+    s_keys = [F.col("URN").cast("string"), F.replace(F.col("POSTCODE"), F.lit(" "), F.lit("")), F.col("working")]
+    h_keys = [trim_ws(F.col(healthy_cols["urn"]).cast("string")), compact_key(healthy_cols["postcode"]), F.col("working")]
+    schools = flag_any_match(df, h, list(zip(s_keys, h_keys)), "healthyschools_2017")
+    report = flag_any_match(h, df, list(zip(h_keys, s_keys)), "found")
+    return schools, report
+
+
+# --------------------------------------------------------------------------- L9
+
+
+# Borough spellings corrected in the award table (first occurrence only).
+BOROUGH_FIXES = [
+    ("City & Hackney", "City and Hackney"),
+    ("Hammersmith & Fulham", "Hammersmith and Fulham"),
+    ("Kensington & Chelsea", "Kensington and Chelsea"),
+    ("Kingston-upon-Thames", "Kingston upon Thames"),
+    ("Richmond-upon-Thames", "Richmond upon Thames"),
+]
+AWARD_NAMES = ["BOROUGH", "REGISTERED", "BRONZE", "SILVER", "GOLD"]
+
+
+def award_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+                first_row: int = 2, last_row: int = 33) -> DataFrame:
+    """L9 (first half): the award summary table of a page as rows.
+
+    Table cells (H6) widened to one row per table row, columns named positionally,
+    borough spellings fixed (first occurrence), rows ``first_row..last_row`` kept (the
+    first row is a total), sorted by borough."""
+    from landframe.functions import replace_first
+    from landframe.operators.columns import rename_all
+    from landframe.operators.filters import slice_rows
+    from landframe.operators.reshape import widen
+    from landframe.sources.pages import extract_table
+
+    cells = extract_table(pages, id_col, html_col).withColumn("col", F.col("col").cast("string"))
+    wide = widen(cells, [id_col, "tbl", "row"], "col", "text", vocab=[str(i) for i in range(len(AWARD_NAMES))])
+    t = rename_all(wide, [id_col, "tbl", "row", *AWARD_NAMES])
+    b = F.col("BOROUGH")
+    for old, new in BOROUGH_FIXES:
+        b = replace_first(b, old, new)
+    t = t.withColumn("BOROUGH", b)
+    t = slice_rows(t, first_row, last_row, [F.col(id_col), F.col("tbl"), F.col("row")])
+    return t.select(*AWARD_NAMES).orderBy("BOROUGH")
+
+
+def award_month_update(registrations: DataFrame, awards: DataFrame, period: str) -> DataFrame:
+    """L9 (second half): this period's registered count added to the running history as
+    a column named after the period (write the result to a new version folder)."""
+    from landframe.sources.files import append_period_column
+    return append_period_column(registrations, awards, "NAME", "BOROUGH", "REGISTERED", period,
+                                drop=["BRONZE", "SILVER", "GOLD"])
+
+
+def school_repeats(report: DataFrame, name_col: str, borough_col: str, order_by: Sequence[str]) -> DataFrame:
+    """L9 report: rows after the first with the same school name + borough."""
+    from landframe.functions import paste
+    from landframe.operators.window import find_repeats
+    keyed = report.withColumn("uniqschool", paste(name_col, borough_col))
+    return find_repeats(keyed, ["uniqschool"], order_by)

@@ -249,3 +249,16 @@ def l12_rejected(spark, sf_dir):
     """The graph's reject output (coordinates that are not numbers)."""
     _ok, rej = P.address_graph(_graph_raw(spark, sf_dir), GRAPH_NAMES, ["STATE_DATE"])
     return rej.select("objectid")
+
+
+@register("l9_school_repeats", sql="""
+SELECT c_custkey, c_mktsegment, c_nationkey, uniqschool FROM (
+  SELECT c_custkey, c_mktsegment, c_nationkey, c_mktsegment || ' ' || CAST(c_nationkey AS VARCHAR) AS uniqschool,
+         row_number() OVER (PARTITION BY c_mktsegment || ' ' || CAST(c_nationkey AS VARCHAR) ORDER BY c_custkey) AS rn
+  FROM customer) WHERE rn > 1
+""")
+def l9_school_repeats(spark, sf_dir):
+    """Repeated (school name, borough) rows of a report; customers' segment and
+    nation stand in for school and borough."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    return P.school_repeats(c, "c_mktsegment", "c_nationkey", ["c_custkey"])

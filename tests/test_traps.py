@@ -228,3 +228,44 @@ def test_no_python_udfs_in_any_query_plan(spark):
         plan = QUERIES[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan, name
+
+
+def test_award_table_and_month_update(spark):
+    from landframe.plans.pipelines import award_month_update, award_table
+    rows_html = "".join(f"<tr><td>{b}</td><td>{n}</td><td>1</td><td>2</td><td>3</td></tr>"
+                        for b, n in [("Total", 99), ("Kingston-upon-Thames", 5), ("City & Hackney", 7), ("Barnet", 4)])
+    pages = spark.createDataFrame([(1, f"<table><tr><th>Borough</th></tr>{rows_html}</table>")], "page_id long, html string")
+    t = award_table(pages, first_row=3, last_row=5)
+    assert [tuple(r) for r in t.select("BOROUGH", "REGISTERED").collect()] == [
+        ("Barnet", "4"), ("City and Hackney", "7"), ("Kingston upon Thames", "5")]
+    reg = spark.createDataFrame([("Barnet", "1"), ("City and Hackney", "2")], "NAME string, MAR string")
+    upd = award_month_update(reg, t, "APR")
+    assert upd.columns == ["NAME", "MAR", "APR"]
+    assert sorted(tuple(r) for r in upd.collect()) == [("Barnet", "1", "4"), ("City and Hackney", "2", "7")]
+
+
+def test_schools_update_flags_any_key(spark):
+    from landframe.plans.pipelines import schools_update
+    reg = spark.createDataFrame([
+        (1, "Alpha", "Camden", "N1 1AA", 10, 0, "02071234567", "Not applicable", 4, 11),
+        (2, "Beta", "Barnet", "N2 2BB", 5, 5, "02079999999", "In special measures", 3, 7),
+        (3, "Gamma", "Kingston upon Thames", "KT1 1CC", 8, 4, "02070000000", "Not in special measures", 11, 16),
+        (4, "Delta", "Ealing", "W5 5DD", 1, 1, "02071111111", "Not applicable", 4, 11)],
+        "URN int, EstablishmentName string, LAD11NM string, Postcode string, NumberOfBoys int, NumberOfGirls int, "
+        "TelephoneNum string, OfstedSpecialMeasures__name_ string, StatutoryLowAge int, StatutoryHighAge int")
+    prev = spark.createDataFrame([(1, "p"), (2, "p"), (3, "p"), (4, "p")], "URN int, Primary string")
+    wf = spark.createDataFrame([(1, 20.5), (2, 18.0), (3, 17.0), (4, 16.0)], "URN int, `Pupil......Teacher.Ratio` double")
+    healthy = spark.createDataFrame([
+        ("x", "nowhere", "zz9 9zz", "\t1 "),          # URN match only
+        ("y", "nowhere", "n2 2bb", "99"),             # postcode match only
+        ("Gamma", "Kingston-upon-Thames", "", "98"),  # name + area match only
+        ("q", "nowhere", "QQ1 1QQ", "97")],           # no match
+        "School_name string, Borough_name string, Postcode string, URN string")
+    schools, report = schools_update(reg, prev, wf, healthy, {"name": "School_name", "borough": "Borough_name",
+                                                              "postcode": "Postcode", "urn": "URN"})
+    got = {r["URN"]: (r["healthyschools_2017"], r["BoyGirl_R"], r["ofsted"], r["AGE"], r["Tele"])
+           for r in schools.collect()}
+    assert got[1] == (1, None, "2", "4-11", "0207 1234567")
+    assert got[2][0] == 1 and got[3][0] == 1 and got[4][0] == 0
+    assert got[3][1] == 2.0 and got[2][2] == "3"
+    assert sorted(r["found"] for r in report.collect()) == [0, 1, 1, 1]
