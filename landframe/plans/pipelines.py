@@ -76,12 +76,15 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     from landframe.operators.window import add_batch, add_count
 
     df = copy_col(raw, uprn, "OBJECTID")
+    # batch numbers first: the numbering checkpoints its input, so the flat count below
+    # is computed once, from the checkpoint, instead of inside the sampling and
+    # checkpoint jobs as well
+    df = df.withColumn("__order", F.struct(*order_by))
+    df = add_batch(df, batch_size, ["__order"], "group").drop("__order")
     df = df.withColumns({uprn: pad_left(uprn, 12), parent: pad_left(parent, 12),
                          x: round_half_even(to_double(x), 2), y: round_half_even(to_double(y), 2)})
     df = add_count(df, [x, y], "FLAT")
     df = with_const(df, "update_date", release)
-    df = df.withColumn("__order", F.struct(*order_by))
-    df = add_batch(df, batch_size, ["__order"], "group").drop("__order")
     ok, rejected = with_point(df, x, y, "__px", "__py")
     ok = lower_names(ok.drop("__px", "__py"))
     clipped = clip(ok, boundary, x.lower(), y.lower())
