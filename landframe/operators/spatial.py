@@ -225,13 +225,52 @@ def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: floa
         *[F.col(f"`{c}`") for c in points.columns])
 
 
-def reproject(df: DataFrame, x: str, y: str, src: str, dst: str) -> DataFrame:
-    """Change of coordinate reference system.
+# Coordinate systems understood by ``reproject``.
+GRID_CRS = {"EPSG:27700"}                 # British National Grid (easting, northing)
+OSGB_GEOGRAPHIC = {"EPSG:4277"}           # OSGB36 latitude/longitude
+WGS_GEOGRAPHIC = {"EPSG:4326", "EPSG:4258"}  # WGS84 / ETRS89 latitude/longitude
+
+
+def _crs_kind(crs: str) -> str:
+    c = crs.upper()
+    if c in GRID_CRS:
+        return "grid"
+    if c in OSGB_GEOGRAPHIC:
+        return "osgb"
+    if c in WGS_GEOGRAPHIC:
+        return "wgs"
+    raise NotImplementedError(f"coordinate system {crs} is not supported")
 
-    Only the equal-CRS case (the common one in these jobs: both layers already in the
-    national grid) is handled, as a no-op that re-declares the CRS.  Transformations
-    between different systems are not implemented yet and raise.
+
+def reproject(df: DataFrame, x: str, y: str, src: str, dst: str) -> DataFrame:
+    """Move points between the National Grid (x = easting, y = northing) and
+    OSGB36 or WGS84/ETRS89 latitude/longitude (x = longitude, y = latitude, degrees).
+
+    Equal systems are a no-op (the common case: both layers already in the grid).
+    Grid <-> OSGB36 is the transverse Mercator projection (sub-millimetre); OSGB36 <->
+    WGS84 is the published 7-parameter Helmert shift (good to a few metres; the
+    grid-file transformation is not available here).  Output columns replace ``x``/``y``
+    and carry the new CRS as metadata.
     """
-    if src == dst:
+    from landframe.functions import geodesy as GD
+    a, b = _crs_kind(src), _crs_kind(dst)
+    if a == b:
         return set_crs(df, [x, y], dst)
-    raise NotImplementedError(f"reprojection {src} -> {dst} is not implemented")
+    # each stage writes its own column; the next stage reads plain values
+    out = df.withColumn("__p", F.struct(F.col(y).cast("double").alias("lat"), F.col(x).cast("double").alias("lon")))
+    if a == "grid":
+        out = GD.latlon_from_grid(out, x, y, "__p")
+        a = "osgb"
+    if a == "wgs" and b != "wgs":
+        out = out.withColumns({"__lat": F.col("__p.lat"), "__lon": F.col("__p.lon")})
+        out = GD.osgb36_from_wgs84(out, "__lat", "__lon", "__p").drop("__lat", "__lon")
+        a = "osgb"
+    if a == "osgb" and b == "wgs":
+        out = out.withColumns({"__lat": F.col("__p.lat"), "__lon": F.col("__p.lon")})
+        out = GD.wgs84_from_osgb36(out, "__lat", "__lon", "__p").drop("__lat", "__lon")
+    if b == "grid":
+        out = out.withColumn("__p", GD.grid_from_latlon(F.col("__p.lat"), F.col("__p.lon")))
+        out = out.withColumns({x: F.col("__p.e"), y: F.col("__p.n")})
+    else:
+        out = out.withColumns({x: F.col("__p.lon"), y: F.col("__p.lat")})
+    return set_crs(out.drop("__p"), [x, y], dst)

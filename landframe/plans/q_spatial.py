@@ -143,3 +143,57 @@ def q4_rejected_points(spark, sf_dir):
     """Q4: the rejected-row side output of G1 (unparsable coordinates)."""
     _ok, rejected = G.with_point(_coord_text(spark, sf_dir), "xt", "yt")
     return rejected.select("c_custkey", "c_mktsegment")
+
+
+# ---------------------------------------------------------------- G4 reprojection
+
+def _g4_sql() -> str:
+    import math
+
+    from landframe.functions import geodesy as GD
+    a1, b1, a2, b2 = GD.WGS_A, GD.WGS_B, GD.AIRY_A, GD.AIRY_B
+    e21, e22 = (a1 * a1 - b1 * b1) / (a1 * a1), (a2 * a2 - b2 * b2) / (a2 * a2)
+    p = GD.HELMERT_TO_OSGB
+    sec = math.pi / (180 * 3600)
+    tx, ty, tz, s = p["tx"], p["ty"], p["tz"], p["s"] * 1e-6
+    rx, ry, rz = p["rx"] * sec, p["ry"] * sec, p["rz"] * sec
+    n = (a2 - b2) / (a2 + b2)
+    ctes = [
+        "s0 AS (SELECT event_id, radians(51.3 + value / 200.0) AS phi, radians(-0.5 + user_id / 500.0) AS lam FROM events)",
+        f"s1 AS (SELECT event_id, {a1} / sqrt(1 - {e21} * sin(phi) * sin(phi)) AS nu, phi, lam FROM s0)",
+        "s2 AS (SELECT event_id, nu * cos(phi) * cos(lam) AS x1, nu * cos(phi) * sin(lam) AS y1, "
+        f"{1 - e21} * nu * sin(phi) AS z1 FROM s1)",
+        f"s3 AS (SELECT event_id, {tx} + {1 + s} * x1 - {rz} * y1 + {ry} * z1 AS x2, "
+        f"{ty} + {rz} * x1 + {1 + s} * y1 - {rx} * z1 AS y2, {tz} - {ry} * x1 + {rx} * y1 + {1 + s} * z1 AS z2 FROM s2)",
+        f"i0 AS (SELECT event_id, x2, y2, z2, sqrt(x2 * x2 + y2 * y2) AS pxy, atan2(z2, sqrt(x2 * x2 + y2 * y2) * {1 - e22}) AS phi FROM s3)",
+    ]
+    for k in range(1, GD.ITERATIONS + 1):
+        ctes.append(f"i{k} AS (SELECT event_id, x2, y2, z2, pxy, atan2(z2 + {e22} * ({a2} / sqrt(1 - {e22} * sin(phi) * sin(phi))) "
+                    f"* sin(phi), pxy) AS phi FROM i{k - 1})")
+    last = f"i{GD.ITERATIONS}"
+    lat0, lon0, f0 = GD.LAT0, GD.LON0, GD.F0
+    ctes.append(f"t0 AS (SELECT event_id, phi, atan2(y2, x2) - {lon0} AS dl, sin(phi) AS sp, cos(phi) AS cp, tan(phi) AS tp, "
+                f"1 - {e22} * sin(phi) * sin(phi) AS w FROM {last})")
+    ctes.append(f"t1 AS (SELECT *, {a2 * f0} / sqrt(w) AS nu, {a2 * f0 * (1 - e22)} * pow(w, -1.5) AS rho, tp * tp AS t2, "
+                f"{b2 * f0} * ({1 + n + 1.25 * n ** 2 + 1.25 * n ** 3} * (phi - {lat0}) "
+                f"- {3 * n + 3 * n ** 2 + 21 / 8 * n ** 3} * sin(phi - {lat0}) * cos(phi + {lat0}) "
+                f"+ {15 / 8 * n ** 2 + 15 / 8 * n ** 3} * sin(2 * (phi - {lat0})) * cos(2 * (phi + {lat0})) "
+                f"- {35 / 24 * n ** 3} * sin(3 * (phi - {lat0})) * cos(3 * (phi + {lat0}))) AS m FROM t0)")
+    ctes.append("t2 AS (SELECT *, nu / rho - 1 AS eta2 FROM t1)")
+    north = (f"m + {GD.N0} + nu / 2 * sp * cp * pow(dl, 2) + nu / 24 * sp * pow(cp, 3) * (5 - t2 + 9 * eta2) * pow(dl, 4) "
+             f"+ nu / 720 * sp * pow(cp, 5) * (61 - 58 * t2 + t2 * t2) * pow(dl, 6)")
+    east = (f"{GD.E0} + nu * cp * dl + nu / 6 * pow(cp, 3) * (nu / rho - t2) * pow(dl, 3) "
+            f"+ nu / 120 * pow(cp, 5) * (5 - 18 * t2 + t2 * t2 + 14 * eta2 - 58 * t2 * eta2) * pow(dl, 5)")
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT event_id, round({east}, 2) AS easting, round({north}, 2) AS northing FROM t2")
+
+
+@register("g4_reproject", sql=_g4_sql())
+def g4_reproject(spark, sf_dir):
+    """WGS84 points (derived from event value and user) to National Grid metres,
+    through the Helmert datum shift and the transverse Mercator projection."""
+    e = table(spark, sf_dir, "events")
+    pts = e.select("event_id", (F.lit(-0.5) + F.col("user_id") / 500.0).alias("easting"),
+                   (F.lit(51.3) + F.col("value") / 200.0).alias("northing"))
+    out = G.reproject(pts, "easting", "northing", "EPSG:4326", "EPSG:27700")
+    return out.select("event_id", F.round("easting", 2).alias("easting"), F.round("northing", 2).alias("northing"))

@@ -269,3 +269,20 @@ def test_schools_update_flags_any_key(spark):
     assert got[2][0] == 1 and got[3][0] == 1 and got[4][0] == 0
     assert got[3][1] == 2.0 and got[2][2] == "3"
     assert sorted(r["found"] for r in report.collect()) == [0, 1, 1, 1]
+
+
+def test_national_grid_worked_example_and_round_trips(spark):
+    lat = 52 + 39 / 60 + 27.2531 / 3600
+    lon = 1 + 43 / 60 + 4.5177 / 3600
+    df = spark.createDataFrame([(1, lon, lat)], "id int, x double, y double")
+    grid = G.reproject(df, "x", "y", "EPSG:4277", "EPSG:27700").collect()[0]
+    assert abs(grid.x - 651409.903) < 0.001 and abs(grid.y - 313177.270) < 0.001
+    back = G.reproject(G.reproject(df, "x", "y", "EPSG:4277", "EPSG:27700"), "x", "y", "EPSG:27700", "EPSG:4277").collect()[0]
+    assert abs(back.x - lon) < 1e-8 and abs(back.y - lat) < 1e-8
+    w = spark.createDataFrame([(1, -0.1276, 51.5072)], "id int, x double, y double")
+    bng = G.reproject(w, "x", "y", "EPSG:4326", "EPSG:27700").collect()[0]
+    assert abs(bng.x - 530000) < 1000 and abs(bng.y - 180000) < 1000   # central London
+    rt = G.reproject(G.reproject(w, "x", "y", "EPSG:4326", "EPSG:27700"), "x", "y", "EPSG:27700", "EPSG:4326").collect()[0]
+    assert abs(rt.x + 0.1276) < 1e-5 and abs(rt.y - 51.5072) < 1e-5
+    same = G.reproject(df, "x", "y", "EPSG:27700", "EPSG:27700")
+    assert same.collect()[0].x == lon and same.schema["x"].metadata == {"crs": "EPSG:27700"}
