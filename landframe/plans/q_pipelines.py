@@ -262,3 +262,95 @@ def l9_school_repeats(spark, sf_dir):
     nation stand in for school and borough."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     return P.school_repeats(c, "c_mktsegment", "c_nationkey", ["c_custkey"])
+
+
+# --------------------------------------------------------------------------- L3
+
+_SEG_OFSTED = """CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Not in special measures'
+  WHEN 'BUILDING' THEN 'Not applicable' WHEN 'FURNITURE' THEN 'In special measures' ELSE 'Other' END"""
+
+
+def _school_inputs(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    cn = c.join(n, c.c_nationkey == n.n_nationkey)
+    seg = F.col("c_mktsegment")
+    ofsted = (F.when(seg == "AUTOMOBILE", "Not in special measures").when(seg == "BUILDING", "Not applicable")
+              .when(seg == "FURNITURE", "In special measures").otherwise("Other"))
+    la = F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))
+    register = cn.select(
+        F.col("c_custkey").alias("URN"), F.col("c_name").alias("EstablishmentName"), la.alias("LAD11NM"),
+        _postcode(None).alias("Postcode"), F.col("c_nationkey").alias("NumberOfBoys"),
+        (F.col("c_nationkey") % 4).alias("NumberOfGirls"),
+        F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("TelephoneNum"),
+        ofsted.alias("OfstedSpecialMeasures__name_"),
+        F.col("c_nationkey").alias("StatutoryLowAge"), (F.col("c_nationkey") + 7).alias("StatutoryHighAge"))
+    previous = c.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("URN"), seg.alias("Primary"))
+    workforce = c.select(F.col("c_custkey").alias("URN"),
+                         (F.col("c_acctbal") / 100).alias("Pupil......Teacher.Ratio"))
+    urn_text = F.when(seg == "AUTOMOBILE", F.concat(F.lit("\t"), F.col("c_custkey").cast("string"), F.lit(" "))) \
+        .otherwise(F.concat(F.lit("u"), F.col("c_custkey").cast("string")))
+    post = F.when(seg == "BUILDING", F.lower(_postcode(None))).otherwise(F.lit("ZZ9 9ZZ"))
+    borough = F.when(seg == "FURNITURE", F.replace(F.col("n_name"), F.lit("_"), F.lit("-"))).otherwise(F.lit("elsewhere"))
+    healthy = cn.select(F.col("c_name").alias("School_name"), borough.alias("Borough_name"),
+                        post.alias("Postcode"), urn_text.alias("URN"))
+    return register, previous, workforce, healthy
+
+
+_L3_SQL = f"""
+WITH cn AS (SELECT * FROM customer JOIN nation ON c_nationkey = n_nationkey),
+reg AS (
+  SELECT c_custkey AS URN, c_name AS SCHOOL_NAME, replace(n_name, '_', ' ') AS LA_NAME, {_POSTCODE_SQL} AS POSTCODE,
+         CAST(c_nationkey AS VARCHAR) || '-' || CAST(c_nationkey + 7 AS VARCHAR) AS AGE,
+         round_even(CAST(CAST(CAST(c_nationkey AS DOUBLE) / nullif(CAST(c_nationkey % 4 AS DOUBLE), 0) AS VARCHAR) AS DECIMAL(38,20)), 4) AS BoyGirl_R,
+         substr(lpad(CAST(c_custkey AS VARCHAR), 11, '0'), 1, 4) || ' ' || substr(lpad(CAST(c_custkey AS VARCHAR), 11, '0'), 5, 7) AS Tele,
+         replace(replace(replace({_SEG_OFSTED}, 'Not in special measures', '1'), 'Not applicable', '2'), 'In special measures', '3') AS ofsted
+  FROM cn),
+sch AS (
+  SELECT r.*, p.c_mktsegment AS "Primary", w.c_acctbal / 100 AS PupilTeach_R,
+         r.SCHOOL_NAME || ' ' || r.LA_NAME AS working
+  FROM reg r JOIN customer p ON p.c_custkey = r.URN AND p.c_acctbal > 0
+  JOIN customer w ON w.c_custkey = r.URN),
+hl AS (
+  SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN chr(9) || CAST(c_custkey AS VARCHAR) || ' ' ELSE 'u' || CAST(c_custkey AS VARCHAR) END AS urn_text,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN lower({_POSTCODE_SQL}) ELSE 'ZZ9 9ZZ' END AS pc,
+         c_name || ' ' || replace(CASE WHEN c_mktsegment = 'FURNITURE' THEN replace(n_name, '_', '-') ELSE 'elsewhere' END, '-', ' ') AS working
+  FROM cn),
+hk AS (SELECT regexp_replace(urn_text, '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g') AS k_urn,
+              upper(replace(pc, ' ', '')) AS k_pc, working AS k_work FROM hl)"""
+
+
+@register("l3_schools_update", sql=_L3_SQL + """
+SELECT URN, SCHOOL_NAME, LA_NAME, POSTCODE, AGE, CAST(BoyGirl_R AS DOUBLE) AS BoyGirl_R, Tele, ofsted,
+       "Primary", PupilTeach_R,
+       CASE WHEN CAST(URN AS VARCHAR) IN (SELECT k_urn FROM hk)
+              OR replace(POSTCODE, ' ', '') IN (SELECT k_pc FROM hk)
+              OR working IN (SELECT k_work FROM hk) THEN 1 ELSE 0 END AS healthyschools_2017
+FROM sch
+""")
+def l3_schools_update(spark, sf_dir):
+    """L3: schools refreshed from the register (renames, derived fields, merges with the
+    previous and workforce tables) and flagged when any of URN / postcode / name+area
+    occurs in the programme report."""
+    register_, previous, workforce, healthy = _school_inputs(spark, sf_dir)
+    schools, _report = P.schools_update(register_, previous, workforce, healthy,
+                                        {"name": "School_name", "borough": "Borough_name",
+                                         "postcode": "Postcode", "urn": "URN"})
+    return schools.select("URN", "SCHOOL_NAME", "LA_NAME", "POSTCODE", "AGE", "BoyGirl_R", "Tele", "ofsted",
+                          "Primary", "PupilTeach_R", "healthyschools_2017")
+
+
+@register("l3_report_found", sql=_L3_SQL + """
+SELECT k_urn AS URN, CASE WHEN k_urn IN (SELECT CAST(URN AS VARCHAR) FROM sch)
+              OR k_pc IN (SELECT replace(POSTCODE, ' ', '') FROM sch)
+              OR k_work IN (SELECT working FROM sch) THEN 1 ELSE 0 END AS found
+FROM hk
+""")
+def l3_report_found(spark, sf_dir):
+    """L3: the programme report flagged when any of its keys occurs among the schools."""
+    register_, previous, workforce, healthy = _school_inputs(spark, sf_dir)
+    _schools, report = P.schools_update(register_, previous, workforce, healthy,
+                                        {"name": "School_name", "borough": "Borough_name",
+                                         "postcode": "Postcode", "urn": "URN"})
+    from landframe.functions import trim_ws
+    return report.select(trim_ws("URN").alias("URN"), "found")
