@@ -303,3 +303,54 @@ def school_repeats(report: DataFrame, name_col: str, borough_col: str, order_by:
     from landframe.operators.window import find_repeats
     keyed = report.withColumn("uniqschool", paste(name_col, borough_col))
     return find_repeats(keyed, ["uniqschool"], order_by)
+
+
+# --------------------------------------------------------------------------- L10 / L11
+
+
+def planning_records(pages: DataFrame, record_col: str = "record_id", page_col: str = "page_id",
+                     html_col: str = "html", reference: str = "Reference") -> DataFrame:
+    """Planning records assembled from two-column detail tables.
+
+    Each record's details are spread over several pages (a main page and a "further
+    information" page share one ``record_col``).  Every table row ``(X1, X2)`` of those
+    pages is a key/value pair; a record's pairs are stacked, exact duplicates dropped,
+    the first value per key kept (page, then row order), keys widened to columns (null
+    where a record lacks one), and one record kept per ``reference`` value (lowest
+    record id).  Records without a reference are dropped.
+    """
+    from landframe.operators.reshape import widen
+    from landframe.operators.setops import distinct_rows
+    from landframe.operators.window import first_per_key
+    from landframe.sources.pages import extract_table
+
+    cells = extract_table(pages, page_col, html_col)
+    kv = (cells.groupBy(page_col, "tbl", "row")
+          .agg(F.max(F.when(F.col("col") == 0, F.col("text"))).alias("key"),
+               F.max(F.when(F.col("col") == 1, F.col("text"))).alias("value")))
+    kv = kv.join(pages.select(page_col, record_col), page_col)
+    kv = kv.filter(F.col("key").isNotNull() & (F.col("key") != ""))
+    kv = distinct_rows(kv.select(record_col, "key", "value", page_col, "tbl", "row"))
+    kv = first_per_key(kv, [record_col, "key"], [page_col, "tbl", "row"])
+    wide = widen(kv.select(record_col, "key", "value"), [record_col], "key", "value")
+    if reference not in wide.columns:
+        return wide.limit(0)
+    return first_per_key(wide.filter(F.col(reference).isNotNull()), [reference], [record_col])
+
+
+def map_layer_load(spark, paths, layers: dict, root: str | None = None,
+                   release: str | None = None) -> dict:
+    """Every named feature layer out of a folder of XML/GML tiles, with ``tile`` /
+    ``file`` provenance, the declared attributes selected; optionally written per layer
+    partitioned by release.  ``layers`` maps row tag -> schema (DDL or StructType).
+    Returns the layer DataFrames."""
+    from landframe.sources.files import read_features, write_release
+    out = {}
+    for tag, schema in layers.items():
+        df = read_features(spark, paths, tag, schema)
+        if release is not None:
+            df = df.withColumn("release", F.lit(release))
+        out[tag] = df
+        if root is not None and release is not None:
+            write_release(df, f"{root}/{tag}", "release")
+    return out

@@ -286,3 +286,36 @@ def test_national_grid_worked_example_and_round_trips(spark):
     assert abs(rt.x + 0.1276) < 1e-5 and abs(rt.y - 51.5072) < 1e-5
     same = G.reproject(df, "x", "y", "EPSG:27700", "EPSG:27700")
     assert same.collect()[0].x == lon and same.schema["x"].metadata == {"crs": "EPSG:27700"}
+
+
+def test_planning_records_from_two_pages(spark):
+    from landframe.plans.pipelines import planning_records
+
+    def page(pairs):
+        return "<table>" + "".join(f"<tr><td>{k}</td><td>{v}</td></tr>" for k, v in pairs) + "</table>"
+    pages = spark.createDataFrame([
+        (1, 10, page([("Reference", "17/0001"), ("Address", "1 High St")])),
+        (1, 11, page([("Reference", "17/0001"), ("Decision", "Granted"), ("Decision", "Granted")])),
+        (2, 20, page([("Reference", "17/0002"), ("Address", "2 Low Rd")])),
+        (2, 21, page([("Reference", "17/0002"), ("Decision", "Refused")])),
+        (3, 30, page([("Reference", "17/0001"), ("Address", "later copy")])),
+        (4, 40, page([("Address", "no reference")])),
+    ], "record_id long, page_id long, html string")
+    got = {r["Reference"]: (r["record_id"], r["Address"], r["Decision"]) for r in planning_records(pages).collect()}
+    assert got == {"17/0001": (1, "1 High St", "Granted"), "17/0002": (2, "2 Low Rd", "Refused")}
+
+
+def test_map_layer_load_with_provenance(spark):
+    import uuid
+    from landframe.plans.pipelines import map_layer_load
+    from landframe.session import checkpoint_dir
+    root = f"{checkpoint_dir(spark).rstrip('/')}/test-layers-{uuid.uuid4().hex}"
+    a = spark.createDataFrame([("osgb1", 10021, "Buildings")], "TOID string, FeatureCode int, Theme string")
+    a.write.format("xml").option("rowTag", "TopographicArea").option("rootTag", "tile").save(f"{root}/in/a")
+    a.write.format("xml").option("rowTag", "TopographicArea").option("rootTag", "tile").save(f"{root}/in/b")
+    layers = map_layer_load(spark, [f"{root}/in/a", f"{root}/in/b"],
+                            {"TopographicArea": "TOID string, FeatureCode int, Theme string"},
+                            root=f"{root}/out", release="201704")
+    df = layers["TopographicArea"]
+    assert df.count() == 2 and df.select("file").distinct().count() == 2
+    assert spark.read.parquet(f"{root}/out/TopographicArea").count() == 2
