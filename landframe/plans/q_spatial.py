@@ -103,7 +103,7 @@ def g3_tag_first(spark, sf_dir):
 
 @register("g7_bbox", sql="""
 SELECT p_partkey,
-       CAST(p_size AS DOUBLE) AS minx, 0.0 AS miny,
+       CAST(p_size AS DOUBLE) AS minx, CAST(0.0 AS DOUBLE) AS miny,
        CAST(p_size + 5 AS DOUBLE) AS maxx, p_retailprice AS maxy
 FROM part
 """)

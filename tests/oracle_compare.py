@@ -60,6 +60,26 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                  "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_type_name(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    if t.startswith("array<"):
+        return spark_type_name(t[6:-1]) + "[]"
+    return _SPARK_TO_DUCK.get(t, t.upper())
+
+
+def type_mismatches(sdf, rel) -> list:
+    s_types = {f.name: spark_type_name(f.dataType.simpleString()) for f in sdf.schema.fields}
+    o_types = {n: str(t).upper().replace(" ", "") if str(t).upper().startswith("DECIMAL") else str(t).upper()
+               for n, t in zip(rel.columns, rel.types)}
+    return [(n, s_types[n], o_types.get(n)) for n in sorted(s_types) if s_types[n] != o_types.get(n)]
+
+
 def compare_one(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -70,13 +90,14 @@ def compare_one(spark, con, name, fn, sql, sf_dir):
     if sql is None:
         res["status"] = "no-oracle"
         return res
-    cur = con.execute(sql)
-    o_names = [d[0] for d in cur.description]
-    o_rows = cur.fetchall()
+    rel = con.sql(sql)
+    o_names = list(rel.columns)
+    o_rows = rel.fetchall()
     res["oracle_rows"] = len(o_rows)
     if sorted(s_names) != sorted(o_names):
         res["status"] = f"COLUMNS spark={sorted(s_names)} oracle={sorted(o_names)}"
         return res
+    res["type_diffs"] = type_mismatches(sdf, rel)
     exact = _rows(s_names, s_rows, False) == _rows(o_names, o_rows, False)
     approx = exact or _rows(s_names, s_rows, True) == _rows(o_names, o_rows, True)
     res["status"] = "exact" if exact else ("approx" if approx else "MISMATCH")

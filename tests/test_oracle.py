@@ -21,6 +21,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     res = compare_one(spark, con, name, QUERIES[name], ORACLE.get(name), SF001)
     assert res["status"] in ("exact", "no-oracle"), res
+    assert not res.get("type_diffs"), res
 
 
 def test_every_query_has_an_oracle():
