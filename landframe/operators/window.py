@@ -96,9 +96,10 @@ def add_row_id(df: DataFrame, order_by: Sequence[str], out: str = "row_id", pref
     a recomputation could move rows); count rows per partition (one row each); running
     offsets over those counts; broadcast the offsets (size = number of partitions).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    # without an explicit count AQE sizes the range partitions from the data (coalescing
+    # keeps neighbouring ranges together, so partition ids stay in order)
+    ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
+    ranged = (ranged.sortWithinPartitions(*order_by)
               .withColumn("__pid", F.spark_partition_id())
               .withColumn("__local", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("long"), 33)))

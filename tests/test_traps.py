@@ -177,6 +177,13 @@ def test_row_id_matches_global_row_number(spark):
     assert [r.row_id for r in got_sorted] == list(range(1, 5001))
 
 
+def test_row_id_with_adaptive_partition_count(spark):
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("k"), F.col("id"))
+    got = W.add_row_id(df, ["k"]).orderBy("row_id").collect()
+    assert [r.k for r in got] == list(range(20000))
+    assert [r.row_id for r in got] == list(range(1, 20001))
+
+
 def test_batches_are_full_but_last(spark):
     df = spark.range(0, 2345).select(F.col("id"))
     sizes = dict(rows(W.add_batch(df, 1000, ["id"]).groupBy("group").count()))
