@@ -18,7 +18,7 @@ HEADLINE = [
     "l4_period_change", "l1_address_clipped", "l5_flats_by_area", "l8_postcodes_in_subareas",
     "w1_add_count", "a4_multi_occupancy", "j9_flag_any", "j11_lookup_first", "r2_widen",
     "r5_tag_matrix", "w3_row_id", "w5_first_per_key", "g3_tag", "h1_links", "h4_split_names",
-    "h7_kv_records", "l7_durations", "l2_building_heights",
+    "h7_kv_records", "l7_durations", "l2_building_heights", "l3_schools_update", "g4_reproject",
 ]
 
 

@@ -128,3 +128,20 @@ def q2_q3_gate(spark, sf_dir):
     """Q2/Q3: minimum-rows gate and the status record for a loaded table."""
     path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     return Q.row_gate(table(spark, sf_dir, "lineitem"), "lineitem", 1000, Q.table_present(spark, path))
+
+
+@register("s9_append_period", sql="""
+SELECT n.n_name AS NAME, CAST(n.n_regionkey AS VARCHAR) AS MAR, CAST(c.c_custkey AS VARCHAR) AS APR
+FROM nation n JOIN customer c ON c.c_nationkey = n.n_nationkey
+""")
+def s9_append_period(spark, sf_dir):
+    """This period's value added to a running history as a column named after
+    the period (update merged on the name, unwanted update columns dropped)."""
+    n = table(spark, sf_dir, "nation")
+    history = n.select(F.col("n_name").alias("NAME"), F.col("n_regionkey").cast("string").alias("MAR"))
+    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    update = c.select(F.col("n_name").alias("BOROUGH"), F.col("c_custkey").cast("string").alias("REGISTERED"),
+                      F.col("c_mktsegment").alias("BRONZE"), F.col("c_acctbal").alias("GOLD"))
+    from landframe.operators.columns import period_name
+    return S.append_period_column(history, update, "NAME", "BOROUGH", "REGISTERED",
+                                  period_name(_dt.date(2017, 4, 3)), drop=["BRONZE", "GOLD"])
