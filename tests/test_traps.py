@@ -326,3 +326,30 @@ def test_map_layer_load_with_provenance(spark):
     df = layers["TopographicArea"]
     assert df.count() == 2 and df.select("file").distinct().count() == 2
     assert spark.read.parquet(f"{root}/out/TopographicArea").count() == 2
+
+
+def test_publish_fans_out_and_gates(spark):
+    import uuid
+    from landframe.plans.pipelines import address_release, publish_address_release
+    from landframe.session import checkpoint_dir
+    raw = spark.createDataFrame(
+        [(str(i), "" if i % 5 == 0 else str(i // 3), str(float(i % 40)), str(float(i % 30)) if i % 97 else "n/a")
+         for i in range(1, 3001)], "UPRN string, PARENT_UPRN string, X_COORDINATE string, Y_COORDINATE string")
+    layer = G.polygon_layer(spark, [(1, "b", [[(0, 0), (20, 0), (20, 20), (0, 20)]])], "name string")
+    all_rows, clipped, rejected = address_release(raw, layer, "201704", [F.col("OBJECTID").cast("long")], batch_size=1000)
+    assert rejected.count() == len([i for i in range(1, 3001) if i % 97 == 0])
+    kept = [i for i in range(1, 3001) if i % 97]
+    assert all_rows.filter("parent_uprn = '000000000000'").count() == len([i for i in kept if i % 5 == 0 or i // 3 == 0])
+    # batches are numbered before rejects are set aside: 1000-row batches of the whole load
+    per_batch = sorted(sum(1 for i in kept if (i - 1) // 1000 == b) for b in range(3))
+    assert sorted(r[0] for r in all_rows.groupBy("group").count().select("count").collect()) == per_batch
+    root = f"{checkpoint_dir(spark).rstrip('/')}/test-publish-{uuid.uuid4().hex}"
+    status = publish_address_release(all_rows, clipped, root).collect()[0]
+    assert status.status == "SUCCESSFUL" and status.n_rows == clipped.count()
+    assert spark.read.parquet(f"{root}/all").count() == all_rows.count()
+
+
+def test_profile_is_bounded(spark):
+    df = spark.range(100).withColumn("t", F.lit("x"))
+    p = FL.profile(df, 3)
+    assert len(p["head"]) == 3 and p["rows"] == 100 and p["dtypes"] == [("id", "bigint"), ("t", "string")]
