@@ -20,14 +20,18 @@ from pyspark.sql import functions as F
 from landframe.session import materialize
 
 
-def _null_safe_join(df: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    r = right.select(*[F.col(k).alias(f"__g_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        t = F.col(k).eqNullSafe(F.col(f"__g_{k}"))
-        cond = t if cond is None else cond & t
-    return df.join(r, cond, how).drop(*[f"__g_{k}" for k in keys])
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``__gk = struct(keys)``: one grouping/join key in which null fields compare
+    equal, so null keys form one group (as R does) without rewriting the join keys."""
+    return df.withColumn("__gk", F.struct(*[F.col(f"`{k}`") for k in keys]))
+
+
+def _join_back(keyed: DataFrame, per_key: DataFrame) -> DataFrame:
+    """Join per-key results back onto the rows.  Both sides are keyed by the same
+    ``__gk``, so the aggregate's own hash partitioning is reused by the join (one
+    shuffle of the rows, one of the pre-reduced aggregate) and AQE can split a hot key."""
+    out = keyed.join(per_key, "__gk").drop("__gk")
+    return out
 
 
 def add_count(df: DataFrame, keys: Sequence[str], out: str = "n", method: str = "join") -> DataFrame:
@@ -40,15 +44,16 @@ def add_count(df: DataFrame, keys: Sequence[str], out: str = "n", method: str =
     keys = list(keys)
     if method == "window":
         return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return _null_safe_join(df, counts, keys)
+    keyed = _keyed(df, keys)
+    counts = keyed.groupBy("__gk").agg(F.count(F.lit(1)).alias(out))
+    return _join_back(keyed, counts)
 
 
 def add_sum(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
     """Group sum of ``col`` on every row (aggregate + join-back)."""
-    keys = list(keys)
-    sums = df.groupBy(*keys).agg(F.sum(col).alias(out))
-    return _null_safe_join(df, sums, keys)
+    keyed = _keyed(df, list(keys))
+    sums = keyed.groupBy("__gk").agg(F.sum(col).alias(out))
+    return _join_back(keyed, sums)
 
 
 def _order_struct(order_by: Sequence) -> Column:
@@ -80,9 +85,9 @@ def find_repeats(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     ``order_by`` must make rows unique inside a key (e.g. end with a row id); the first
     row's order tuple is found by a partial aggregate and joined back.
     """
-    keys = list(keys)
-    firsts = df.groupBy(*keys).agg(F.min(_order_struct(order_by)).alias("__first"))
-    joined = _null_safe_join(df, firsts, keys)
+    keyed = _keyed(df, list(keys))
+    firsts = keyed.groupBy("__gk").agg(F.min(_order_struct(order_by)).alias("__first"))
+    joined = _join_back(keyed, firsts)
     return joined.filter(_order_struct(order_by) > F.col("__first")).drop("__first")
 
 
