@@ -4,8 +4,10 @@ Conventions
 -----------
 * ``null_keys="match"`` (default) reproduces R's ``merge`` / ``%in%``: a missing key
   matches a missing key.  It is planned as an ordinary equi-join (Spark rewrites
-  ``<=>`` keys to ``coalesce`` + ``isnull`` pairs), so sort-merge / hash strategies and
-  AQE skew splitting still apply.  ``null_keys="drop"`` gives SQL semantics.
+  ``<=>`` keys to ``coalesce`` + ``isnull`` pairs; where a per-key aggregate feeds the
+  join, both sides use one struct key whose null fields compare equal, so the
+  aggregate's partitioning is reused), so sort-merge / hash strategies and AQE skew
+  splitting still apply.  ``null_keys="drop"`` gives SQL semantics.
 * No operator forces a broadcast: the small side of a lookup usually *is* small, and
   AQE turns the shuffle join into a broadcast at run time from measured sizes.  A hot
   key on the large side is split by AQE's skew-join handling.
@@ -114,6 +116,18 @@ def _key_exprs(keys) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def _struct_key(exprs: Sequence[Column]) -> Column:
+    return F.struct(*[e.alias(f"_{j}") for j, e in enumerate(exprs)])
+
+
+def _key_type(df: DataFrame, col: str):
+    """The struct key type of ``df[col]`` with every field nullable: the cast target for
+    the other side's key (field types aligned, nullability never narrowed)."""
+    from pyspark.sql import types as T
+    st = df.schema[col].dataType
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in st.fields])
+
+
 def flag_any_match(a: DataFrame, b: DataFrame, key_pairs: Sequence[KeyPair], out: str,
                    null_keys: str = "match", ignore_blank: bool = False) -> DataFrame:
     """``out`` = 1 when *any* of the K keys of a row occurs in ``b``, else 0.
@@ -121,29 +135,26 @@ def flag_any_match(a: DataFrame, b: DataFrame, key_pairs: Sequence[KeyPair], out
     Each key pair is ``(left key exprs, right key exprs)``: a name, a Column or a list of
     them (composite key).  Each key is checked by its own equi left-join against the
     *distinct* right keys, so the plan has K hash/sort-merge joins and never the
-    nested-loop join an OR-ed join condition would need.  ``ignore_blank`` stops empty
-    text keys from matching each other (the job let them match).
+    nested-loop join an OR-ed join condition would need.  Keys are compared as one
+    struct per side (null fields equal, as R's ``%in%``), so the distinct step's hash
+    partitioning is reused by the join.  ``null_keys="drop"`` lets no key with a null
+    part match; ``ignore_blank`` stops empty text keys from matching each other (the job
+    let them match).
     """
     cur = a
     markers = []
     for i, (lk, rk) in enumerate(key_pairs):
         lx, rx = _key_exprs(lk), _key_exprs(rk)
-        lnames = [f"__k{i}_{j}" for j in range(len(lx))]
-        rnames = [f"__m{i}_{j}" for j in range(len(rx))]
-        cur = cur.select("*", *[e.alias(n) for e, n in zip(lx, lnames)])
-        right = b.select(*[e.alias(n) for e, n in zip(rx, rnames)])
+        lname, marker = f"__k{i}", f"__hit{i}"
+        cur = cur.withColumn(lname, _struct_key(lx))
+        right = b
         if null_keys != "match":
-            right = right.dropna(subset=rnames)
+            right = right.filter(F.greatest(*[F.lit(False)] + [e.isNull() for e in rx]) == F.lit(False))
         if ignore_blank:
-            for n in rnames:
-                right = right.filter(F.col(n).isNull() | (F.col(n).cast("string") != ""))
-        marker = f"__hit{i}"
-        right = right.distinct().withColumn(marker, F.lit(1))
-        cond = None
-        for ln, rn in zip(lnames, rnames):
-            t = F.col(ln).eqNullSafe(F.col(rn)) if null_keys == "match" else (F.col(ln) == F.col(rn))
-            cond = t if cond is None else cond & t
-        cur = cur.join(right, cond, "left").drop(*lnames, *rnames)
+            for e in rx:
+                right = right.filter(e.isNull() | (e.cast("string") != ""))
+        right = right.select(_struct_key(rx).cast(_key_type(cur, lname)).alias(lname)).distinct()
+        cur = cur.join(right.withColumn(marker, F.lit(1)), lname, "left").drop(lname)
         markers.append(marker)
     hit = F.coalesce(*[F.col(m) for m in markers])
     return cur.withColumn(out, F.when(hit.isNotNull(), F.lit(1)).otherwise(F.lit(0))).drop(*markers)
@@ -176,14 +187,22 @@ def lookup_first(a: DataFrame, b: DataFrame, left_on, right_on, order_by: Sequen
     ``order_by`` and the number of matching records; unmatched inputs dropped.
 
     Clashing attribute names keep the input's value (the right value is not copied).
+    The per-key table is grouped and joined on one struct key, so its aggregation
+    partitioning is reused by the join.
     """
     pairs = _pairs(left_on, right_on)
-    rkeys = [rk for _, rk in pairs]
-    first = first_match_table(b, rkeys, order_by, count_col)
-    keep = [c for c in first.columns if c in rkeys or c not in a.columns]
-    first = first.select(*keep)
-    joined = a.alias(_L).join(first.alias(_R), _cond(pairs, null_keys), "inner")
-    return joined.select(f"{_L}.*", *[F.col(f"{_R}.`{c}`") for c in keep if c not in rkeys])
+    lkeys, rkeys = [lk for lk, _ in pairs], [rk for _, rk in pairs]
+    left = a.withColumn("__fk", _struct_key([F.col(f"`{k}`") for k in lkeys]))
+    right = b
+    if null_keys != "match":
+        left = left.dropna(subset=lkeys)
+        right = right.dropna(subset=rkeys)
+    right = right.withColumn("__fk", _struct_key([F.col(f"`{k}`") for k in rkeys])
+                             .cast(_key_type(left, "__fk"))).drop(*rkeys)
+    first = first_match_table(right, ["__fk"], order_by, count_col)
+    keep = [c for c in first.columns if c != "__fk" and c not in a.columns]
+    joined = left.join(first.select("__fk", *keep), "__fk", "inner")
+    return joined.select(*[F.col(f"`{c}`") for c in a.columns], *[F.col(f"`{c}`") for c in keep])
 
 
 def merge_duplicating(a: DataFrame, b: DataFrame, left_on, right_on=None,
