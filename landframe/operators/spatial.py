@@ -5,24 +5,30 @@ ordinal (``poly_id``), attribute columns and ``rings: array<array<struct<x,y>>>`
 (every ring closed: first vertex repeated last; holes are further rings, judged by
 the even-odd rule).
 
-Point-in-polygon joins (G2/G3) are a grid-cell equi-join, not a cross join:
-
-1. every polygon is listed under each grid cell its bounding box touches;
-2. per cell, the candidate polygons are gathered into one array (sorted by ordinal),
-   so the polygon side has exactly one row per cell;
-3. every point computes its cell and is joined to that cell's row - a left equi-join
-   whose right side is unique per key, so each point yields exactly one row and is
-   never multiplied;
+Point-in-polygon joins (G2/G3) are a multi-level grid equi-join, not a cross join:
+
+1. every polygon is put on the grid level whose cell edge (median polygon extent
+   times a power of two) is at least its own extent, and listed under the (at most
+   4) cells of that level its bounding box touches;
+2. per (level, cell), the candidate polygons are gathered into one array (sorted by
+   ordinal), so the polygon side has exactly one row per cell;
+3. every point computes its cell on each level in use and is joined to those cells'
+   rows - left equi-joins whose right side is unique per key, so each point yields
+   exactly one row and is never multiplied;
 4. the exact test (boundary counts as inside, then ray-crossing parity) runs as
-   native higher-order expressions over the candidate array.
+   native higher-order expressions over the candidate arrays, with edges derived once
+   per polygon.
 
-The polygon-cell table is broadcast only when its size is proven to be at most
-``broadcast_max_cells`` (a bound from the polygon count, else an exact count); above
-that it is a shuffle join where AQE splits a cell holding a large share of the points.
+The cell table is broadcast only when its size is proven to be within
+``broadcast_max_bytes`` (a bound from the layer's vertex and polygon counts); above
+that the joins are shuffle joins where AQE splits a cell holding a large share of the
+points.
 """
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -119,46 +125,66 @@ def point_in_rings(px, py, rings) -> Column:
     return point_in_edges(px, py, ring_edges(rings))
 
 
-MAX_CELLS_PER_SIDE = 65
-
-
-def layer_stats(polygons: DataFrame, rings: str = "rings") -> tuple[int, float, float]:
-    """``(polygons, mean extent, max extent)`` of a layer: one small aggregate job."""
-    b = polygons.select(ring_bbox(rings).alias("b")).select(
-        F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")).alias("ext"))
-    row = b.agg(F.count(F.lit(1)).alias("n"), F.avg("ext").alias("avg"), F.max("ext").alias("mx")).first()
-    return int(row["n"]), float(row["avg"] or 0.0), float(row["mx"] or 0.0)
+def layer_stats(polygons: DataFrame, rings: str = "rings") -> dict:
+    """Polygon count, median / smallest positive / largest extent and vertex count of a
+    layer: one small aggregate job."""
+    b = polygons.select(ring_bbox(rings).alias("b"), F.size(F.flatten(F.col(rings))).alias("nv")).select(
+        F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")).alias("ext"), "nv")
+    pos = F.when(F.col("ext") > 0, F.col("ext"))
+    row = b.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(pos, F.lit(0.5)).alias("med"),
+                F.min(pos).alias("lo"), F.max("ext").alias("hi"), F.sum("nv").alias("nv")).first()
+    return {"n": int(row["n"]), "med": float(row["med"] or 0.0), "lo": float(row["lo"] or 0.0),
+            "hi": float(row["hi"] or 0.0), "nv": int(row["nv"] or 0)}
 
 
-def cell_size_for(avg_ext: float, max_ext: float) -> float:
-    """Grid cell edge: the mean polygon extent, but no less than 1/64 of the largest one,
-    so no polygon spans more than 65 x 65 cells."""
-    size = max(avg_ext, max_ext / (MAX_CELLS_PER_SIDE - 1))
-    return size if size > 0 else 1.0
+def _level(ext: Column, base: float) -> Column:
+    """Grid level of a polygon: the smallest L >= 0 with ``base * 2**L >= extent``, so the
+    polygon's bounding box touches at most 2 x 2 cells of its level.  The logarithm only
+    gives a first guess; exact power-of-two comparisons settle it."""
+    guess = F.ceil(F.log2(ext / F.lit(base))).cast("int")
+    size = lambda k: F.lit(base) * F.pow(F.lit(2.0), k)  # noqa: E731  (exact for powers of two)
+    lvl = (F.when(size(guess - 1) >= ext, guess - 1).when(size(guess) < ext, guess + 1).otherwise(guess))
+    return F.when(ext > 0, F.greatest(lvl, F.lit(0))).otherwise(F.lit(0)).cast("int")
 
 
-def default_cell_size(polygons: DataFrame, rings: str = "rings") -> float:
-    _n, avg, mx = layer_stats(polygons, rings)
-    return cell_size_for(avg, mx)
+def _py_level(ext: float, base: float) -> int:
+    """``_level`` for one extent on the driver (same exact comparisons)."""
+    if ext <= 0:
+        return 0
+    guess = math.ceil(math.log2(ext / base))
+    if base * 2.0 ** (guess - 1) >= ext:
+        guess -= 1
+    elif base * 2.0 ** guess < ext:
+        guess += 1
+    return max(guess, 0)
 
 
-def _cell(v: Column, size: float) -> Column:
-    return F.floor(v / F.lit(size)).cast("long")
+def _cell(v: Column, size) -> Column:
+    return F.floor(v / (size if isinstance(size, Column) else F.lit(size))).cast("long")
 
 
-def polygon_cells(polygons: DataFrame, attrs: Sequence[str], cell_size: float,
+def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
                   order: str = "poly_id", rings: str = "rings") -> DataFrame:
-    """One row per grid cell: ``(cx, cy, cands)`` with ``cands`` = array of
-    ``struct(ord, attrs..., edges, bbox)`` for every polygon whose bbox touches the cell,
-    sorted by ordinal (edges are derived once per polygon, not per point)."""
-    bb = polygons.withColumn("__bb", ring_bbox(rings))
-    cells = (bb.withColumn("cx", F.explode(F.sequence(_cell(F.col("__bb.minx"), cell_size),
-                                                      _cell(F.col("__bb.maxx"), cell_size))))
-             .withColumn("cy", F.explode(F.sequence(_cell(F.col("__bb.miny"), cell_size),
-                                                    _cell(F.col("__bb.maxy"), cell_size)))))
-    cand = F.struct(F.col(order).alias("ord"), *[F.col(a) for a in attrs],
-                    ring_edges(rings).alias("edges"), F.col("__bb").alias("bb"))
-    return cells.groupBy("cx", "cy").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
+    """One row per (level, cell): ``(lvl, cx, cy, cands)`` with ``cands`` = array of
+    ``struct(ord, attrs..., edges, bbox)`` for every polygon of that level whose bbox
+    touches the cell, sorted by ordinal (edges derived once per polygon, not per point).
+
+    Multi-level grid: each polygon sits on the level whose cell edge ``base * 2**L`` is
+    at least its extent, so it is listed in at most 4 cells and a cell holds polygons of
+    one size class only - a few huge polygons neither blow up the cell count nor force
+    a coarse grid onto many small ones."""
+    bb = polygons.select(F.col(order).alias("ord"), *[F.col(a) for a in attrs],
+                         ring_edges(rings).alias("edges"), ring_bbox(rings).alias("bb"))
+    ext = F.greatest(F.col("bb.maxx") - F.col("bb.minx"), F.col("bb.maxy") - F.col("bb.miny"))
+    lvl = _level(ext, base)
+    size = F.lit(base) * F.pow(F.lit(2.0), lvl)
+    cand = F.struct(F.col("ord"), *[F.col(a) for a in attrs], F.col("edges"), F.col("bb"))
+    cells = bb.select(lvl.alias("lvl"), cand.alias("cand"),
+                      F.sequence(_cell(F.col("bb.minx"), size), _cell(F.col("bb.maxx"), size)).alias("xs"),
+                      F.sequence(_cell(F.col("bb.miny"), size), _cell(F.col("bb.maxy"), size)).alias("ys"))
+    cells = cells.select("lvl", "cand", "ys", F.explode("xs").alias("cx")).select(
+        "lvl", "cand", "cx", F.explode("ys").alias("cy"))
+    return cells.groupBy("lvl", "cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
 
 
 def _inside(px: Column, py: Column):
@@ -169,45 +195,69 @@ def _inside(px: Column, py: Column):
     return test
 
 
-def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_cells: int) -> tuple[float, bool]:
-    """Cell size and whether the cell table may be broadcast.
+# a layer whose largest polygon is within this factor of the median uses a single level
+SINGLE_LEVEL_SPREAD = 4.0
+# bytes per vertex of an edge struct and per candidate, for the broadcast bound
+_EDGE_BYTES, _CAND_BYTES = 48, 96
 
-    The broadcast decision rests on a proven bound: with the default cell size no
-    polygon covers more than 65 x 65 cells, so ``polygons x 4225`` bounds the cell table.
-    Only when that bound is too large (or the cell size is user-given) is the exact
-    number of cells counted.
-    """
-    n, avg, mx = layer_stats(polygons)
-    if cell_size is None:
-        cell_size = cell_size_for(avg, mx)
-        if n * MAX_CELLS_PER_SIDE ** 2 <= broadcast_max_cells:
-            return cell_size, True
-    return cell_size, None
 
+def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int):
+    """Base cell size, the grid levels in use and whether the cell table may be broadcast.
 
-def _join_cells(points: DataFrame, cells: DataFrame, x: str, y: str, cell_size: float,
-                how: str, broadcast: bool | None, broadcast_max_cells: int) -> DataFrame:
-    pts = points.withColumn("__cx", _cell(F.col(x), cell_size)).withColumn("__cy", _cell(F.col(y), cell_size))
-    if broadcast is None:
-        broadcast = cells.count() <= broadcast_max_cells
-    right = F.broadcast(cells) if broadcast else cells
-    cond = (F.col("__cx") == F.col("cx")) & (F.col("__cy") == F.col("cy"))
-    return pts.join(right, cond, how).drop("__cx", "__cy", "cx", "cy")
+    Levels grow with extent, so every level in use lies between the levels of the
+    smallest and the largest polygon (no second pass over the layer).  The broadcast
+    decision rests on a proven bound: every polygon is listed in at most 4 cells of its
+    level, so the cell table holds at most ``4 x (vertices x edge bytes + polygons x
+    candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
+    where AQE splits a cell holding a large share of the points.
+    """
+    st = layer_stats(polygons)
+    if cell_size:
+        base = cell_size
+    elif st["med"] <= 0:
+        base = st["hi"] if st["hi"] > 0 else 1.0
+    elif st["hi"] <= SINGLE_LEVEL_SPREAD * st["med"]:
+        base = st["hi"]          # homogeneous layer: one level, cells no larger than 4 medians
+    else:
+        base = st["med"]         # mixed sizes: levels above the median size class
+    levels = list(range(_py_level(st["lo"], base), _py_level(st["hi"], base) + 1))
+    bound = 4 * (st["nv"] * _EDGE_BYTES + st["n"] * _CAND_BYTES)
+    return base, levels, bound <= broadcast_max_bytes
+
+
+def _with_candidates(points: DataFrame, cells: DataFrame, x: str, y: str, base: float,
+                     levels: Sequence[int], broadcast: bool, how: str = "left") -> DataFrame:
+    """Each point with ``__cands``: the candidate polygons of its cell on every level in
+    use (one equi-join per level; each cell table has one row per cell, so a point is
+    never multiplied)."""
+    ctype = cells.schema["cands"].dataType
+    cur = points.select("*", F.lit(None).cast(ctype).alias("__cands"))
+    keep = [F.col(f"`{c}`") for c in points.columns]
+    for lvl in levels:
+        size = base * (2.0 ** lvl)
+        right = cells.filter(F.col("lvl") == lvl).select(
+            F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("cands").alias("__lc"))
+        right = F.broadcast(right) if broadcast else right
+        keyed = cur.select(*keep, "__cands", _cell(F.col(x), size).alias("__cx"), _cell(F.col(y), size).alias("__cy"))
+        merged = (F.when(F.col("__lc").isNull(), F.col("__cands")).when(F.col("__cands").isNull(), F.col("__lc"))
+                  .otherwise(F.concat(F.col("__cands"), F.col("__lc"))))
+        cur = keyed.join(right, ["__cx", "__cy"], "left").select(*keep, merged.alias("__cands"))
+    return cur
 
 
 def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, attrs: Sequence[str],
                      pick: str = "last", cell_size: float | None = None,
-                     broadcast_max_cells: int = 200_000, order: str = "poly_id") -> DataFrame:
+                     broadcast_max_bytes: int = 64 << 20, order: str = "poly_id") -> DataFrame:
     """Every point with the attributes of the polygon containing it (null outside).
 
     Where polygons overlap, ``pick="last"`` takes the highest ordinal (as sp's ``over``
     reports the last match), ``pick="first"`` the lowest.  Exactly one output row per
     input point.
     """
-    cs, bc = _plan_grid(polygons, cell_size, broadcast_max_cells)
-    cells = polygon_cells(polygons, attrs, cs, order)
-    j = _join_cells(points, cells, x, y, cs, "left", bc, broadcast_max_cells)
-    hits = F.filter(F.col("cands"), _inside(F.col(x), F.col(y)))
+    base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
+    cells = polygon_cells(polygons, attrs, base, order)
+    j = _with_candidates(points, cells, x, y, base, levels, bc)
+    hits = F.array_sort(F.filter(F.col("__cands"), _inside(F.col(x), F.col(y))))
     chosen = F.get(hits, F.size(hits) - 1) if pick == "last" else F.get(hits, 0)
     j = j.withColumn("__hit", chosen)
     out = [F.col(f"`{c}`") for c in points.columns] + [F.col("__hit.ord").alias(order)]
@@ -216,12 +266,12 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
 
 
 def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: float | None = None,
-         broadcast_max_cells: int = 200_000) -> DataFrame:
+         broadcast_max_bytes: int = 64 << 20) -> DataFrame:
     """The points inside (or on the boundary of) any polygon; point columns only."""
-    cs, bc = _plan_grid(polygons, cell_size, broadcast_max_cells)
-    cells = polygon_cells(polygons, [], cs)
-    j = _join_cells(points, cells, x, y, cs, "inner", bc, broadcast_max_cells)
-    return j.filter(F.exists(F.col("cands"), _inside(F.col(x), F.col(y)))).select(
+    base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
+    cells = polygon_cells(polygons, [], base)
+    j = _with_candidates(points, cells, x, y, base, levels, bc)
+    return j.filter(F.exists(F.col("__cands"), _inside(F.col(x), F.col(y)))).select(
         *[F.col(f"`{c}`") for c in points.columns])
 
 

@@ -353,3 +353,22 @@ def test_profile_is_bounded(spark):
     df = spark.range(100).withColumn("t", F.lit("x"))
     p = FL.profile(df, 3)
     assert len(p["head"]) == 3 and p["rows"] == 100 and p["dtypes"] == [("id", "bigint"), ("t", "string")]
+
+
+def test_mixed_polygon_sizes_use_levels(spark):
+    big = [(0, 0), (10000, 0), (10000, 10000), (0, 10000)]
+    rows = [(1, "big", [big])] + [(2 + i, f"s{i}", [[(i * 3, 5), (i * 3 + 1, 5), (i * 3 + 1, 6), (i * 3, 6)]])
+                                  for i in range(30)]
+    layer = G.polygon_layer(spark, rows, "name string")
+    base, levels, bc = G._plan_grid(layer, None, 64 << 20)
+    assert base == 1.0 and len(levels) > 1 and bc
+    cells = G.polygon_cells(layer, [], base)
+    assert cells.select(F.max(F.size("cands"))).first()[0] <= 4      # no cell gathers the small polygons
+    assert cells.count() <= 4 * 31
+    pts = spark.createDataFrame([(1, 3.5, 5.5), (2, 500.0, 500.0), (3, 20000.0, 1.0)], "id int, x double, y double")
+    got = dict(rows_of(G.tag_with_polygon(pts, layer, "x", "y", ["name"])))
+    assert got == {1: "s1", 2: "big", 3: None}
+
+
+def rows_of(df):
+    return [(r["id"], r["name"]) for r in df.collect()]
