@@ -1,5 +1,5 @@
 """G4 maths: British National Grid transverse Mercator and the WGS84 <-> OSGB36 datum
-shift, as native column expressions (published Ordnance Survey formulas).
+shift, as native column expressions (the published National Grid formulas).
 
 Iterations (meridional-arc inversion, geodetic latitude from cartesian coordinates)
 run inside ``aggregate`` over a fixed ``sequence``, so the accumulator is one lambda

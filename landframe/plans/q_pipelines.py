@@ -138,7 +138,7 @@ def l5_flats_by_area(spark, sf_dir):
 
 
 # The sub-area names looked up by polygon ordinal (polygon 4 has none).
-SUB_AREAS = [(1, "North Acton"), (2, "Park Royal"), (3, "Old Oak"), (5, "Willesden Junction")]
+SUB_AREAS = [(1, "Sub-area A"), (2, "Sub-area B"), (3, "Sub-area C"), (5, "Sub-area E")]
 
 
 @register("l8_postcodes_in_subareas", sql=f"""
