@@ -250,8 +250,8 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
                      broadcast_max_bytes: int = 64 << 20, order: str = "poly_id") -> DataFrame:
     """Every point with the attributes of the polygon containing it (null outside).
 
-    Where polygons overlap, ``pick="last"`` takes the highest ordinal (as sp's ``over``
-    reports the last match), ``pick="first"`` the lowest.  Exactly one output row per
+    Where polygons overlap, ``pick="last"`` takes the highest ordinal (the overlay the
+    jobs used reports the last match), ``pick="first"`` the lowest.  Exactly one output row per
     input point.
     """
     base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
