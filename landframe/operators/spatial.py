@@ -207,8 +207,8 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
     Levels grow with extent, so every level in use lies between the levels of the
     smallest and the largest polygon (no second pass over the layer).  The broadcast
     decision rests on a proven bound: every polygon is listed in at most 4 cells of its
-    level, so the cell table holds at most ``4 x (vertices x edge bytes + polygons x
-    candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
+    level (9 when division rounding lands a bound exactly on a cell edge), so the cell
+    table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
     where AQE splits a cell holding a large share of the points.
     """
     st = layer_stats(polygons)
@@ -221,12 +221,12 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
     else:
         base = st["med"]         # mixed sizes: levels above the median size class
     levels = list(range(_py_level(st["lo"], base), _py_level(st["hi"], base) + 1))
-    bound = 4 * (st["nv"] * _EDGE_BYTES + st["n"] * _CAND_BYTES)
+    bound = 9 * (st["nv"] * _EDGE_BYTES + st["n"] * _CAND_BYTES)
     return base, levels, bound <= broadcast_max_bytes
 
 
 def _with_candidates(points: DataFrame, cells: DataFrame, x: str, y: str, base: float,
-                     levels: Sequence[int], broadcast: bool, how: str = "left") -> DataFrame:
+                     levels: Sequence[int], broadcast: bool) -> DataFrame:
     """Each point with ``__cands``: the candidate polygons of its cell on every level in
     use (one equi-join per level; each cell table has one row per cell, so a point is
     never multiplied)."""
