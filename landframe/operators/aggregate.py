@@ -65,8 +65,9 @@ def multi_occupancy(df: DataFrame, x: str, y: str, area: str, order_by: Sequence
 
 
 def control_values(df: DataFrame, max_col: str | None = None) -> DataFrame:
-    """A5: one row with the row count (and the maximum of ``max_col``)."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    """A5: one row with the row count, whether any row exists (and the maximum of
+    ``max_col``)."""
+    aggs = [F.count(F.lit(1)).alias("n_rows"), (F.count(F.lit(1)) > 0).alias("has_rows")]
     if max_col:
         aggs.append(F.max(max_col).alias(f"max_{max_col}"))
     return df.agg(*aggs)

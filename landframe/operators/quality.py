@@ -26,6 +26,20 @@ def row_gate(df: DataFrame, name: str, min_rows: int = 1000, present: bool = Tru
                       F.when(ok, F.lit(SUCCESSFUL)).otherwise(F.lit(FAILED)).alias("status"))
 
 
+def load_status(pending: DataFrame, loaded: DataFrame, name: str, min_rows: int = 1000) -> DataFrame:
+    """Q3: the run's status row ``(table, pending, n_rows, status)``: NO UPDATE when no
+    release was waiting, otherwise SUCCESSFUL when the loaded table has more than
+    ``min_rows`` rows, else FAILED.  Both counts come from one aggregate over a union
+    of the two inputs' row markers (no join of one-row frames)."""
+    marks = pending.select(F.lit(1).alias("p"), F.lit(0).alias("l")).unionByName(
+        loaded.select(F.lit(0).alias("p"), F.lit(1).alias("l")))
+    agg = marks.agg(F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("pending"),
+                    F.coalesce(F.sum("l"), F.lit(0)).cast("long").alias("n_rows"))
+    status = (F.when(F.col("pending") == 0, F.lit(NO_UPDATE))
+              .when(F.col("n_rows") > min_rows, F.lit(SUCCESSFUL)).otherwise(F.lit(FAILED)))
+    return agg.select(F.lit(name).alias("table"), "pending", "n_rows", status.alias("status"))
+
+
 def table_present(spark: SparkSession, name_or_path: str) -> bool:
     """Q2: catalog table or readable path exists (driver-side metadata check)."""
     if "/" not in name_or_path and spark.catalog.tableExists(name_or_path):

@@ -235,7 +235,7 @@ def a4_multi_occupancy(spark, sf_dir):
 
 
 @register("a5_control_values", sql="""
-SELECT count(*) AS n_rows, max(o_orderkey) AS max_o_orderkey FROM orders
+SELECT count(*) AS n_rows, count(*) > 0 AS has_rows, max(o_orderkey) AS max_o_orderkey FROM orders
 """)
 def a5_control_values(spark, sf_dir):
     """A5: row count and maximum used as control values."""

@@ -145,3 +145,18 @@ def s9_append_period(spark, sf_dir):
     from landframe.operators.columns import period_name
     return S.append_period_column(history, update, "NAME", "BOROUGH", "REGISTERED",
                                   period_name(_dt.date(2017, 4, 3)), drop=["BRONZE", "GOLD"])
+
+
+@register("q3_load_status", sql="""
+SELECT 'lineitem' AS "table", pending, n_rows,
+       CASE WHEN pending = 0 THEN 'NO UPDATE' WHEN n_rows > 1000 THEN 'SUCCESSFUL' ELSE 'FAILED' END AS status
+FROM (SELECT
+        (SELECT count(*) FROM orders o WHERE contains(o_orderpriority, 'URGENT')
+           AND CAST(o_orderdate AS DATE) = DATE '1997-07-10'
+           AND NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderstatus = 'F' AND d.o_orderkey = o.o_orderkey)) AS pending,
+        (SELECT count(*) FROM lineitem) AS n_rows)
+""")
+def q3_load_status(spark, sf_dir):
+    """Q3: status of a run: releases waiting (S10 gate) and rows loaded."""
+    pending = s10_releases_to_ingest(spark, sf_dir)
+    return Q.load_status(pending, table(spark, sf_dir, "lineitem"), "lineitem", 1000)

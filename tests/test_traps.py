@@ -372,3 +372,11 @@ def test_mixed_polygon_sizes_use_levels(spark):
 
 def rows_of(df):
     return [(r["id"], r["name"]) for r in df.collect()]
+
+
+def test_load_status_outcomes(spark):
+    from landframe.operators.quality import load_status
+    none = spark.range(0)
+    assert load_status(none, spark.range(5000), "t").first().status == "NO UPDATE"
+    assert load_status(spark.range(2), spark.range(5000), "t").first().status == "SUCCESSFUL"
+    assert load_status(spark.range(2), spark.range(10), "t").first().status == "FAILED"
