@@ -125,9 +125,25 @@ def point_in_rings(px, py, rings) -> Column:
     return point_in_edges(px, py, ring_edges(rings))
 
 
+_LITERAL_STATS: dict = {}
+
+
 def layer_stats(polygons: DataFrame, rings: str = "rings") -> dict:
     """Polygon count, median / smallest positive / largest extent and vertex count of a
-    layer: one small aggregate job."""
+    layer: one small aggregate job.  For layers that read no files (literal layers) the
+    result depends on the plan alone, so it is remembered per plan."""
+    key = None
+    if not polygons.inputFiles():
+        key = (polygons._jdf.queryExecution().analyzed().semanticHash(), rings)
+        if key in _LITERAL_STATS:
+            return _LITERAL_STATS[key]
+    st = _layer_stats(polygons, rings)
+    if key is not None:
+        _LITERAL_STATS[key] = st
+    return st
+
+
+def _layer_stats(polygons: DataFrame, rings: str) -> dict:
     b = polygons.select(ring_bbox(rings).alias("b"), F.size(F.flatten(F.col(rings))).alias("nv")).select(
         F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")).alias("ext"), "nv")
     pos = F.when(F.col("ext") > 0, F.col("ext"))

@@ -58,29 +58,39 @@ def with_provenance(df: DataFrame, tile_col: str = "tile", file_col: str = "file
                      F.col("_metadata.file_path").alias(file_col))
 
 
-def literal_value(v, dtype: T.DataType):
-    """A Python value as a typed literal Column (arrays and structs nested)."""
+def _sql_literal(v, dtype: T.DataType) -> str:
+    """A Python value as a typed Spark SQL literal (arrays and structs nested)."""
     if v is None:
-        return F.lit(None).cast(dtype)
+        return f"CAST(NULL AS {dtype.simpleString()})"
     if isinstance(dtype, T.ArrayType):
-        items = [literal_value(x, dtype.elementType) for x in v]
-        return F.array(*items) if items else F.array().cast(dtype)
+        if not v:
+            return f"CAST(array() AS {dtype.simpleString()})"
+        return "array(" + ", ".join(_sql_literal(x, dtype.elementType) for x in v) + ")"
     if isinstance(dtype, T.StructType):
-        return F.struct(*[literal_value(x, f.dataType).alias(f.name) for x, f in zip(v, dtype.fields)])
-    return F.lit(v).cast(dtype)
+        return "named_struct(" + ", ".join(f"'{f.name}', {_sql_literal(x, f.dataType)}"
+                                           for x, f in zip(v, dtype.fields)) + ")"
+    if isinstance(dtype, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    return f"CAST('{v!r}' AS {dtype.simpleString()})" if isinstance(v, float) else \
+        f"CAST('{v}' AS {dtype.simpleString()})"
 
 
 def lookup(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """A literal lookup table (small and fixed by construction).
 
-    Built as a constant JVM expression (``inline`` of an array of structs), so reading
-    it needs no Python worker and it is planned as a local relation that joins as a
-    broadcast."""
+    Rendered as one SQL ``VALUES`` clause: a local relation planned in the JVM (no
+    Python worker reads it, and it joins as a broadcast), built with a single call."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    row_type = T.StructType(schema.fields)
-    arr = F.array(*[literal_value(tuple(r), row_type) for r in rows]) if rows else F.array().cast(T.ArrayType(row_type))
-    return spark.range(1).select(F.inline(arr)).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    if not rows:
+        return spark.createDataFrame([], schema)
+    body = ", ".join("(" + ", ".join(_sql_literal(x, f.dataType) for x, f in zip(r, schema.fields)) + ")"
+                     for r in rows)
+    cols = ", ".join(f"`{f.name}`" for f in schema.fields)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({cols})")
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])
 
 
 def write_release(df: DataFrame, root: str, release_col: str = "release", fmt: str = "parquet") -> None:
