@@ -7,3 +7,8 @@ from pyspark.sql import functions as F
 def as_col(c) -> Column:
     """Accept a column name or a Column."""
     return c if isinstance(c, Column) else F.col(c)
+
+
+def qcol(name: str) -> Column:
+    """A top-level column by its exact name (dots and spaces are part of the name)."""
+    return F.col(f"`{name}`")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landframe.functions._util import as_col
+from landframe.functions._util import as_col, qcol
 
 
 def poisoned_sum(c) -> Column:
@@ -19,8 +19,8 @@ def poisoned_sum(c) -> Column:
 
 def group_sum(df: DataFrame, keys: Sequence[str], col: str, out: str, na: str = "poison") -> DataFrame:
     """A1: one row per key with the sum of ``col``; ``na="poison"`` or ``"skip"``."""
-    agg = poisoned_sum(col) if na == "poison" else F.sum(col)
-    return df.groupBy(*keys).agg(agg.alias(out))
+    agg = poisoned_sum(qcol(col)) if na == "poison" else F.sum(qcol(col))
+    return df.groupBy(*[qcol(k) for k in keys]).agg(agg.alias(out))
 
 
 def period_change(df: DataFrame, keys: Sequence[str], period_col: str, p0, p1, value: str,
@@ -30,7 +30,7 @@ def period_change(df: DataFrame, keys: Sequence[str], period_col: str, p0, p1, v
     One conditional-aggregation pass replaces "filter each period, sum, join": only
     keys present in both periods are returned (the inner merge of the two sums).
     """
-    pc, v = F.col(period_col), F.col(value)
+    pc, v = qcol(period_col), qcol(value)
 
     def period_sum(p):
         in_p = pc == F.lit(p)
@@ -39,17 +39,17 @@ def period_change(df: DataFrame, keys: Sequence[str], period_col: str, p0, p1, v
             s = F.when(F.count(F.when(in_p & v.isNull(), F.lit(1))) == 0, s)
         return s
 
-    g = df.filter(pc.isin(p0, p1)).groupBy(*keys).agg(
+    g = df.filter(pc.isin(p0, p1)).groupBy(*[qcol(k) for k in keys]).agg(
         period_sum(p0).alias(out0), period_sum(p1).alias(out1),
         F.count(F.when(pc == F.lit(p0), F.lit(1))).alias("__n0"),
         F.count(F.when(pc == F.lit(p1), F.lit(1))).alias("__n1"))
     g = g.filter((F.col("__n0") > 0) & (F.col("__n1") > 0)).drop("__n0", "__n1")
-    return g.withColumn(change, F.col(out1) - F.col(out0))
+    return g.withColumn(change, qcol(out1) - qcol(out0))
 
 
 def count_non_null(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
     """A3: number of non-null values (matched rows) per key; ``keys=[]`` for a total."""
-    return df.groupBy(*keys).agg(F.count(F.col(col)).alias(out))
+    return df.groupBy(*[qcol(k) for k in keys]).agg(F.count(qcol(col)).alias(out))
 
 
 def multi_occupancy(df: DataFrame, x: str, y: str, area: str, order_by: Sequence[str],
@@ -58,10 +58,10 @@ def multi_occupancy(df: DataFrame, x: str, y: str, area: str, order_by: Sequence
     its first row by ``order_by``; keep coordinates with more than one row; sum the
     counts per area.  Two partial aggregates, no per-row window.
     """
-    first_area = F.min(F.struct(*[F.col(c) for c in order_by], F.col(area).alias("__a")))["__a"]
-    per_xy = df.groupBy(x, y).agg(F.count(F.lit(1)).alias(count_col), first_area.alias(area))
-    return (per_xy.filter(F.col(count_col) > 1).groupBy(area)
-            .agg(F.sum(count_col).cast("long").alias(total_col)))
+    first_area = F.min(F.struct(*[qcol(c) for c in order_by], qcol(area).alias("__a")))["__a"]
+    per_xy = df.groupBy(qcol(x), qcol(y)).agg(F.count(F.lit(1)).alias(count_col), first_area.alias(area))
+    return (per_xy.filter(qcol(count_col) > 1).groupBy(qcol(area))
+            .agg(F.sum(qcol(count_col)).cast("long").alias(total_col)))
 
 
 def control_values(df: DataFrame, max_col: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landframe.functions._util import qcol
 from landframe.operators.setops import stack_fill
 from landframe.operators.window import first_per_key
 
@@ -19,7 +20,7 @@ def melt_except(df: DataFrame, ids: Sequence[str], key: str = "key", value: str
     src = df
     if value_type:
         src = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in vals])
-    return src.unpivot(ids, vals, key, value)
+    return src.unpivot([qcol(c) for c in ids], [qcol(c) for c in vals], key, value)
 
 
 def pivot_vocabulary(df: DataFrame, key: str, max_values: int | None = None) -> list:
@@ -30,7 +31,7 @@ def pivot_vocabulary(df: DataFrame, key: str, max_values: int | None = None) ->
     """
     spark = df.sparkSession
     cap = max_values or int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
-    rows = (df.select(F.col(key).cast("string").alias("k")).filter(F.col("k").isNotNull())
+    rows = (df.select(qcol(key).cast("string").alias("k")).filter(F.col("k").isNotNull())
             .distinct().orderBy("k").limit(cap + 1).collect())
     if len(rows) > cap:
         raise ValueError(f"more than {cap} distinct values in {key}; pass vocab explicitly")
@@ -46,11 +47,11 @@ def widen(df: DataFrame, ids: Sequence[str], key: str, value: str,
     (tidyr refuses duplicates); ``agg`` (``max`` by default, deterministic) decides
     otherwise.  Passing ``vocab`` avoids the extra distinct job.
     """
-    src = df.filter(F.col(key).isNotNull())
+    src = df.filter(qcol(key).isNotNull())
     if vocab is None:
         vocab = pivot_vocabulary(src, key)
     fn = {"max": F.max, "min": F.min, "first": F.first, "sum": F.sum, "count": F.count}[agg]
-    return src.groupBy(*ids).pivot(key, list(vocab)).agg(fn(value))
+    return src.groupBy(*[qcol(c) for c in ids]).pivot(f"`{key}`", list(vocab)).agg(fn(qcol(value)))
 
 
 def split_rows(df: DataFrame, col: str, sep: str = " ", keep_null: bool = True) -> DataFrame:
@@ -58,30 +59,30 @@ def split_rows(df: DataFrame, col: str, sep: str = " ", keep_null: bool = True)
     ex = F.explode_outer if keep_null else F.explode
     others = [F.col(f"`{c}`") for c in df.columns if c != col]
     pos = df.columns.index(col)
-    out = df.select(*others, ex(F.split(F.col(col), sep)).alias(col))
+    out = df.select(*others, ex(F.split(qcol(col), sep)).alias(col))
     order = df.columns[:pos] + [col] + df.columns[pos + 1:]
     return out.select(*[F.col(f"`{c}`") for c in order])
 
 
 def split_columns(df: DataFrame, col: str, sep: str, names: Sequence[str]) -> DataFrame:
     """Split a cell into fixed columns; missing pieces are null, extra pieces dropped."""
-    parts = F.split(F.col(col), sep)
+    parts = F.split(qcol(col), sep)
     return df.select("*", *[F.try_element_at(parts, F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
 
 
 def tag_matrix(df: DataFrame, name_col: str, tag_col: str, order_by: Sequence[str],
-               sep: str = " ", min_len: int = 1, mark: int = 1) -> DataFrame:
+               sep: str = " ", mark: int = 1) -> DataFrame:
     """Turn a space-separated tag cell into one indicator column per tag.
 
     Steps: split the tags to rows, drop empty pieces, keep the first row per
-    (name, tag), widen with ``mark`` where present, then stack the rows whose tag cell
-    was null with every tag column null.  The vocabulary is the sorted unique tokens
-    longer than ``min_len`` characters (shorter tokens are still widened when present).
+    (name, tag) by ``order_by``, widen with ``mark`` where present (every tag that
+    occurs becomes a column, one-character tags included), then stack back the rows
+    whose tag cell was null, with every tag column null.
     """
     ids = [c for c in df.columns if c != tag_col]
-    blanks = df.filter(F.col(tag_col).isNull()).drop(tag_col)
-    long = split_rows(df.filter(F.col(tag_col).isNotNull()), tag_col, sep, keep_null=False)
-    long = long.filter(F.col(tag_col) != "")
+    blanks = df.filter(qcol(tag_col).isNull()).drop(tag_col)
+    long = split_rows(df.filter(qcol(tag_col).isNotNull()), tag_col, sep, keep_null=False)
+    long = long.filter(qcol(tag_col) != "")
     long = first_per_key(long, [name_col, tag_col], order_by)
     long = long.withColumn("__has", F.lit(mark))
     wide = widen(long, ids, tag_col, "__has")

@@ -52,12 +52,12 @@ def add_count(df: DataFrame, keys: Sequence[str], out: str = "n", method: str =
 def add_sum(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFrame:
     """Group sum of ``col`` on every row (aggregate + join-back)."""
     keyed = _keyed(df, list(keys))
-    sums = keyed.groupBy("__gk").agg(F.sum(col).alias(out))
+    sums = keyed.groupBy("__gk").agg(F.sum(F.col(f"`{col}`")).alias(out))
     return _join_back(keyed, sums)
 
 
 def _order_struct(order_by: Sequence) -> Column:
-    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order_by)])
+    return F.struct(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order_by)])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -74,7 +74,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     order = list(order_by) + [c for c in rest if c not in order_by]
     st = F.struct(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(order)])
     pick = (F.max if descending else F.min)(st).alias("__first")
-    g = df.groupBy(*keys).agg(pick)
+    g = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(pick)
     cols = {c: F.col(f"__first._{order.index(c)}") for c in rest}
     return g.select(*[F.col(f"`{c}`") if c in keys else cols[c].alias(c) for c in df.columns])
 

@@ -22,11 +22,17 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 
 
 def read_headerless(spark: SparkSession, paths, names: Sequence[str], sep: str = ",",
-                    provenance: bool = False) -> DataFrame:
+                    provenance: bool = False, empty_as_null: bool = False) -> DataFrame:
     """Every delimited file under ``paths`` read as text, stacked, columns named from
-    ``names`` (a declared all-string schema: no inference pass, no type guessing)."""
+    ``names`` (a declared all-string schema: no inference pass, no type guessing).
+
+    An empty field stays an empty string, as in an all-character table load (the CSV
+    reader reports it as null; with every column text, null can only mean empty), so
+    e.g. an empty parent id pads to twelve zeros.  ``empty_as_null=True`` keeps nulls."""
     df = (spark.read.schema(text_schema(names)).option("header", False).option("sep", sep)
           .option("mode", "PERMISSIVE").csv(paths))
+    if not empty_as_null:
+        df = df.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
     return with_provenance(df) if provenance else df
 
 
