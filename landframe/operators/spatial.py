@@ -101,10 +101,11 @@ def ring_edges(rings) -> Column:
     return F.flatten(F.transform(as_col(rings), ring_to_edges))
 
 
-def point_in_edges(px, py, edges) -> Column:
-    """Exact test over precomputed edges, one pass: true when the point lies on an edge
-    (edges and vertices count as inside) or a rightward ray crosses an odd number of
-    edges (even-odd rule, so holes are handled)."""
+def point_in_edges(px, py, edges, boundary_inside: bool = True) -> Column:
+    """Exact test over precomputed edges, one pass: a rightward ray crossing an odd
+    number of edges means inside (even-odd rule, so holes are handled).  A point on an
+    edge or vertex counts as inside when ``boundary_inside`` (the default, as the jobs'
+    overlay did), otherwise as outside."""
     px, py = as_col(px), as_col(py)
     zero = F.struct(F.lit(0).alias("n"), F.lit(False).alias("edge"))
 
@@ -117,12 +118,14 @@ def point_in_edges(px, py, edges) -> Column:
         return F.struct((acc["n"] + F.when(hit, F.lit(1)).otherwise(F.lit(0))).alias("n"),
                         (acc["edge"] | on).alias("edge"))
 
-    return F.aggregate(as_col(edges), zero, step, lambda acc: acc["edge"] | (acc["n"] % 2 == 1))
+    if boundary_inside:
+        return F.aggregate(as_col(edges), zero, step, lambda acc: acc["edge"] | (acc["n"] % 2 == 1))
+    return F.aggregate(as_col(edges), zero, step, lambda acc: ~acc["edge"] & (acc["n"] % 2 == 1))
 
 
-def point_in_rings(px, py, rings) -> Column:
+def point_in_rings(px, py, rings, boundary_inside: bool = True) -> Column:
     """Exact point-in-polygon test against rings (see ``point_in_edges``)."""
-    return point_in_edges(px, py, ring_edges(rings))
+    return point_in_edges(px, py, ring_edges(rings), boundary_inside)
 
 
 _LITERAL_STATS: dict = {}
@@ -203,11 +206,11 @@ def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
     return cells.groupBy("lvl", "cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
 
 
-def _inside(px: Column, py: Column):
+def _inside(px: Column, py: Column, boundary_inside: bool = True):
     def test(c):
         bb = c["bb"]
         in_box = (px >= bb["minx"]) & (px <= bb["maxx"]) & (py >= bb["miny"]) & (py <= bb["maxy"])
-        return in_box & point_in_edges(px, py, c["edges"])
+        return in_box & point_in_edges(px, py, c["edges"], boundary_inside)
     return test
 
 
@@ -263,17 +266,19 @@ def _with_candidates(points: DataFrame, cells: DataFrame, x: str, y: str, base:
 
 def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, attrs: Sequence[str],
                      pick: str = "last", cell_size: float | None = None,
-                     broadcast_max_bytes: int = 64 << 20, order: str = "poly_id") -> DataFrame:
+                     broadcast_max_bytes: int = 64 << 20, order: str = "poly_id",
+                     boundary_inside: bool = True) -> DataFrame:
     """Every point with the attributes of the polygon containing it (null outside).
 
     Where polygons overlap, ``pick="last"`` takes the highest ordinal (the overlay the
-    jobs used reports the last match), ``pick="first"`` the lowest.  Exactly one output row per
+    jobs used reports the last match), ``pick="first"`` the lowest; points on an edge or
+    vertex count as inside unless ``boundary_inside=False``.  Exactly one output row per
     input point.
     """
     base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
     cells = polygon_cells(polygons, attrs, base, order)
     j = _with_candidates(points, cells, x, y, base, levels, bc)
-    hits = F.array_sort(F.filter(F.col("__cands"), _inside(F.col(x), F.col(y))))
+    hits = F.array_sort(F.filter(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside)))
     chosen = F.get(hits, F.size(hits) - 1) if pick == "last" else F.get(hits, 0)
     j = j.withColumn("__hit", chosen)
     out = [F.col(f"`{c}`") for c in points.columns] + [F.col("__hit.ord").alias(order)]
@@ -282,12 +287,13 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
 
 
 def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: float | None = None,
-         broadcast_max_bytes: int = 64 << 20) -> DataFrame:
-    """The points inside (or on the boundary of) any polygon; point columns only."""
+         broadcast_max_bytes: int = 64 << 20, boundary_inside: bool = True) -> DataFrame:
+    """The points inside (or, with ``boundary_inside``, on the boundary of) any
+    polygon; point columns only."""
     base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
     cells = polygon_cells(polygons, [], base)
     j = _with_candidates(points, cells, x, y, base, levels, bc)
-    return j.filter(F.exists(F.col("__cands"), _inside(F.col(x), F.col(y)))).select(
+    return j.filter(F.exists(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside))).select(
         *[F.col(f"`{c}`") for c in points.columns])
 
 

@@ -380,3 +380,13 @@ def test_load_status_outcomes(spark):
     assert load_status(none, spark.range(5000), "t").first().status == "NO UPDATE"
     assert load_status(spark.range(2), spark.range(5000), "t").first().status == "SUCCESSFUL"
     assert load_status(spark.range(2), spark.range(10), "t").first().status == "FAILED"
+
+
+def test_boundary_points_can_be_outside(spark):
+    pts = spark.createDataFrame([(1, 5.0, 5.0), (2, 10.0, 3.0), (3, 0.0, 0.0), (4, 43.0, 5.0)], "id int, x double, y double")
+    strict = dict(rows(G.tag_with_polygon(pts, _layer(spark), "x", "y", [], boundary_inside=False), "id", "poly_id"))
+    # (5,5): strictly inside the square, only a corner of polygon 2; (10,3): on the square's
+    # edge; (0,0): a vertex; (43,5): on the edge of polygon 4's hole
+    assert strict == {1: 1, 2: None, 3: None, 4: None}
+    clipped = {r.id for r in G.clip(pts, _layer(spark), "x", "y", boundary_inside=False).collect()}
+    assert clipped == {1}
