@@ -125,3 +125,23 @@ def test_f8_postcode_quality(spark):
     assert sorted((r.Ptno or 0) for r in valid.collect()) == [0, 1, 2, 4, 5]
     assert [r.Ptno for r in missing.collect()] == [3]
     assert sorted((r.Ptno or 0, r.duration) for r in durations.collect()) == [(0, 1), (1, 10000), (4, 20000), (5, 500)]
+
+
+def test_f3_map_layers_from_tiles(spark):
+    path = _scratch(spark, "tiles")
+
+    def tile(name, areas, lines):
+        body = "".join(f"<TopographicArea><TOID>{t}</TOID><FeatureCode>{c}</FeatureCode><Theme>Buildings</Theme>"
+                       f"<CalculatedAreaValue>{a}</CalculatedAreaValue></TopographicArea>" for t, c, a in areas)
+        body += "".join(f"<TopographicLine><TOID>{t}</TOID><FeatureCode>{c}</FeatureCode></TopographicLine>"
+                        for t, c in lines)
+        _write(path, name, [f"<FeatureCollection>{body}</FeatureCollection>"])
+
+    tile("TQ3080.gml", [("osgb1", 10021, 12.5), ("osgb2", 10021, 40.0)], [("osgb9", 10019)])
+    tile("TQ3081.gml", [("osgb3", 10053, 7.25)], [])
+    layers = P.map_layer_load(spark, path, {
+        "TopographicArea": "TOID string, FeatureCode int, Theme string, CalculatedAreaValue double",
+        "TopographicLine": "TOID string, FeatureCode int"})
+    areas = {r.TOID: (r.tile, r.CalculatedAreaValue) for r in layers["TopographicArea"].collect()}
+    assert areas == {"osgb1": ("TQ3080", 12.5), "osgb2": ("TQ3080", 40.0), "osgb3": ("TQ3081", 7.25)}
+    assert [(r.TOID, r.tile) for r in layers["TopographicLine"].collect()] == [("osgb9", "TQ3080")]
