@@ -59,20 +59,22 @@ def postcode_quality(records: DataFrame, id_col: str, postcode_col: str, start_c
 
 def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by: Sequence,
                     batch_size: int = 100_000, x: str = "X_COORDINATE", y: str = "Y_COORDINATE",
-                    uprn: str = "UPRN", parent: str = "PARENT_UPRN") -> tuple[DataFrame, DataFrame, DataFrame]:
+                    uprn: str = "UPRN", parent: str = "PARENT_UPRN", crs: str = "EPSG:27700",
+                    boundary_crs: str = "EPSG:27700") -> tuple[DataFrame, DataFrame, DataFrame]:
     """L1: shape one address release and clip it to a boundary.
 
     Steps: keep the raw id as ``OBJECTID``; pad ids to 12 characters (never cut);
     coordinates to numbers rounded half-even to 2 places; ``FLAT`` = rows sharing the
     coordinate pair; ``update_date`` release stamp; ``group`` = insert batch of
     ``batch_size`` rows in ``order_by`` order; rows with unusable coordinates set aside;
-    names lower-cased; clip to the boundary polygons.
+    names lower-cased; points moved into the boundary's coordinate system (a no-op that
+    only records the CRS when both are the same); clip to the boundary polygons.
 
     Returns ``(all_rows, clipped_rows, rejected_rows)``.
     """
     from landframe.functions import pad_left, round_half_even, to_double
     from landframe.operators.columns import copy_col, lower_names, with_const
-    from landframe.operators.spatial import clip, with_point
+    from landframe.operators.spatial import clip, reproject, with_point
     from landframe.operators.window import add_batch, add_count
 
     df = copy_col(raw, uprn, "OBJECTID")
@@ -87,7 +89,8 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     df = with_const(df, "update_date", release)
     ok, rejected = with_point(df, x, y, "__px", "__py")
     ok = lower_names(ok.drop("__px", "__py"))
-    clipped = clip(ok, boundary, x.lower(), y.lower())
+    located = reproject(ok, x.lower(), y.lower(), crs, boundary_crs)
+    clipped = clip(located, boundary, x.lower(), y.lower())
     return ok, clipped, lower_names(rejected)
 
 

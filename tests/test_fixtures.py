@@ -145,3 +145,15 @@ def test_f3_map_layers_from_tiles(spark):
     areas = {r.TOID: (r.tile, r.CalculatedAreaValue) for r in layers["TopographicArea"].collect()}
     assert areas == {"osgb1": ("TQ3080", 12.5), "osgb2": ("TQ3080", 40.0), "osgb3": ("TQ3081", 7.25)}
     assert [(r.TOID, r.tile) for r in layers["TopographicLine"].collect()] == [("osgb9", "TQ3080")]
+
+
+def test_f1_address_release_reprojects_to_boundary(spark):
+    raw = spark.createDataFrame([("1", "", "-0.1276", "51.5072"), ("2", "", "-2.0", "53.0")],
+                                "UPRN string, PARENT_UPRN string, X_COORDINATE string, Y_COORDINATE string")
+    square = [(525000, 175000), (535000, 175000), (535000, 185000), (525000, 185000)]
+    boundary = G.polygon_layer(spark, [(1, "centre", [square])], "name string")
+    _all, clipped, _rej = P.address_release(raw, boundary, "201704", [F.col("OBJECTID").cast("long")],
+                                            crs="EPSG:4326", boundary_crs="EPSG:27700")
+    got = clipped.collect()
+    assert [r.objectid for r in got] == ["1"]
+    assert 529000 < got[0].x_coordinate < 531000 and 179000 < got[0].y_coordinate < 182000
