@@ -164,31 +164,35 @@ def building_heights(layer: DataFrame, heights: DataFrame, tiles: Sequence[str]
 
 
 def flats_by_area(addresses: DataFrame, areas: DataFrame, x: str, y: str, order_by: Sequence[str],
-                  area_attrs: Sequence[str] = ("name",)) -> DataFrame:
+                  area_attrs: Sequence[str] = ("name",), crs: str = "EPSG:27700",
+                  areas_crs: str = "EPSG:27700") -> DataFrame:
     """Per area polygon, the number of addresses at coordinates shared by more than
-    one address.  Points are tagged with their area (point-in-polygon), points outside
-    every area dropped, each coordinate counted once with the area of its first row,
-    counts above one summed per area, area attributes joined on."""
+    one address.  Points are moved into the areas' coordinate system (no-op when equal),
+    tagged with their area (point-in-polygon), points outside every area dropped, each
+    coordinate counted once with the area of its first row, counts above one summed per
+    area, area attributes joined on."""
     from landframe.operators.aggregate import multi_occupancy
-    from landframe.operators.spatial import tag_with_polygon
+    from landframe.operators.spatial import reproject, tag_with_polygon
 
-    tagged = tag_with_polygon(addresses, areas, x, y, [], pick="last").filter(F.col("poly_id").isNotNull())
+    located = reproject(addresses, x, y, crs, areas_crs)
+    tagged = tag_with_polygon(located, areas, x, y, [], pick="last").filter(F.col("poly_id").isNotNull())
     per_area = multi_occupancy(tagged, x, y, "poly_id", order_by)
     return merge_on(areas.select("poly_id", *area_attrs), per_area, "poly_id", "poly_id")
 
 
 def postcodes_in_subareas(points: DataFrame, polygons: DataFrame, lookup_rows: DataFrame,
                           x: str, y: str, keep: Sequence[str], key: str = "poly_id",
-                          label: str = "Sub_Area") -> DataFrame:
+                          label: str = "Sub_Area", crs: str = "EPSG:27700") -> DataFrame:
     """Sub-area name for every postcode point inside a sub-area polygon.
 
-    The name lookup is left-joined onto the polygons, points are tagged with the
-    polygon containing them, points without a sub-area name are dropped."""
+    The points' coordinate system is declared (``crs``, metadata only), the name lookup
+    is left-joined onto the polygons, points are tagged with the polygon containing
+    them, points without a sub-area name are dropped."""
     from landframe.operators.joins import left_lookup
-    from landframe.operators.spatial import tag_with_polygon
+    from landframe.operators.spatial import set_crs, tag_with_polygon
 
     named = left_lookup(polygons, lookup_rows, key, key)
-    tagged = tag_with_polygon(points, named, x, y, [label], pick="last", order=key)
+    tagged = tag_with_polygon(set_crs(points, [x, y], crs), named, x, y, [label], pick="last", order=key)
     return tagged.filter(F.col(label).isNotNull()).select(*keep, label)
 
 
