@@ -70,7 +70,8 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     names lower-cased; points moved into the boundary's coordinate system (a no-op that
     only records the CRS when both are the same); clip to the boundary polygons.
 
-    Returns ``(all_rows, clipped_rows, rejected_rows)``.
+    ``order_by`` must identify rows uniquely (e.g. the raw UPRN as a number): it fixes
+    which rows share an insert batch.  Returns ``(all_rows, clipped_rows, rejected_rows)``.
     """
     from landframe.functions import pad_left, round_half_even, to_double
     from landframe.operators.columns import copy_col, lower_names, with_const
