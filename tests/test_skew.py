@@ -58,3 +58,37 @@ def test_multi_occupancy_hot_coordinate(spark):
                                (F.col("id") % 2).cast("string").alias("area"))
     res = {r.area: r.total_flats for r in A.multi_occupancy(df, "cx", "cy", "area", ["id"]).collect()}
     assert res == {"0": 10_000}       # the hot coordinate's first row (id 0) is in area "0"
+
+
+def test_point_in_polygon_hot_cell(spark):
+    from landframe.operators import spatial as G
+    layer = G.polygon_layer(spark, [(1, "a", [[(0, 0), (10, 0), (10, 10), (0, 10)]]),
+                                    (2, "b", [[(10, 0), (20, 0), (20, 10), (10, 10)]])], "name string")
+    pts = spark.range(N).select("id", F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise((F.col("id") % 25).cast("double")).alias("x"),
+                                F.lit(5.0).alias("y"))
+    out = G.tag_with_polygon(pts, layer, "x", "y", ["name"])
+    assert out.count() == N                      # one row per point, never multiplied
+    got = Counter(r.name for r in out.select("name").collect())
+    xs = [5.0 if i % 3 == 0 else float(i % 25) for i in range(N)]
+    exp = Counter("a" if x < 10 else ("b" if x <= 20 else None) for x in xs)
+    assert got == exp
+
+
+def test_lookup_first_and_sum_hot_key(spark):
+    df = _skewed(spark)
+    keys = spark.createDataFrame([(0,), (1,), (2,)], "k long")
+    first = {r.k: (r.id, r.match_count) for r in J.lookup_first(keys, df, "k", "k", ["id"]).collect()}
+    assert first == {0: (0, 10_000), 1: (1, 1), 2: (2, 1)}
+    sums = W.add_sum(df, ["k"], "x", "sx")
+    assert "Window" not in _plan(sums)
+    hot = sums.filter("k = 0").select("sx").distinct().collect()
+    assert len(hot) == 1 and hot[0].sx == float(sum(i % 7 for i in range(0, N, 3)))
+
+
+def test_widen_hot_id(spark):
+    from landframe.operators.reshape import widen
+    df = _skewed(spark).select(F.col("k").alias("id"), (F.col("id") % 4).cast("string").alias("key"), "x")
+    w = widen(df, ["id"], "key", "x")
+    assert w.columns == ["id", "0", "1", "2", "3"] and w.count() == 20_001
+    hot = w.filter("id = 0").first()
+    assert (hot["0"], hot["1"], hot["2"], hot["3"]) == (6.0, 6.0, 6.0, 6.0)
