@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from landframe.operators.filters import POSTCODE_PATTERN
+from landframe.operators.window import add_row_id
 from landframe.plans import pipelines as P
 from landframe.plans import standins as S
+from landframe.plans.q_functions import _DATE_TEXT_SQL, _POSTCODE_SQL, _date_text, _postcode
+from landframe.plans.q_spatial import _HITS_SQL, _names_sql, polygons
 from landframe.plans.registry import register
 from landframe.plans.tables import table
+from landframe.sources.files import lookup
 
 
 @register("l4_period_change", sql="""
@@ -36,14 +42,6 @@ def l4_period_change(spark, sf_dir):
 
 # --------------------------------------------------------------------------- shared stand-ins
 
-from pyspark.sql import types as T  # noqa: E402
-
-from landframe.operators.filters import POSTCODE_PATTERN  # noqa: E402
-from landframe.operators.window import add_row_id  # noqa: E402
-from landframe.plans.q_functions import _DATE_TEXT_SQL, _POSTCODE_SQL, _date_text, _postcode  # noqa: E402
-from landframe.plans.q_spatial import _HITS_SQL, _names_sql, polygons  # noqa: E402
-from landframe.sources.files import lookup  # noqa: E402
-
 
 def _address_raw(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
