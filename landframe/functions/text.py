@@ -6,6 +6,8 @@ Each function states where Spark's nearest built-in differs from what the jobs n
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -104,13 +106,24 @@ def contains_any(c, words: Iterable[str]) -> Column:
 
 
 def split_clean(c, pattern: str = "[\\r\\n\\t]", dash_to: str | None = "_") -> Column:
-    """Split text on a regex, drop empty pieces, trim, map ``-`` to ``dash_to``."""
-    parts = F.split(as_col(c), pattern)
-    parts = F.transform(parts, lambda x: F.trim(x))
-    parts = F.filter(parts, lambda x: x != F.lit(""))
+    """Split text on a separator regex, trim spaces from each piece, drop empty
+    pieces, map ``-`` to ``dash_to``.
+
+    Written without lambdas so it stays inside whole-stage code generation: one split on
+    runs of separators together with the spaces around them (so pieces arrive trimmed
+    and blank pieces vanish), an outer trim for the first and last piece, and
+    ``array_remove`` for an empty first piece.  ``-`` is mapped on the whole text
+    first; if the separator pattern could itself match ``-`` the piece-wise form is
+    used instead.
+    """
+    text = as_col(c)
+    if dash_to is not None and re.fullmatch(pattern, "-"):
+        parts = F.filter(F.transform(F.split(text, pattern), lambda x: F.trim(x)), lambda x: x != F.lit(""))
+        return F.transform(parts, lambda x: F.translate(x, "-", dash_to))
     if dash_to is not None:
-        parts = F.transform(parts, lambda x: F.translate(x, "-", dash_to))
-    return parts
+        text = F.translate(text, "-", dash_to)
+    runs = f"(?: *(?:{pattern}) *)+"
+    return F.array_remove(F.split(F.trim(text), runs), F.lit(""))
 
 
 def strip_prefix(c, prefix: str) -> Column:
