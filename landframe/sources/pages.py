@@ -77,8 +77,13 @@ def filter_links(link_rows: DataFrame, min_len: int, col: str = "href") -> DataF
 
 def extract_text(pages: DataFrame, id_col: str, html_col: str, tag: str,
                  id_: str | None = None, class_: str | None = None) -> DataFrame:
-    """H3: ``(id, pos, text)`` for every element ``tag`` (optionally by id / class)."""
-    return pages.select(id_col, F.posexplode(texts(html_col, tag, id_, class_)).alias("pos", "text"))
+    """H3: ``(id, pos, text)`` for every element ``tag`` (optionally by id / class).
+
+    Fragments are exploded first and cleaned as plain rows, which keeps the cleaning in
+    generated code (no per-element lambda)."""
+    frags = F.regexp_extract_all(strip_noise(html_col), F.lit(element_pattern(tag, id_, class_)), 1)
+    rows = pages.select(id_col, F.posexplode(frags).alias("pos", "frag"))
+    return rows.select(id_col, "pos", node_text("frag").alias("text"))
 
 
 def split_names(df: DataFrame, id_col: str, text_col: str, dash_to: str | None = "_") -> DataFrame:
