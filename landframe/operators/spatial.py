@@ -278,8 +278,9 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
     cells = polygon_cells(polygons, attrs, base, order)
     j = _with_candidates(points, cells, x, y, base, levels, bc)
-    hits = F.array_sort(F.filter(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside)))
-    chosen = F.get(hits, F.size(hits) - 1) if pick == "last" else F.get(hits, 0)
+    # candidates compare by their ordinal (first struct field): max = last, min = first
+    hits = F.filter(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside))
+    chosen = F.array_max(hits) if pick == "last" else F.array_min(hits)
     j = j.withColumn("__hit", chosen)
     out = [F.col(f"`{c}`") for c in points.columns] + [F.col("__hit.ord").alias(order)]
     out += [F.col(f"__hit.{a}").alias(a) for a in attrs]
