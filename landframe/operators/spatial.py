@@ -10,8 +10,8 @@ Point-in-polygon joins (G2/G3) are a multi-level grid equi-join, not a cross joi
 1. every polygon is put on the grid level whose cell edge (median polygon extent
    times a power of two) is at least its own extent, and listed under the (at most
    4) cells of that level its bounding box touches;
-2. per (level, cell), the candidate polygons are gathered into one array (sorted by
-   ordinal), so the polygon side has exactly one row per cell;
+2. per (level, cell), the candidate polygons are gathered into one array, so the
+   polygon side has exactly one row per cell;
 3. every point computes its cell on each level in use and is joined to those cells'
    rows - left equi-joins whose right side is unique per key, so each point yields
    exactly one row and is never multiplied;
@@ -186,7 +186,8 @@ def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
                   order: str = "poly_id", rings: str = "rings") -> DataFrame:
     """One row per (level, cell): ``(lvl, cx, cy, cands)`` with ``cands`` = array of
     ``struct(ord, attrs..., edges, bbox)`` for every polygon of that level whose bbox
-    touches the cell, sorted by ordinal (edges derived once per polygon, not per point).
+    touches the cell (edges derived once per polygon, not per point; the array's order
+    does not matter, overlaps are resolved by ordinal).
 
     Multi-level grid: each polygon sits on the level whose cell edge ``base * 2**L`` is
     at least its extent, so it is listed in at most 4 cells and a cell holds polygons of
@@ -203,7 +204,7 @@ def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
                       F.sequence(_cell(F.col("bb.miny"), size), _cell(F.col("bb.maxy"), size)).alias("ys"))
     cells = cells.select("lvl", "cand", "ys", F.explode("xs").alias("cx")).select(
         "lvl", "cand", "cx", F.explode("ys").alias("cy"))
-    return cells.groupBy("lvl", "cx", "cy").agg(F.array_sort(F.collect_list("cand")).alias("cands"))
+    return cells.groupBy("lvl", "cx", "cy").agg(F.collect_list("cand").alias("cands"))
 
 
 def _inside(px: Column, py: Column, boundary_inside: bool = True):
