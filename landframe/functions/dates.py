@@ -28,8 +28,29 @@ def parse_day_month_year(c) -> Column:
     return F.try_to_date(as_col(c), "d MMMM yyyy")
 
 
+# Loose shapes of the layouts above (never narrower than what the parser accepts): a
+# layout is only tried on text of its shape, so unparsable values cost a regex test
+# instead of a failed parse per layout.
+_SHAPES = {
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4,}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4,}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
+    "yyyyMMddHHmmss": r"^\d{14,}$",
+    "yyyy-MM-dd": r"^\d{4,}-\d{1,2}-\d{1,2}$",
+    "yyyyMMdd": r"^\d{8,}$",
+    "yyyy/MM/dd": r"^\d{4,}/\d{1,2}/\d{1,2}$",
+    "dd/MM/yyyy": r"^\d{1,2}/\d{1,2}/\d{4,}$",
+    "d MMMM yyyy": r"^\d{1,2} \S+ \d{4,}$",
+    "d MMM yyyy": r"^\d{1,2} \S+ \d{4,}$",
+}
+
+
 def _auto_timestamp(text: Column, formats: Sequence[str]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    tries = []
+    for f in formats:
+        parsed = F.try_to_timestamp(text, F.lit(f))
+        shape = _SHAPES.get(f)
+        tries.append(F.when(text.rlike(shape), parsed) if shape else parsed)
+    return F.coalesce(*tries)
 
 
 def normalise_date(c, out_format: str = "yyyyMMdd",
