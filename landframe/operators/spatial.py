@@ -52,7 +52,23 @@ def polygon_layer(spark, rows: Sequence[tuple], attr_schema: T.StructType | str)
     for r in rows:
         rings = [list(ring) + ([ring[0]] if tuple(ring[0]) != tuple(ring[-1]) else []) for ring in r[-1]]
         closed.append((*r[:-1], [[(float(a), float(b)) for a, b in ring] for ring in rings]))
-    return lookup(spark, closed, schema)
+    df = lookup(spark, closed, schema)
+    df._landframe_layer_stats = _literal_stats([r[-1] for r in closed])
+    return df
+
+
+def _literal_stats(layers: Sequence[list]) -> dict:
+    """``layer_stats`` of literal rings, computed on the driver (exact median)."""
+    exts, nv = [], 0
+    for rings in layers:
+        pts = [p for ring in rings for p in ring]
+        nv += len(pts)
+        if pts:
+            xs, ys = [p[0] for p in pts], [p[1] for p in pts]
+            exts.append(max(max(xs) - min(xs), max(ys) - min(ys)))
+    pos = sorted(e for e in exts if e > 0)
+    return {"n": len(layers), "med": pos[(len(pos) - 1) // 2] if pos else 0.0,
+            "lo": pos[0] if pos else 0.0, "hi": max(exts) if exts else 0.0, "nv": nv}
 
 
 def with_point(df: DataFrame, x: str, y: str, out_x: str = "px", out_y: str = "py") -> tuple[DataFrame, DataFrame]:
@@ -128,22 +144,14 @@ def point_in_rings(px, py, rings, boundary_inside: bool = True) -> Column:
     return point_in_edges(px, py, ring_edges(rings), boundary_inside)
 
 
-_LITERAL_STATS: dict = {}
-
-
 def layer_stats(polygons: DataFrame, rings: str = "rings") -> dict:
     """Polygon count, median / smallest positive / largest extent and vertex count of a
-    layer: one small aggregate job.  For layers that read no files (literal layers) the
-    result depends on the plan alone, so it is remembered per plan."""
-    key = None
-    if not polygons.inputFiles():
-        key = (polygons._jdf.queryExecution().analyzed().semanticHash(), rings)
-        if key in _LITERAL_STATS:
-            return _LITERAL_STATS[key]
-    st = _layer_stats(polygons, rings)
-    if key is not None:
-        _LITERAL_STATS[key] = st
-    return st
+    layer: one small aggregate job, or none for a layer made by ``polygon_layer``, whose
+    stats were computed from its literal rows (frames derived from it run the job)."""
+    known = getattr(polygons, "_landframe_layer_stats", None)
+    if known is not None and rings == "rings":
+        return dict(known)
+    return _layer_stats(polygons, rings)
 
 
 def _layer_stats(polygons: DataFrame, rings: str) -> dict:

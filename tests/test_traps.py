@@ -390,3 +390,14 @@ def test_boundary_points_can_be_outside(spark):
     assert strict == {1: 1, 2: None, 3: None, 4: None}
     clipped = {r.id for r in G.clip(pts, _layer(spark), "x", "y", boundary_inside=False).collect()}
     assert clipped == {1}
+
+
+def test_layer_stats_are_per_layer(spark):
+    small = G.polygon_layer(spark, [(1, "s", [[(0, 0), (1, 0), (1, 1), (0, 1)]])], "name string")
+    big = G.polygon_layer(spark, [(1, "b", [[(0, 0), (500, 0), (500, 500), (0, 500)]])], "name string")
+    assert G.layer_stats(small)["hi"] == 1.0 and G.layer_stats(big)["hi"] == 500.0
+    # a frame derived from a literal layer computes its stats with a job, same answer
+    assert G.layer_stats(big.drop("name")) == G.layer_stats(big)
+    pts = spark.createDataFrame([(1, 250.0, 250.0), (2, 0.5, 0.5)], "id int, x double, y double")
+    assert dict(rows(G.tag_with_polygon(pts, big, "x", "y", ["name"]), "id", "name")) == {1: "b", 2: "b"}
+    assert dict(rows(G.tag_with_polygon(pts, small, "x", "y", ["name"]), "id", "name")) == {1: None, 2: "s"}
