@@ -7,9 +7,10 @@ the even-odd rule).
 
 Point-in-polygon joins (G2/G3) are a multi-level grid equi-join, not a cross join:
 
-1. every polygon is put on the grid level whose cell edge (median polygon extent
-   times a power of two) is at least its own extent, and listed under the (at most
-   4) cells of that level its bounding box touches;
+1. every polygon is put on the grid level whose cell edge (a base size times a power
+   of two; the base is the largest extent for a homogeneous layer, else the median)
+   is at least its own extent, and listed under the cells of that level its bounding
+   box touches (at most 4, or 9 when a bound lands exactly on a cell edge);
 2. per (level, cell), the candidate polygons are gathered into one array, so the
    polygon side has exactly one row per cell;
 3. every point computes its cell on each level in use and is joined to those cells'
@@ -232,11 +233,12 @@ _EDGE_BYTES, _CAND_BYTES = 48, 96
 def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int):
     """Base cell size, the grid levels in use and whether the cell table may be broadcast.
 
-    Levels grow with extent, so every level in use lies between the levels of the
-    smallest and the largest polygon (no second pass over the layer).  The broadcast
-    decision rests on a proven bound: every polygon is listed in at most 4 cells of its
-    level (9 when division rounding lands a bound exactly on a cell edge), so the cell
-    table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
+    Levels grow with extent, so every level in use lies between level 0 (degenerate
+    polygons) and the level of the largest polygon (no second pass over the layer).
+    The broadcast decision rests on a proven bound: every polygon is listed in at most
+    4 cells of its level (9 when division rounding lands a bound exactly on a cell
+    edge), so the cell table holds at most ``9 x (vertices x edge bytes + polygons x
+    candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
     where AQE splits a cell holding a large share of the points.
     """
     st = layer_stats(polygons)
@@ -248,7 +250,7 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
         base = st["hi"]          # homogeneous layer: one level, cells no larger than 4 medians
     else:
         base = st["med"]         # mixed sizes: levels above the median size class
-    levels = list(range(_py_level(st["lo"], base), _py_level(st["hi"], base) + 1))
+    levels = list(range(0, _py_level(st["hi"], base) + 1))
     bound = 9 * (st["nv"] * _EDGE_BYTES + st["n"] * _CAND_BYTES)
     return base, levels, bound <= broadcast_max_bytes
 
