@@ -401,3 +401,11 @@ def test_layer_stats_are_per_layer(spark):
     pts = spark.createDataFrame([(1, 250.0, 250.0), (2, 0.5, 0.5)], "id int, x double, y double")
     assert dict(rows(G.tag_with_polygon(pts, big, "x", "y", ["name"]), "id", "name")) == {1: "b", 2: "b"}
     assert dict(rows(G.tag_with_polygon(pts, small, "x", "y", ["name"]), "id", "name")) == {1: None, 2: "s"}
+
+
+def test_degenerate_polygon_with_given_cell_size(spark):
+    layer = G.polygon_layer(spark, [(1, "dot", [[(3, 3), (3, 3), (3, 3)]]),
+                                    (2, "sq", [[(10, 10), (20, 10), (20, 20), (10, 20)]])], "name string")
+    pts = spark.createDataFrame([(1, 3.0, 3.0), (2, 15.0, 15.0), (3, 4.0, 4.0)], "id int, x double, y double")
+    got = dict(rows(G.tag_with_polygon(pts, layer, "x", "y", ["name"], cell_size=0.5), "id", "name"))
+    assert got == {1: "dot", 2: "sq", 3: None}
