@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 
 def as_col(c) -> Column:
-    """Accept a column name or a Column."""
-    return c if isinstance(c, Column) else F.col(c)
+    """Accept a column name (taken literally, dots included) or a Column."""
+    return c if isinstance(c, Column) else F.col(f"`{c}`")
 
 
 def qcol(name: str) -> Column:

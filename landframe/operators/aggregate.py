@@ -75,5 +75,5 @@ def control_values(df: DataFrame, max_col: str | None = None) -> DataFrame:
 
 def vocabulary(df: DataFrame, col: str, sep: str = " ", min_len: int = 1, out: str = "token") -> DataFrame:
     """Sorted unique tokens of a text column longer than ``min_len`` characters."""
-    toks = df.select(F.explode(F.split(F.col(col), sep)).alias(out))
+    toks = df.select(F.explode(F.split(qcol(col), sep)).alias(out))
     return toks.filter(F.length(out) > min_len).distinct().orderBy(out)

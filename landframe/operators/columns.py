@@ -42,12 +42,12 @@ def with_const(df: DataFrame, name: str, value) -> DataFrame:
 
 def copy_col(df: DataFrame, src: str, dst: str) -> DataFrame:
     """Keep the raw value under a new name before ``src`` is reformatted."""
-    return df.withColumn(dst, F.col(src))
+    return df.withColumn(dst, F.col(f"`{src}`"))
 
 
 def cast_all(df: DataFrame, cols: Iterable[str], dtype: str = "string") -> DataFrame:
     """P10: cast a set of columns (text is the common target)."""
-    return df.withColumns({c: F.col(c).cast(dtype) for c in cols})
+    return df.withColumns({c: F.col(f"`{c}`").cast(dtype) for c in cols})
 
 
 def add_null_columns(df: DataFrame, names: Iterable[str], dtype: str = "string") -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landframe.functions._util import as_col
+from landframe.functions._util import as_col, qcol
 from landframe.functions.text import contains_any
 
 # Fixed value: the UK postcode pattern the planning job used, verbatim. Only the first
@@ -37,12 +37,12 @@ def keep_contains_any(df: DataFrame, col: str, words: Sequence[str]) -> DataFram
 
 def keep_min_length(df: DataFrame, col: str, min_len: int) -> DataFrame:
     """Rows whose text is longer than ``min_len`` (null text dropped)."""
-    return df.filter(F.length(F.col(col)) > min_len)
+    return df.filter(F.length(qcol(col)) > min_len)
 
 
 def keep_non_empty(df: DataFrame, col: str) -> DataFrame:
     """rows with non-null, non-empty text."""
-    return df.filter(F.col(col).isNotNull() & (F.col(col) != ""))
+    return df.filter(qcol(col).isNotNull() & (qcol(col) != ""))
 
 
 def slice_rows(df: DataFrame, lo: int, hi: int, order_by: Sequence) -> DataFrame:

@@ -113,7 +113,7 @@ KeyPair = tuple[Sequence, Sequence]
 
 def _key_exprs(keys) -> list[Column]:
     keys = [keys] if isinstance(keys, (str, Column)) else list(keys)
-    return [F.col(k) if isinstance(k, str) else k for k in keys]
+    return [F.col(f"`{k}`") if isinstance(k, str) else k for k in keys]
 
 
 def _struct_key(exprs: Sequence[Column]) -> Column:
@@ -168,14 +168,14 @@ def first_match_table(b: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     step, so a hot key is reduced in every map task before the shuffle.
     """
     payload = [c for c in b.columns if c not in keys]
-    ordered = [F.col(c) for c in order_by] + [F.col(c) for c in payload if c not in order_by]
+    ordered = [F.col(f"`{c}`") for c in order_by] + [F.col(f"`{c}`") for c in payload if c not in order_by]
     names = list(order_by) + [c for c in payload if c not in order_by]
     st = F.struct(*[x.alias(f"_{i}") for i, x in enumerate(ordered)])
     aggs = [F.min(st).alias("__first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
-    g = b.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys] + [F.col(f"__first._{i}").alias(n) for i, n in enumerate(names)]
+    g = b.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(*aggs)
+    cols = [F.col(f"`{k}`") for k in keys] + [F.col(f"__first._{i}").alias(n) for i, n in enumerate(names)]
     if count_col:
         cols.append(F.col(count_col))
     return g.select(*cols)

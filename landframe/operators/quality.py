@@ -14,7 +14,8 @@ SUCCESSFUL, FAILED, NO_UPDATE = "SUCCESSFUL", "FAILED", "NO UPDATE"
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
     """Q1: key values that occur more than once (must be empty for a primary key)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
+    return (df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(out))
+            .filter(F.col(f"`{out}`") > 1))
 
 
 def row_gate(df: DataFrame, name: str, min_rows: int = 1000, present: bool = True) -> DataFrame:

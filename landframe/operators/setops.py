@@ -31,7 +31,8 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 def unique_sorted(df: DataFrame, col: str) -> DataFrame:
     """Distinct values of one column, sorted ascending."""
-    return df.select(col).distinct().orderBy(F.col(col).asc_nulls_first())
+    c = F.col(f"`{col}`")
+    return df.select(c).distinct().orderBy(c.asc_nulls_first())
 
 
 def sort_by(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -72,7 +72,8 @@ def extract_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
 
 def filter_links(link_rows: DataFrame, min_len: int, col: str = "href") -> DataFrame:
     """H2: drop null links and links not longer than ``min_len`` characters."""
-    return link_rows.filter(F.col(col).isNotNull() & (F.length(col) > min_len))
+    c = F.col(f"`{col}`")
+    return link_rows.filter(c.isNotNull() & (F.length(c) > min_len))
 
 
 def extract_text(pages: DataFrame, id_col: str, html_col: str, tag: str,
