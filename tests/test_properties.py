@@ -82,3 +82,32 @@ def test_split_clean_matches_piecewise(spark, texts):
     got2 = {r.id: r.parts for r in df.select("id", split_clean("t", "[-\t]").alias("parts")).collect()}
     exp2 = {i: [p.strip(" ") for p in re.split("[-\t]", t) if p.strip(" ") != ""] for i, t in enumerate(texts)}
     assert got2 == exp2
+
+
+DATE_TEXT = st.one_of(
+    st.builds(lambda y, m, d, sep, order: (f"{y}{sep}{m}{sep}{d}" if order else f"{d}{sep}{m}{sep}{y}"),
+              st.integers(1990, 2030).map(str), st.integers(1, 12).map(lambda v: str(v).zfill(2) if v % 2 else str(v)),
+              st.integers(1, 28).map(lambda v: str(v).zfill(2) if v % 3 else str(v)),
+              st.sampled_from(["-", "/", ""]), st.booleans()),
+    st.builds(lambda d, mon, y: f"{d} {mon} {y}", st.integers(1, 28), st.sampled_from(["April", "Apr", "May", "Sept"]),
+              st.integers(1990, 2030)),
+    st.builds(lambda s, t: s + t, st.sampled_from(["2017-04-03", "20170403", "2017-04-03T"]),
+              st.sampled_from(["", " 12:05:01", "12:05:01", "120501", ".5"])),
+    st.text(alphabet=st.sampled_from(list("0123456789-/ :TApril")), max_size=14),
+)
+
+
+@SETTINGS
+@given(texts=st.lists(DATE_TEXT, min_size=1, max_size=30))
+def test_shape_gate_never_changes_a_result(spark, texts):
+    from pyspark.sql import functions as F
+
+    from landframe.functions.dates import AUTO_DATE_FORMATS, normalise_date
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, d string")
+    text = F.regexp_extract(F.trim(F.col("d")), "^[^.]*", 0)
+    ungated = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in AUTO_DATE_FORMATS])
+    plain = F.when(F.length(text) == 0, F.col("d")).otherwise(
+        F.coalesce(F.date_format(ungated, "yyyyMMdd"), F.col("d")))
+    got = df.select("id", normalise_date("d").alias("a"), plain.alias("b")).collect()
+    assert [(r.id, r.a) for r in got] == [(r.id, r.b) for r in got]
