@@ -1,0 +1,93 @@
+"""Token counts: batched encoding inside Arrow functions that return lengths only.
+
+Texts longer than ``piece_bytes`` are cut at blanks.  The vocabulary's pre-tokenizer drops
+white space and no token or normalisation reaches across a blank, so the counts of the
+parts add up to the count of the whole text (a property test checks it).  Parts are then
+encoded in batches of about equal bytes, whatever the texts' lengths.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Iterator
+from functools import lru_cache
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from landframe.llm.common import by_bytes, column, documents, text_slices
+
+QUERY_VOCABULARY = "word_bpe_49k.json"
+QUERY_LIMIT = 2048
+
+
+@lru_cache(maxsize=4)
+def load_tokenizer(path: str):
+    """The tokenizer of a vocabulary file, once per Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.no_truncation()
+    tok.no_padding()
+    return tok
+
+
+def split_at_blanks(text: str, piece: int) -> list[str]:
+    """Parts of about ``piece`` characters, each cut just before a blank (a stretch without
+    one stays whole)."""
+    parts, start = [], 0
+    while len(text) - start > piece:
+        cut = text.find(" ", start + piece)
+        if cut < 0:
+            break
+        parts.append(text[start:cut])
+        start = cut
+    parts.append(text[start:])
+    return parts
+
+
+def token_lengths(texts: list[str], path: str, piece: int, batch_bytes: int) -> list[int]:
+    tok = load_tokenizer(path)
+    owner, parts = [], []
+    for i, text in enumerate(texts):
+        for part in split_at_blanks(text, piece) if len(text) > piece else (text,):
+            owner.append(i)
+            parts.append(part)
+    totals = [0] * len(texts)
+    for a, b in by_bytes([len(p) for p in parts], batch_bytes):
+        for i, enc in zip(owner[a:b], tok.encode_batch_fast(parts[a:b], add_special_tokens=False)):
+            totals[i] += len(enc)
+    return totals
+
+
+def count_tokens(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
+                 limit: int = QUERY_LIMIT, piece: int = 16_384, batch_bytes: int = 500_000) -> DataFrame:
+    """One row per document: ``doc_id``, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit``.
+
+    A null text counts as empty (0 bytes, 0 tokens); ids may be null or repeated, every
+    row is counted for itself.  No shuffle: the result keeps the scan's partitions.
+    """
+    import pyarrow as pa
+
+    slim = docs.select(column(docs, id_col).alias("doc_id"), F.coalesce(column(docs, text_col), F.lit("")).alias("text"))
+    id_type = slim.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow.compute as pc
+        for batch in batches:
+            for part in text_slices(batch):
+                counts = token_lengths(part.column("text").to_pylist(), vocabulary, piece, batch_bytes)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pc.cast(pc.binary_length(part.column("text")), pa.int64()),
+                     pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())],
+                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+
+    return slim.mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+
+
+def op9_token_counts(spark, sf_dir) -> DataFrame:
+    """Tokens of every document under the word-level BPE vocabulary."""
+    import public_tokenizers
+
+    return count_tokens(documents(spark, sf_dir), public_tokenizers.path(QUERY_VOCABULARY))
