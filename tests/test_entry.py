@@ -24,5 +24,6 @@ def test_entry_runs_with_stable_schema(spark):
 def test_queries_and_oracles_line_up():
     mod = _entry_module()
     q, o = mod.queries(), mod.oracle_sql()
-    assert set(q) == set(o) and len(q) >= 80
+    own = [k for k in q if not (k == "pipeline" or k[:2] == "op" and k[2].isdigit())]
+    assert set(own) <= set(o) <= set(q) and len(own) >= 80
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) and s for s in o.values())
