@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+from landframe.llm import decontaminate, license_scan, quality_rules
 from landframe.llm.packing import op4_packing
+from landframe.llm.secret_scan import op6_secret_scan
 from landframe.llm.sharding import op8_sharding
 from landframe.llm.token_counts import op9_token_counts
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_packing": op4_packing,
+    "op5_decontamination": decontaminate.op5_decontamination,
+    "op6_secret_scan": op6_secret_scan,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+#: the others cannot be expressed in SQL (tokenizers, CRC-32, trained models); tests/llm
+#: holds them against brute force
+ORACLE: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
+    "op3_quality_rules": quality_rules.ORACLE,
+    "op5_decontamination": decontaminate.ORACLE,
+}
