@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landframe.llm import decontaminate, license_scan, quality_rules
+from landframe.llm import decontaminate, license_scan, near_duplicates, quality_rules
 from landframe.llm.packing import op4_packing
 from landframe.llm.secret_scan import op6_secret_scan
 from landframe.llm.sharding import op8_sharding
@@ -14,6 +14,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_secret_scan": op6_secret_scan,
+    "op7_jaccard_join": near_duplicates.op7_jaccard_join,
     "op8_sharding": op8_sharding,
     "op9_token_counts": op9_token_counts,
 }
@@ -23,5 +24,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op3_quality_rules": quality_rules.ORACLE,
+    "op7_jaccard_join": near_duplicates.ORACLE,
     "op5_decontamination": decontaminate.ORACLE,
 }
