@@ -37,15 +37,16 @@ def rendezvous_shard(key: Column, weights: Sequence[float]) -> Column:
     if not weights or min(weights) < 0 or max(weights) <= 0:
         raise ValueError("weights must be non-negative with at least one above 0")
     blocks = F.sequence(F.lit(0), F.lit((len(weights) - 1) // 4))
-    digits = F.concat_ws("", F.transform(blocks, lambda b: F.md5(F.concat(key, F.lit("#"), b.cast("string")))))
+    digests = F.transform(blocks, lambda b: F.md5(F.concat(key, F.lit("#"), b.cast("string"))))
+    digits = F.flatten(F.transform(digests, lambda h: F.array(*[F.substring(h, 8 * j + 1, 8) for j in range(4)])))
 
-    def score(w: Column, shard: Column) -> Column:
-        u = (F.conv(F.substring(digits, shard * 8 + 1, F.lit(8)), 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 32)
-        return F.struct((-F.log(u) / w).alias("score"), shard.alias("shard"))
+    def score(eight: Column, w: Column) -> Column:
+        u = (F.conv(eight, 16, 10).cast("double") + 0.5) / F.lit(2.0 ** 32)
+        return F.when(w > 0, -F.log(u) / w)
 
-    scored = F.transform(F.array(*[F.lit(float(w)) for w in weights]),
-                         lambda w, i: F.when(w > 0, score(w, i)))
-    return F.array_min(F.filter(scored, lambda s: s.isNotNull()))["shard"].cast("int")
+    scores = F.zip_with(digits, F.array(*[F.lit(float(w)) for w in weights]), score)
+    ranked = F.transform(scores, lambda s, i: F.when(s.isNotNull(), F.struct(s.alias("score"), i.alias("shard"))))
+    return F.array_min(ranked)["shard"].cast("int")
 
 
 def shard_records(records: DataFrame, key_cols: Sequence[str], weights: Sequence[float],
