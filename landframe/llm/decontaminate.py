@@ -152,12 +152,13 @@ def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: st
     import pyarrow as pa
 
     blocks = benchmark_blocks(benchmark)
-    at = docs.columns.index(text_col)
+    own = docs.columns
+    at = own.index(text_col)
 
     def run(batches: Iterator) -> Iterator:
         tests = [b.value for b in blocks]
         for batch in batches:
-            renamed = batch.rename_columns(["text" if i == at else f"c{i}" for i in range(len(docs.columns))])
+            renamed = batch.rename_columns(["text" if i == at else f"c{i}" for i in range(len(own))])
             for part in text_slices(renamed, 8_000_000):
                 texts = part.column("text").to_pylist()
                 todo, gone = list(range(len(texts))), set()
@@ -171,7 +172,7 @@ def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: st
                 columns = list(part.columns)
                 columns[at] = pa.array(texts, columns[at].type)
                 rest = pa.array([i for i in range(len(texts)) if i not in gone], pa.int64())
-                yield pa.RecordBatch.from_arrays([c.take(rest) for c in columns], names=docs.columns)
+                yield pa.RecordBatch.from_arrays([c.take(rest) for c in columns], names=own)
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -58,6 +58,7 @@ def with_measures(docs: DataFrame, text: Column, name: str = "measures") -> Data
     given = docs.withColumn(name, text)
     at = len(given.columns) - 1
     schema = StructType([*docs.schema.fields, StructField(name, kind)])
+    own = schema.names
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
@@ -65,7 +66,7 @@ def with_measures(docs: DataFrame, text: Column, name: str = "measures") -> Data
             for part in text_slices(renamed):
                 found = list(zip(*map(measure, part.column("text").to_pylist()))) or [[]] * len(MEASURES)
                 struct = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in found], names=MEASURES)
-                yield pa.RecordBatch.from_arrays([*part.columns[:at], struct], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:at], struct], names=own)
 
     return given.mapInArrow(run, schema)
 
