@@ -14,7 +14,7 @@ def suffix_array(sym: np.ndarray, bits: int) -> np.ndarray:
     at once, and what is still tied is doubled (few suffixes, as separators are frequent)."""
     n, width = len(sym), max(1, 62 // bits)
     key, open_ = np.zeros(n, np.int64), np.ones(n, bool)
-    for j in range(width):
+    for j in range(min(width, n)):
         ahead = np.zeros(n, np.int64)
         ahead[:n - j] = sym[j:]
         ahead[~open_] = 0
