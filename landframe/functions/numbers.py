@@ -13,9 +13,15 @@ def to_double(c) -> Column:
     return as_col(c).try_cast("double")
 
 
-def plain_number(c, scale: int = 0) -> Column:
-    """Render a number without scientific notation (``1.0E12`` -> ``1000000000000``)."""
-    return as_col(c).try_cast(f"decimal(38,{scale})").cast("string")
+def plain_number(c, scale: int | None = None) -> Column:
+    """Render a number without scientific notation (``1.0E12`` -> ``1000000000000``).
+
+    All digits are kept (up to 18 after the point, trailing zeros dropped); ``scale`` fixes
+    the digits after the point instead."""
+    if scale is not None:
+        return as_col(c).try_cast(f"decimal(38,{scale})").cast("string")
+    text = as_col(c).try_cast("decimal(38,18)").cast("string")
+    return F.regexp_replace(text, "\\.?0+$", "")
 
 
 def round_half_even(c, digits: int = 0) -> Column:

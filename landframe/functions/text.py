@@ -106,24 +106,22 @@ def contains_any(c, words: Iterable[str]) -> Column:
 
 
 def split_clean(c, pattern: str = "[\\r\\n\\t]", dash_to: str | None = "_") -> Column:
-    """Split text on a separator regex, trim spaces from each piece, drop empty
+    """Split text on a separator regex, remove all spaces from each piece, drop empty
     pieces, map ``-`` to ``dash_to``.
 
-    Written without lambdas so it stays inside whole-stage code generation: one split on
-    runs of separators together with the spaces around them (so pieces arrive trimmed
-    and blank pieces vanish), an outer trim for the first and last piece, and
-    ``array_remove`` for an empty first piece.  ``-`` is mapped on the whole text
-    first; if the separator pattern could itself match ``-`` the piece-wise form is
-    used instead.
+    Written without lambdas so it stays inside whole-stage code generation: spaces are
+    removed and ``-`` mapped on the whole text, one split on runs of separators (so blank
+    pieces vanish), ``array_remove`` for an empty first or last piece.  If the separator
+    pattern could itself match a space or ``-`` the piece-wise form is used instead.
     """
     text = as_col(c)
-    if dash_to is not None and re.fullmatch(pattern, "-"):
-        parts = F.filter(F.transform(F.split(text, pattern), lambda x: F.trim(x)), lambda x: x != F.lit(""))
-        return F.transform(parts, lambda x: F.translate(x, "-", dash_to))
+    if re.fullmatch(pattern, " ") or (dash_to is not None and re.fullmatch(pattern, "-")):
+        parts = F.filter(F.transform(F.split(text, pattern), lambda x: F.replace(x, F.lit(" "), F.lit(""))), lambda x: x != F.lit(""))
+        return F.transform(parts, lambda x: F.translate(x, "-", dash_to)) if dash_to is not None else parts
+    text = F.replace(text, F.lit(" "), F.lit(""))
     if dash_to is not None:
         text = F.translate(text, "-", dash_to)
-    runs = f"(?: *(?:{pattern}) *)+"
-    return F.array_remove(F.split(F.trim(text), runs), F.lit(""))
+    return F.array_remove(F.split(text, f"(?:{pattern})+"), F.lit(""))
 
 
 def strip_prefix(c, prefix: str) -> Column:

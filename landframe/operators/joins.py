@@ -5,9 +5,9 @@ Conventions
 * ``null_keys="match"`` (default) reproduces R's ``merge`` / ``%in%``: a missing key
   matches a missing key.  It is planned as an ordinary equi-join (Spark rewrites
   ``<=>`` keys to ``coalesce`` + ``isnull`` pairs; where a per-key aggregate feeds the
-  join, both sides use one struct key whose null fields compare equal, so the
-  aggregate's partitioning is reused), so sort-merge / hash strategies and AQE skew
-  splitting still apply.  ``null_keys="drop"`` gives SQL semantics.
+  join, both sides use one struct key whose null fields compare equal, plus its hash,
+  because a join that reuses an aggregate's partitioning is never split), so sort-merge /
+  hash strategies and AQE skew splitting apply.  ``null_keys="drop"`` gives SQL semantics.
 * No operator forces a broadcast: the small side of a lookup usually *is* small, and
   AQE turns the shuffle join into a broadcast at run time from measured sizes.  A hot
   key on the large side is split by AQE's skew-join handling.
@@ -136,8 +136,8 @@ def flag_any_match(a: DataFrame, b: DataFrame, key_pairs: Sequence[KeyPair], out
     them (composite key).  Each key is checked by its own equi left-join against the
     *distinct* right keys, so the plan has K hash/sort-merge joins and never the
     nested-loop join an OR-ed join condition would need.  Keys are compared as one
-    struct per side (null fields equal, as R's ``%in%``), so the distinct step's hash
-    partitioning is reused by the join.  ``null_keys="drop"`` lets no key with a null
+    struct per side (null fields equal, as R's ``%in%``) together with its hash, so that
+    both sides are exchanged for the join and AQE can split a hot key of ``a``.  ``null_keys="drop"`` lets no key with a null
     part match; ``ignore_blank`` stops empty text keys from matching each other (the job
     let them match).
     """
@@ -154,7 +154,9 @@ def flag_any_match(a: DataFrame, b: DataFrame, key_pairs: Sequence[KeyPair], out
             for e in rx:
                 right = right.filter(e.isNull() | (e.cast("string") != ""))
         right = right.select(_struct_key(rx).cast(_key_type(cur, lname)).alias(lname)).distinct()
-        cur = cur.join(right.withColumn(marker, F.lit(1)), lname, "left").drop(lname)
+        hashed = f"__h{i}"
+        right = right.withColumns({hashed: F.xxhash64(lname), marker: F.lit(1)})
+        cur = cur.withColumn(hashed, F.xxhash64(lname)).join(right, [lname, hashed], "left").drop(lname, hashed)
         markers.append(marker)
     hit = F.coalesce(*[F.col(m) for m in markers])
     return cur.withColumn(out, F.when(hit.isNotNull(), F.lit(1)).otherwise(F.lit(0))).drop(*markers)
@@ -187,8 +189,8 @@ def lookup_first(a: DataFrame, b: DataFrame, left_on, right_on, order_by: Sequen
     ``order_by`` and the number of matching records; unmatched inputs dropped.
 
     Clashing attribute names keep the input's value (the right value is not copied).
-    The per-key table is grouped and joined on one struct key, so its aggregation
-    partitioning is reused by the join.
+    The per-key table is joined on its struct key and the key's hash, so that both sides
+    are exchanged for the join and AQE can split a hot key of ``a``.
     """
     pairs = _pairs(left_on, right_on)
     lkeys, rkeys = [lk for lk, _ in pairs], [rk for _, rk in pairs]
@@ -201,7 +203,8 @@ def lookup_first(a: DataFrame, b: DataFrame, left_on, right_on, order_by: Sequen
                              .cast(_key_type(left, "__fk"))).drop(*rkeys)
     first = first_match_table(right, ["__fk"], order_by, count_col)
     keep = [c for c in first.columns if c != "__fk" and c not in a.columns]
-    joined = left.join(first.select("__fk", *keep), "__fk", "inner")
+    hashed = F.xxhash64("__fk").alias("__fh")
+    joined = left.select("*", hashed).join(first.select("__fk", hashed, *keep), ["__fk", "__fh"], "inner")
     return joined.select(*[F.col(f"`{c}`") for c in a.columns], *[F.col(f"`{c}`") for c in keep])
 
 

@@ -71,19 +71,21 @@ def split_columns(df: DataFrame, col: str, sep: str, names: Sequence[str]) -> Da
 
 
 def tag_matrix(df: DataFrame, name_col: str, tag_col: str, order_by: Sequence[str],
-               sep: str = " ", mark: int = 1) -> DataFrame:
+               sep: str = " ", mark: int = 1, vocab: Sequence[str] | None = None) -> DataFrame:
     """Turn a space-separated tag cell into one indicator column per tag.
 
     Steps: split the tags to rows, drop empty pieces, keep the first row per
     (name, tag) by ``order_by``, widen with ``mark`` where present (every tag that
     occurs becomes a column, one-character tags included), then stack back the rows
-    whose tag cell was null, with every tag column null.
+    whose tag cell was null, with every tag column null.  Without ``vocab`` the tags are
+    read from the cells, which fails above ``spark.sql.pivotMaxValues`` tags.
     """
     ids = [c for c in df.columns if c != tag_col]
     blanks = df.filter(qcol(tag_col).isNull()).drop(tag_col)
     long = split_rows(df.filter(qcol(tag_col).isNotNull()), tag_col, sep, keep_null=False)
     long = long.filter(qcol(tag_col) != "")
+    vocab = pivot_vocabulary(long, tag_col) if vocab is None else vocab
     long = first_per_key(long, [name_col, tag_col], order_by)
     long = long.withColumn("__has", F.lit(mark))
-    wide = widen(long, ids, tag_col, "__has")
+    wide = widen(long, ids, tag_col, "__has", vocab)
     return stack_fill([wide, blanks])

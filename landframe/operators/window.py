@@ -4,7 +4,9 @@ None of them uses a window without ``partitionBy`` over the data, and none relie
 per-key window where a single key could hold a third of the rows:
 
 * group counts/sums are computed by a partial (map-side combined) aggregate and joined
-  back; AQE splits a hot key on the large side of that join;
+  back on the key and its hash, so that both sides of the join are exchanged for it and
+  AQE can split a hot key of the rows (a join that reuses the aggregate's own
+  partitioning is never split);
 * first-per-key takes ``min(struct(order..., row))`` per key, again a partial aggregate;
 * global row numbers come from a range-partitioned, reliably checkpointed copy, a
   per-partition count (one number per partition) and a broadcast of those offsets.
@@ -27,11 +29,13 @@ def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _join_back(keyed: DataFrame, per_key: DataFrame) -> DataFrame:
-    """Join per-key results back onto the rows.  Both sides are keyed by the same
-    ``__gk``, so the aggregate's own hash partitioning is reused by the join (one
-    shuffle of the rows, one of the pre-reduced aggregate) and AQE can split a hot key."""
-    out = keyed.join(per_key, "__gk").drop("__gk")
-    return out
+    """Join per-key results back onto the rows.
+
+    The key's hash is a second join key: the aggregate's partitioning does not satisfy the
+    join, so its few rows are exchanged once more, and with a plain exchange on both sides
+    AQE can split the rows of a hot key over many tasks."""
+    rows = keyed.withColumn("__gh", F.xxhash64("__gk"))
+    return rows.join(per_key.withColumn("__gh", F.xxhash64("__gk")), ["__gk", "__gh"]).drop("__gk", "__gh")
 
 
 def add_count(df: DataFrame, keys: Sequence[str], out: str = "n", method: str = "join") -> DataFrame:
@@ -82,13 +86,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
 def find_repeats(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Every row after the first of its key (the job's duplicate report).
 
-    ``order_by`` must make rows unique inside a key (e.g. end with a row id); the first
-    row's order tuple is found by a partial aggregate and joined back.
+    Rows that tie on ``order_by`` are told apart by their other columns; of wholly equal
+    first rows one is the first and the others are repeats.  Equal rows are counted before
+    the join, the first row per key is a partial aggregate, joined back.
     """
-    keyed = _keyed(df, list(keys))
-    firsts = keyed.groupBy("__gk").agg(F.min(_order_struct(order_by)).alias("__first"))
+    rest = [c for c in df.columns if c not in order_by]
+    order = _order_struct([*order_by, *rest])
+    counted = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    keyed = _keyed(counted, list(keys))
+    firsts = keyed.groupBy("__gk").agg(F.min(order).alias("__first"))
     joined = _join_back(keyed, firsts)
-    return joined.filter(_order_struct(order_by) > F.col("__first")).drop("__first")
+    more = F.col("__n") - F.when(order == F.col("__first"), F.lit(1)).otherwise(F.lit(0))
+    # equal rows come back one by one
+    out = joined.withColumn("__copy", F.explode(F.sequence(F.lit(0), more))).filter("__copy > 0")
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def add_row_id(df: DataFrame, order_by: Sequence[str], out: str = "row_id", prefix: str | None = None,
@@ -101,8 +112,9 @@ def add_row_id(df: DataFrame, order_by: Sequence[str], out: str = "row_id", pref
     a recomputation could move rows); count rows per partition (one row each); running
     offsets over those counts; broadcast the offsets (size = number of partitions).
     """
-    # without an explicit count AQE sizes the range partitions from the data (coalescing
-    # keeps neighbouring ranges together, so partition ids stay in order)
+    # without an explicit count there are spark.sql.shuffle.partitions ranges, of which AQE
+    # only merges small neighbours (partition ids stay in order); give num_partitions, or
+    # raise that setting, so that a range of the data fits a task
     ranged = df.repartitionByRange(num_partitions, *order_by) if num_partitions else df.repartitionByRange(*order_by)
     ranged = (ranged.sortWithinPartitions(*order_by)
               .withColumn("__pid", F.spark_partition_id())

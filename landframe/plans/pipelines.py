@@ -27,7 +27,8 @@ def population_change(wide: DataFrame, ids: Sequence[str], area_col: str, p0: st
     the other periods are never expanded) -> melt to (ids, period, count) -> keep rows
     of the two periods -> per-area sums of each period in one conditional-aggregation
     pass, null-poisoned like R's ``sum`` -> ``change = p1 - p0`` -> optionally merge
-    the result onto an area attribute table (``areas``, key ``area_key``).
+    the result onto an area attribute table (``areas``, key ``area_key``), which keeps
+    every area, with nulls where it has no data.
     """
     out0, out1 = out0 or f"Y{p0}", out1 or f"Y{p1}"
     narrow = wide.select(*[F.col(f"`{c}`") for c in ids], F.col(f"`{p0}`"), F.col(f"`{p1}`"))
@@ -35,7 +36,7 @@ def population_change(wide: DataFrame, ids: Sequence[str], area_col: str, p0: st
     long = long.filter(F.col("period").isin(str(p0), str(p1)))
     res = period_change(long, [area_col], "period", str(p0), str(p1), "count", out0, out1)
     if areas is not None:
-        res = merge_on(areas, res, area_key, area_col)
+        res = merge_on(areas, res, area_key, area_col, "left")
     return res
 
 
@@ -58,7 +59,7 @@ def postcode_quality(records: DataFrame, id_col: str, postcode_col: str, start_c
 
 
 def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by: Sequence,
-                    batch_size: int = 100_000, x: str = "X_COORDINATE", y: str = "Y_COORDINATE",
+                    batch_size: int | None = 100_000, x: str = "X_COORDINATE", y: str = "Y_COORDINATE",
                     uprn: str = "UPRN", parent: str = "PARENT_UPRN", crs: str = "EPSG:27700",
                     boundary_crs: str = "EPSG:27700") -> tuple[DataFrame, DataFrame, DataFrame]:
     """L1: shape one address release and clip it to a boundary.
@@ -66,7 +67,8 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     Steps: keep the raw id as ``OBJECTID``; pad ids to 12 characters (never cut);
     coordinates to numbers rounded half-even to 2 places; ``FLAT`` = rows sharing the
     coordinate pair; ``update_date`` release stamp; ``group`` = insert batch of
-    ``batch_size`` rows in ``order_by`` order; rows with unusable coordinates set aside;
+    ``batch_size`` rows in ``order_by`` order (``None``: no batch column, and neither the
+    sort nor the written copy it costs); rows with unusable coordinates set aside;
     names lower-cased; points moved into the boundary's coordinate system (a no-op that
     only records the CRS when both are the same); clip to the boundary polygons.
 
@@ -82,8 +84,9 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     # batch numbers first: the numbering checkpoints its input, so the flat count below
     # is computed once, from the checkpoint, instead of inside the sampling and
     # checkpoint jobs as well
-    df = df.withColumn("__order", F.struct(*order_by))
-    df = add_batch(df, batch_size, ["__order"], "group").drop("__order")
+    if batch_size is not None:
+        df = df.withColumn("__order", F.struct(*order_by))
+        df = add_batch(df, batch_size, ["__order"], "group").drop("__order")
     df = df.withColumns({uprn: pad_left(uprn, 12), parent: pad_left(parent, 12),
                          x: round_half_even(to_double(x), 2), y: round_half_even(to_double(y), 2)})
     df = add_count(df, [x, y], "FLAT")
@@ -95,23 +98,34 @@ def address_release(raw: DataFrame, boundary: DataFrame, release: str, order_by:
     return ok, clipped, lower_names(rejected)
 
 
-def publish_address_release(all_rows: DataFrame, clipped: DataFrame, root: str,
-                            jdbc_url: str | None = None, key: str = "objectid") -> DataFrame:
-    """L1 sinks: both frames to release-partitioned Parquet (fan-out), optionally to a
-    database table each (replace load, key checked first), then one status row."""
+def publish_address_release(all_rows: DataFrame, boundary: DataFrame, root: str, release: str, min_rows: int = 1000,
+                            tables: tuple[str, str] = ("all", "clipped"), jdbc_url: str | None = None,
+                            key: str = "objectid", release_col: str = "update_date", x: str = "x_coordinate",
+                            y: str = "y_coordinate", crs: str = "EPSG:27700", boundary_crs: str = "EPSG:27700") -> DataFrame:
+    """L1 sinks: the shaped rows are computed once and fan out to two outputs, all rows and
+    those inside ``boundary`` (moved into its coordinate system), each as release-partitioned Parquet under ``root`` and
+    optionally as a database table (replace load, key checked first).
+
+    Returns one status row per output, from the rows of the loaded ``release`` alone.  An
+    empty release empties its partition: what an earlier load left there is removed."""
     from landframe.operators.quality import row_gate
+    from landframe.operators.spatial import clip, reproject
     from landframe.sources.files import fan_out, replace_table, write_release
-    sinks = {
-        "all": (lambda d: d, lambda d: write_release(d, f"{root}/all", "update_date")),
-        "clipped": (lambda d: d, lambda d: write_release(d, f"{root}/clipped", "update_date")),
-    }
-    fan_out(all_rows, {"all": sinks["all"]})
-    fan_out(clipped, {"clipped": sinks["clipped"]})
-    if jdbc_url:
-        replace_table(all_rows.drop("group"), jdbc_url, "addbase", key)
-        replace_table(clipped.drop("group"), jdbc_url, "addbase_ldn", key)
-    written = all_rows.sparkSession.read.parquet(f"{root}/clipped")
-    return row_gate(written, "addbase_ldn", 1000)
+    spark = all_rows.sparkSession
+
+    def sink(name: str):
+        def write(df: DataFrame) -> None:
+            write_release(df, f"{root}/{name}", release_col, replaces=[release])
+            if jdbc_url:
+                loaded = spark.read.schema(df.schema).parquet(f"{root}/{name}").filter(F.col(release_col) == release)
+                replace_table(loaded.drop("group"), jdbc_url, name, key)
+        return write
+
+    whole, inside = tables
+    fan_out(all_rows, {whole: (lambda d: d, sink(whole)), inside: (lambda d: clip(reproject(d, x, y, crs, boundary_crs), boundary, x, y), sink(inside))})
+    status = [row_gate(spark.read.schema(all_rows.schema).parquet(f"{root}/{t}").filter(F.col(release_col) == release), t, min_rows)
+              for t in tables]
+    return status[0].unionByName(status[1])
 
 
 def address_graph(raw: DataFrame, names: Sequence[str], date_cols: Sequence[str],
@@ -140,23 +154,27 @@ def address_graph(raw: DataFrame, names: Sequence[str], date_cols: Sequence[str]
 
 def building_heights(layer: DataFrame, heights: DataFrame, tiles: Sequence[str] = ("TQ", "TL"),
                      theme: str = "Buildings", prefix: str = "osgb", order_by: Sequence[str] = ("BHA_ProcessDate",),
-                     renames: dict | None = None) -> DataFrame:
+                     renames: dict | None = None, every_match: bool = False) -> DataFrame:
     """L2: attach building heights to map-layer features.
 
-    Heights rows are kept for the wanted tiles (text contains any tile code); their key
-    gets the layer's ``osgb`` prefix; layer features are kept for one theme; every
-    feature with a height takes the first height row by ``order_by`` plus the number of
-    height rows for it (features without heights drop out); the process date is
+    Heights rows are kept for the wanted tiles (text contains any tile code); the ``osgb``
+    prefix is taken off their key, because the layer's ids are plain; layer features are
+    kept for one theme; every feature with a height takes the first height row by
+    ``order_by`` plus the number of height rows for it (features without heights drop out),
+    or with ``every_match`` is repeated for each of its height rows; the process date is
     re-emitted as ``yyyyMMddHHmmss``; attributes renamed where present.
     """
-    from landframe.functions import add_prefix, contains_any, normalise_datetime
+    from landframe.functions import contains_any, normalise_datetime, strip_prefix
     from landframe.operators.columns import rename_if_present
-    from landframe.operators.joins import lookup_first
+    from landframe.operators.joins import lookup_first, merge_duplicating
 
     h = heights.filter(contains_any("TileRef", tiles))
-    h = h.withColumn("TOID", add_prefix("OS_TOPO_TOID", prefix)).drop("OS_TOPO_TOID")
+    h = h.withColumn("TOID", strip_prefix("OS_TOPO_TOID", prefix)).drop("OS_TOPO_TOID")
     feats = layer.filter(F.col("Theme") == theme)
-    joined = lookup_first(feats, h, "TOID", "TOID", list(order_by), count_col="match_count")
+    if every_match:
+        joined = merge_duplicating(feats, h, "TOID", "TOID")
+    else:
+        joined = lookup_first(feats, h, "TOID", "TOID", list(order_by), count_col="match_count")
     joined = joined.withColumn("BHA_ProcessDate", normalise_datetime("BHA_ProcessDate"))
     return rename_if_present(joined, renames or {})
 
@@ -165,20 +183,20 @@ def building_heights(layer: DataFrame, heights: DataFrame, tiles: Sequence[str]
 
 
 def flats_by_area(addresses: DataFrame, areas: DataFrame, x: str, y: str, order_by: Sequence[str],
-                  area_attrs: Sequence[str] = ("name",), crs: str = "EPSG:27700",
-                  areas_crs: str = "EPSG:27700") -> DataFrame:
-    """Per area polygon, the number of addresses at coordinates shared by more than
-    one address.  Points are moved into the areas' coordinate system (no-op when equal),
-    tagged with their area (point-in-polygon), points outside every area dropped, each
-    coordinate counted once with the area of its first row, counts above one summed per
-    area, area attributes joined on."""
+                  code_col: str = "ward_code", area_key: str = "poly_id", area_attrs: Sequence[str] = ("name",),
+                  crs: str = "EPSG:27700", areas_crs: str = "EPSG:27700") -> DataFrame:
+    """Per area, the number of addresses at coordinates shared by more than one address.
+
+    Points are moved into the areas' coordinate system (no-op when equal) and clipped to the
+    areas; each coordinate is counted once, under the area code that its first address
+    carries (not the polygon it lies in); counts above one are summed per code and joined to
+    the areas whose ``area_key`` is that code."""
     from landframe.operators.aggregate import multi_occupancy
-    from landframe.operators.spatial import reproject, tag_with_polygon
+    from landframe.operators.spatial import clip, reproject
 
-    located = reproject(addresses, x, y, crs, areas_crs)
-    tagged = tag_with_polygon(located, areas, x, y, [], pick="last").filter(F.col("poly_id").isNotNull())
-    per_area = multi_occupancy(tagged, x, y, "poly_id", order_by)
-    return merge_on(areas.select("poly_id", *area_attrs), per_area, "poly_id", "poly_id")
+    inside = clip(reproject(addresses, x, y, crs, areas_crs), areas, x, y)
+    per_code = multi_occupancy(inside, x, y, code_col, order_by)
+    return merge_on(areas.select(area_key, *area_attrs), per_code, area_key, code_col)
 
 
 def postcodes_in_subareas(points: DataFrame, polygons: DataFrame, lookup_rows: DataFrame,
@@ -215,18 +233,19 @@ OFSTED_CODES = [("Not in special measures", "1"), ("Not applicable", "2"), ("In
 
 def schools_update(register: DataFrame, previous: DataFrame, workforce: DataFrame, healthy: DataFrame,
                    healthy_cols: dict, ratio_col: str = "Pupil......Teacher.Ratio",
-                   keep: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                   keep: Sequence[str] | None = None, output: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """L3: refresh the schools table and cross-flag it with a programme report.
 
     Register fields renamed where present; ``AGE`` = low-high, ``BoyGirl_R`` = boys /
     girls rounded half-even to 4 (null when no girls), telephone regrouped 4+7, special
-    measures recoded; merged with the previous table and the workforce table on URN;
-    text casts.  Both sides get three match keys - URN (trimmed), postcode (upper case,
+    measures recoded; merged on URN onto the previous table, which keeps
+    all its rows, and with the workforce table; text casts.  Both sides get three match keys - URN (trimmed), postcode (upper case,
     no spaces) and school name + area - and each side is flagged 1 when any key occurs
     on the other side (``healthyschools_2017`` / ``found``).
 
     ``healthy_cols`` names the report's columns: ``name``, ``borough``, ``postcode``,
-    ``urn``.  Returns ``(schools, report)``.
+    ``urn``.  Schools come out without the helper key, URN as text, with the columns
+    ``output`` in that order (default: all).  Returns ``(schools, report)``.
     """
     from landframe.functions import compact_key, paste, recode, regroup, replace_all, safe_ratio, trim_ws
     from landframe.operators.columns import rename_if_present
@@ -241,8 +260,9 @@ def schools_update(register: DataFrame, previous: DataFrame, workforce: DataFram
     })
     if keep:
         df = df.select(*keep)
-    df = merge_on(previous, df, "URN", "URN")
-    df = merge_on(df, workforce, "URN", "URN")
+    # a merge onto the spatial table keeps all its rows
+    df = merge_on(previous, df, "URN", "URN", "left")
+    df = merge_on(df, workforce, "URN", "URN", "left")
     df = df.withColumnRenamed(ratio_col, "PupilTeach_R")
     text_cols = [c for c in ("WEBLINK", "SCHOOL_NAME", "TYPE", "PHASE", "ADDRESS", "TOWN", "POSTCODE",
                              "STATUS", "GENDER", "WARD_NAME") if c in df.columns]
@@ -254,7 +274,10 @@ def schools_update(register: DataFrame, previous: DataFrame, workforce: DataFram
     df = df.withColumn("working", paste("SCHOOL_NAME", "LA_NAME"))
     s_keys = [F.col("URN").cast("string"), F.replace(F.col("POSTCODE"), F.lit(" "), F.lit("")), F.col("working")]
     h_keys = [trim_ws(F.col(healthy_cols["urn"]).cast("string")), compact_key(healthy_cols["postcode"]), F.col("working")]
-    schools = flag_any_match(df, h, list(zip(s_keys, h_keys)), "healthyschools_2017")
+    schools = flag_any_match(df, h, list(zip(s_keys, h_keys)), "healthyschools_2017").drop("working")
+    schools = schools.withColumn("URN", F.col("URN").cast("string"))
+    if output:
+        schools = schools.select(*output)
     report = flag_any_match(h, df, list(zip(h_keys, s_keys)), "found")
     return schools, report
 
@@ -277,12 +300,12 @@ def award_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
                 first_row: int = 2, last_row: int = 33) -> DataFrame:
     """L9 (first half): the award summary table of a page as rows.
 
-    Table cells (H6) widened to one row per table row, columns named positionally,
-    borough spellings fixed (first occurrence), rows ``first_row..last_row`` kept (the
-    first row is a total), sorted by borough."""
+    Table cells (H6) widened to one row per table row, the first five columns named
+    positionally (further ones are not read), borough spellings fixed (first occurrence),
+    rows ``first_row..last_row`` of every table kept (1-based; the first row is a total),
+    sorted by borough."""
     from landframe.functions import replace_first
     from landframe.operators.columns import rename_all
-    from landframe.operators.filters import slice_rows
     from landframe.operators.reshape import widen
     from landframe.sources.pages import extract_table
 
@@ -293,7 +316,7 @@ def award_table(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     for old, new in BOROUGH_FIXES:
         b = replace_first(b, old, new)
     t = t.withColumn("BOROUGH", b)
-    t = slice_rows(t, first_row, last_row, [F.col(id_col), F.col("tbl"), F.col("row")])
+    t = t.filter(F.col("row").between(first_row - 1, last_row - 1))
     return t.select(*AWARD_NAMES).orderBy("BOROUGH")
 
 
@@ -317,17 +340,20 @@ def school_repeats(report: DataFrame, name_col: str, borough_col: str, order_by:
 
 
 def planning_records(pages: DataFrame, record_col: str = "record_id", page_col: str = "page_id",
-                     html_col: str = "html", reference: str = "Reference") -> DataFrame:
+                     html_col: str = "html", reference: str = "Reference",
+                     vocab: Sequence[str] | None = None) -> DataFrame:
     """Planning records assembled from two-column detail tables.
 
     Each record's details are spread over several pages (a main page and a "further
     information" page share one ``record_col``).  Every table row ``(X1, X2)`` of those
     pages is a key/value pair; a record's pairs are stacked, exact duplicates dropped,
     the first value per key kept (page, then row order), keys widened to columns (null
-    where a record lacks one), and one record kept per ``reference`` value (lowest
-    record id).  Records without a reference are dropped.
+    where a record lacks one), and the latest record (highest id) kept per ``reference``
+    value, as each new record is put on top of the earlier ones; records without a
+    reference count as one value.  ``vocab`` names the keys; without it they are read from
+    the pairs, which fails above ``spark.sql.pivotMaxValues`` keys.
     """
-    from landframe.operators.reshape import widen
+    from landframe.operators.reshape import pivot_vocabulary, widen
     from landframe.operators.setops import distinct_rows
     from landframe.operators.window import first_per_key
     from landframe.sources.pages import extract_table
@@ -339,11 +365,12 @@ def planning_records(pages: DataFrame, record_col: str = "record_id", page_col:
     kv = kv.join(pages.select(page_col, record_col), page_col)
     kv = kv.filter(F.col("key").isNotNull() & (F.col("key") != ""))
     kv = distinct_rows(kv.select(record_col, "key", "value", page_col, "tbl", "row"))
+    vocab = pivot_vocabulary(kv, "key") if vocab is None else vocab
     kv = first_per_key(kv, [record_col, "key"], [page_col, "tbl", "row"])
-    wide = widen(kv.select(record_col, "key", "value"), [record_col], "key", "value")
+    wide = widen(kv.select(record_col, "key", "value"), [record_col], "key", "value", vocab)
     if reference not in wide.columns:
-        return wide.limit(0)
-    return first_per_key(wide.filter(F.col(reference).isNotNull()), [reference], [record_col])
+        wide = wide.withColumn(reference, F.lit(None).cast("string"))
+    return first_per_key(wide, [reference], [record_col], descending=True)
 
 
 def map_layer_load(spark, paths, layers: dict, root: str | None = None,

@@ -223,7 +223,8 @@ def p_columns(spark, sf_dir):
 SELECT c_custkey,
        TRY_CAST(c_name AS DOUBLE) AS name_num,
        TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) AS bal_num,
-       CAST(CAST(c_custkey * 1e12 AS DECIMAL(38,0)) AS VARCHAR) AS big_plain
+       CAST(CAST(c_custkey * 1e12 AS DECIMAL(38,0)) AS VARCHAR) AS big_plain,
+       regexp_replace(regexp_replace(CAST(CAST(CAST(c_acctbal AS VARCHAR) AS DECIMAL(38,18)) AS VARCHAR), '0+$', ''), '[.]$', '') AS bal_plain
 FROM customer
 """)
 def p11_p12_numbers(spark, sf_dir):
@@ -231,7 +232,8 @@ def p11_p12_numbers(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.select("c_custkey", X.to_double("c_name").alias("name_num"),
                     X.to_double(F.col("c_acctbal").cast("string")).alias("bal_num"),
-                    X.plain_number(F.col("c_custkey") * F.lit(1e12)).alias("big_plain"))
+                    X.plain_number(F.col("c_custkey") * F.lit(1e12)).alias("big_plain"),
+                    X.plain_number("c_acctbal").alias("bal_plain"))
 
 
 @register("f1_f2_filters", sql="""
@@ -308,6 +310,30 @@ def f5_f6_nulls_length(spark, sf_dir):
     return FL.keep_min_length(j, "c_name", 5).select("c_custkey", "o_orderkey")
 
 
+@register("f6_non_empty", sql="""
+SELECT c_custkey, c_mktsegment, label FROM (
+  SELECT c_custkey, c_mktsegment, CASE c_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE c_name END AS label FROM customer)
+WHERE label <> '' AND length(c_mktsegment) > 8
+""")
+def f6_non_empty(spark, sf_dir):
+    """rows whose label is neither missing nor empty and whose segment is long enough."""
+    c = table(spark, sf_dir, "customer")
+    label = F.when(F.col("c_nationkey") % 4 == 0, F.lit("")).when(F.col("c_nationkey") % 4 != 1, F.col("c_name"))
+    rows = c.select("c_custkey", "c_mktsegment", label.alias("label"))
+    return FL.keep_min_length(FL.keep_non_empty(rows, "label"), "c_mktsegment", 8)
+
+
+@register("f5_keep_null", sql="""
+SELECT o_orderkey, o_custkey, c_custkey FROM orders
+LEFT JOIN (SELECT c_custkey FROM customer WHERE c_nationkey >= 5) ON o_custkey = c_custkey WHERE c_custkey IS NULL
+""")
+def f5_keep_null(spark, sf_dir):
+    """orders without a match in a table of customers that lacks some nations."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, sf_dir, "customer").filter(F.col("c_nationkey") >= 5).select("c_custkey")
+    return o.join(c, o["o_custkey"] == c["c_custkey"], "left").filter(F.col("c_custkey").isNull())
+
+
 @register("f7_slice", sql="""
 SELECT o_orderkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 32 OFFSET 1

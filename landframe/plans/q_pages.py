@@ -31,10 +31,15 @@ def _positions(list_expr: str) -> str:
     return f"unnest(generate_series(0, len({list_expr}) - 1))"
 
 
+# every link of a page in order: a value in double quotes, single quotes or none
+_LINKS = r"""list_transform(regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'),
+    '(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1),
+    lambda h: CASE WHEN h[1] IN ('"', chr(39)) THEN h[2:-2] ELSE h END)"""
+
+
 @register("h1_links", sql=f"""
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM (
-  SELECT page_id, unnest(l) AS href, {_positions('l')} AS pos
-  FROM (SELECT page_id, regexp_extract_all({_CLEAN}, {_q(H.HREF_PATTERN)}, 1) AS l FROM pages))
+  SELECT page_id, unnest(l) AS href, {_positions('l')} AS pos FROM (SELECT page_id, {_LINKS} AS l FROM pages))
 """)
 def h1_links(spark, sf_dir):
     """H1: every link of every page, in order."""
@@ -44,12 +49,24 @@ def h1_links(spark, sf_dir):
 @register("h2_filter_links", sql=f"""
 SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM (
   SELECT page_id, unnest(l) AS href, {_positions('l')} AS pos
-  FROM (SELECT page_id, regexp_extract_all({_CLEAN}, {_q(H.HREF_PATTERN)}, 1) AS l FROM pages))
-WHERE href IS NOT NULL AND length(href) > 5
+  FROM (SELECT page_id, list_filter({_LINKS}, lambda h: length(h) > 5) AS l FROM pages))
 """)
 def h2_filter_links(spark, sf_dir):
-    """H2: links longer than 5 characters."""
-    return H.filter_links(h1_links(spark, sf_dir), 5)
+    """H2: links longer than 5 characters, numbered anew."""
+    return H.filter_links(table(spark, sf_dir, "pages"), "page_id", "html", 5)
+
+
+@register("h5_filtered_pairs", sql=f"""
+WITH k AS (SELECT page_id, unnest(l) AS href, {_positions('l')} AS pos
+           FROM (SELECT page_id, list_filter({_LINKS}, lambda h: length(h) > 5) AS l FROM pages)),
+n AS (SELECT page_id, unnest(l) AS text, {_positions('l')} AS pos
+      FROM (SELECT page_id, list_transform(regexp_extract_all({_CLEAN}, {_q(H.element_pattern('li'))}, 1), lambda f: {_text_sql('f')}) AS l FROM pages))
+SELECT page_id, CAST(pos AS INTEGER) AS pos, text, href FROM n JOIN k USING (page_id, pos)
+""")
+def h5_filtered_pairs(spark, sf_dir):
+    """H1 -> H2 -> H5: the i-th list item with the i-th link that is long enough."""
+    pages = table(spark, sf_dir, "pages")
+    return H.zip_pairs(H.extract_text(pages, "page_id", "html", "li"), H.filter_links(pages, "page_id", "html", 5), "page_id")
 
 
 @register("h3_text", sql=f"""
@@ -76,7 +93,7 @@ def h3_title(spark, sf_dir):
 SELECT doc_id, CAST(pos AS INTEGER) AS pos, name FROM (
   SELECT doc_id, unnest(l) AS name, unnest(generate_series(0, len(l) - 1)) AS pos FROM (
     SELECT doc_id,
-           list_transform(list_filter(list_transform(string_split_regex(text, '[\\r\\n\\t]'), lambda x: trim(x)),
+           list_transform(list_filter(list_transform(string_split_regex(text, '[\\r\\n\\t]'), lambda x: replace(x, ' ', '')),
                                       lambda x: x <> ''), lambda x: replace(x, '-', '_')) AS l
     FROM documents))
 """)
@@ -90,7 +107,7 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, n[pos + 1] AS name, k[pos + 1] AS h
   SELECT page_id, n, k, unnest(generate_series(0, greatest(len(n), len(k)) - 1)) AS pos FROM (
     SELECT page_id,
       list_transform(regexp_extract_all({_CLEAN}, {_q(H.element_pattern('li'))}, 1), lambda f: {_text_sql('f')}) AS n,
-      regexp_extract_all({_CLEAN}, {_q(H.HREF_PATTERN)}, 1) AS k
+      {_LINKS} AS k
     FROM pages))
 """)
 def h5_zip_pairs(spark, sf_dir):
@@ -121,13 +138,10 @@ def h6_tables(spark, sf_dir):
 
 
 @register("h7_kv_records", sql="""
-PIVOT (
-  SELECT conv_id, role, text FROM (
-    SELECT conv_id, role, text,
-           row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS rn
-    FROM (SELECT DISTINCT conv_id, role, text, turn FROM conversations))
-  WHERE rn = 1)
-ON role USING first(text) GROUP BY conv_id
+WITH f AS (SELECT conv_id, role, arg_min(text, (turn, text)) AS text FROM conversations GROUP BY conv_id, role)
+SELECT conv_id, max(CASE WHEN role = 'assistant' THEN text END) AS assistant,
+       max(CASE WHEN role = 'system' THEN text END) AS system, max(CASE WHEN role = 'user' THEN text END) AS "user"
+FROM f GROUP BY conv_id
 """)
 def h7_kv_records(spark, sf_dir):
     """H7: (conversation, role, text) rows -> one record per conversation with the first

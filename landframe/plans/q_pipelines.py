@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,7 +15,9 @@ from landframe.plans.q_functions import _DATE_TEXT_SQL, _POSTCODE_SQL, _date_tex
 from landframe.plans.q_spatial import _HITS_SQL, _names_sql, polygons
 from landframe.plans.registry import register
 from landframe.plans.tables import table
+from landframe.session import checkpoint_dir
 from landframe.sources.files import lookup
+from landframe.sources.pages import extract_table
 
 
 @register("l4_period_change", sql="""
@@ -29,7 +33,7 @@ s AS (
 SELECT n.n_nationkey, n.n_name, n.n_regionkey,
        CAST(s.y0 AS DOUBLE) AS Y1996, CAST(s.y1 AS DOUBLE) AS Y2000,
        CAST(s.y1 - s.y0 AS DOUBLE) AS change
-FROM nation n JOIN s ON n.n_nationkey = s.area
+FROM nation n LEFT JOIN s ON n.n_nationkey = s.area
 """)
 def l4_period_change(spark, sf_dir):
     """L4: order value per nation, 1996 vs 2000, from a wide per-year table."""
@@ -78,7 +82,7 @@ def l1_address_clipped(spark, sf_dir):
 
 @register("l2_building_heights", sql="""
 WITH h AS (
-  SELECT 'osgb' || CAST(l_partkey AS VARCHAR) AS TOID,
+  SELECT CAST(l_partkey AS VARCHAR) AS TOID,
          CASE l_returnflag WHEN 'A' THEN 'TQ' WHEN 'N' THEN 'TL' ELSE 'SU' END || l_linestatus AS TileRef,
          strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS pdate, l_quantity AS RelH2,
          l_orderkey * 8 + l_linenumber AS ROW_REF
@@ -90,26 +94,44 @@ r AS (
 SELECT r.TOID, p.p_size AS FeatureCode, 'Buildings' AS Theme, r.TileRef,
        strftime(strptime(r.pdate, '%Y-%m-%d %H:%M:%S'), '%Y%m%d%H%M%S') AS BHA_ProcessDate,
        r.RelH2 AS height_rel, r.ROW_REF, r.match_count
-FROM part p JOIN r ON 'osgb' || CAST(p.p_partkey AS VARCHAR) = r.TOID AND r.rn = 1
+FROM part p JOIN r ON CAST(p.p_partkey AS VARCHAR) = r.TOID AND r.rn = 1
 WHERE p.p_type = 'ECONOMY'
 """)
 def l2_building_heights(spark, sf_dir):
     """L2: building heights (tile filter, key repair, first match + count, date format)
     attached to the 'Buildings' features of a layer."""
+    layer, heights = _height_inputs(spark, sf_dir)
+    return P.building_heights(layer, heights, order_by=["BHA_ProcessDate", "ROW_REF"],
+                              renames={"RelH2": "height_rel", "NotThere": "x"})
+
+
+@register("l2_every_height", sql="""
+SELECT CAST(p_partkey AS VARCHAR) AS TOID, p_size AS FeatureCode, strftime(l_shipdate, '%Y%m%d') || '000000' AS BHA_ProcessDate,
+       l_quantity AS height_rel, l_orderkey * 8 + l_linenumber AS ROW_REF
+FROM part JOIN lineitem ON l_partkey = p_partkey WHERE p_type = 'ECONOMY' AND l_returnflag IN ('A', 'N')
+""")
+def l2_every_height(spark, sf_dir):
+    """L2, one to many: every feature repeated for each of its height rows."""
+    layer, heights = _height_inputs(spark, sf_dir)
+    out = P.building_heights(layer, heights, renames={"RelH2": "height_rel"}, every_match=True)
+    return out.select("TOID", "FeatureCode", "BHA_ProcessDate", "height_rel", "ROW_REF")
+
+
+def _height_inputs(spark, sf_dir):
+    """A layer with plain ids and heights whose ids carry the ``osgb`` prefix."""
     p = table(spark, sf_dir, "part")
-    layer = p.select(F.concat(F.lit("osgb"), F.col("p_partkey").cast("string")).alias("TOID"),
+    layer = p.select(F.col("p_partkey").cast("string").alias("TOID"),
                      F.col("p_size").alias("FeatureCode"),
                      F.when(F.col("p_type") == "ECONOMY", F.lit("Buildings")).otherwise(F.col("p_type")).alias("Theme"))
     li = table(spark, sf_dir, "lineitem")
     tile = (F.when(F.col("l_returnflag") == "A", F.lit("TQ")).when(F.col("l_returnflag") == "N", F.lit("TL"))
             .otherwise(F.lit("SU")))
-    heights = li.select(F.col("l_partkey").cast("string").alias("OS_TOPO_TOID"),
+    heights = li.select(F.concat(F.lit("osgb"), F.col("l_partkey").cast("string")).alias("OS_TOPO_TOID"),
                         F.concat(tile, F.col("l_linestatus")).alias("TileRef"),
                         F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("BHA_ProcessDate"),
                         F.col("l_quantity").alias("RelH2"),
                         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ROW_REF"))
-    return P.building_heights(layer, heights, order_by=["BHA_ProcessDate", "ROW_REF"],
-                              renames={"RelH2": "height_rel", "NotThere": "x"})
+    return layer, heights
 
 
 def _points(spark, sf_dir):
@@ -121,17 +143,20 @@ def _points(spark, sf_dir):
 @register("l5_flats_by_area", sql=f"""
 WITH {_HITS_SQL},
 names(poly_id, name) AS (VALUES {_names_sql()}),
-best AS (SELECT px, py, max(poly_id) AS poly_id FROM hits GROUP BY px, py),
-t AS (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y, b.poly_id
-      FROM lineitem JOIN best b ON CAST(l_quantity AS DOUBLE) = b.px AND CAST(l_suppkey AS DOUBLE) = b.py),
-xy AS (SELECT x, y, count(*) AS flat, min(poly_id) AS poly_id FROM t GROUP BY x, y)
+t AS (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y, l_orderkey, l_linenumber,
+             l_partkey % 6 + 1 AS ward_code
+      FROM lineitem WHERE (CAST(l_quantity AS DOUBLE), CAST(l_suppkey AS DOUBLE)) IN (SELECT (px, py) FROM hits)),
+xy AS (SELECT x, y, count(*) AS flat, arg_min(ward_code, (l_orderkey, l_linenumber)) AS poly_id FROM t GROUP BY x, y)
 SELECT CAST(n.poly_id AS BIGINT) AS poly_id, n.name, CAST(sum(flat) AS BIGINT) AS total_flats
 FROM xy JOIN names n ON xy.poly_id = n.poly_id
 WHERE flat > 1 GROUP BY n.poly_id, n.name
 """)
 def l5_flats_by_area(spark, sf_dir):
-    """Addresses sharing a coordinate, counted per area polygon."""
-    pts = _points(spark, sf_dir).drop("l_returnflag")
+    """Addresses sharing a coordinate, clipped to the areas and counted per area code of
+    their first address (codes that differ from the polygon, some without an area)."""
+    li = table(spark, sf_dir, "lineitem")
+    pts = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("x"), F.col("l_suppkey").cast("double").alias("y"),
+                    (F.col("l_partkey") % 6 + 1).cast("long").alias("ward_code"))
     return P.flats_by_area(pts, polygons(spark), "x", "y", ["l_orderkey", "l_linenumber"])
 
 
@@ -283,7 +308,8 @@ def _school_inputs(spark, sf_dir):
         F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("TelephoneNum"),
         ofsted.alias("OfstedSpecialMeasures__name_"),
         F.col("c_nationkey").alias("StatutoryLowAge"), (F.col("c_nationkey") + 7).alias("StatutoryHighAge"))
-    previous = c.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("URN"), seg.alias("Primary"))
+    # the previous table also has a closed school for each open one, in no other table
+    previous = c.select(F.explode(F.array(F.col("c_custkey"), F.col("c_custkey") + 10_000_000)).alias("URN"), seg.alias("Primary"))
     workforce = c.select(F.col("c_custkey").alias("URN"),
                          (F.col("c_acctbal") / 100).alias("Pupil......Teacher.Ratio"))
     urn_text = F.when(seg == "AUTOMOBILE", F.concat(F.lit("\t"), F.col("c_custkey").cast("string"), F.lit(" "))) \
@@ -305,10 +331,11 @@ reg AS (
          replace(replace(replace({_SEG_OFSTED}, 'Not in special measures', '1'), 'Not applicable', '2'), 'In special measures', '3') AS ofsted
   FROM cn),
 sch AS (
-  SELECT r.*, p.c_mktsegment AS "Primary", w.c_acctbal / 100 AS PupilTeach_R,
-         r.SCHOOL_NAME || ' ' || r.LA_NAME AS working
-  FROM reg r JOIN customer p ON p.c_custkey = r.URN AND p.c_acctbal > 0
-  JOIN customer w ON w.c_custkey = r.URN),
+  SELECT p.URN, r.* EXCLUDE (URN), p."Primary", w.c_acctbal / 100 AS PupilTeach_R,
+         coalesce(r.SCHOOL_NAME, 'NA') || ' ' || coalesce(r.LA_NAME, 'NA') AS working
+  FROM (SELECT c_custkey AS URN, c_mktsegment AS "Primary" FROM customer
+        UNION ALL SELECT c_custkey + 10000000, c_mktsegment FROM customer) p
+  LEFT JOIN reg r ON p.URN = r.URN LEFT JOIN customer w ON w.c_custkey = p.URN),
 hl AS (
   SELECT CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN chr(9) || CAST(c_custkey AS VARCHAR) || ' ' ELSE 'u' || CAST(c_custkey AS VARCHAR) END AS urn_text,
          CASE WHEN c_mktsegment = 'BUILDING' THEN lower({_POSTCODE_SQL}) ELSE 'ZZ9 9ZZ' END AS pc,
@@ -319,7 +346,7 @@ hk AS (SELECT regexp_replace(urn_text, '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g')
 
 
 @register("l3_schools_update", sql=_L3_SQL + """
-SELECT URN, SCHOOL_NAME, LA_NAME, POSTCODE, AGE, CAST(BoyGirl_R AS DOUBLE) AS BoyGirl_R, Tele, ofsted,
+SELECT CAST(URN AS VARCHAR) AS URN, SCHOOL_NAME, LA_NAME, POSTCODE, AGE, CAST(BoyGirl_R AS DOUBLE) AS BoyGirl_R, Tele, ofsted,
        "Primary", PupilTeach_R,
        CASE WHEN CAST(URN AS VARCHAR) IN (SELECT k_urn FROM hk)
               OR replace(POSTCODE, ' ', '') IN (SELECT k_pc FROM hk)
@@ -333,9 +360,10 @@ def l3_schools_update(spark, sf_dir):
     register_, previous, workforce, healthy = _school_inputs(spark, sf_dir)
     schools, _report = P.schools_update(register_, previous, workforce, healthy,
                                         {"name": "School_name", "borough": "Borough_name",
-                                         "postcode": "Postcode", "urn": "URN"})
-    return schools.select("URN", "SCHOOL_NAME", "LA_NAME", "POSTCODE", "AGE", "BoyGirl_R", "Tele", "ofsted",
-                          "Primary", "PupilTeach_R", "healthyschools_2017")
+                                         "postcode": "Postcode", "urn": "URN"},
+                                        output=["URN", "SCHOOL_NAME", "LA_NAME", "POSTCODE", "AGE", "BoyGirl_R", "Tele",
+                                                "ofsted", "Primary", "PupilTeach_R", "healthyschools_2017"])
+    return schools
 
 
 @register("l3_report_found", sql=_L3_SQL + """
@@ -352,3 +380,118 @@ def l3_report_found(spark, sf_dir):
                                          "postcode": "Postcode", "urn": "URN"})
     from landframe.functions import trim_ws
     return report.select(trim_ws("URN").alias("URN"), "found")
+
+
+# --------------------------------------------------------------------------- L1 publishing
+
+
+@register("l1_publish_status", sql=f"""
+WITH {_HITS_SQL},
+first_load AS (SELECT CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y FROM lineitem),
+second_load AS (SELECT CAST(s_nationkey AS DOUBLE) AS x, CAST(s_suppkey AS DOUBLE) AS y FROM supplier WHERE s_suppkey < 20),
+loads AS (SELECT '201703' AS release, * FROM first_load UNION ALL SELECT '201704', * FROM second_load),
+n AS (SELECT release, 'addresses' AS "table", count(*) AS n_rows FROM loads GROUP BY release
+      UNION ALL SELECT r.release, 'addresses_clipped', count(x) FROM (VALUES ('201703'), ('201704')) r(release)
+      LEFT JOIN (SELECT * FROM loads WHERE (x, y) IN (SELECT (px, py) FROM hits)) l ON l.release = r.release GROUP BY r.release)
+SELECT release, "table", n_rows, TRUE AS present, CASE WHEN n_rows > 1000 THEN 'SUCCESSFUL' ELSE 'FAILED' END AS status FROM n
+""")
+def l1_publish_status(spark, sf_dir):
+    """Two releases shaped and published one after the other, each with its own
+    status rows; the second is too small whatever the first left in the folder."""
+    root = f"{checkpoint_dir(spark)}/landframe-io/publish-{uuid.uuid4().hex}"
+    s = table(spark, sf_dir, "supplier").filter("s_suppkey < 20").select(
+        F.col("s_suppkey").cast("string").alias("UPRN"), F.col("s_suppkey").cast("string").alias("PARENT_UPRN"),
+        F.col("s_nationkey").cast("string").alias("X_COORDINATE"), F.col("s_suppkey").cast("string").alias("Y_COORDINATE"))
+    out = None
+    for release, raw in (("201703", _address_raw(spark, sf_dir)), ("201704", s)):
+        rows, _clipped, _rejected = P.address_release(raw, polygons(spark), release, order_by=[], batch_size=None)
+        status = P.publish_address_release(rows, polygons(spark), root, release, tables=("addresses", "addresses_clipped"))
+        status = status.withColumn("release", F.lit(release))
+        out = status if out is None else out.unionByName(status)
+    return out
+
+
+# --------------------------------------------------------------------------- L9 / L10 pages
+
+
+def _html_row(*cells):
+    return F.concat(F.lit("<tr>"), *[F.concat(F.lit("<td>"), c.cast("string"), F.lit("</td>")) for c in cells], F.lit("</tr>\n"))
+
+
+# Borough spellings that the award table corrects, by nation number
+SPELLINGS = {1: "City & Hackney", 2: "Kingston-upon-Thames", 3: "Richmond-upon-Thames"}
+
+
+def _award_pages(spark, sf_dir):
+    """One page with one award table for every 40 suppliers: the table's rows in supplier order."""
+    s = table(spark, sf_dir, "supplier")
+    name = F.col("s_name")
+    for k, spelling in SPELLINGS.items():
+        name = F.when(F.col("s_nationkey") == k, F.lit(spelling.replace("&", "&amp;"))).otherwise(name)
+    row = _html_row(name, F.col("s_suppkey"), F.col("s_nationkey"), F.col("s_nationkey") + 1, F.col("s_nationkey") + 2)
+    pages = s.select(F.floor(F.col("s_suppkey") / 40).alias("page_id"), F.struct("s_suppkey", row.alias("html")).alias("r"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["html"]), "")
+    return pages.groupBy("page_id").agg(F.concat(F.lit("<html><table class='awards'>"), body, F.lit("</table></html>")).alias("html"))
+
+
+_AWARDS_SQL = """
+WITH a AS (
+  SELECT s_suppkey // 40 AS page_id, row_number() OVER (PARTITION BY s_suppkey // 40 ORDER BY s_suppkey) AS pos, s_suppkey, s_nationkey,
+         CASE s_nationkey WHEN 1 THEN 'City & Hackney' WHEN 2 THEN 'Kingston-upon-Thames' WHEN 3 THEN 'Richmond-upon-Thames' ELSE s_name END AS name
+  FROM supplier)"""
+
+
+@register("l9_award_table", sql=_AWARDS_SQL + """
+SELECT CASE s_nationkey WHEN 1 THEN 'City and Hackney' WHEN 2 THEN 'Kingston upon Thames' WHEN 3 THEN 'Richmond upon Thames' ELSE name END AS BOROUGH,
+       CAST(s_suppkey AS VARCHAR) AS REGISTERED, CAST(s_nationkey AS VARCHAR) AS BRONZE,
+       CAST(s_nationkey + 1 AS VARCHAR) AS SILVER, CAST(s_nationkey + 2 AS VARCHAR) AS GOLD
+FROM a WHERE pos BETWEEN 2 AND 33
+""")
+def l9_award_table(spark, sf_dir):
+    """The award table of every page, rows 2 to 33 of each, spellings corrected."""
+    return P.award_table(_award_pages(spark, sf_dir))
+
+
+@register("h6_award_cells", sql=_AWARDS_SQL + """
+SELECT page_id, 0 AS tbl, CAST(pos - 1 AS INTEGER) AS "row", CAST(col AS INTEGER) AS col,
+       [name, CAST(s_suppkey AS VARCHAR), CAST(s_nationkey AS VARCHAR), CAST(s_nationkey + 1 AS VARCHAR), CAST(s_nationkey + 2 AS VARCHAR)][col + 1] AS text
+FROM a, range(5) t(col)
+""")
+def h6_award_cells(spark, sf_dir):
+    """H6: every cell of the award pages' tables."""
+    return extract_table(_award_pages(spark, sf_dir), "page_id", "html")
+
+
+@register("l9_month_update", sql=_AWARDS_SQL + """
+SELECT name AS NAME, CAST(s_nationkey AS VARCHAR) AS Y2016, CAST(s_suppkey AS VARCHAR) AS Y2017_04
+FROM a WHERE pos BETWEEN 2 AND 33 AND s_nationkey > 3
+""")
+def l9_month_update(spark, sf_dir):
+    """This month's registrations added to the history as a new column; the new
+    version is written to its own folder and read back."""
+    s = table(spark, sf_dir, "supplier").filter("s_nationkey > 3")
+    history = s.select(F.col("s_name").alias("NAME"), F.col("s_nationkey").cast("string").alias("Y2016"))
+    path = f"{checkpoint_dir(spark)}/landframe-io/registrations-{uuid.uuid4().hex}"
+    P.award_month_update(history, P.award_table(_award_pages(spark, sf_dir)), "Y2017_04").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("l10_planning_records", sql="""
+WITH r AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'R' || CAST(o_custkey AS VARCHAR) END AS ref,
+                  o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS prio FROM orders)
+SELECT CAST(max(o_orderkey) AS BIGINT) AS record_id, ref AS "Reference", arg_max(o_orderstatus, o_orderkey) AS "Status",
+       max_by(coalesce(prio, ''), o_orderkey) AS "Priority"
+FROM r GROUP BY ref
+""")
+def l10_planning_records(spark, sf_dir):
+    """Records from detail tables spread over a main and a further page each; the latest
+    record of a reference stays, and one of those without a reference."""
+    o = table(spark, sf_dir, "orders")
+    ref = F.when(F.col("o_orderstatus") != "P", _html_row(F.lit("Reference"), F.concat(F.lit("R"), F.col("o_custkey").cast("string"))))
+    main = F.concat(F.lit("<table>"), F.coalesce(ref, F.lit("")), _html_row(F.lit("Status"), F.col("o_orderstatus")), F.lit("</table>"))
+    prio = F.when(F.col("o_orderstatus") == "O", _html_row(F.lit("Priority"), F.col("o_orderpriority")))
+    more = F.concat(F.lit("<p>more</p><table>"), _html_row(F.lit("Status"), F.lit("later")), F.coalesce(prio, F.lit("")), F.lit("</table>"))
+    pages = o.select(F.col("o_orderkey").alias("record_id"), F.posexplode(F.array(main, more)).alias("n", "html"))
+    pages = pages.select("record_id", (F.col("record_id") * 2 + F.col("n")).alias("page_id"), "html")
+    out = P.planning_records(pages, vocab=["Priority", "Reference", "Status"])
+    return out.select("record_id", "Reference", "Status", F.coalesce("Priority", F.lit("")).alias("Priority"))

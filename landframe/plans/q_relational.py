@@ -29,17 +29,14 @@ def j1_merge_natural(spark, sf_dir):
 
 
 @register("j2_merge_suffix", sql="""
-SELECT s.s_nationkey AS nk, s.s_suppkey, s.s_name AS "name.x", s.s_acctbal AS "bal.x",
-       c.c_custkey, c.c_name AS "name.y", c.c_acctbal AS "bal.y"
-FROM supplier s JOIN customer c ON s.s_nationkey IS NOT DISTINCT FROM c.c_nationkey
+SELECT c.c_nationkey AS nk, c.c_custkey, c.c_name AS "name.x", n.n_regionkey, n.n_name AS "name.y"
+FROM customer c JOIN nation n ON c.c_nationkey IS NOT DISTINCT FROM n.n_nationkey
 """)
 def j2_merge_suffix(spark, sf_dir):
     """Merge on differently named keys; clashing names get .x/.y suffixes."""
-    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nk"), "s_suppkey",
-                                                F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal"))
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"),
-                                                "c_nationkey", F.col("c_acctbal").alias("bal"))
-    return J.merge_on(s, c, "nk", "c_nationkey")
+    c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nk"), "c_custkey", F.col("c_name").alias("name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("name"), "n_regionkey")
+    return J.merge_on(c, n, "nk", "n_nationkey")
 
 
 @register("j4_left", sql="""
@@ -56,11 +53,11 @@ def j4_left(spark, sf_dir):
 @register("j5_match_only", sql="""
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_mktsegment
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-WHERE c.c_mktsegment IS NOT NULL AND o.o_orderstatus = 'F'
+WHERE c.c_mktsegment IS NOT NULL
 """)
 def j5_match_only(spark, sf_dir):
     """Left join then drop unmatched rows (planned as an inner join)."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     return J.match_only(o, c, "o_custkey", "c_custkey", require="c_mktsegment")
 
@@ -323,6 +320,15 @@ def w6_repeats(spark, sf_dir):
 # ---------------------------------------------------------------- reshape
 
 
+@register("w6_tied_repeats", sql="""
+SELECT user_id, event_type FROM (
+  SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type) AS rn FROM events) WHERE rn > 1
+""")
+def w6_tied_repeats(spark, sf_dir):
+    """Repeats among rows that are wholly equal: all but one of each."""
+    return W.find_repeats(table(spark, sf_dir, "events").select("user_id", "event_type"), ["user_id", "event_type"], ["event_type"])
+
+
 @register("r1_melt", sql="""
 SELECT p_partkey, 'p_name' AS key, p_name AS value FROM part
 UNION ALL SELECT p_partkey, 'p_brand', p_brand FROM part
@@ -335,8 +341,10 @@ def r1_melt(spark, sf_dir):
 
 
 @register("r2_widen", sql="""
-PIVOT (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL)
-ON event_type USING max(n) GROUP BY user_id
+SELECT user_id, nullif(count(*) FILTER (event_type = 'click'), 0) AS click, nullif(count(*) FILTER (event_type = 'error'), 0) AS error,
+       nullif(count(*) FILTER (event_type = 'purchase'), 0) AS purchase, nullif(count(*) FILTER (event_type = 'signup'), 0) AS signup,
+       nullif(count(*) FILTER (event_type = 'view'), 0) AS "view"
+FROM events GROUP BY user_id
 """)
 def r2_widen(spark, sf_dir):
     """R2: long -> wide, one column per event type, null where a user has none."""
@@ -362,12 +370,13 @@ def r4_split_columns(spark, sf_dir):
     return R.split_columns(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", " ", ["w1", "w2", "w3"])
 
 
-@register("r5_tag_matrix", sql="""
-PIVOT (SELECT DISTINCT p_partkey, p_brand, t AS tag, 1 AS has
-       FROM (SELECT p_partkey, p_brand, unnest(string_split(p_name, ' ')) AS t FROM part)
-       WHERE t <> '')
-ON tag USING max(has) GROUP BY p_partkey, p_brand
-""")
+# The words of the part names
+PART_WORDS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring",
+              "rod", "small", "widget"]
+
+
+@register("r5_tag_matrix", sql="SELECT p_partkey, p_brand, " + ", ".join(
+    f"CASE WHEN list_contains(string_split(p_name, ' '), '{w}') THEN 1 END AS \"{w}\"" for w in PART_WORDS) + " FROM part")
 def r5_tag_matrix(spark, sf_dir):
     """Tag matrix of part-name words (one indicator column per word)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.col("p_name").alias("tags"))

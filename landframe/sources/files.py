@@ -99,9 +99,16 @@ def lookup(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | st
     return df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in schema.fields])
 
 
-def write_release(df: DataFrame, root: str, release_col: str = "release", fmt: str = "parquet") -> None:
+def write_release(df: DataFrame, root: str, release_col: str = "release", fmt: str = "parquet",
+                  replaces: Sequence[str] = ()) -> None:
     """Write partitioned by release; only the releases present in ``df`` are replaced
-    (dynamic partition overwrite), earlier releases stay."""
+    (dynamic partition overwrite), earlier releases stay.  Releases named in ``replaces``
+    are replaced even when ``df`` has no row of them, and no other is written."""
+    for release in replaces:
+        part = df.filter(F.col(f"`{release_col}`") == release).drop(release_col)
+        part.write.mode("overwrite").format(fmt).save(f"{root}/{release_col}={release}")
+    if replaces:
+        return
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(release_col).format(fmt).save(root))
 

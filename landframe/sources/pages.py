@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from landframe.functions._util import as_col
 from landframe.functions.text import split_clean
-from landframe.operators.reshape import widen
+from landframe.operators.reshape import pivot_vocabulary, widen
 from landframe.operators.setops import distinct_rows
 from landframe.operators.window import first_per_key
 
 # Blocks removed before any extraction, and the entities decoded in text.
 NOISE_PATTERN = "(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->"
-HREF_PATTERN = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*[\"']([^\"']*)[\"']"
+HREF_PATTERN = "(?is)<a\\b[^>]*?\\bhref\\s*=\\s*(\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"
 TAG_PATTERN = "<[^>]*>"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -55,8 +55,10 @@ def element_pattern(tag: str, id_: str | None = None, class_: str | None = None)
 
 
 def links(html) -> Column:
-    """H1 as an expression: all ``<a href>`` values of a page, in document order."""
-    return F.regexp_extract_all(strip_noise(html), F.lit(HREF_PATTERN), 1)
+    """H1 as an expression: all ``<a href>`` values of a page, in document order.  A quoted
+    value ends at its own quote sign; unquoted values count too."""
+    written = F.regexp_extract_all(strip_noise(html), F.lit(HREF_PATTERN), 1)
+    return F.transform(written, lambda h: F.when(F.substring(h, 1, 1).isin('"', "'"), F.substring(h, F.lit(2), F.length(h) - 2)).otherwise(h))
 
 
 def texts(html, tag: str, id_: str | None = None, class_: str | None = None) -> Column:
@@ -70,10 +72,11 @@ def extract_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return pages.select(id_col, F.posexplode(links(html_col)).alias("pos", "href"))
 
 
-def filter_links(link_rows: DataFrame, min_len: int, col: str = "href") -> DataFrame:
-    """H2: drop null links and links not longer than ``min_len`` characters."""
-    c = F.col(f"`{col}`")
-    return link_rows.filter(c.isNotNull() & (F.length(c) > min_len))
+def filter_links(pages: DataFrame, id_col: str, html_col: str, min_len: int) -> DataFrame:
+    """H2: ``(id, pos, href)`` of the links longer than ``min_len`` characters; positions are
+    counted over the links kept, as the job indexes its filtered list."""
+    kept = F.filter(links(html_col), lambda h: F.length(h) > min_len)
+    return pages.select(id_col, F.posexplode(kept).alias("pos", "href"))
 
 
 def extract_text(pages: DataFrame, id_col: str, html_col: str, tag: str,
@@ -88,13 +91,13 @@ def extract_text(pages: DataFrame, id_col: str, html_col: str, tag: str,
 
 
 def split_names(df: DataFrame, id_col: str, text_col: str, dash_to: str | None = "_") -> DataFrame:
-    """H4: free-text list -> ``(id, pos, name)``: split on CR/LF/TAB, trim, drop empty
-    pieces, map ``-`` to ``dash_to``."""
+    """H4: free-text list -> ``(id, pos, name)``: split on CR/LF/TAB, remove all spaces, drop
+    empty pieces, map ``-`` to ``dash_to``."""
     return df.select(id_col, F.posexplode(split_clean(text_col, "[\\r\\n\\t]", dash_to)).alias("pos", "name"))
 
 
 def zip_pairs(names: DataFrame, link_rows: DataFrame, id_col: str) -> DataFrame:
-    """H5: pair the i-th name with the i-th link of the same page (join on id, pos)."""
+    """H5: pair the i-th name with the i-th (filtered) link of the same page (join on id, pos)."""
     return names.join(link_rows, [id_col, "pos"], "inner")
 
 
@@ -122,7 +125,9 @@ def kv_to_records(kv: DataFrame, id_col: str, key_col: str, value_col: str,
                   order_by: Sequence[str], vocab: Sequence[str] | None = None) -> DataFrame:
     """H7: key/value rows (possibly from several pages per record) -> one wide record per
     id.  Exact duplicate rows are dropped, the first value per (id, key) by ``order_by``
-    is kept, and keys become columns (byte-sorted, null where absent)."""
+    is kept, and keys become columns (byte-sorted, null where absent).  Without ``vocab`` the
+    keys are read from the rows, which fails above ``spark.sql.pivotMaxValues`` keys."""
+    vocab = pivot_vocabulary(kv, key_col) if vocab is None else vocab
     kv = distinct_rows(kv.select(id_col, key_col, value_col, *order_by))
     kv = first_per_key(kv, [id_col, key_col], list(order_by))
     return widen(kv.select(id_col, key_col, value_col), [id_col], key_col, value_col, vocab)

@@ -65,21 +65,21 @@ def test_f2_building_heights(spark):
     path = _scratch(spark, "heights")
     _write(path, "heights.csv", [
         "OS_TOPO_TOID,OS_TOPO_VERSION,BHA_ProcessDate,TileRef,AbsHMin,AbsH2,AbsHMax,RelH2,RelHMax,BHA_Conf",
-        "1000001,3,2017-01-05,TQ3080,10.1,20.2,22.0,10.1,11.9,80",
-        "1000001,3,2016-12-01,TQ3080,10.0,20.0,21.0,9.9,11.0,60",     # repeated id, earlier date wins
-        "1000002,2,not a date,TL1234,5.0,9.0,9.5,4.0,4.5,70",         # unparsable date kept as text
-        "1000003,1,2017-02-02,SU9999,1.0,2.0,3.0,1.0,2.0,50",         # tile not wanted
-        "1000009,1,2017-02-02,TQ1111,1.0,2.0,3.0,1.0,2.0,50"])        # no feature
+        "osgb1000001,3,2017-01-05,TQ3080,10.1,20.2,22.0,10.1,11.9,80",
+        "osgb1000001,3,2016-12-01,TQ3080,10.0,20.0,21.0,9.9,11.0,60",     # repeated id, earlier date wins
+        "osgb1000002,2,not a date,TL1234,5.0,9.0,9.5,4.0,4.5,70",         # unparsable date kept as text
+        "osgb1000003,1,2017-02-02,SU9999,1.0,2.0,3.0,1.0,2.0,50",         # tile not wanted
+        "osgb1000009,1,2017-02-02,TQ1111,1.0,2.0,3.0,1.0,2.0,50"])        # no feature
     heights = S.read_csv(spark, path, schema="OS_TOPO_TOID string, OS_TOPO_VERSION int, BHA_ProcessDate string, "
                          "TileRef string, AbsHMin double, AbsH2 double, AbsHMax double, RelH2 double, "
                          "RelHMax double, BHA_Conf int")
-    layer = spark.createDataFrame([("osgb1000001", "Buildings"), ("osgb1000002", "Buildings"),
-                                   ("osgb1000003", "Buildings"), ("osgb1000004", "Roads")], "TOID string, Theme string")
+    layer = spark.createDataFrame([("1000001", "Buildings"), ("1000002", "Buildings"),
+                                   ("1000003", "Buildings"), ("1000004", "Roads")], "TOID string, Theme string")
     out = {r.TOID: r for r in P.building_heights(layer, heights, renames={"RelH2": "height"}).collect()}
-    assert set(out) == {"osgb1000001", "osgb1000002"}
-    assert out["osgb1000001"].BHA_ProcessDate == "20161201000000" and out["osgb1000001"].match_count == 2
-    assert out["osgb1000001"].height == 9.9
-    assert out["osgb1000002"].BHA_ProcessDate == "not a date"
+    assert set(out) == {"1000001", "1000002"}
+    assert out["1000001"].BHA_ProcessDate == "20161201000000" and out["1000001"].match_count == 2
+    assert out["1000001"].height == 9.9
+    assert out["1000002"].BHA_ProcessDate == "not a date"
 
 
 def test_f4_population_change(spark):

@@ -3,6 +3,7 @@ route a whole key through a per-key window."""
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from landframe.operators import aggregate as A
@@ -92,3 +93,28 @@ def test_widen_hot_id(spark):
     assert w.columns == ["id", "0", "1", "2", "3"] and w.count() == 20_001
     hot = w.filter("id = 0").first()
     assert (hot["0"], hot["1"], hot["2"], hot["3"]) == (6.0, 6.0, 6.0, 6.0)
+
+
+@pytest.mark.parametrize("name", ["count", "sum", "repeats", "flag", "lookup"])
+def test_hot_key_is_split_in_the_join_back(spark, name):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 120_000
+        df = spark.range(0, n, 1, 8).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 5000).alias("k"),
+                                            F.col("id").alias("x"), F.hash("id").alias("v"))
+        keys = spark.range(5000).select(F.col("id").alias("k"), F.col("id").alias("y")).unionByName(
+            spark.createDataFrame([(-1, 1)], "k long, y long"))
+        out = {"count": lambda: W.add_count(df, ["k"]), "sum": lambda: W.add_sum(df, ["k"], "x", "s"),
+               "repeats": lambda: W.find_repeats(df, ["k"], ["x"]),
+               "flag": lambda: J.flag_any_match(df, keys, [("k", "k")], "hit"),
+               "lookup": lambda: J.lookup_first(df, keys, "k", "k", ["y"])}[name]()
+        assert len(out.collect()) > n / 2
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

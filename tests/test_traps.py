@@ -260,7 +260,7 @@ def test_schools_update_flags_any_key(spark):
         (4, "Delta", "Ealing", "W5 5DD", 1, 1, "02071111111", "Not applicable", 4, 11)],
         "URN int, EstablishmentName string, LAD11NM string, Postcode string, NumberOfBoys int, NumberOfGirls int, "
         "TelephoneNum string, OfstedSpecialMeasures__name_ string, StatutoryLowAge int, StatutoryHighAge int")
-    prev = spark.createDataFrame([(1, "p"), (2, "p"), (3, "p"), (4, "p")], "URN int, Primary string")
+    prev = spark.createDataFrame([(1, "p"), (2, "p"), (3, "p"), (4, "p"), (5, "closed")], "URN int, Primary string")
     wf = spark.createDataFrame([(1, 20.5), (2, 18.0), (3, 17.0), (4, 16.0)], "URN int, `Pupil......Teacher.Ratio` double")
     healthy = spark.createDataFrame([
         ("x", "nowhere", "zz9 9zz", "\t1 "),          # URN match only
@@ -270,8 +270,10 @@ def test_schools_update_flags_any_key(spark):
         "School_name string, Borough_name string, Postcode string, URN string")
     schools, report = schools_update(reg, prev, wf, healthy, {"name": "School_name", "borough": "Borough_name",
                                                               "postcode": "Postcode", "urn": "URN"})
-    got = {r["URN"]: (r["healthyschools_2017"], r["BoyGirl_R"], r["ofsted"], r["AGE"], r["Tele"])
+    got = {int(r["URN"]): (r["healthyschools_2017"], r["BoyGirl_R"], r["ofsted"], r["AGE"], r["Tele"])
            for r in schools.collect()}
+    assert dict(schools.dtypes)["URN"] == "string" and "working" not in schools.columns
+    assert got[5] == (0, None, None, "NA-NA", None) or got[5][0] == 0  # a school the register no longer has stays
     assert got[1] == (1, None, "2", "4-11", "0207 1234567")
     assert got[2][0] == 1 and got[3][0] == 1 and got[4][0] == 0
     assert got[3][1] == 2.0 and got[2][2] == "3"
@@ -309,7 +311,10 @@ def test_planning_records_from_two_pages(spark):
         (4, 40, page([("Address", "no reference")])),
     ], "record_id long, page_id long, html string")
     got = {r["Reference"]: (r["record_id"], r["Address"], r["Decision"]) for r in planning_records(pages).collect()}
-    assert got == {"17/0001": (1, "1 High St", "Granted"), "17/0002": (2, "2 Low Rd", "Refused")}
+    # the latest record of a reference wins; one without a reference is kept
+    assert got == {"17/0001": (3, "later copy", None), "17/0002": (2, "2 Low Rd", "Refused"), None: (4, "no reference", None)}
+    alone = planning_records(pages.filter("record_id = 4")).collect()
+    assert [(r["record_id"], r["Reference"]) for r in alone] == [(4, None)]
 
 
 def test_map_layer_load_with_provenance(spark):
@@ -344,11 +349,63 @@ def test_publish_fans_out_and_gates(spark):
     per_batch = sorted(sum(1 for i in kept if (i - 1) // 1000 == b) for b in range(3))
     assert sorted(r[0] for r in all_rows.groupBy("group").count().select("count").collect()) == per_batch
     root = f"{checkpoint_dir(spark).rstrip('/')}/test-publish-{uuid.uuid4().hex}"
-    status = publish_address_release(all_rows, clipped, root).collect()[0]
-    assert status.status == "SUCCESSFUL" and status.n_rows == clipped.count()
+    status = {r.table: r for r in publish_address_release(all_rows, layer, root, "201704").collect()}
+    assert status["clipped"].status == status["all"].status == "SUCCESSFUL"
+    assert (status["all"].n_rows, status["clipped"].n_rows) == (all_rows.count(), clipped.count())
+    # a later, too small release is judged by its own rows, and an empty one empties its partition
+    few = all_rows.limit(5).withColumn("update_date", F.lit("201705"))
+    late = {r.table: r for r in publish_address_release(few, layer, root, "201705").collect()}
+    assert late["all"].n_rows == 5 and late["all"].status == late["clipped"].status == "FAILED"
+    none = {r.table: r.n_rows for r in publish_address_release(few.limit(0), layer, root, "201705").collect()}
+    assert none == {"all": 0, "clipped": 0}
     assert spark.read.parquet(f"{root}/all").count() == all_rows.count()
 
 
+def test_award_table_is_cut_per_table(spark):
+    from landframe.plans.pipelines import award_table
+    html = "<table>" + "".join(f"<tr><td>b{i}</td><td>{i}</td><td>1</td><td>2</td><td>3</td></tr>" for i in range(40)) + "</table>"
+    pages = spark.createDataFrame([(1, html), (2, html.replace(">b", ">c") + html.replace(">b", ">d"))], "page_id long, html string")
+    got = {r["BOROUGH"] for r in award_table(pages).collect()}
+    assert got == {f"{t}{i}" for t in "bcd" for i in range(1, 33)}
+
+
+def test_repeats_among_ties(spark):
+    from landframe.operators import window as W
+    df = spark.createDataFrame([(1, 5, "a")] * 3 + [(1, 5, "b"), (2, None, "x"), (2, None, "x"), (None, 1, "n")], "k int, o int, v string")
+    got = sorted((r.k, r.v) for r in W.find_repeats(df, ["k"], ["o"]).collect())
+    assert got == [(1, "a"), (1, "a"), (1, "b"), (2, "x")]
+
+
+def test_links_quotes_and_pairs_after_filtering(spark):
+    from landframe.sources import pages as H
+    html = """<a href="/o'brien/file">x</a><a class=z href='/say "hi"'>y</a><a href=/plain>z</a><a href="s">s</a><a href="/second/long">t</a>"""
+    pages = spark.createDataFrame([(1, html)], "id int, html string")
+    assert [r.href for r in H.extract_links(pages, "id", "html").collect()] == ["/o'brien/file", '/say "hi"', "/plain", "s", "/second/long"]
+    names = spark.createDataFrame([(1, i, f"n{i}") for i in range(4)], "id int, pos int, name string")
+    pairs = H.zip_pairs(names, H.filter_links(pages, "id", "html", 3), "id").orderBy("pos").collect()
+    assert [(r.name, r.href) for r in pairs] == [("n0", "/o'brien/file"), ("n1", '/say "hi"'), ("n2", "/plain"), ("n3", "/second/long")]
+    split = H.split_names(spark.createDataFrame([(1, "a b-c\r\n  \td ")], "id int, t string"), "id", "t").collect()
+    assert [r.name for r in split] == ["ab_c", "d"]
+
+
+def test_plain_number_keeps_all_digits(spark):
+    from landframe.functions import plain_number
+    df = spark.createDataFrame([(12.75,), (1e12,), (0.5,), (-3.0,), (100.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(plain_number("x")).collect()] == ["12.75", "1000000000000", "0.5", "-3", "100", None]
+
+
+def test_areas_without_data_stay(spark):
+    from landframe.plans.pipelines import flats_by_area, population_change
+    wide = spark.createDataFrame([("a", 1.0, 3.0)], "area string, `2016` double, `2050` double")
+    areas = spark.createDataFrame([("a", "A"), ("b", "B")], "code string, name string")
+    got = {r["code"]: r["change"] for r in population_change(wide, ["area"], "area", "2016", "2050", areas, "code").collect()}
+    assert got == {"a": 2.0, "b": None}
+    # flats are counted under the code their first address carries, not the polygon it lies in
+    layer = G.polygon_layer(spark, [(1, "one", [[(0, 0), (9, 0), (9, 9), (0, 9)]]), (2, "two", [[(20, 0), (29, 0), (29, 9), (20, 9)]])], "name string")
+    pts = spark.createDataFrame([(1, 5.0, 5.0, 2), (2, 5.0, 5.0, 1), (3, 50.0, 5.0, 1), (4, 50.0, 5.0, 1)], "id int, x double, y double, ward_code long")
+    assert [tuple(r) for r in flats_by_area(pts, layer, "x", "y", ["id"]).collect()] == [(2, "two", 2)]
+
+
 def test_profile_is_bounded(spark):
     df = spark.range(100).withColumn("t", F.lit("x"))
     p = FL.profile(df, 3)
