@@ -28,7 +28,6 @@ points.
 
 from __future__ import annotations
 
-import math
 
 from collections.abc import Sequence
 
@@ -165,50 +164,35 @@ def _layer_stats(polygons: DataFrame, rings: str) -> dict:
             "hi": float(row["hi"] or 0.0), "nv": int(row["nv"] or 0)}
 
 
-def _level(ext: Column, base: float) -> Column:
-    """Grid level of a polygon: the smallest L >= 0 with ``base * 2**L >= extent``, so the
-    polygon's bounding box touches at most 2 x 2 cells of its level.  The logarithm only
-    gives a first guess; exact power-of-two comparisons settle it."""
-    guess = F.ceil(F.log2(ext / F.lit(base))).cast("int")
-    size = lambda k: F.lit(base) * F.pow(F.lit(2.0), k)  # noqa: E731  (exact for powers of two)
-    lvl = (F.when(size(guess - 1) >= ext, guess - 1).when(size(guess) < ext, guess + 1).otherwise(guess))
-    return F.when(ext > 0, F.greatest(lvl, F.lit(0))).otherwise(F.lit(0)).cast("int")
-
-
-def _py_level(ext: float, base: float) -> int:
-    """``_level`` for one extent on the driver (same exact comparisons)."""
-    if ext <= 0:
-        return 0
-    guess = math.ceil(math.log2(ext / base))
-    if base * 2.0 ** (guess - 1) >= ext:
-        guess -= 1
-    elif base * 2.0 ** guess < ext:
-        guess += 1
-    return max(guess, 0)
+def _level(ext: Column, base: float, least: float) -> Column:
+    """Grid level of a polygon: the largest L with ``base / 4**L >= extent``, so the polygon's
+    bounding box touches at most 2 x 2 cells of its level.  Extents below ``least`` (points)
+    count as that.  The logarithm only gives a first guess; exact power-of-two comparisons
+    settle it."""
+    ext = F.greatest(ext, F.lit(least))
+    guess = F.floor(F.log2(F.lit(base) / ext) / 2).cast("int")
+    size = lambda k: F.lit(base) * F.pow(F.lit(4.0), -k)  # noqa: E731  (exact for powers of two)
+    return F.when(size(guess + 1) >= ext, guess + 1).when(size(guess) < ext, guess - 1).otherwise(guess).cast("int")
 
 
 def _cell(v: Column, size) -> Column:
     return F.floor(v / (size if isinstance(size, Column) else F.lit(size))).cast("long")
 
 
-def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
-                  order: str = "poly_id", rings: str = "rings") -> DataFrame:
+def polygon_cells(polygons: DataFrame, base: float, least: float, order: str = "poly_id", rings: str = "rings") -> DataFrame:
     """One row per (level, cell): ``(lvl, cx, cy, cands)`` with ``cands`` = array of
-    ``struct(ord, attrs..., edges, bbox)`` for every polygon of that level whose bbox
-    touches the cell (edges derived once per polygon, not per point; the array's order
-    does not matter, overlaps are resolved by ordinal).
-
-    Multi-level grid: each polygon sits on the level whose cell edge ``base * 2**L`` is
-    at least its extent, so it is listed in at most 4 cells and a cell holds polygons of
-    one size class only - a few huge polygons neither blow up the cell count nor force
-    a coarse grid onto many small ones."""
-    bb = polygons.select(F.col(order).alias("ord"), *[F.col(a) for a in attrs],
-                         ring_edges(rings).alias("edges"), ring_bbox(rings).alias("bb"))
-    ext = F.greatest(F.col("bb.maxx") - F.col("bb.minx"), F.col("bb.maxy") - F.col("bb.miny"))
-    lvl = _level(ext, base)
-    size = F.lit(base) * F.pow(F.lit(2.0), lvl)
-    cand = F.struct(F.col("ord"), *[F.col(a) for a in attrs], F.col("edges"), F.col("bb"))
-    cells = bb.select(lvl.alias("lvl"), cand.alias("cand"),
+    ``struct(ord, edges, bb)`` for every polygon of that level whose bbox touches the cell
+    (edges derived once per polygon, not per point; the array's order does not matter,
+    overlaps are resolved by ordinal).
+
+    Multi-level grid: a polygon sits on the level whose cell edge is one to four times its
+    extent, so it is listed in at most 4 cells, and a cell holds polygons of one size class:
+    a few huge polygons do not force a coarse grid onto many small ones, and a dense town of
+    tiny polygons is spread over as many small cells."""
+    bb = polygons.select(F.col(order).alias("ord"), ring_edges(rings).alias("edges"), ring_bbox(rings).alias("bb"))
+    lvl = _level(_extent("bb"), base, least)
+    size = F.lit(base) * F.pow(F.lit(4.0), -lvl)
+    cells = bb.select(lvl.alias("lvl"), F.struct("ord", "edges", "bb").alias("cand"),
                       F.sequence(_cell(F.col("bb.minx"), size), _cell(F.col("bb.maxx"), size)).alias("xs"),
                       F.sequence(_cell(F.col("bb.miny"), size), _cell(F.col("bb.maxy"), size)).alias("ys"))
     cells = cells.select("lvl", "cand", "ys", F.explode("xs").alias("cx")).select(
@@ -216,6 +200,10 @@ def polygon_cells(polygons: DataFrame, attrs: Sequence[str], base: float,
     return cells.groupBy("lvl", "cx", "cy").agg(F.collect_list("cand").alias("cands"))
 
 
+def _extent(bb: str) -> Column:
+    return F.greatest(F.col(f"{bb}.maxx") - F.col(f"{bb}.minx"), F.col(f"{bb}.maxy") - F.col(f"{bb}.miny"))
+
+
 def _inside(px: Column, py: Column, boundary_inside: bool = True):
     def test(c):
         bb = c["bb"]
@@ -224,55 +212,68 @@ def _inside(px: Column, py: Column, boundary_inside: bool = True):
     return test
 
 
-# a layer whose largest polygon is within this factor of the median uses a single level
-SINGLE_LEVEL_SPREAD = 4.0
 # bytes per vertex of an edge struct and per candidate, for the broadcast bound
 _EDGE_BYTES, _CAND_BYTES = 48, 96
 
 
-def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int):
-    """Base cell size, the grid levels in use and whether the cell table may be broadcast.
+def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, rings: str = "rings"):
+    """Cell edge of level 0, smallest extent, the grid levels in use and whether the cell
+    table may be broadcast.
 
-    Levels grow with extent, so every level in use lies between level 0 (degenerate
-    polygons) and the level of the largest polygon (no second pass over the layer).
+    Level 0 has cells as wide as the largest polygon (or ``cell_size``); each further level
+    quarters them.  The levels in use are one small distinct job (their number is bounded by
+    the logarithm of the extents' spread), none when all polygons are of one size class.
     The broadcast decision rests on a proven bound: every polygon is listed in at most
     4 cells of its level (9 when division rounding lands a bound exactly on a cell
-    edge), so the cell table holds at most ``9 x (vertices x edge bytes + polygons x
-    candidate bytes)``.  Above the budget the joins are shuffle joins on the cell keys,
-    where AQE splits a cell holding a large share of the points.
+    edge), and a candidate holds its ordinal, box and edges but no attributes, so the cell
+    table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.  Above
+    the budget the joins are shuffle joins on the cell keys, where AQE splits a cell holding
+    a large share of the points.
     """
     st = layer_stats(polygons)
-    if cell_size:
-        base = cell_size
-    elif st["med"] <= 0:
-        base = st["hi"] if st["hi"] > 0 else 1.0
-    elif st["hi"] <= SINGLE_LEVEL_SPREAD * st["med"]:
-        base = st["hi"]          # homogeneous layer: one level, cells no larger than 4 medians
+    base = cell_size or st["hi"] or 1.0
+    least = st["lo"] or base
+    if st["hi"] <= base < 4 * least:
+        levels = [0]
     else:
-        base = st["med"]         # mixed sizes: levels above the median size class
-    levels = list(range(0, _py_level(st["hi"], base) + 1))
+        ext = polygons.select(ring_bbox(rings).alias("b")).select(_level(_extent("b"), base, least).alias("lvl"))
+        levels = sorted(r["lvl"] for r in ext.distinct().collect() if r["lvl"] is not None)
     bound = 9 * (st["nv"] * _EDGE_BYTES + st["n"] * _CAND_BYTES)
-    return base, levels, bound <= broadcast_max_bytes
+    return base, least, levels, bound <= broadcast_max_bytes
 
 
-def _with_candidates(points: DataFrame, cells: DataFrame, x: str, y: str, base: float,
-                     levels: Sequence[int], broadcast: bool) -> DataFrame:
-    """Each point with ``__cands``: the candidate polygons of its cell on every level in
-    use (one equi-join per level; each cell table has one row per cell, so a point is
-    never multiplied)."""
-    ctype = cells.schema["cands"].dataType
-    cur = points.select("*", F.lit(None).cast(ctype).alias("__cands"))
+def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick: str, cell_size: float | None,
+                  broadcast_max_bytes: int, order: str, boundary_inside: bool) -> DataFrame:
+    """Each point with ``__ord``: the highest (``pick="last"``) or lowest ordinal of the
+    polygons containing it, or null.
+
+    One equi-join per level in use on the point's cell (each cell table has one row per
+    cell, so a point is never multiplied).  The exact test follows each join at once, and
+    only the best ordinal goes on: no edges travel with the points through a later shuffle.
+    The last step explodes a one-element array, which a later filter on the ordinal cannot
+    be pushed through, so the test is evaluated once.
+    """
+    base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes)
+    cells = polygon_cells(polygons, base, least, order)
     keep = [F.col(f"`{c}`") for c in points.columns]
+    best_of = F.array_max if pick == "last" else F.array_min
+    cur = points.select("*", F.lit(None).cast(polygons.schema[order].dataType).alias("__ord"))
     for lvl in levels:
-        size = base * (2.0 ** lvl)
+        size = base * 4.0 ** -lvl
         right = cells.filter(F.col("lvl") == lvl).select(
-            F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("cands").alias("__lc"))
+            F.col("cx").alias("__cx"), F.col("cy").alias("__cy"), F.col("cands").alias("__cands"))
         right = F.broadcast(right) if broadcast else right
-        keyed = cur.select(*keep, "__cands", _cell(F.col(x), size).alias("__cx"), _cell(F.col(y), size).alias("__cy"))
-        merged = (F.when(F.col("__lc").isNull(), F.col("__cands")).when(F.col("__cands").isNull(), F.col("__lc"))
-                  .otherwise(F.concat(F.col("__cands"), F.col("__lc"))))
-        cur = keyed.join(right, ["__cx", "__cy"], "left").select(*keep, merged.alias("__cands"))
-    return cur
+        # hashes beside the cell: the cells' aggregate partitioning is not reused, so a hot cell can be split
+        if not broadcast:
+            right = right.withColumn("__ch", F.xxhash64("__cx", "__cy"))
+        keyed = cur.select(*keep, "__ord", _cell(F.col(x), size).alias("__cx"), _cell(F.col(y), size).alias("__cy"))
+        if not broadcast:
+            keyed = keyed.withColumn("__ch", F.xxhash64("__cx", "__cy"))
+        on = ["__cx", "__cy"] if broadcast else ["__cx", "__cy", "__ch"]
+        hits = F.filter(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside))
+        best = best_of(F.array_append(F.transform(hits, lambda c: c["ord"]), F.col("__ord")))
+        cur = keyed.join(right, on, "left").select(*keep, F.coalesce(best, F.col("__ord")).alias("__ord"))
+    return cur.select(*keep, F.explode(F.array("__ord")).alias("__ord"))
 
 
 def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, attrs: Sequence[str],
@@ -284,29 +285,25 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     Where polygons overlap, ``pick="last"`` takes the highest ordinal (the overlay the
     jobs used reports the last match), ``pick="first"`` the lowest; points on an edge or
     vertex count as inside unless ``boundary_inside=False``.  Exactly one output row per
-    input point.
+    input point; attributes are joined on by the ordinal at the end.
     """
-    base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
-    cells = polygon_cells(polygons, attrs, base, order)
-    j = _with_candidates(points, cells, x, y, base, levels, bc)
-    # candidates compare by their ordinal (first struct field): max = last, min = first
-    hits = F.filter(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside))
-    chosen = F.array_max(hits) if pick == "last" else F.array_min(hits)
-    j = j.withColumn("__hit", chosen)
-    out = [F.col(f"`{c}`") for c in points.columns] + [F.col("__hit.ord").alias(order)]
-    out += [F.col(f"__hit.{a}").alias(a) for a in attrs]
-    return j.select(*out)
+    tagged = _with_ordinal(points, polygons, x, y, pick, cell_size, broadcast_max_bytes, order, boundary_inside)
+    keep = [F.col(f"`{c}`") for c in points.columns]
+    if not attrs:
+        return tagged.select(*keep, F.col("__ord").alias(order))
+    table = polygons.groupBy(F.col(order).alias("__ord")).agg(F.max(F.struct(*[F.col(a) for a in attrs])).alias("__attrs"))
+    # hashed as well, so that the points of one large polygon can be split
+    table = table.withColumn("__oh", F.xxhash64("__ord"))
+    joined = tagged.withColumn("__oh", F.xxhash64("__ord")).join(table, ["__ord", "__oh"], "left")
+    return joined.select(*keep, F.col("__ord").alias(order), *[F.col(f"__attrs.{a}").alias(a) for a in attrs])
 
 
 def clip(points: DataFrame, polygons: DataFrame, x: str, y: str, cell_size: float | None = None,
-         broadcast_max_bytes: int = 64 << 20, boundary_inside: bool = True) -> DataFrame:
+         broadcast_max_bytes: int = 64 << 20, boundary_inside: bool = True, order: str = "poly_id") -> DataFrame:
     """The points inside (or, with ``boundary_inside``, on the boundary of) any
     polygon; point columns only."""
-    base, levels, bc = _plan_grid(polygons, cell_size, broadcast_max_bytes)
-    cells = polygon_cells(polygons, [], base)
-    j = _with_candidates(points, cells, x, y, base, levels, bc)
-    return j.filter(F.exists(F.col("__cands"), _inside(F.col(x), F.col(y), boundary_inside))).select(
-        *[F.col(f"`{c}`") for c in points.columns])
+    tagged = _with_ordinal(points, polygons, x, y, "last", cell_size, broadcast_max_bytes, order, boundary_inside)
+    return tagged.filter(F.col("__ord").isNotNull()).select(*[F.col(f"`{c}`") for c in points.columns])
 
 
 # Coordinate systems understood by ``reproject``.

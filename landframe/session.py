@@ -8,7 +8,6 @@ must cut lineage (range-partitioned row numbering, fan-out writes).
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) a scratch folder is created; on a
-    cluster the setting must point at shared storage, so a missing value there is an
-    error rather than a silent machine-local fallback.
+    Only a session on a local master may leave the setting out: its own warehouse folder
+    is used then.  On a cluster the setting must point at shared storage, so a missing
+    value there is an error; no machine-local temporary folder is ever used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,7 +53,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at shared storage")
-        configured = tempfile.mkdtemp(prefix="landframe-ckpt-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -10,10 +10,11 @@ SF001 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from landframe.plans import load_all
     from landframe.session import build_session
     load_all()
-    s = build_session(master="local[*]", shuffle_partitions=8)
+    folder = str(tmp_path_factory.mktemp("checkpoints"))
+    s = build_session(master="local[*]", shuffle_partitions=8, extra={"spark.checkpoint.dir": folder})
     yield s
     s.stop()

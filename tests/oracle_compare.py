@@ -13,6 +13,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -116,7 +117,7 @@ def main(argv):
     load_all()
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
-    spark = build_session()
+    spark = build_session(extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")})
     con = duck(sf_dir)
     bad = 0
     for n in names:

@@ -417,9 +417,9 @@ def test_mixed_polygon_sizes_use_levels(spark):
     rows = [(1, "big", [big])] + [(2 + i, f"s{i}", [[(i * 3, 5), (i * 3 + 1, 5), (i * 3 + 1, 6), (i * 3, 6)]])
                                   for i in range(30)]
     layer = G.polygon_layer(spark, rows, "name string")
-    base, levels, bc = G._plan_grid(layer, None, 64 << 20)
-    assert base == 1.0 and len(levels) > 1 and bc
-    cells = G.polygon_cells(layer, [], base)
+    base, least, levels, bc = G._plan_grid(layer, None, 64 << 20)
+    assert (base, least, levels, bc) == (10000.0, 1.0, [0, 6], True)
+    cells = G.polygon_cells(layer, base, least)
     assert cells.select(F.max(F.size("cands"))).first()[0] <= 4      # no cell gathers the small polygons
     assert cells.count() <= 4 * 31
     pts = spark.createDataFrame([(1, 3.5, 5.5), (2, 500.0, 500.0), (3, 20000.0, 1.0)], "id int, x double, y double")
