@@ -377,12 +377,12 @@ def map_layer_load(spark, paths, layers: dict, root: str | None = None,
                    release: str | None = None) -> dict:
     """Every named feature layer out of a folder of XML/GML tiles, with ``tile`` /
     ``file`` provenance, the declared attributes selected; optionally written per layer
-    partitioned by release.  ``layers`` maps row tag -> schema (DDL or StructType).
-    Returns the layer DataFrames."""
-    from landframe.sources.files import read_features, write_release
+    partitioned by release.  ``layers`` maps row tag -> schema (DDL or StructType),
+    or a declared layer's name (``layouts.MAP_LAYERS``) -> None.  Returns the layer DataFrames."""
+    from landframe.sources.files import read_features, read_map_layer, write_release
     out = {}
     for tag, schema in layers.items():
-        df = read_features(spark, paths, tag, schema)
+        df = read_map_layer(spark, paths, tag) if schema is None else read_features(spark, paths, tag, schema)
         if release is not None:
             df = df.withColumn("release", F.lit(release))
         out[tag] = df

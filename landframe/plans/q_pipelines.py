@@ -495,3 +495,38 @@ def l10_planning_records(spark, sf_dir):
     pages = pages.select("record_id", (F.col("record_id") * 2 + F.col("n")).alias("page_id"), "html")
     out = P.planning_records(pages, vocab=["Priority", "Reference", "Status"])
     return out.select("record_id", "Reference", "Status", F.coalesce("Priority", F.lit("")).alias("Priority"))
+
+
+@register("l11_map_layers", sql="""
+SELECT 'osgb' || CAST(p_partkey AS VARCHAR) AS TOID, CAST(p_size AS SMALLINT) AS FeatureCode, CAST(1 AS SMALLINT) AS Version,
+       p_brand AS Theme, CAST(2 AS SMALLINT) AS ThemeCount, p_retailprice AS CalculatedAreaValue,
+       CASE WHEN p_size > 25 THEN '2016-01-02' END AS ChangeDate, CAST(CASE WHEN p_size > 25 THEN 2 ELSE 0 END AS SMALLINT) AS ChangeHistoryCount,
+       string_split(p_name, ' ')[1] AS DescriptiveGroup, CAST(2 AS SMALLINT) AS DescriptiveGroupCount,
+       CAST(NULL AS VARCHAR) AS DescriptiveTerm, CAST(0 AS SMALLINT) AS DescriptiveTermCount, 'Manmade' AS Make, 'part' AS src
+FROM part
+""")
+def l11_map_layers(spark, sf_dir):
+    """The TopographicArea layer out of tiles with prefixed element names, the id in
+    an attribute, repeated children and a second layer; loaded, written by release and read back."""
+    p = table(spark, sf_dir, "part")
+    tag = lambda name, c: F.concat(F.lit(f"<osgb:{name}>"), c.cast("string"), F.lit(f"</osgb:{name}>"))
+    words = F.split("p_name", " ")
+    history = F.when(F.col("p_size") > 25, F.lit("".join(
+        f"<osgb:changeHistory><osgb:changeDate>{d}</osgb:changeDate><osgb:reasonForChange>New</osgb:reasonForChange></osgb:changeHistory>"
+        for d in ("2016-01-02", "2017-03-04")))).otherwise(F.lit(""))
+    area = F.concat(F.lit('<osgb:TopographicArea fid="osgb'), F.col("p_partkey").cast("string"), F.lit('">'), tag("featureCode", F.col("p_size")),
+                    tag("version", F.lit(1)), tag("theme", F.col("p_brand")), tag("theme", F.lit("Land")),
+                    tag("calculatedAreaValue", F.col("p_retailprice")), history, tag("descriptiveGroup", words[0]),
+                    tag("descriptiveGroup", words[1]), tag("make", F.lit("Manmade")), F.lit("</osgb:TopographicArea>"),
+                    F.lit('<osgb:TopographicLine fid="x"><osgb:featureCode>1</osgb:featureCode></osgb:TopographicLine>'))
+    # a tile file holds 200 parts
+    body = F.array_join(F.collect_list(area), "")
+    tiles = p.groupBy(F.floor(F.col("p_partkey") / 200).alias("sheet")).agg(
+        F.concat(F.lit('<osgb:FeatureCollection xmlns:osgb="urn:osgb">'), body, F.lit("</osgb:FeatureCollection>")).alias("value"))
+    root = f"{checkpoint_dir(spark)}/landframe-io/layers-{uuid.uuid4().hex}"
+    tiles.write.partitionBy("sheet").text(f"{root}/tiles")
+    layers = P.map_layer_load(spark, f"{root}/tiles", {"TopographicArea": None}, f"{root}/out", "201704")
+    out = spark.read.schema(layers["TopographicArea"].schema).parquet(f"{root}/out/TopographicArea")
+    return out.select("TOID", "FeatureCode", "Version", "Theme", "ThemeCount", "CalculatedAreaValue", "ChangeDate", "ChangeHistoryCount",
+                      "DescriptiveGroup", "DescriptiveGroupCount", "DescriptiveTerm", "DescriptiveTermCount", "Make",
+                      F.regexp_extract("tile", "^(part)-", 1).alias("src"))

@@ -49,15 +49,51 @@ def read_csv(spark: SparkSession, paths, null_value: str | None = None,
 
 def read_features(spark: SparkSession, paths, row_tag: str, schema: T.StructType | str | None = None,
                   provenance: bool = True) -> DataFrame:
-    """S3: one feature layer (elements named ``row_tag``) out of every XML/GML file under
-    ``paths``, stacked; with provenance columns by default (S4)."""
-    r = spark.read.format("xml").option("rowTag", row_tag)
+    """S3: one feature layer (elements named ``row_tag``) out of every XML/GML
+    file under ``paths``, stacked; with provenance columns by default (S4).  Elements
+    are matched without their namespace prefix, XML attributes as ``_name``."""
+    r = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(paths)
     return with_provenance(df) if provenance else df
 
 
+def read_map_layer(spark: SparkSession, paths, layer: str) -> DataFrame:
+    """One of the declared map layers (``layouts.MAP_LAYERS``) in its table form.
+
+    The feature's id is an XML attribute and element names start in lower case; of repeated
+    children (theme, group, term, change history) the first is the value and their number
+    the ``...Count`` attribute.  Elements a feature lacks are null (counts 0)."""
+    from landframe.sources.layouts import MAP_LAYERS
+
+    declared = T._parse_datatype_string(MAP_LAYERS[layer])
+    repeated = {"Theme", "DescriptiveGroup", "DescriptiveTerm"}
+    names = [f for f in declared.fields if f.name != "TOID" and not f.name.endswith("Count") and f.name not in ("ChangeDate", "ReasonForChange")]
+    low = lambda name: name[0].lower() + name[1:]
+    raw = T.StructType([T.StructField("_fid", T.StringType())])
+    for f in names:
+        raw.add(low(f.name), T.ArrayType(T.StringType()) if f.name in repeated else f.dataType)
+    if "ChangeDate" in declared.names:
+        raw.add("changeHistory", T.ArrayType(T.StructType([T.StructField("changeDate", T.StringType()), T.StructField("reasonForChange", T.StringType())])))
+    df = read_features(spark, paths, layer, raw)
+    size = lambda c: F.coalesce(F.size(F.col(c)), F.lit(0)).cast("smallint")
+    out = []
+    for f in declared.fields:
+        if f.name == "TOID":
+            c = F.col("_fid")
+        elif f.name == "ChangeHistoryCount":
+            c = size("changeHistory")
+        elif f.name in ("ChangeDate", "ReasonForChange"):
+            c = F.get("changeHistory", F.lit(0))[low(f.name)]
+        elif f.name.endswith("Count"):
+            c = size(low(f.name[:-5]))
+        else:
+            c = F.get(low(f.name), F.lit(0)) if f.name in repeated else F.col(low(f.name))
+        out.append(c.alias(f.name))
+    return df.select(*out, "tile", "file")
+
+
 def with_provenance(df: DataFrame, tile_col: str = "tile", file_col: str = "file") -> DataFrame:
     """``file`` = source path, ``tile`` = source base name without extension."""
     return df.select("*", F.regexp_extract(F.col("_metadata.file_name"), "^([^.]*)", 1).alias(tile_col),

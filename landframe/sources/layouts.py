@@ -22,3 +22,24 @@ ADDRESS_FIELDS = [
 
 # Date fields of the address layout re-emitted as yyyyMMdd by the address graph.
 ADDRESS_DATE_FIELDS = ["STATE_DATE", "ENTRY_DATE", "LA_START_DATE", "LAST_UPDATE_DATE", "RM_START_DATE"]
+
+# Attributes of the map layers, in the order of their tables.
+_LAYER_HEAD = "TOID string, FeatureCode smallint, Version smallint, VersionDate string, Theme string, ThemeCount smallint"
+_LAYER_HISTORY = ("ChangeDate string, ReasonForChange string, ChangeHistoryCount smallint, DescriptiveGroup string, "
+                  "DescriptiveGroupCount smallint, DescriptiveTerm string, DescriptiveTermCount smallint")
+_LAYER_HEIGHTS = ("HeightAboveDatum double, AccuracyOfHeightAboveDatum string, HeightAboveGroundLevel double, "
+                  "AccuracyOfHeightAboveGroundLevel string")
+_LAYER_TAIL = "Make string, PhysicalLevel smallint, PhysicalPresence string"
+MAP_LAYERS = {
+    "TopographicLine": f"{_LAYER_HEAD}, AccuracyOfPosition string, {_LAYER_HISTORY}, NonBoundingLine boolean, {_LAYER_HEIGHTS}, "
+                       f"{_LAYER_TAIL}, ReferenceToFeature string, broken string",
+    "CartographicText": f"{_LAYER_HEAD}, {_LAYER_HISTORY}, {_LAYER_TAIL}, AnchorPosition double, Font double, Height double, "
+                        "Orientation smallint, TextString string",
+    "TopographicArea": f"{_LAYER_HEAD}, CalculatedAreaValue double, {_LAYER_HISTORY}, {_LAYER_TAIL}, broken string",
+    "CartographicSymbol": f"{_LAYER_HEAD}, {_LAYER_HISTORY}, Orientation smallint, PhysicalLevel smallint, PhysicalPresence string, "
+                          "ReferenceToFeature string",
+    "TopographicPoint": f"{_LAYER_HEAD}, AccuracyOfPosition string, {_LAYER_HISTORY}, {_LAYER_HEIGHTS}, {_LAYER_TAIL}, "
+                        "ReferenceToFeature string",
+    "BoundaryLine": f"{_LAYER_HEAD}, AccuracyOfPosition string, {_LAYER_HISTORY}, {_LAYER_TAIL}, broken string",
+    "queryExtent": "TOID string",
+}
