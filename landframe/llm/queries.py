@@ -2,28 +2,30 @@
 
 from __future__ import annotations
 
-from landframe.llm import decontaminate, license_scan, near_duplicates, quality_rules
+from landframe.llm import decontaminate, license_scan, near_duplicates, pii, quality_rules, sharding, toxicity
 from landframe.llm.packing import op4_packing
 from landframe.llm.secret_scan import op6_secret_scan
-from landframe.llm.sharding import op8_sharding
 from landframe.llm.token_counts import op9_token_counts
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
+    "op2_pii_surrogates": pii.op2_pii_surrogates,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_packing": op4_packing,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_secret_scan": op6_secret_scan,
     "op7_jaccard_join": near_duplicates.op7_jaccard_join,
-    "op8_sharding": op8_sharding,
+    "op8_sharding": sharding.op8_sharding,
     "op9_token_counts": op9_token_counts,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
-#: the others cannot be expressed in SQL (tokenizers, CRC-32, trained models); tests/llm
-#: holds them against brute force
+#: the others have no SQL form (tokenizers, keyed surrogates, trained models); tests/llm holds
+#: them against brute force, exact round trips and held-out accuracy
 ORACLE: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
     "op3_quality_rules": quality_rules.ORACLE,
-    "op7_jaccard_join": near_duplicates.ORACLE,
     "op5_decontamination": decontaminate.ORACLE,
+    "op7_jaccard_join": near_duplicates.ORACLE,
+    "op8_sharding": sharding.ORACLE,
 }

@@ -93,3 +93,18 @@ def op8_sharding(spark, sf_dir) -> DataFrame:
     }
     out = shard_records(docs, ["doc_id"], [1.0] * QUERY_SHARDS, keep, [1.0] * (QUERY_SHARDS + 1))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+#: CRC-32 by its table, byte for byte; slots follow the file's row order
+ORACLE = r"""
+WITH RECURSIVE crc(n, k, v) AS (SELECT n, 0, n::UBIGINT FROM range(256) t(n)
+  UNION ALL SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM crc WHERE k < 8),
+tab AS (SELECT list(v ORDER BY n) AS t FROM crc WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, coalesce(length(doc_id::VARCHAR) || ':' || doc_id, '-') AS key FROM documents),
+b AS (SELECT r, doc_id, key, hex(encode(text)) AS h FROM d),
+c AS (SELECT r, doc_id, key, length(h) // 2 AS n, xor(list_reduce(list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT),
+        lambda s, x: xor(s >> 8, t[(xor(s, x) & 255)::BIGINT + 1]), 4294967295::UBIGINT), 4294967295::UBIGINT) AS crc FROM b, tab),
+s AS (SELECT *, list_transform(range(0, 41), lambda s: {'score': -ln((('0x' || substr(md5(key || '#' || (s // 4)), 8 * (s % 4) + 1, 8))::UBIGINT + 0.5) / 4294967296.0), 'shard': s}) AS scores FROM c),
+p AS (SELECT r, doc_id, n, crc, list_min(scores[1:40]).shard AS shard, list_min(scores).shard AS grown FROM s)
+SELECT doc_id, (n + 16)::BIGINT AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY r) - 1 AS slot, grown::INTEGER AS grown_shard FROM p"""
