@@ -130,10 +130,12 @@ def publish_address_release(all_rows: DataFrame, boundary: DataFrame, root: str,
 
 def address_graph(raw: DataFrame, names: Sequence[str], date_cols: Sequence[str],
                   x: str = "X_COORDINATE", y: str = "Y_COORDINATE", uprn: str = "UPRN",
-                  parent: str = "PARENT_UPRN") -> tuple[DataFrame, DataFrame]:
+                  parent: str = "PARENT_UPRN", typed: bool = False) -> tuple[DataFrame, DataFrame]:
     """The address graph: positional names, ``OBJECTID`` copy, 12-character ids,
     dates re-emitted as ``yyyyMMdd`` (unparsable left as they are), points made from the
-    coordinates with failures routed to a reject output, names lower-cased.
+    coordinates with failures routed to a reject output, names lower-cased.  ``typed`` gives
+    the features the database table's types: dates as DATE (unparsable null), coordinates as
+    doubles; the reject output keeps its text.
 
     Returns ``(features, rejected)``.
     """
@@ -146,6 +148,8 @@ def address_graph(raw: DataFrame, names: Sequence[str], date_cols: Sequence[str]
     df = df.withColumns({uprn: pad_left(uprn, 12), parent: pad_left(parent, 12)})
     df = df.withColumns({c: normalise_date(c) for c in date_cols})
     ok, rejected = with_point(df, x, y, "px", "py")
+    if typed:
+        ok = ok.withColumns({x: F.col("px"), y: F.col("py"), **{c: F.try_to_timestamp(F.col(c), F.lit("yyyyMMdd")).cast("date") for c in date_cols}})
     return lower_names(ok), lower_names(rejected)
 
 

@@ -265,6 +265,19 @@ def l12_address_graph(spark, sf_dir):
     return ok.select("objectid", "uprn", "parent_uprn", "state_date", "px", "py")
 
 
+@register("l12_typed_features", sql=_GRAPH_SQL + f"""
+SELECT objectid, {_pad_sql('objectid')} AS uprn, CAST(coalesce(
+           try_strptime(dtext, '%Y-%m-%d'), try_strptime(dtext, '%Y%m%d'),
+           try_strptime(dtext, '%d/%m/%Y'), try_strptime(dtext, '%d %B %Y')) AS DATE) AS state_date,
+       px AS x_coordinate, py AS y_coordinate
+FROM g WHERE py IS NOT NULL
+""")
+def l12_typed_features(spark, sf_dir):
+    """The address graph's features in the database table's types."""
+    ok, _rej = P.address_graph(_graph_raw(spark, sf_dir), GRAPH_NAMES, ["STATE_DATE"], typed=True)
+    return ok.select("objectid", "uprn", "state_date", "x_coordinate", "y_coordinate")
+
+
 @register("l12_rejected", sql=_GRAPH_SQL + """
 SELECT objectid FROM g WHERE py IS NULL
 """)
