@@ -87,6 +87,14 @@ def test_splitting_at_blanks_keeps_the_count(text):
     assert "".join(token_counts.split_at_blanks(text, 4)) == text
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([" ", "  ", "\n", "a", "'s", "It's", "9", "<|endoftext|>", "\x1c", "\x85", "\xa0", "é", "́"]), st.characters(exclude_categories=["Cs"])), max_size=20))
+def test_ids_as_the_tokenizers_library_gives_them(parts):
+    text = "".join(parts)
+    assert packing.id_encoder(BYTE)(text) == token_counts.load_tokenizer(BYTE).encode(text, add_special_tokens=False).ids
+    assert packing.id_encoder(WORD)(text) == token_counts.load_tokenizer(WORD).encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(1, 20), max_size=60), st.integers(20, 33))
 def test_best_fit_as_brute_force(lengths, window):
