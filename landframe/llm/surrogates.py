@@ -25,7 +25,7 @@ LETTERS = {
     "greek": ("αεηιοω", "βγδθκλμνπρτφχ"),
 }
 
-_EMAIL = re.compile(r"[\w.%+-]*\w@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+_EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]*\w@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
