@@ -25,7 +25,10 @@ from landframe.session import materialize
 SAMPLE_PER_CLASS = 8_000
 LEXICON = 1_000
 FEATURES = 6_000
-MIN_LOG_ODDS = 3.0
+#: least log odds of a lexicon entry (at a tenth of toxic texts, nine in ten that hold it are)
+#: and of a classifier feature, in either direction
+MIN_LOG_ODDS = 4.5
+FEATURE_LOG_ODDS = 2.0
 PREDICT_AT = 0.7
 
 PREFIXES = (4, 5, 6, 8)
@@ -118,7 +121,7 @@ class LabelModel:
 
 
 def fit_linear(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, size: int,
-               rounds: int = 400, rate: float = 0.1, ridge: float = 1e-4) -> np.ndarray:
+               rounds: int = 600, rate: float = 0.1, ridge: float = 1e-5) -> np.ndarray:
     """Logistic regression on sets of feature numbers by Adam; the last weight is the bias."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     feature = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
@@ -178,7 +181,7 @@ def mine_features(sample: DataFrame, size: int) -> list[tuple[bytes, float]]:
         F.sum("label").alias("t"), F.sum(1 - F.col("label")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / F.lit(toxic + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(clean + 1.0))
     least = max(3, toxic // 50)
-    ranked = counts.withColumn("odds", odds).filter((F.abs("odds") > 1.0) & (F.col("t") + F.col("c") >= least))
+    ranked = counts.withColumn("odds", odds).filter((F.abs("odds") > FEATURE_LOG_ODDS) & (F.col("t") + F.col("c") >= least))
     top = ranked.orderBy((F.abs("odds") * F.log(1.0 + F.col("t") + F.col("c"))).desc(), "feature").limit(size)
     return [(bytes(r["feature"]), r["odds"]) for r in top.collect()]
 
