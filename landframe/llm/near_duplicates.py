@@ -27,6 +27,8 @@ RECALL = 0.99999
 #: largest bucket or block that one task compares; larger ones are split or cut into blocks
 BUCKET = 2048
 DEPTH = 3
+#: longest list of 64-bit keys that is broadcast (16 MB); a longer one is joined by a shuffle
+BROADCAST_KEYS = 2_000_000
 
 
 def describe_sets(docs: DataFrame, id_col: str, text_col: str, threshold: float, recall: float, depth: int) -> DataFrame:
@@ -101,6 +103,13 @@ def in_block_pairs(rows: DataFrame, key: str, size: str, block: int) -> DataFram
     )
 
 
+def checked(keys: DataFrame) -> tuple[DataFrame, int]:
+    """A written list of keys, marked for broadcast if it is short, and its length."""
+    keys = materialize(keys)
+    n = keys.count()
+    return (F.broadcast(keys) if n <= BROADCAST_KEYS else keys), n
+
+
 def bucket_rows(classes: DataFrame, depth: int, bucket: int) -> DataFrame:
     """``path, cls, size`` of the buckets to compare: those of two sets or more that are small
     or cannot be split further."""
@@ -120,8 +129,8 @@ def bucket_rows(classes: DataFrame, depth: int, bucket: int) -> DataFrame:
         done = found if done is None else done.unionByName(found)
         if level == depth:
             break
-        parents = sizes.filter(F.col("size") > bucket).select(F.col("path").alias("parent"))
-        if parents.isEmpty():
+        parents, n = checked(sizes.filter(F.col("size") > bucket).select(F.col("path").alias("parent")))
+        if not n:
             break
     return done
 
@@ -187,6 +196,10 @@ def verified_links(docs: DataFrame, id_col: str, text_col: str, members: DataFra
 
     text = column(docs, text_col)
     texts = docs.select(column(docs, id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    members = materialize(members)
+    keys, n = checked(members.select(F.col("text_key").alias("key")).distinct())
+    if n <= BROADCAST_KEYS:  # texts outside the groups are then left out before the shuffle
+        texts = texts.join(keys, "key", "left_semi")
     given = texts.join(members, texts["key"].eqNullSafe(members["text_key"]) & texts["doc_id"].eqNullSafe(members["doc"])).select("cls", "comp", "size", "text")
 
     def sets(batches: Iterator) -> Iterator:
