@@ -23,6 +23,8 @@ from landframe.session import materialize
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 MIN_WORDS = 50
 HOST_LIMIT = 0.5
+#: bad hosts up to which they are broadcast; more are joined by a shuffle
+BROADCAST_HOSTS = 100_000
 #: parts over which a host's rows are dealt when verdicts are joined back by a shuffle
 SALTS = 32
 
@@ -118,13 +120,18 @@ def bad_hosts(measured: DataFrame, host: Column, m: Column, host_limit: float =
 def with_verdicts(measured: DataFrame, host: Column, m: Column, bad: DataFrame) -> DataFrame:
     """``measured`` with ``failed_rules``, ``base_failed``, ``host_rejected`` and ``kept``.
 
-    The bad hosts are few; Spark broadcasts them when they are small.  Beyond that they are
-    repeated over ``SALTS`` parts, so that a host with a third of all rows is spread.
+    The bad hosts are written and counted: up to ``BROADCAST_HOSTS`` they are broadcast, and
+    no row is shuffled.  Beyond that they are repeated over ``SALTS`` parts, so that a host
+    with a third of all rows is spread over as many tasks.
     """
-    salted = bad.select("host", "bad", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    rows = measured.withColumns({
-        "__host": host_key(host), "__salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
-    joined = rows.join(salted.toDF("__host", "__bad", "__salt"), ["__host", "__salt"], "left")
+    bad = materialize(bad.toDF("__host", "__bad"))
+    rows = measured.withColumn("__host", host_key(host))
+    if bad.count() <= BROADCAST_HOSTS:
+        joined = rows.join(F.broadcast(bad), "__host", "left").withColumn("__salt", F.lit(0))
+    else:
+        salted = bad.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, ["__host", "__salt"], "left")
     failed = F.array_compact(F.array(*[F.when(c, F.lit(r)) for r, c in rule_failures(m).items()]))
     return (
         joined.withColumn("failed_rules", failed)

@@ -79,7 +79,9 @@ def test_measures_as_brute_force(text):
     assert quality_rules.measure(text) == brute_measures(text)
 
 
-def test_bad_host_rejects_only_its_failing_documents(spark):
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_bad_host_rejects_only_its_failing_documents(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(quality_rules, "BROADCAST_HOSTS", broadcast)
     good = " ".join(f"w{i}" for i in range(80))
     symbols = " ".join(f"w{i}#" for i in range(80))
     rows = [(i, symbols if i % 4 else good, "bad") for i in range(400)] + [(i, good, None) for i in range(400)] + [(900, symbols, "good")]
