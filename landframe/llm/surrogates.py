@@ -127,7 +127,9 @@ def like_char(c: str, draw: Stream) -> str:
 
 def surrogate(kind: str, norm: str, key: bytes, attempt: int) -> str:
     """A replacement in normal form: same type, length and format; from the 16th attempt on
-    numbers and names grow, so that room is found in the end."""
+    numbers and names grow, so that room is found in the end.  An IP then takes parts of any
+    length, and an IPv6 address from the 64th attempt on, should most of IPv4 be taken; only
+    given names never grow, they are mapped one to one."""
     draw = Stream(key, kind, norm, attempt)
     grown = max(0, attempt - 15)
     if kind == "email":
@@ -147,11 +149,15 @@ def surrogate(kind: str, norm: str, key: bytes, attempt: int) -> str:
         code, _, rest = norm.partition("+")
         return code + "+" + "".join(draw.digit(i == 0 and c != "0") for i, c in enumerate(rest + "0" * grown))
     if kind == "ip":
+        if grown > 48:
+            return ":".join(f"{0x1000 + draw.below(0xF000):x}" for _ in range(8))
+        if grown:
+            return ".".join(str(draw.below(256)) for _ in range(4))
         low, high = {1: 0, 2: 10, 3: 100}, {1: 10, 2: 100, 3: 256}
         return ".".join(str(low[len(p)] + draw.below(high[len(p)] - low[len(p)])) for p in norm.split("."))
     if kind == "ssn":
         area = 1 + draw.below(898)
-        return f"{area + (area >= 666):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
+        return f"{area + (area >= 666):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}" + "".join(draw.digit() for _ in range(grown))
     if kind == "iban":
         body = "".join(draw.digit() if c.isdigit() else chr(65 + draw.below(26)) for c in norm[4:] + "0" * grown)
         return f"{norm[:2]}{98 - iban_remainder(norm[:2] + '00' + body):02d}{body}"

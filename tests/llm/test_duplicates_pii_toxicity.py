@@ -114,6 +114,20 @@ def test_collisions_are_drawn_again(spark):
     assert len(out) == 102 and len(set(new)) == 102 and not set(new) & {(r["kind"], r["norm"]) for r in out}
 
 
+def test_more_entities_than_a_format_has_free_values(spark):
+    rows = [("ip", f"{n // 1000}.{n // 100 % 10}.{n // 10 % 10}.{n % 10}") for n in range(5200)]
+    out = pii.assign_surrogates(spark.createDataFrame(rows, "kind string, norm string"), b"k").collect()
+    new = {r["new"] for r in out}
+    assert len(out) == len(new) == 5200 and not new & {n for _, n in rows}
+    assert {k for x in new for _, _, k, _ in surrogates.find_entities(x)} == {"ip"}
+
+
+@pytest.mark.parametrize("kind, norm", [("ip", "1.2.3.4"), ("ssn", "123456789"), ("phone", "1+5557713000"), ("iban", "DE89370400440532013000"),
+                                        ("card", "4716910733143313"), ("account", "1234567890123456"), ("email", "a@b.org"), ("surname", "li")])
+def test_every_kind_grows(kind, norm):
+    assert len(surrogates.surrogate(kind, norm, b"k", 99)) > len(norm)
+
+
 def test_given_names_map_one_to_one():
     for names in surrogates.GIVEN_NAMES.values():
         new = [surrogates.surrogate("given", n.casefold(), b"k", 0) for n in names]
