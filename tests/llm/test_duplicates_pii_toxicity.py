@@ -128,6 +128,38 @@ def test_every_kind_grows(kind, norm):
     assert len(surrogates.surrogate(kind, norm, b"k", 99)) > len(norm)
 
 
+def found(text):
+    return [(text[a:b], kind) for a, b, kind, _ in surrogates.find_entities(text)]
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Maria Anna Schmidt met William Robert Jones", "Maria Anna Schmidt William Robert Jones"),
+    ("then Anna von Berg and Hans van der Meer left; Maria Garc\u00eda M\u00e1rquez", "Anna Berg Hans Meer Maria Garc\u00eda M\u00e1rquez"),
+    ("(Maria\nSchmidt) saw Peter\u00a0 F. Lee\nThe end. The Lee's house", "Maria Schmidt Peter Lee Lee"),
+    ("Mr Oliver Twist, Frau Dr. Huber, my name is Olivia Jones. Anna-Maria Weber", "Oliver Twist Huber Olivia Jones Anna-Maria Weber"),
+    ("\u041c\u0430\u0440\u0438\u044f \u043f\u043e\u0448\u043b\u0430 \u043a \u0418\u0432\u0430\u043d\u0443. Maria\n\nSchmidt. Maria walked. Hans The", ""),
+])
+def test_names_of_several_words(text, names):
+    assert [t for t, _ in found(text)] == names.split()
+
+
+@pytest.mark.parametrize("text, kind", [("020 7946 0958", "phone"), ("01 42 34 56 78", "phone"), ("01.42.34.56.78", "phone"), ("(020) 7946 0958", "phone"),
+                                        ("0171/1234567", "phone"), ("07700 900123", "phone"), ("2001:db8::8a2e:370:7334", "ip"), ("fe80::1", "ip"),
+                                        ("2001:0db8:85a3:0000:0000:8a2e:0370:7334", "ip"), ("::ffff:10.2.3.4", "ip")])
+def test_national_phones_and_ipv6(text, kind):
+    assert found(f"see {text}, or") == [(text, kind)] and found(f"tel: 555 0187 x {text}.") == [("555 0187", "phone"), (text, kind)]
+    (_, _, _, norm), = surrogates.find_entities(text)
+    new = surrogates.render(text, kind, surrogates.surrogate(kind, norm, b"k", 0))
+    assert new != text and found(new) == [(new, kind)]
+    again, = surrogates.find_entities(new)
+    assert again[3] == surrogates.surrogate(kind, norm, b"k", 0)
+
+
+@pytest.mark.parametrize("text", ["12:30:45", "00:1A:2B:3C:4D:5E", "std::dec add::be ::1", "01-02-2003", "01.02.2003 12:30", "0.123456789", "0306406157", "1 000 000 000"])
+def test_no_phones_and_addresses(text):
+    assert found(text) == []
+
+
 def test_given_names_map_one_to_one():
     for names in surrogates.GIVEN_NAMES.values():
         new = [surrogates.surrogate("given", n.casefold(), b"k", 0) for n in names]
