@@ -24,6 +24,8 @@ from landframe.session import materialize
 
 THRESHOLD = 0.8
 RECALL = 0.99999
+#: part of the missed pairs allowed that the paths may miss; the rest is the sketches'
+PATH_MISS = 0.85
 #: largest bucket or block that one task compares; larger ones are split or cut into blocks
 BUCKET = 2048
 DEPTH = 3
@@ -39,7 +41,8 @@ def describe_sets(docs: DataFrame, id_col: str, text_col: str, threshold: float,
     text = column(docs, text_col)
     slim = docs.select(column(docs, id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
-    runs = shingles.runs_for(recall)
+    # a hot bucket compares its pairs at the last level only: they must meet there
+    runs = shingles.runs_for(1 - PATH_MISS * (1 - recall), depth)
     longs = pa.list_(pa.int64())
 
     def run(batches: Iterator) -> Iterator:
@@ -135,10 +138,11 @@ def bucket_rows(classes: DataFrame, depth: int, bucket: int) -> DataFrame:
     return done
 
 
-def candidate_links(classes: DataFrame, threshold: float, depth: int, bucket: int) -> DataFrame:
+def candidate_links(classes: DataFrame, threshold: float, recall: float, depth: int, bucket: int) -> DataFrame:
     """``a, b``: a spanning forest, per bucket, of the sets that their sketches let be similar."""
     import pyarrow as pa
 
+    need = shingles.sketch_cutoff(threshold, (1 - PATH_MISS) * (1 - recall))
     rows = bucket_rows(classes, depth, bucket).join(classes.select("cls", "n", "sketch"), "cls")
     dealt = in_block_pairs(rows, "path", "size", bucket).select("path", "lo", "hi", "cls", "n", "sketch")
 
@@ -149,7 +153,7 @@ def candidate_links(classes: DataFrame, threshold: float, depth: int, bucket: in
                 continue
             cls = group["cls"].tolist()
             sketches = np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-            for u, v in shingles.similar_forest(sketches, group["n"].to_numpy(), threshold):
+            for u, v in shingles.similar_forest(sketches, group["n"].to_numpy(), threshold, need):
                 a.append(cls[u])
                 b.append(cls[v])
             if len(a) > 50_000:
@@ -257,7 +261,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sets.groupBy("cls").agg(first.alias("first"), F.count(F.lit(1)).alias("n_copies"), *[F.first(c).alias(c) for c in ["n", "sketch", *paths]])
         .withColumns({"doc": F.col("first.doc_id"), "text_key": F.col("first.text_key")}).drop("first"))
 
-    groups = components(candidate_links(classes, threshold, depth, bucket))
+    groups = components(candidate_links(classes, threshold, recall, depth, bucket))
     sizes = groups.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
     members = groups.join(sizes, "comp").join(classes.select("cls", "doc", "text_key"), "cls")
     links = materialize(verified_links(docs, id_col, text_col, members, threshold, bucket))

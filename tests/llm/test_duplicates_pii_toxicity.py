@@ -78,6 +78,39 @@ def test_first_paths_meet_as_often_as_claimed():
     assert met >= 294
 
 
+def test_pairs_of_split_buckets_meet_at_full_depth():
+    random.seed(3)
+    depth = near_duplicates.DEPTH
+    runs, met = shingles.runs_for(0.99, depth), 0
+    for k in range(300):
+        base = [f"{k}w{i}" for i in range(204)]
+        copy = list(base)
+        for i in random.sample(range(5, 195, 5), 4):
+            copy[i] = "new"
+        a, b = (shingles.shingle_set(" ".join(x)) for x in (base, copy))
+        met += bool(len(np.intersect1d(*[shingles.chosen_paths(x, 0.8, runs, depth)[-1][0] for x in (a, b)])))
+    assert met >= 294
+
+
+def test_runs_and_sketches_together_miss_no_more_than_claimed(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(300)))], "doc_id long, text string")
+    row = near_duplicates.describe_sets(docs, "doc_id", "text", near_duplicates.THRESHOLD, near_duplicates.RECALL, 3).first()
+    runs = len(set(row["q1"]))  # runs that chose a token; each chooses 1.25 in the mean
+    assert runs >= 13
+    die = 0.0
+    for _ in range(3):
+        die = np.exp(die - 1)
+    miss = 1 - near_duplicates.RECALL
+    runs = shingles.runs_for(1 - near_duplicates.PATH_MISS * miss, 3)
+    need = shingles.sketch_cutoff(near_duplicates.THRESHOLD, (1 - near_duplicates.PATH_MISS) * miss)
+    t = near_duplicates.THRESHOLD
+    below = sum(shingles.math.comb(shingles.SKETCH, k) * t ** k * (1 - t) ** (shingles.SKETCH - k) for k in range(need))
+    assert die ** runs + below <= miss
+    sketches = np.zeros((2, shingles.SKETCH), np.uint8)
+    sketches[1, need:] = 1
+    assert shingles.similar_forest(sketches, np.array([100, 100]), t, need) == [(0, 1)]
+
+
 PII = ["Write to Ann.Lee7@mail3.example.com or ann.lee7@MAIL3.example.com, +1 (017) 555-7713 or +1 (017) 555 7713.",
        "Card 4716 9107 3314 3313 and 4716910733143313, account 1234567890123456, host 10.23.7.201, SSN 123-45-6789.",
        "Dr. Maria Schmidt met Hans Weber. SCHMIDT left; Иван Петров, Петров.", "IBAN DE89370400440532013000.",
