@@ -3,8 +3,10 @@
 The base rules find assignments, access keys and hexadecimal strings.  The method adds long
 unbroken strings that a tokenizer needs unusually many tokens for: text that a byte-pair
 vocabulary has learnt takes three or four characters a token, a random string hardly two.
-Known digests (hexadecimal strings of a digest's length, UUIDs) and identifiers (words and
-numbers joined by separators) are taken out before the test.
+Known digests (hexadecimal strings of a digest's length, UUIDs) and identifiers (numbers and
+words that pass the token test themselves, joined by separators) are taken out before the
+test.  Where the whole string passes, its parts between separators and the stretches of
+neighbouring parts are tested, so that words in front hide no secret.
 """
 
 from __future__ import annotations
@@ -34,7 +36,13 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-IDENTIFIER = re.compile(r"(?:[A-Za-z]+|[0-9]+)(?:[-_/+=]+(?:[A-Za-z]+|[0-9]+))*[-_/+=]*\Z|[-_/+=]+\Z")
+UUID_INSIDE = re.compile(r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])")
+PART = re.compile(r"[A-Za-z0-9]+")
+LEAST = 20  # characters of a candidate
+#: letters that are too few for the token test, such as "id" or "src"
+SHORT_WORD = 4
+#: characters encoded at a time, so that a very long string takes time in proportion
+PIECE = 2_000
 
 
 @lru_cache(maxsize=2)
@@ -48,9 +56,50 @@ def encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(s: str) -> bool:
-    """A digest, a UUID or an identifier made of words and numbers."""
-    return bool(len(s) in DIGEST_LENGTHS and DIGEST.match(s) or UUID.match(s) or IDENTIFIER.match(s))
+def is_digest(s: str) -> bool:
+    return bool(len(s) in DIGEST_LENGTHS and DIGEST.match(s))
+
+
+def n_tokens(s: str, path: str) -> int:
+    return sum(len(encoding(path).encode_ordinary(s[i:i + PIECE])) for i in range(0, len(s), PIECE))
+
+
+def excess(part: str, path: str, max_ratio: float) -> float:
+    """Characters by which a part's tokens exceed what the token test allows; numbers and
+    short words have none."""
+    over = max_ratio * n_tokens(part, path) - len(part)
+    plain = part.isdigit() or len(part) < SHORT_WORD and part.isalpha()
+    return min(0.0, over) if plain else over
+
+
+def random_stretches(s: str, path: str, max_ratio: float) -> list[tuple[int, int]]:
+    """Where a candidate fails the token test: all of it, or stretches of ``LEAST`` characters
+    or more from one part to another, those of the largest excess, without digests and UUIDs."""
+    if is_digest(s) or UUID.match(s):
+        return []
+    barred = [m.span() for m in UUID_INSIDE.finditer(s)]
+    parts = []
+    for m in PART.finditer(s):
+        known = is_digest(m[0]) or any(a <= m.start() < b for a, b in barred)
+        parts.append((m.start(), m.end(), float("-inf") if known else excess(m[0], path, max_ratio)))
+    words = all(s[a:b].isalpha() or s[a:b].isdigit() for a, b, _ in parts)
+    if words and not any(x > 0 for _, _, x in parts):
+        return []
+    if len(s) < max_ratio * n_tokens(s, path):
+        return [(0, len(s))]
+    found, start, total, best = [], None, 0.0, None
+    for a, b, x in [*parts, (0, 0, float("-inf"))]:
+        if start is None and x > 0:
+            start, total, best = a, 0.0, (0.0, a, a)
+        if start is not None:
+            total += x
+            if total > best[0]:
+                best = (total, start, b)
+            if total <= 0:
+                if best[2] - best[1] >= LEAST and best[2] - best[1] < max_ratio * n_tokens(s[best[1]:best[2]], path):
+                    found.append(best[1:])
+                start = None
+    return found
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -65,10 +114,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def random_spans(text: str, path: str, max_ratio: float) -> list[tuple[int, int, str]]:
-    return [
-        (m.start(), m.end(), METHOD_KIND) for m in CANDIDATE.finditer(text)
-        if not is_known(m[0]) and len(m[0]) < max_ratio * len(encoding(path).encode_ordinary(m[0]))
-    ]
+    return [(m.start() + a, m.start() + b, METHOD_KIND) for m in CANDIDATE.finditer(text) for a, b in random_stretches(m[0], path, max_ratio)]
 
 
 def scan_secrets(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",

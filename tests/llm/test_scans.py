@@ -148,6 +148,20 @@ def test_decontamination_as_brute_force(spark, monkeypatch):
     assert decontaminate.remove_benchmark_overlap(docs.limit(0), bench).count() == 0
 
 
+def test_secrets_of_letters_and_behind_words():
+    path = public_tokenizers.path(secret_scan.QUERY_VOCABULARY)
+    find = lambda t: [t[a:b] for a, b, _ in secret_scan.random_spans(t, path, secret_scan.MAX_CHARS_PER_TOKEN)]
+    letters = "qXzvWkRtPlMnBvCxZaSdFgHjKwYb"
+    assert find(f"a {letters} b") == [letters]
+    random.seed(4)
+    digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secrets = ["".join(random.choices(digits, k=32)) for _ in range(100)]
+    assert sum(any(s in x for x in find(f"see example/path/download/documents/{s} end")) for s in secrets) >= 98
+    for plain in ("example/path/download/documents/and/the/other", "this_is_a_long_identifier_name_2024", "2024-01-02-03-04-05-06-07-08",
+                  "example/path/download/documents/123e4567-e89b-12d3-a456-426614174000", "-" * 90):
+        assert find(plain) == [], plain
+
+
 def test_secrets_on_edge_rows(spark):
     path = public_tokenizers.path(secret_scan.QUERY_VOCABULARY)
     texts = [None, "", "Password = 'abcdefghijkl' api-key: x", "API_KEY:\"A1b2C3d4E5f6\" toKen=short", "AKIA" + "Z9" * 7 + " AKIAXX",
