@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landframe.llm import decontaminate, license_scan, merkle, near_duplicates, pii, quality_rules, sharding, toxicity
+from landframe.llm import chat_format, decontaminate, license_scan, merkle, near_duplicates, pii, quality_rules, sharding, toxicity
 from landframe.llm.packing import op4_packing
 from landframe.llm.secret_scan import op6_secret_scan
 from landframe.llm.token_counts import op9_token_counts
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_chat_format": chat_format.op11_chat_format,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
@@ -29,5 +30,6 @@ ORACLE: dict[str, str] = {
     "op5_decontamination": decontaminate.ORACLE,
     "op7_jaccard_join": near_duplicates.ORACLE,
     "op8_sharding": sharding.ORACLE,
+    "op11_chat_format": chat_format.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }
