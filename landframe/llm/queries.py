@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from landframe.llm import chat_format, decontaminate, license_scan, merkle, near_duplicates, pii, quality_rules, sharding, toxicity
+from landframe.llm import chat_format, decontaminate, license_scan, merkle, near_duplicates, periodic_runs, pii, quality_rules, sharding, toxicity
 from landframe.llm.packing import op4_packing
 from landframe.llm.secret_scan import op6_secret_scan
 from landframe.llm.token_counts import op9_token_counts
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_chat_format": chat_format.op11_chat_format,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
