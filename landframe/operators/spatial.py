@@ -7,23 +7,26 @@ the even-odd rule).
 
 Point-in-polygon joins (G2/G3) are a multi-level grid equi-join, not a cross join:
 
-1. every polygon is put on the grid level whose cell edge (a base size times a power
-   of two; the base is the largest extent for a homogeneous layer, else the median)
-   is at least its own extent, and listed under the cells of that level its bounding
-   box touches (at most 4, or 9 when a bound lands exactly on a cell edge);
-2. per (level, cell), the candidate polygons are gathered into one array, so the
-   polygon side has exactly one row per cell;
-3. every point computes its cell on each level in use and is joined to those cells'
-   rows - left equi-joins whose right side is unique per key, so each point yields
-   exactly one row and is never multiplied;
-4. the exact test (boundary counts as inside, then ray-crossing parity) runs as
-   native higher-order expressions over the candidate arrays, with edges derived once
-   per polygon.
+1. every polygon is put on the grid level (cell edge = the largest extent over a power of
+   four) that suits its extent and its number of edges: a few cells for simple shapes, about a
+   cell for every 16 edges for others; cells that still hold many edges are split into 16 x 16;
+2. every edge is clipped to the rows of cells it crosses and listed only in the cells it
+   crosses there.  A cell keeps an anchor: how often, mod 2, a ray to the right crosses edges
+   outside the cell, as a constant and a few heights at which it changes.  Cells fully covered
+   have an anchor and no edges.  So a point tests the few edges of its own cell, however many
+   the polygon has, with the same arithmetic as a test against all of them;
+3. per (level, cell), the candidate polygons are gathered into one array, so the polygon side
+   has exactly one row per cell;
+4. every point computes its cell on each level in use and is joined to those cells' rows -
+   left equi-joins whose right side is unique per key, so each point yields exactly one row
+   and is never multiplied;
+5. the exact test (boundary counts as inside, then ray-crossing parity) runs as native
+   higher-order expressions over the candidate arrays.
 
 The cell table is broadcast only when its size is proven to be within
-``broadcast_max_bytes`` (a bound from the layer's vertex and polygon counts); above
-that the joins are shuffle joins where AQE splits a cell holding a large share of the
-points.
+``broadcast_max_bytes`` (a bound from the layer's vertex and polygon counts, or, for layers
+with large polygons, the measured size of the written table); above that the joins are
+shuffle joins where AQE splits a cell holding a large share of the points.
 """
 
 from __future__ import annotations
@@ -31,11 +34,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landframe.functions._util import as_col
+from landframe.session import materialize
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
 RINGS = T.ArrayType(T.ArrayType(POINT))
@@ -59,16 +63,16 @@ def polygon_layer(spark, rows: Sequence[tuple], attr_schema: T.StructType | str)
 
 def _literal_stats(layers: Sequence[list]) -> dict:
     """``layer_stats`` of literal rings, computed on the driver (exact median)."""
-    exts, nv = [], 0
+    exts, nv, mv = [], 0, 0
     for rings in layers:
         pts = [p for ring in rings for p in ring]
-        nv += len(pts)
+        nv, mv = nv + len(pts), max(mv, len(pts))
         if pts:
             xs, ys = [p[0] for p in pts], [p[1] for p in pts]
             exts.append(max(max(xs) - min(xs), max(ys) - min(ys)))
     pos = sorted(e for e in exts if e > 0)
     return {"n": len(layers), "med": pos[(len(pos) - 1) // 2] if pos else 0.0,
-            "lo": pos[0] if pos else 0.0, "hi": max(exts) if exts else 0.0, "nv": nv}
+            "lo": pos[0] if pos else 0.0, "hi": max(exts) if exts else 0.0, "nv": nv, "mv": mv}
 
 
 def with_point(df: DataFrame, x: str, y: str, out_x: str = "px", out_y: str = "py") -> tuple[DataFrame, DataFrame]:
@@ -117,13 +121,19 @@ def ring_edges(rings) -> Column:
     return F.flatten(F.transform(as_col(rings), ring_to_edges))
 
 
-def point_in_edges(px, py, edges, boundary_inside: bool = True) -> Column:
+def point_in_edges(px, py, edges, boundary_inside: bool = True, anchor=None) -> Column:
     """Exact test over precomputed edges, one pass: a rightward ray crossing an odd
     number of edges means inside (even-odd rule, so holes are handled).  A point on an
     edge or vertex counts as inside when ``boundary_inside`` (the default, as the jobs'
-    overlay did), otherwise as outside."""
+    overlay did), otherwise as outside.
+
+    With ``anchor`` (0 or 1) the edges are those of one cell: what lies outside adds the anchor,
+    and changes at the heights ``t1``, ``t2`` of its edges."""
     px, py = as_col(px), as_col(py)
-    zero = F.struct(F.lit(0).alias("n"), F.lit(False).alias("edge"))
+    zero = F.struct((F.lit(0) if anchor is None else anchor).cast("int").alias("n"), F.lit(False).alias("edge"))
+
+    def one(c):
+        return F.when(c, F.lit(1)).otherwise(F.lit(0))
 
     def step(acc, e):
         x1, y1, x2, y2 = e["x1"], e["y1"], e["x2"], e["y2"]
@@ -131,8 +141,10 @@ def point_in_edges(px, py, edges, boundary_inside: bool = True) -> Column:
         cross = (px - x1) * (y2 - y1) - (py - y1) * (x2 - x1)
         on = ((cross == 0) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2))
               & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2)))
-        return F.struct((acc["n"] + F.when(hit, F.lit(1)).otherwise(F.lit(0))).alias("n"),
-                        (acc["edge"] | on).alias("edge"))
+        n = acc["n"] + one(hit)
+        if anchor is not None:
+            n = n + one(e["t1"] > py) + one(e["t2"] > py)
+        return F.struct(n.alias("n"), (acc["edge"] | on).alias("edge"))
 
     if boundary_inside:
         return F.aggregate(as_col(edges), zero, step, lambda acc: acc["edge"] | (acc["n"] % 2 == 1))
@@ -145,8 +157,8 @@ def point_in_rings(px, py, rings, boundary_inside: bool = True) -> Column:
 
 
 def layer_stats(polygons: DataFrame, rings: str = "rings") -> dict:
-    """Polygon count, median / smallest positive / largest extent and vertex count of a
-    layer: one small aggregate job, or none for a layer made by ``polygon_layer``, whose
+    """Polygon count, median / smallest positive / largest extent, vertex count and largest
+    vertex count of one polygon of a layer: one small aggregate job, or none for a layer made by ``polygon_layer``, whose
     stats were computed from its literal rows (frames derived from it run the job)."""
     known = getattr(polygons, "_landframe_layer_stats", None)
     if known is not None and rings == "rings":
@@ -159,9 +171,9 @@ def _layer_stats(polygons: DataFrame, rings: str) -> dict:
         F.greatest(F.col("b.maxx") - F.col("b.minx"), F.col("b.maxy") - F.col("b.miny")).alias("ext"), "nv")
     pos = F.when(F.col("ext") > 0, F.col("ext"))
     row = b.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(pos, F.lit(0.5)).alias("med"),
-                F.min(pos).alias("lo"), F.max("ext").alias("hi"), F.sum("nv").alias("nv")).first()
+                F.min(pos).alias("lo"), F.max("ext").alias("hi"), F.sum("nv").alias("nv"), F.max("nv").alias("mv")).first()
     return {"n": int(row["n"]), "med": float(row["med"] or 0.0), "lo": float(row["lo"] or 0.0),
-            "hi": float(row["hi"] or 0.0), "nv": int(row["nv"] or 0)}
+            "hi": float(row["hi"] or 0.0), "nv": int(row["nv"] or 0), "mv": int(row["mv"] or 0)}
 
 
 def _level(ext: Column, base: float, least: float) -> Column:
@@ -179,25 +191,98 @@ def _cell(v: Column, size) -> Column:
     return F.floor(v / (size if isinstance(size, Column) else F.lit(size))).cast("long")
 
 
-def polygon_cells(polygons: DataFrame, base: float, least: float, order: str = "poly_id", rings: str = "rings") -> DataFrame:
+#: a polygon with more vertices than this gets finer cells; a cell with more than
+#: ``DENSE_EDGES`` is split into ``SPLIT x SPLIT`` (two levels further down)
+SIMPLE_VERTICES, DENSE_EDGES, SPLIT = 16, 32, 16
+
+
+def _polygon_level(ext: Column, vertices: Column, base: float, least: float) -> Column:
+    """Level whose cells have one to four times the edge ``extent`` of a simple polygon, or of
+    a part with about 16 of a larger one's edges."""
+    share = F.least(F.lit(1.0), F.sqrt(F.lit(float(SIMPLE_VERTICES)) / F.greatest(vertices, F.lit(1))))
+    return _level(F.greatest(ext, F.lit(least)) * share, base, 0.0)
+
+
+def _cell_edges(edges: DataFrame, cells: DataFrame, base: float) -> DataFrame:
+    """``cells`` (ord, lvl, cx, cy, bb) that polygons touch, with ``anchor`` and ``edges``
+    (null where the polygon covers the cell), from ``edges`` (ord, lvl, x1, y1, x2, y2).
+
+    Of a cell, the edges that cross its row to the right of it add to every ray from the cell
+    [y1 > py] + [y2 > py] (mod 2).  An end above the row always adds 1: the anchor sums those.
+    An end inside the row is shared with another edge; two edges to the right cancel, so only
+    those ends count whose other edge is listed in the cell: they are heights ``t1``, ``t2`` of
+    the listed edges.  All of this is exact.  Clipping only decides which cells list an edge,
+    and is widened a little, so rounding can list an edge too often, never too rarely.
+    """
+    s = F.lit(base) * F.pow(F.lit(4.0), -F.col("lvl"))
+    rows = edges.select("*", s.alias("s"), _cell(F.col("y1"), s).alias("r1"), _cell(F.col("y2"), s).alias("r2"))
+    rows = rows.select("*", F.explode(F.sequence(F.least("r1", "r2"), F.greatest("r1", "r2"))).alias("cy"))
+    y_gap = F.col("s") * 1e-6 + F.greatest(F.abs("y1"), F.abs("y2")) * 1e-12
+    low = F.greatest(F.least("y1", "y2"), F.col("cy") * F.col("s") - y_gap)
+    high = F.least(F.greatest("y1", "y2"), (F.col("cy") + 1) * F.col("s") + y_gap)
+
+    def x_at(y):
+        return F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(
+            F.col("x1") + (y - F.col("y1")) * F.try_divide(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))
+
+    # what the row holds of the edge: both clipped ends, and real ends that lie in the row
+    inside = [F.when((F.col(r) == F.col("cy")) | (F.col("y1") == F.col("y2")), F.col(x)) for r, x in (("r1", "x1"), ("r2", "x2"))]
+    x_gap = F.col("s") * 1e-6 + F.greatest(F.abs("x1"), F.abs("x2")) * 1e-12
+    rows = rows.select("*", F.greatest(F.least("x1", "x2"), F.least(x_at(low), x_at(high), *inside) - x_gap).alias("lo"),
+                       F.least(F.greatest("x1", "x2"), F.greatest(x_at(low), x_at(high), *inside) + x_gap).alias("hi"))
+    rows = rows.select("*", _cell(F.col("lo"), F.col("s")).alias("c1"), _cell(F.col("hi"), F.col("s")).alias("c2"))
+    leaving = rows.filter(F.greatest("r1", "r2") > F.col("cy")).groupBy("ord", "lvl", "cy", F.col("c1").alias("cx")).agg(
+        (F.count(F.lit(1)) % 2).cast("int").alias("odd")).filter("odd = 1")
+    listed = rows.select("*", F.explode(F.sequence("c1", "c2")).alias("cx"))
+
+    def height(r, x, y):
+        return F.when((F.col(r) == F.col("cy")) & (_cell(F.col(x), F.col("s")) > F.col("cx")), F.col(y))
+
+    listed = listed.groupBy("ord", "lvl", "cx", "cy").agg(F.collect_list(F.struct(
+        "x1", "y1", "x2", "y2", height("r1", "x1", "y1").alias("t1"), height("r2", "x2", "y2").alias("t2"))).alias("edges"))
+    marked = cells.select("ord", "lvl", "cx", "cy", "bb", F.lit(0).alias("odd"), F.lit(True).alias("cell")).unionByName(
+        leaving.select("ord", "lvl", "cx", "cy", F.lit(None).cast(cells.schema["bb"].dataType).alias("bb"), "odd", F.lit(False).alias("cell")))
+    to_the_right = Window.partitionBy("ord", "lvl", "cy").orderBy(-F.col("cx")).rangeBetween(Window.unboundedPreceding, -1)
+    anchored = marked.withColumn("anchor", (F.coalesce(F.sum("odd").over(to_the_right), F.lit(0)) % 2).cast("int")).filter("cell")
+    return anchored.drop("odd", "cell").join(listed, ["ord", "lvl", "cx", "cy"], "left").filter("edges is not null or anchor = 1")
+
+
+def _edge_cells(polygons: DataFrame, base: float, least: float, order: str, rings: str, rounds: int) -> DataFrame:
+    """All cells of all polygons (``_cell_edges``); dense ones are split ``rounds`` times."""
+    bb = polygons.select(F.col(order).alias("ord"), ring_edges(rings).alias("es"), ring_bbox(rings).alias("bb"),
+                         F.size(F.flatten(F.col(rings))).alias("nv"))
+    bb = bb.select("ord", "es", "bb", _polygon_level(_extent("bb"), F.col("nv"), base, least).alias("lvl"))
+    edges = bb.select("ord", "lvl", F.explode("es").alias("e")).select("ord", "lvl", "e.*")
+    s = F.lit(base) * F.pow(F.lit(4.0), -F.col("lvl"))
+    cells = bb.select("ord", "lvl", "bb", F.explode(F.sequence(_cell(F.col("bb.minx"), s), _cell(F.col("bb.maxx"), s))).alias("cx"))
+    cells = cells.select("*", F.explode(F.sequence(_cell(F.col("bb.miny"), s), _cell(F.col("bb.maxy"), s))).alias("cy"))
+    out = None
+    for left in range(rounds, -1, -1):
+        found = _cell_edges(edges, cells, base)
+        if not left:
+            return found if out is None else out.unionByName(found)
+        found = materialize(found)
+        done = found.filter(F.coalesce(F.size("edges"), F.lit(0)) <= DENSE_EDGES)
+        out = done if out is None else out.unionByName(done)
+        dense = found.filter(F.size("edges") > DENSE_EDGES)
+        parts = F.sequence(F.lit(0).cast("long"), F.lit(SPLIT - 1).cast("long"))
+        cells = dense.select("ord", (F.col("lvl") + 2).alias("lvl"), "bb", "cy", (F.col("cx") * SPLIT).alias("x0"), F.explode(parts).alias("i"))
+        cells = cells.select("ord", "lvl", "bb", (F.col("x0") + F.col("i")).alias("cx"), (F.col("cy") * SPLIT).alias("y0"), F.explode(parts).alias("j"))
+        cells = cells.select("ord", "lvl", "bb", "cx", (F.col("y0") + F.col("j")).alias("cy"))
+        edges = edges.join(dense.select("ord", "lvl").distinct(), ["ord", "lvl"], "left_semi").withColumn("lvl", F.col("lvl") + 2)
+
+
+def polygon_cells(polygons: DataFrame, base: float, least: float, order: str = "poly_id", rings: str = "rings",
+                  rounds: int = 0) -> DataFrame:
     """One row per (level, cell): ``(lvl, cx, cy, cands)`` with ``cands`` = array of
-    ``struct(ord, edges, bb)`` for every polygon of that level whose bbox touches the cell
-    (edges derived once per polygon, not per point; the array's order does not matter,
-    overlaps are resolved by ordinal).
-
-    Multi-level grid: a polygon sits on the level whose cell edge is one to four times its
-    extent, so it is listed in at most 4 cells, and a cell holds polygons of one size class:
-    a few huge polygons do not force a coarse grid onto many small ones, and a dense town of
-    tiny polygons is spread over as many small cells."""
-    bb = polygons.select(F.col(order).alias("ord"), ring_edges(rings).alias("edges"), ring_bbox(rings).alias("bb"))
-    lvl = _level(_extent("bb"), base, least)
-    size = F.lit(base) * F.pow(F.lit(4.0), -lvl)
-    cells = bb.select(lvl.alias("lvl"), F.struct("ord", "edges", "bb").alias("cand"),
-                      F.sequence(_cell(F.col("bb.minx"), size), _cell(F.col("bb.maxx"), size)).alias("xs"),
-                      F.sequence(_cell(F.col("bb.miny"), size), _cell(F.col("bb.maxy"), size)).alias("ys"))
-    cells = cells.select("lvl", "cand", "ys", F.explode("xs").alias("cx")).select(
-        "lvl", "cand", "cx", F.explode("ys").alias("cy"))
-    return cells.groupBy("lvl", "cx", "cy").agg(F.collect_list("cand").alias("cands"))
+    ``struct(ord, anchor, edges, bb)`` for every polygon that the cell's points may lie in: its
+    edges in the cell and the parity of those outside it (edges null where it covers the cell).
+    The array's order does not matter, overlaps are resolved by ordinal.
+
+    Multi-level grid: a few huge polygons do not force a coarse grid onto many small ones, and
+    a dense town of tiny polygons is spread over as many small cells."""
+    cells = _edge_cells(polygons, base, least, order, rings, rounds)
+    return cells.groupBy("lvl", "cx", "cy").agg(F.collect_list(F.struct("ord", "anchor", "edges", "bb")).alias("cands"))
 
 
 def _extent(bb: str) -> Column:
@@ -205,30 +290,30 @@ def _extent(bb: str) -> Column:
 
 
 def _inside(px: Column, py: Column, boundary_inside: bool = True):
+    none = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double,t1:double,t2:double>>")
+
     def test(c):
         bb = c["bb"]
         in_box = (px >= bb["minx"]) & (px <= bb["maxx"]) & (py >= bb["miny"]) & (py <= bb["maxy"])
-        return in_box & point_in_edges(px, py, c["edges"], boundary_inside)
+        return in_box & point_in_edges(px, py, F.coalesce(c["edges"], none), boundary_inside, c["anchor"])
     return test
 
 
-# bytes per vertex of an edge struct and per candidate, for the broadcast bound
-_EDGE_BYTES, _CAND_BYTES = 48, 96
+# bytes per edge struct and per candidate, for the broadcast bound
+_EDGE_BYTES, _CAND_BYTES = 72, 104
 
 
 def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, rings: str = "rings"):
-    """Cell edge of level 0, smallest extent, the grid levels in use and whether the cell
-    table may be broadcast.
+    """Cell edge of level 0, smallest extent, the grid levels in use by a layer of simple
+    polygons and whether its cell table may be broadcast.
 
     Level 0 has cells as wide as the largest polygon (or ``cell_size``); each further level
     quarters them.  The levels in use are one small distinct job (their number is bounded by
     the logarithm of the extents' spread), none when all polygons are of one size class.
-    The broadcast decision rests on a proven bound: every polygon is listed in at most
+    The broadcast decision rests on a proven bound: every simple polygon is listed in at most
     4 cells of its level (9 when division rounding lands a bound exactly on a cell
     edge), and a candidate holds its ordinal, box and edges but no attributes, so the cell
-    table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.  Above
-    the budget the joins are shuffle joins on the cell keys, where AQE splits a cell holding
-    a large share of the points.
+    table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.
     """
     st = layer_stats(polygons)
     base = cell_size or st["hi"] or 1.0
@@ -242,6 +327,22 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
     return base, least, levels, bound <= broadcast_max_bytes
 
 
+def _cell_table(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, order: str):
+    """The cell table, the cell edge of level 0, the levels in use and whether the table may be
+    broadcast.  A layer of simple polygons stays a plan (``_plan_grid``); with larger ones the
+    table is written once (checkpoint), so that its levels and its size are measured."""
+    st = layer_stats(polygons)
+    if st["mv"] <= SIMPLE_VERTICES:
+        base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes)
+        return polygon_cells(polygons, base, least, order), base, levels, broadcast
+    base = cell_size or st["hi"] or 1.0
+    cells = materialize(polygon_cells(polygons, base, st["lo"] or base, order, rounds=1 if st["mv"] <= 16_384 else 2))
+    size = F.aggregate("cands", F.lit(0).cast("long"), lambda n, c: n + _CAND_BYTES + F.coalesce(F.size(c["edges"]), F.lit(0)) * _EDGE_BYTES)
+    measured = cells.groupBy("lvl").agg(F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
+    total = sum(r["bytes"] + 64 * r["n"] for r in measured)
+    return cells, base, sorted(r["lvl"] for r in measured), total <= broadcast_max_bytes
+
+
 def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick: str, cell_size: float | None,
                   broadcast_max_bytes: int, order: str, boundary_inside: bool) -> DataFrame:
     """Each point with ``__ord``: the highest (``pick="last"``) or lowest ordinal of the
@@ -253,8 +354,7 @@ def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick:
     The last step explodes a one-element array, which a later filter on the ordinal cannot
     be pushed through, so the test is evaluated once.
     """
-    base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes)
-    cells = polygon_cells(polygons, base, least, order)
+    cells, base, levels, broadcast = _cell_table(polygons, cell_size, broadcast_max_bytes, order)
     keep = [F.col(f"`{c}`") for c in points.columns]
     best_of = F.array_max if pick == "last" else F.array_min
     cur = points.select("*", F.lit(None).cast(polygons.schema[order].dataType).alias("__ord"))
@@ -292,9 +392,11 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     if not attrs:
         return tagged.select(*keep, F.col("__ord").alias(order))
     table = polygons.groupBy(F.col(order).alias("__ord")).agg(F.max(F.struct(*[F.col(a) for a in attrs])).alias("__attrs"))
-    # hashed as well, so that the points of one large polygon can be split
+    # hashed as well, so that the points of one large polygon can be split; points outside all
+    # polygons match nothing and are dealt by their place, not gathered under the null key
     table = table.withColumn("__oh", F.xxhash64("__ord"))
-    joined = tagged.withColumn("__oh", F.xxhash64("__ord")).join(table, ["__ord", "__oh"], "left")
+    dealt = F.when(F.col("__ord").isNull(), F.xxhash64(F.col(f"`{x}`"), F.col(f"`{y}`"))).otherwise(F.xxhash64("__ord"))
+    joined = tagged.withColumn("__oh", dealt).join(table, ["__ord", "__oh"], "left")
     return joined.select(*keep, F.col("__ord").alias(order), *[F.col(f"__attrs.{a}").alias(a) for a in attrs])
 
 
