@@ -34,7 +34,7 @@ def _positions(list_expr: str) -> str:
 # every link of a page in order: a value in double quotes, single quotes or none
 _LINKS = r"""list_transform(regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'),
     '(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)', 1),
-    lambda h: CASE WHEN h[1] IN ('"', chr(39)) THEN h[2:-2] ELSE h END)"""
+    lambda h: replace(CASE WHEN h[1] IN ('"', chr(39)) THEN h[2:-2] ELSE h END, '&amp;', '&'))"""
 
 
 @register("h1_links", sql=f"""
@@ -118,23 +118,41 @@ def h5_zip_pairs(spark, sf_dir):
     return z.select("page_id", "pos", "z.name", "z.href")
 
 
-@register("h6_tables", sql=f"""
-WITH t AS (
-  SELECT page_id, unnest(l) AS thtml, {_positions('l')} AS tbl
-  FROM (SELECT page_id, regexp_extract_all({_CLEAN}, {_q(H.element_pattern('table'))}, 1) AS l FROM pages)),
-r AS (
-  SELECT page_id, tbl, unnest(l) AS rhtml, {_positions('l')} AS "row"
-  FROM (SELECT page_id, tbl, regexp_extract_all(thtml, {_q(H.element_pattern('tr'))}, 1) AS l FROM t)),
-c AS (
-  SELECT page_id, tbl, "row", unnest(l) AS chtml, {_positions('l')} AS col
-  FROM (SELECT page_id, tbl, "row", regexp_extract_all(rhtml, {_q('(?is)<t[dh]\\b[^>]*>(.*?)</t[dh]\\s*>')}, 1) AS l FROM r))
-SELECT page_id, CAST(tbl AS INTEGER) AS tbl, CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col,
-       {_text_sql('chtml')} AS text
-FROM c
+@register("h3_paragraphs", sql="""
+WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<(script|style)\b.*?</(script|style)>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS html FROM pages),
+p AS (SELECT page_id, unnest(string_split(html, '<p>')[2:]) AS tail, unnest(range(0, len(string_split(html, '<p>')) - 1)) AS pos FROM c)
+SELECT page_id, CAST(pos AS INTEGER) AS pos,
+       trim(replace(replace(replace(replace(regexp_replace(regexp_replace(tail, '(?s)(</p>|</?article|</?div|<footer|</?ul|</body|<h1|</h1).*', ''), '<[^>]*>', '', 'g'),
+            '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')) AS text
+FROM p
 """)
-def h6_tables(spark, sf_dir):
-    """H6: every table cell of every page as (page, table, row, col, text)."""
-    return H.extract_table(table(spark, sf_dir, "pages"), "page_id", "html")
+def h3_paragraphs(spark, sf_dir):
+    """H3: the text of every paragraph, most of them closed only by the next one."""
+    return H.extract_text(table(spark, sf_dir, "pages"), "page_id", "html", "p")
+
+
+def _order_pages(spark, sf_dir):
+    """A page a customer: a table with a row an order, its cells not closed, the first cell
+    holding a table of the order's priority and status; text after it belongs to the cell."""
+    o = table(spark, sf_dir, "orders")
+    row = F.concat(F.lit("<tr><td title='>'>"), F.col("o_orderkey").cast("string"), F.lit("<TABLE><tr><th>"), F.col("o_orderpriority"),
+                   F.lit("<td>"), F.col("o_orderstatus"), F.lit("</table>&eacute;&#33;<td>"), F.col("o_custkey").cast("string"))
+    grouped = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("html")))).alias("rows"))
+    return grouped.select(F.col("o_custkey").alias("page_id"), F.concat(
+        F.lit("<p>orders<table class=orders>"), F.array_join(F.transform("rows", lambda r: r["html"]), "\n"), F.lit("</table><td>none")).alias("html"))
+
+
+@register("h6_nested_tables", sql="""
+WITH o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS i FROM orders)
+SELECT o_custkey AS page_id, CAST(0 AS INTEGER) AS tbl, CAST(i AS INTEGER) AS "row", 0 AS col, o_orderkey || o_orderpriority || o_orderstatus || 'é!' AS text FROM o
+UNION ALL SELECT o_custkey, 0, CAST(i AS INTEGER), 1, CAST(o_custkey AS VARCHAR) FROM o
+UNION ALL SELECT o_custkey, CAST(i + 1 AS INTEGER), 0, 0, o_orderpriority FROM o
+UNION ALL SELECT o_custkey, CAST(i + 1 AS INTEGER), 0, 1, o_orderstatus FROM o
+""")
+def h6_nested_tables(spark, sf_dir):
+    """H6: cells of nested tables whose cells and rows are not closed."""
+    cells = H.extract_table(_order_pages(spark, sf_dir), "page_id", "html")
+    return cells.withColumn("text", F.regexp_replace("text", "\\s+$", ""))
 
 
 @register("h7_kv_records", sql="""
