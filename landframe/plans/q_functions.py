@@ -298,16 +298,17 @@ def f4_postcode(spark, sf_dir):
 
 
 @register("f5_f6_nulls_length", sql="""
-SELECT c.c_custkey, o.o_orderkey
-FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
-WHERE o.o_orderkey IS NULL AND length(c.c_name) > 5
+SELECT c.c_custkey, c.c_mktsegment, o.o_orderkey
+FROM customer c LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F') o ON c.c_custkey = o.o_custkey
+WHERE o.o_orderkey IS NULL AND length(c.c_mktsegment) > 8
 """)
 def f5_f6_nulls_length(spark, sf_dir):
-    """null filter on a left-join result and a minimum-length text filter."""
+    """customers without a finished urgent order (null filter on a left-join result), of
+    segments with a minimum length of name."""
     c = table(spark, sf_dir, "customer")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders").filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")).select("o_orderkey", "o_custkey")
     j = c.join(o, c.c_custkey == o.o_custkey, "left").filter(F.col("o_orderkey").isNull())
-    return FL.keep_min_length(j, "c_name", 5).select("c_custkey", "o_orderkey")
+    return FL.keep_min_length(j, "c_mktsegment", 8).select("c_custkey", "c_mktsegment", "o_orderkey")
 
 
 @register("f6_non_empty", sql="""

@@ -46,6 +46,53 @@ def s1_headerless(spark, sf_dir):
     return df.select(*ORDER_NAMES, F.regexp_extract("tile", "^(part)-", 1).alias("src_kind"))
 
 
+_RAGGED_SQL = """
+WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS k, CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s, o_orderpriority AS p,
+           strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderkey % 8 AS kind FROM orders)"""
+
+
+def _ragged_orders(spark, sf_dir):
+    """Orders as lines of files: every eighth has a field too many, the next ones three fields, a
+    quoted line break, a quoted separator and quote; all others are plain."""
+    o = table(spark, sf_dir, "orders")
+    kind = F.col("o_orderkey") % 8
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    day, join = F.date_format("o_orderdate", "yyyy-MM-dd"), lambda *parts: F.concat_ws(",", *parts)
+    line = (F.when(kind == 0, join(k, c, "o_orderstatus", "o_orderpriority", day, F.lit("EXTRA")))
+            .when(kind == 1, join(k, c, F.lit("short")))
+            .when(kind == 2, join(k, c, "o_orderstatus", F.concat(F.lit('"'), "o_orderpriority", F.lit('\nnext line"')), day))
+            .when(kind == 3, join(k, c, "o_orderstatus", F.concat(F.lit('"a, ""b"" '), "o_orderpriority", F.lit('"')), day))
+            .otherwise(join(k, c, "o_orderstatus", "o_orderpriority", day)))
+    path = _scratch(spark, "ragged")
+    o.select(line.alias("value"), (kind == 2).alias("broken")).repartition(6, "broken").select("value").write.text(path)
+    return path
+
+
+@register("s1_rejects", sql=_RAGGED_SQL + """
+SELECT 'loaded' AS kept, k AS "ORDER_ID", c AS "CUSTOMER", s AS "STATUS",
+       CASE kind WHEN 2 THEN p || chr(10) || 'next line' WHEN 3 THEN 'a, "b" ' || p ELSE p END AS "PRIORITY", d AS "ORDER_DATE",
+       CAST(NULL AS VARCHAR) AS record, CAST(NULL AS INTEGER) AS n_fields, CAST(NULL AS VARCHAR) AS reason FROM o WHERE kind > 1
+UNION ALL
+SELECT 'rejected', NULL, NULL, NULL, NULL, NULL, CASE kind WHEN 0 THEN concat_ws(',', k, c, s, p, d, 'EXTRA') ELSE concat_ws(',', k, c, 'short') END,
+       CASE kind WHEN 0 THEN 6 ELSE 3 END, CASE kind WHEN 0 THEN 'too many fields' ELSE 'too few fields' END FROM o WHERE kind < 2
+""")
+def s1_rejects(spark, sf_dir):
+    """Ragged records go to the reject output, quoted line breaks stay in their field."""
+    rows, bad = S.read_headerless_checked(spark, _ragged_orders(spark, sf_dir), ORDER_NAMES)
+    none = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    good = rows.select(F.lit("loaded").alias("kept"), *ORDER_NAMES, *none("record"), F.lit(None).cast("int").alias("n_fields"), *none("reason"))
+    return good.unionByName(bad.select(F.lit("rejected").alias("kept"), *none(*ORDER_NAMES), "record", "n_fields", "reason"))
+
+
+@register("s1_load_counts", sql="""
+SELECT count(*) FILTER (o_orderkey % 8 > 1) AS loaded, count(*) FILTER (o_orderkey % 8 <= 1) AS rejected FROM orders
+""")
+def s1_load_counts(spark, sf_dir):
+    """Loaded and rejected records, both written; together they are the files' records."""
+    path = _ragged_orders(spark, sf_dir)
+    return S.load_headerless(spark, path, ORDER_NAMES, f"{path}-loaded", f"{path}-rejected")
+
+
 @register("s3_s4_features", sql="""
 SELECT p_partkey, p_name, p_size, p_retailprice, 'part' AS src_kind FROM part
 """)

@@ -8,9 +8,10 @@ reader's hidden ``_metadata`` column.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +37,74 @@ def read_headerless(spark: SparkSession, paths, names: Sequence[str], sep: str =
     return with_provenance(df) if provenance else df
 
 
+#: the reader's column for records that have not one field for every name
+_RECORD = "__record"
+#: files with line breaks inside quotes up to which only they are read whole
+_WHOLE_FILES = 1000
+
+
+def _count_fields(record, sep: str) -> Column:
+    """Fields of a delimited record: separators outside quotes, and one."""
+    bare = F.regexp_replace(record, '(?s)"(?:[^"]|"")*+"', "")
+    return (F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1).cast("int")
+
+
+def files_with_quoted_breaks(spark: SparkSession, paths) -> list[str]:
+    """Files in which some line has an odd number of quotes, so that a record may go on in the
+    next line (one scan; the list is bounded by the number of files)."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
+    odd = lines.filter((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1)
+    return sorted(r["file"] for r in odd.select("file").distinct().collect())
+
+
+def read_headerless_checked(spark: SparkSession, paths, names: Sequence[str], sep: str = ",", quoted_breaks: bool | None = None,
+                            empty_as_null: bool = False) -> tuple[DataFrame, DataFrame]:
+    """As ``read_headerless``, but no record is cut, padded or broken: returns ``(rows,
+    rejects)``, and every record of the files is in exactly one of them.
+
+    ``rows`` holds the records with one field for every name, and their ``file``.  ``rejects``
+    holds the others: ``file``, ``record`` (as written), ``n_fields`` and ``reason``
+    (``"too many fields"`` or ``"too few fields"``).  Line breaks and separators inside quotes
+    belong to the field, a doubled quote is a quote; blank lines are no records.  A quote never
+    closed takes what follows into its field, so the record ends up in ``rejects`` as a whole.
+
+    Files with line breaks inside quotes are read whole, one task a file; all others are split.
+    ``quoted_breaks`` None finds them by a scan, True reads all files so, False none.
+    """
+    schema = text_schema([*names, _RECORD])
+
+    def read(where, whole: bool) -> DataFrame:
+        df = (spark.read.schema(schema).option("header", False).option("sep", sep).option("escape", '"').option("mode", "PERMISSIVE")
+              .option("multiLine", whole).option("columnNameOfCorruptRecord", _RECORD)
+              .option("columnPruning", False).csv(where))  # a record is judged by all of its fields
+        return df.select("*", F.col("_metadata.file_path").alias("file"))
+
+    broken = files_with_quoted_breaks(spark, paths) if quoted_breaks is None else []
+    if quoted_breaks or len(broken) > _WHOLE_FILES:
+        df = read(paths, True)
+    elif broken:
+        df = read(paths, False).filter(~F.col("file").isin(broken)).unionByName(read([unquote(f) for f in broken], True))
+    else:
+        df = read(paths, False)
+    good = df.filter(F.col(_RECORD).isNull())
+    rows = good.select(*[F.col(f"`{n}`") if empty_as_null else F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names], "file")
+    # a field is read with the record: the reader refuses queries for the record alone
+    read_too = F.coalesce(F.length(f"`{names[0]}`"), F.lit(0)) >= 0
+    bad = df.filter(F.col(_RECORD).isNotNull() & read_too).select("file", F.col(_RECORD).alias("record"), _count_fields(F.col(_RECORD), sep).alias("n_fields"))
+    return rows, bad.withColumn("reason", F.when(F.col("n_fields") > len(names), "too many fields").otherwise("too few fields"))
+
+
+def load_headerless(spark: SparkSession, paths, names: Sequence[str], out: str, rejects: str, **options) -> DataFrame:
+    """Write the good records and the rejected ones (Parquet); one row of counts
+    (``loaded``, ``rejected``)."""
+    good, bad = read_headerless_checked(spark, paths, names, **options)
+    good.write.mode("overwrite").parquet(out)
+    bad.write.mode("overwrite").parquet(rejects)
+    marks = spark.read.schema(good.schema).parquet(out).select(F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        spark.read.schema(bad.schema).parquet(rejects).select(F.lit(0).alias("l"), F.lit(1).alias("r")))
+    return marks.agg(F.coalesce(F.sum("l"), F.lit(0)).alias("loaded"), F.coalesce(F.sum("r"), F.lit(0)).alias("rejected"))
+
+
 def read_csv(spark: SparkSession, paths, null_value: str | None = None,
              schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header; a declared schema is preferred (inference costs a full extra
