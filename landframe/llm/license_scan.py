@@ -98,7 +98,9 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template], id_col: str =
         # row ids only have to tell rows apart inside the task that made them
         docs.select(column(docs, id_col).alias("doc_id"), words.alias("words"),
                     F.monotonically_increasing_id().alias("row"))
-        .select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.posexplode_outer(rolling).alias("p", "gram"))
+        # the words end here: no array may ride on the rows of its own elements
+        .select("row", "doc_id", F.size("words").cast("long").alias("n_words"), rolling.alias("grams"))
+        .select("row", "doc_id", "n_words", F.posexplode_outer("grams").alias("p", "gram"))
         .join(grams, (F.xxhash64("gram") == F.col("t_hash")) & (F.col("gram") == F.col("t_gram")), "left")
         .filter(F.col("t").isNotNull() | (F.coalesce(F.col("p"), F.lit(0)) == 0))
         .withColumn("diagonal", F.col("p") - F.col("q"))
@@ -107,15 +109,17 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template], id_col: str =
     )
     rules = ["t", "label", "base", "min_cover", "slack", "t_grams"]
     diagonals = voted.groupBy("row", "doc_id", "n_words", *rules, "diagonal").agg(
-        F.count("t").alias("votes"), F.min("p").alias("first"), F.max("p").alias("last"))
+        F.collect_set("q").alias("places"), F.min("p").alias("first"), F.max("p").alias("last"))
     along = Window.partitionBy("row", "t").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(along) > F.col("slack")
     merged = (
         diagonals.withColumn("cut", F.coalesce(apart, F.lit(False)).cast("int"))
         .withColumn("span", F.sum("cut").over(along))
         .groupBy("row", "doc_id", "n_words", *rules, "span")
-        .agg(F.sum("votes").alias("votes"), F.min("first").alias("start"), (F.max("last") + GRAM).alias("end"))
-        .withColumn("cover", F.least(F.lit(1.0), F.col("votes") / F.col("t_grams")))
+        # a template position counts once, however often its gram is repeated; at most t_grams of them
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("held"),
+             F.min("first").alias("start"), (F.max("last") + GRAM).alias("end"))
+        .withColumn("cover", F.col("held") / F.col("t_grams"))
     )
     verified = (F.col("cover") >= F.col("min_cover")) & (
         F.col("end") - F.col("start") <= 1.5 * (F.col("t_grams") + GRAM - 1) + 2 * F.col("slack"))
@@ -152,12 +156,13 @@ d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
         translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD_PATTERN}') AS w FROM documents),
 g AS (SELECT r, unnest(range(0, len(w) - 1)) AS p,
         unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM d),
-dg AS (SELECT r, t, label, base, min_cover, slack, t_grams, p - q AS diagonal, count(*) AS votes, min(p) AS f, max(p) AS l
-       FROM g JOIN tg USING (gram) GROUP BY r, t, label, base, min_cover, slack, t_grams, p - q),
-mk AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal) > slack THEN 1 ELSE 0 END AS c FROM dg),
-isl AS (SELECT *, sum(c) OVER (PARTITION BY r, t ORDER BY diagonal) AS span FROM mk),
+dg AS (SELECT r, t, label, base, min_cover, slack, t_grams, p - q AS diagonal, q, min(p) AS f, max(p) AS l
+       FROM g JOIN tg USING (gram) GROUP BY r, t, label, base, min_cover, slack, t_grams, p - q, q),
+nb AS (SELECT r, t, diagonal, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, t ORDER BY diagonal) > any_value(slack) THEN 1 ELSE 0 END AS c
+       FROM dg GROUP BY r, t, diagonal),
+isl AS (SELECT dg.*, span FROM dg JOIN (SELECT *, sum(c) OVER (PARTITION BY r, t ORDER BY diagonal) AS span FROM nb) USING (r, t, diagonal)),
 sp AS (SELECT r, t, label, base, min_cover, slack, t_grams, span, min(f) AS s, max(l) + {GRAM} AS e,
-              least(1.0::DOUBLE, sum(votes)::DOUBLE / t_grams) AS cover FROM isl
+              count(DISTINCT q)::DOUBLE / t_grams AS cover FROM isl
        GROUP BY r, t, label, base, min_cover, slack, t_grams, span),
 ok AS (SELECT * FROM sp WHERE cover >= min_cover AND e - s <= 1.5 * (t_grams + {GRAM - 1}) + 2 * slack),
 by_doc AS (SELECT r, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
