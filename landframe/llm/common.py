@@ -24,6 +24,19 @@ def column(df: DataFrame, name: str) -> Column:
     return df["`" + name.replace("`", "``") + "`"]
 
 
+def hold(docs: DataFrame, text_col: str) -> DataFrame:
+    """``text`` and a struct ``rest`` of all other columns, whose names can clash with nothing
+    that an operator adds."""
+    others = [column(docs, c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    return docs.select(F.struct(*(others or [F.lit(True).alias("none")])).alias("rest"), column(docs, text_col).alias("text"))
+
+
+def release(held: DataFrame, docs: DataFrame, text_col: str, *more: str) -> DataFrame:
+    """The columns of ``docs`` again, from a frame with ``text`` and ``rest``, and then ``more``."""
+    own = [F.col("text" if c == text_col else f"rest.c{i}").alias(c) for i, c in enumerate(docs.columns)]
+    return held.select(*own, *more)
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8 bytes (null and empty: none)."""
     return text.encode("utf-8", "replace").translate(_WORD_BYTES).split() if text else []

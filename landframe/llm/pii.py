@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from landframe.llm import surrogates
-from landframe.llm.common import column, documents, text_slices
+from landframe.llm.common import documents, hold, release, text_slices
 from landframe.session import materialize
 
 #: of the registered query; a real run passes its own secret
@@ -24,19 +24,17 @@ QUERY_KEY = b"landframe demonstration key"
 _ENTITY = StructType([StructField("kind", StringType()), StructField("norm", StringType())])
 
 
-def detect(docs: DataFrame, text_col: str, hits: bool) -> DataFrame:
-    """The rows of ``docs`` that hold personal data, with the distinct entities in one more
-    column ``__entities``, or (``hits`` false) the rows that hold none, unchanged."""
+def detect(held: DataFrame, hits: bool) -> DataFrame:
+    """The rows (``rest, text``) that hold personal data, with their distinct ``entities``, or
+    (``hits`` false) the rows that hold none, unchanged."""
     import pyarrow as pa
 
-    at = docs.columns.index(text_col)
-    names = ["text" if i == at else f"c{i}" for i in range(len(docs.columns))]
-    schema = StructType([*docs.schema.fields, *([StructField("__entities", ArrayType(_ENTITY))] if hits else [])])
+    schema = StructType([*held.schema.fields, *([StructField("entities", ArrayType(_ENTITY))] if hits else [])])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("norm", pa.string())]))
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            for part in text_slices(batch.rename_columns(names)):
+            for part in text_slices(batch):
                 found = [sorted({(k, n) for _, _, k, n in surrogates.find_entities(t)}) for t in part.column("text").to_pylist()]
                 rows = pa.array([i for i, f in enumerate(found) if bool(f) == hits], pa.int64())
                 columns = [c.take(rows) for c in part.columns]
@@ -44,7 +42,7 @@ def detect(docs: DataFrame, text_col: str, hits: bool) -> DataFrame:
                     columns.append(pa.array([[{"kind": k, "norm": n} for k, n in f] for f in found if f], kind))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return held.mapInArrow(run, schema)
 
 
 def assign_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
@@ -75,41 +73,38 @@ def assign_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
 
 
 def replace_pii(docs: DataFrame, key: bytes, text_col: str = "text", count: bool = False) -> DataFrame:
-    """``docs`` with every detected entity replaced; all columns and rows are kept, rows without
-    personal data (null texts too) unchanged.  ``count`` adds ``n_entities``, the distinct ones.
+    """``docs`` with every detected entity replaced; all columns (whatever their names) and rows
+    are kept, rows without personal data (null and empty texts too) unchanged.  Repeated rows
+    get the same surrogates; an empty table stays empty.  ``count`` adds ``n_entities``, the
+    distinct ones.
 
     Only rows with personal data are written and shuffled, each once; their entities meet the
     surrogates in a join that Spark can split at an entity found in very many rows.
     """
     import pyarrow as pa
 
-    hit = materialize(detect(docs, text_col, True).withColumn("__row", F.monotonically_increasing_id()))
-    mentions = hit.select("__row", F.explode("__entities").alias("e")).select("__row", "e.kind", "e.norm")
+    held = hold(docs, text_col)
+    hit = materialize(detect(held, True).withColumn("row", F.monotonically_increasing_id()))
+    mentions = hit.select("row", F.explode("entities").alias("e")).select("row", "e.kind", "e.norm")
     chosen = assign_surrogates(materialize(mentions.select("kind", "norm").distinct()), key)
     # joined on a hash beside the keys: both sides are exchanged anew, so hot entities split
     table = chosen.select(F.xxhash64("kind", "norm").alias("k"), F.col("kind").alias("k1"), F.col("norm").alias("k2"), "new")
     same = (F.xxhash64("kind", "norm") == F.col("k")) & (F.col("kind") == F.col("k1")) & (F.col("norm") == F.col("k2"))
-    per_row = mentions.join(table, same).groupBy("__row").agg(F.collect_list(F.struct("kind", "norm", "new")).alias("__new"))
-    own = [c for c in hit.columns if c not in ("__entities", "__row")]
-    joined = hit.join(per_row, "__row").select(*[column(hit, c) for c in own], "__new")
-    at = own.index(text_col)
-    names = ["text" if i == at else f"c{i}" for i in range(len(own))]
+    per_row = mentions.join(table, same).groupBy("row").agg(F.collect_list(F.struct("kind", "norm", "new")).alias("new"))
+    joined = hit.join(per_row, "row").select("rest", "text", "new")
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
-            for part in text_slices(batch.rename_columns([*names, "new"])):
+            for part in text_slices(batch):
                 texts = [surrogates.replace_entities(t, {(e["kind"], e["norm"]): e["new"] for e in new})
                          for t, new in zip(part.column("text").to_pylist(), part.column("new").to_pylist())]
-                columns = list(part.columns)
-                columns[at] = pa.array(texts, columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, names=[*own, "__new"])
-
-    replaced = joined.mapInArrow(run, joined.schema)
-    clean = detect(docs, text_col, False)
-    if count:
-        replaced = replaced.withColumn("n_entities", F.size("__new").cast("long"))
-        clean = clean.withColumn("n_entities", F.lit(0).cast("long"))
-    return replaced.drop("__new").unionByName(clean)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rest"), pa.array(texts, part.schema.field("text").type), part.column("new")], names=["rest", "text", "new"])
+
+    replaced = joined.mapInArrow(run, joined.schema).withColumn("n_entities", F.size("new").cast("long"))
+    clean = detect(held, False).withColumn("n_entities", F.lit(0).cast("long"))
+    more = ["n_entities"] if count else []
+    return release(replaced, docs, text_col, *more).unionAll(release(clean, docs, text_col, *more))
 
 
 def op2_pii_surrogates(spark, sf_dir) -> DataFrame:
