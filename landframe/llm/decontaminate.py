@@ -15,13 +15,15 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landframe.llm.common import column, documents, text_slices, words_of
+from landframe.llm.common import column, documents, hold, release, text_slices, words_of
 from landframe.llm.fm_index import FmIndex
 
 WINDOW = 10
 #: symbols of a shard's index, and bytes of benchmark text searched at a time
-SHARD_SYMBOLS = 1_000_000
+SHARD_SYMBOLS = 250_000
 BLOCK_BYTES = 16_000_000
+#: bytes of training text handled at a time
+SLICE_BYTES = 2_000_000
 
 #: the words of the contract, in a text that is not lower-cased
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -50,48 +52,53 @@ class ItemWindows:
         self.first_item = np.r_[0, np.cumsum([len(w) for w in windows.values()], dtype=np.int64)]
         self.window = window
 
-    def find(self, docs: list[list[bytes]], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first word, number of words, window) of every occurrence, words counted over all
-        ``docs`` with one gap after each."""
-        get = self.vocabulary.get
-        ids = np.zeros(int(ends[-1]) if len(ends) else 0, np.int64)
-        for words, end in zip(docs, ends):
-            if words:
-                ids[end - 1 - len(words):end - 1] = [get(w, 0) for w in words]
-        kept = np.flatnonzero((ids != 0) | (np.r_[0, ids[:-1]] != 0))
+    def encode(self, text: str | None) -> np.ndarray:
+        """Word ids of a text, 0 for words of no item; its words are kept no longer than this."""
+        words = words_of(text)
+        return np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int32, len(words))
+
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first word, number of words, window) of every occurrence in the word ids of texts
+        that stand one after another, each followed by a gap (0)."""
+        kept = np.flatnonzero((ids != 0) | (np.r_[np.int32(0), ids[:-1]] != 0)).astype(np.int32)
         sym, found = ids[kept], []
         for a in range(0, len(sym), SHARD_SYMBOLS):
             # shards overlap, so that no window is cut; those seen twice are merged later
-            index = FmIndex(np.r_[sym[a:a + SHARD_SYMBOLS + self.window - 1], 0], len(self.vocabulary))
+            index = FmIndex(np.r_[sym[a:a + SHARD_SYMBOLS + self.window - 1], np.int32(0)], len(self.vocabulary))
             which, lo, hi = index.search(self.patterns, self.lengths)
             n = hi - lo
             at = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
             which = np.repeat(which, n)
-            found.append((kept[a + index.locate(at)], self.lengths[which], which))
+            found.append((kept[a + index.locate(at)].astype(np.int64), self.lengths[which], which))
         return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
 
 def find_contamination(texts: list[str | None], blocks: list[ItemWindows]) -> list[tuple[int, int, list[str], list[tuple[int, int]]]]:
     """Of each text: words, words hit, items found and the merged spans of hit words."""
-    docs = [words_of(t) for t in texts]
-    ends = np.cumsum([len(d) + 1 for d in docs], dtype=np.int64)
-    starts = ends - [len(d) + 1 for d in docs] if len(docs) else ends
-    cover, items = np.zeros(int(ends[-1]) + 1 if len(docs) else 1, np.int32), [set() for _ in docs]
+    cover, ends, items = None, np.zeros(0, np.int64), [set() for _ in texts]
     for block in blocks:
-        first, length, which = block.find(docs, ends)
+        encoded = [block.encode(t) for t in texts]
+        ends = np.cumsum([len(d) + 1 for d in encoded], dtype=np.int64)
+        ids = np.zeros(int(ends[-1]) if texts else 0, np.int32)
+        for d, end in zip(encoded, ends):
+            ids[end - 1 - len(d):end - 1] = d
+        del encoded
+        cover = np.zeros(len(ids) + 1, np.int32) if cover is None else cover
+        first, length, which = block.find(ids)
         np.add.at(cover, first, 1)
         np.add.at(cover, first + length, -1)
         owner = np.searchsorted(ends, first, side="right")
         for doc, w in np.unique(np.stack([owner, which], 1), axis=0):
             items[doc].update(block.names[block.items[block.first_item[w]:block.first_item[w + 1]]])
-    hit = np.cumsum(cover) > 0
-    out = []
-    for words, start, found in zip(docs, starts, items):
+    out, start = [], 0
+    hit = None if cover is None else np.cumsum(cover) > 0
+    for end, found in zip(ends.tolist(), items):
         spans = []
         if found:
-            edge = np.flatnonzero(np.diff(np.r_[0, hit[start:start + len(words)].astype(np.int8), 0]))
+            edge = np.flatnonzero(np.diff(np.r_[0, hit[start:end - 1].astype(np.int8), 0]))
             spans = [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2])]
-        out.append((len(words), sum(b - a for a, b in spans), sorted(found), spans))
+        out.append((end - 1 - start, sum(b - a for a, b in spans), sorted(found), spans))
+        start = end
     return out
 
 
@@ -124,7 +131,7 @@ def find_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, id_col: str =
     def run(batches: Iterator) -> Iterator:
         tests = [b.value for b in blocks]
         for batch in batches:
-            for part in text_slices(batch, 8_000_000):
+            for part in text_slices(batch, SLICE_BYTES):
                 found = find_contamination(part.column("text").to_pylist(), tests)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
@@ -148,18 +155,17 @@ def remove_words(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the removal spans cut from their texts, again and again until a text
     holds no window (the words around a cut may form one).  Clean rows are unchanged; a
-    document of which no word is left is dropped.  All columns are kept, null texts too."""
+    document of which no word is left is dropped.  All columns are kept, whatever their names,
+    null texts too; repeated rows are cut alike; an empty table stays empty."""
     import pyarrow as pa
 
     blocks = benchmark_blocks(benchmark)
-    own = docs.columns
-    at = own.index(text_col)
+    held = hold(docs, text_col)
 
     def run(batches: Iterator) -> Iterator:
         tests = [b.value for b in blocks]
         for batch in batches:
-            renamed = batch.rename_columns(["text" if i == at else f"c{i}" for i in range(len(own))])
-            for part in text_slices(renamed, 8_000_000):
+            for part in text_slices(batch, SLICE_BYTES):
                 texts = part.column("text").to_pylist()
                 todo, gone = list(range(len(texts))), set()
                 while todo:
@@ -169,12 +175,11 @@ def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: st
                         texts[i] = remove_words(texts[i], f[3])
                         if f[1] == f[0]:
                             gone.add(i)
-                columns = list(part.columns)
-                columns[at] = pa.array(texts, columns[at].type)
                 rest = pa.array([i for i in range(len(texts)) if i not in gone], pa.int64())
-                yield pa.RecordBatch.from_arrays([c.take(rest) for c in columns], names=own)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("rest").take(rest), pa.array(texts, part.schema.field("text").type).take(rest)], names=["rest", "text"])
 
-    return docs.mapInArrow(run, docs.schema)
+    return release(held.mapInArrow(run, held.schema), docs, text_col)
 
 
 def op5_decontamination(spark, sf_dir) -> DataFrame:

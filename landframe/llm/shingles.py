@@ -33,7 +33,7 @@ def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > 500_000:  # hashes only, made anew when needed
+    if len(_words) > 100_000:  # hashes only, made anew when needed
         _words.clear()
     hashes = np.empty(len(words), np.uint64)
     for i, w in enumerate(words):
