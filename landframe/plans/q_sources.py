@@ -17,7 +17,9 @@ from landframe.plans.registry import register
 from landframe.plans.tables import table
 from landframe.session import checkpoint_dir
 from landframe.sources import files as S
+from landframe.sources import versions
 from landframe.sources.release import releases_to_ingest
+from landframe.streaming.ingest import ingest_log, publish_batch
 
 
 def _scratch(spark, name: str) -> str:
@@ -207,3 +209,66 @@ def q3_load_status(spark, sf_dir):
     """Q3: status of a run: releases waiting (S10 gate) and rows loaded."""
     pending = s10_releases_to_ingest(spark, sf_dir)
     return Q.load_status(pending, table(spark, sf_dir, "lineitem"), "lineitem", 1000)
+
+
+@register("s6_versions", sql="""
+SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN 'corrected' ELSE o_orderstatus END AS o_orderstatus, strftime(o_orderdate, '%Y%m') AS release
+FROM orders WHERE year(o_orderdate) <> 1998
+""")
+def s6_versions(spark, sf_dir):
+    """Orders committed by release month; 1997 replaced and 1998 removed by later versions,
+    each published by its manifest alone."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("release"))
+    root = _scratch(spark, "versions")
+    versions.commit(o, root, "release")
+    versions.commit(o.filter(F.col("release").startswith("1997")).withColumn("o_orderstatus", F.lit("corrected")), root, "release")
+    versions.commit(None, root, removed=[f"1998{m:02d}" for m in range(1, 13)])
+    return versions.read_version(spark, root)
+
+
+_STREAM_SQL = """
+WITH r AS (SELECT strftime(o_orderdate, '%Y%m') AS release, count(*) AS n_rows FROM orders GROUP BY 1),
+due AS (SELECT * FROM r WHERE CAST(release AS INTEGER) % 2 = 1 AND (release = '199507' OR release LIKE '1997%')),
+least AS (SELECT avg(n_rows) AS least FROM r)"""
+
+
+def _streamed(spark, sf_dir):
+    """Orders delivered as a file a month; odd months are of the wanted product.  July 1995 is
+    updated on the run's date, 1997 is on the backfill list; below the mean of all months a
+    release is too small."""
+    o = table(spark, sf_dir, "orders")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    folder, root = _scratch(spark, "delivered"), _scratch(spark, "published")
+    o.select(F.col("o_orderkey").cast("string"), "o_orderstatus", month.alias("m")).repartition("m").write.partitionBy("m").csv(f"{folder}/files")
+    counts = o.groupBy(month.alias("release")).agg(F.count(F.lit(1)).alias("n"))
+    announced = counts.select("release", F.when(F.col("release").cast("int") % 2 == 1, "Address Plus").otherwise("Address Core").alias("product"),
+                              F.when(F.col("release") == "199507", "3 April 2017").otherwise("4 April 2017").alias("update_date"))
+    least = int(counts.agg(F.avg("n")).first()[0])
+    rows = (spark.readStream.schema("o_orderkey string, o_orderstatus string, m string").csv(f"{folder}/files")
+            .withColumn("file", F.concat(F.lit("orders_"), "m")).drop("m"))
+    backfill = [f"1997{m:02d}" for m in range(1, 13)]
+
+    def each(batch, batch_id):
+        publish_batch(batch, batch_id, announced, root, "orders", _dt.date(2017, 4, 3), "Plus", backfill, least)
+        publish_batch(batch, batch_id, announced, root, "orders", _dt.date(2017, 4, 3), "Plus", backfill, least)  # replayed
+
+    w = rows.writeStream.foreachBatch(each).option("checkpointLocation", f"{folder}/checkpoint")
+    w.trigger(availableNow=True).start().awaitTermination()
+    return root
+
+
+@register("s10_gated_stream", sql=_STREAM_SQL + """
+SELECT release, n_rows, CASE WHEN n_rows > floor(least) THEN 'SUCCESSFUL' ELSE 'FAILED' END AS status FROM due, least
+""")
+def s10_gated_stream(spark, sf_dir):
+    """Status of every release that was due when the stream ran over all delivered files."""
+    return ingest_log(spark, _streamed(spark, sf_dir)).select("release", "n_rows", "status")
+
+
+@register("s10_published_rows", sql=_STREAM_SQL + """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS release FROM orders
+WHERE strftime(o_orderdate, '%Y%m') IN (SELECT release FROM due, least WHERE n_rows > floor(least))
+""")
+def s10_published_rows(spark, sf_dir):
+    """The rows that the stream published, those of small and unwanted releases not."""
+    return versions.read_version(spark, _streamed(spark, sf_dir))
