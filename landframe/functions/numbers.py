@@ -16,11 +16,14 @@ def to_double(c) -> Column:
 def plain_number(c, scale: int | None = None) -> Column:
     """Render a number without scientific notation (``1.0E12`` -> ``1000000000000``).
 
-    All digits are kept (up to 18 after the point, trailing zeros dropped); ``scale`` fixes
-    the digits after the point instead."""
+    Digits are kept as far as 38 reach: up to 18 after the point from 1 on (none from 1e20
+    on), up to 37 below 1, trailing zeros dropped; from 1e38 on the result is null.  ``scale``
+    fixes the digits after the point instead."""
+    c = as_col(c)
     if scale is not None:
-        return as_col(c).try_cast(f"decimal(38,{scale})").cast("string")
-    text = as_col(c).try_cast("decimal(38,18)").cast("string")
+        return c.try_cast(f"decimal(38,{scale})").cast("string")
+    small = F.when(F.abs(c.try_cast("double")) < 1, c.try_cast("decimal(38,37)").cast("string"))
+    text = F.coalesce(small, c.try_cast("decimal(38,18)").cast("string"), F.concat(c.try_cast("decimal(38,0)").cast("string"), F.lit(".0")))
     return F.regexp_replace(text, "\\.?0+$", "")
 
 

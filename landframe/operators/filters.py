@@ -57,3 +57,20 @@ def slice_rows(df: DataFrame, lo: int, hi: int, order_by: Sequence) -> DataFrame
 def profile(df: DataFrame, n: int = 6) -> dict:
     """F8: first ``n`` rows, row count and column types (an inspection action)."""
     return {"head": df.limit(n).collect(), "rows": df.count(), "dtypes": df.dtypes}
+
+
+def profile_table(df: DataFrame) -> DataFrame:
+    """F8 as a table: a row per column with its ``position`` (from 1), ``column``, ``dtype``, the
+    frame's ``n_rows`` and the column's ``n_missing`` and ``n_distinct`` (non-null values).
+
+    Distinct values are counted per column from one pass of map-side combined (column, value)
+    counts, so no column's values are gathered and no row is multiplied by a distinct expand."""
+    names = df.columns
+    values = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"`{c}`").cast("string").alias("value")) for i, c in enumerate(names)])
+    counts = df.select(F.explode(values).alias("v")).groupBy("v.position", "v.value").agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy("position").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_missing"),
+        F.count("value").alias("n_distinct"))
+    at = F.col("position") + 1
+    return per.select(at.alias("position"), F.element_at(F.array(*map(F.lit, names)), at).alias("column"),
+                      F.element_at(F.array(*[F.lit(t) for _, t in df.dtypes]), at).alias("dtype"), "n_rows", "n_missing", "n_distinct")

@@ -38,22 +38,49 @@ def pivot_vocabulary(df: DataFrame, key: str, max_values: int | None = None) ->
     return [r[0] for r in rows]
 
 
+#: columns that one aggregation makes; a longer vocabulary is dealt into blocks
+PIVOT_BLOCK = 2000
+
+
 def widen(df: DataFrame, ids: Sequence[str], key: str, value: str,
-          vocab: Sequence | None = None, agg: str = "max") -> DataFrame:
+          vocab: Sequence | None = None, agg: str = "max", block: int = PIVOT_BLOCK) -> DataFrame:
     """R2: long -> wide; one column per key value (byte-sorted), null where absent.
 
     Rows with a null key are dropped (a pivot would name a column ``null``; re-append
     them with U3 as the tag-matrix job does).  ``(ids, key)`` should be unique
     (tidyr refuses duplicates); ``agg`` (``max`` by default, deterministic) decides
-    otherwise.  Passing ``vocab`` avoids the extra distinct job.
+    otherwise.  Passing ``vocab`` avoids the extra distinct job.  A vocabulary of more than
+    ``block`` keys is dealt into blocks (``_widen_blocks``), so that
+    ``spark.sql.pivotMaxValues`` limits only how many keys are looked up unasked.
     """
     src = df.filter(qcol(key).isNotNull())
     if vocab is None:
         vocab = pivot_vocabulary(src, key)
     fn = {"max": F.max, "min": F.min, "first": F.first, "sum": F.sum, "count": F.count}[agg]
+    if len(vocab) > block:
+        return _widen_blocks(src, list(ids), key, value, list(vocab), fn, block)
     return src.groupBy(*[qcol(c) for c in ids]).pivot(f"`{key}`", list(vocab)).agg(fn(qcol(value)))
 
 
+def _widen_blocks(src: DataFrame, ids: list[str], key: str, value: str, vocab: list, fn, block: int) -> DataFrame:
+    """R2 for long vocabularies: keys become ordinals, one aggregation pivots the places inside
+    a block into an array, a second one the blocks; the columns are read off the arrays.  So no
+    aggregate has more than ``block`` buffers, however many columns there are."""
+    spark = src.sparkSession
+    n_blocks = -(-len(vocab) // block)
+    ordinals = spark.createDataFrame([(str(k), i) for i, k in enumerate(vocab)], "__key string, __i int")
+    own = [qcol(c).alias(f"__id{i}") for i, c in enumerate(ids)]
+    keyed = src.select(*own, qcol(key).cast("string").alias("__key"), qcol(value).alias("__v")).join(F.broadcast(ordinals), "__key", "left")
+    names = [f"__id{i}" for i in range(len(ids))]
+    keyed = keyed.withColumns({"__b": F.floor(F.col("__i") / block).cast("int"), "__p": F.col("__i") % block})
+    places = keyed.groupBy(*names, "__b").pivot("__p", list(range(block))).agg(fn("__v"))
+    arrays = places.select(*names, "__b", F.expr("array(" + ", ".join(f"`{p}`" for p in range(block)) + ")").alias("__a"))
+    blocks = arrays.groupBy(*names).pivot("__b", list(range(n_blocks))).agg(F.first("__a"))
+    quoted = ["`" + str(k).replace("`", "``") + "`" for k in vocab]
+    return blocks.selectExpr(*[f"__id{i} AS `{c}`" for i, c in enumerate(ids)],
+                             *[f"get(`{i // block}`, {i % block}) AS {q}" for i, q in enumerate(quoted)])
+
+
 def split_rows(df: DataFrame, col: str, sep: str = " ", keep_null: bool = True) -> DataFrame:
     """One row per piece of a delimited cell (``sep`` is a regex); null cells kept."""
     ex = F.explode_outer if keep_null else F.explode
@@ -71,20 +98,21 @@ def split_columns(df: DataFrame, col: str, sep: str, names: Sequence[str]) -> Da
 
 
 def tag_matrix(df: DataFrame, name_col: str, tag_col: str, order_by: Sequence[str],
-               sep: str = " ", mark: int = 1, vocab: Sequence[str] | None = None) -> DataFrame:
+               sep: str = " ", mark: int = 1, vocab: Sequence[str] | None = None, max_tags: int | None = None) -> DataFrame:
     """Turn a space-separated tag cell into one indicator column per tag.
 
     Steps: split the tags to rows, drop empty pieces, keep the first row per
     (name, tag) by ``order_by``, widen with ``mark`` where present (every tag that
     occurs becomes a column, one-character tags included), then stack back the rows
     whose tag cell was null, with every tag column null.  Without ``vocab`` the tags are
-    read from the cells, which fails above ``spark.sql.pivotMaxValues`` tags.
+    read from the cells, which fails above ``max_tags`` of them (by default
+    ``spark.sql.pivotMaxValues``).
     """
     ids = [c for c in df.columns if c != tag_col]
     blanks = df.filter(qcol(tag_col).isNull()).drop(tag_col)
     long = split_rows(df.filter(qcol(tag_col).isNotNull()), tag_col, sep, keep_null=False)
     long = long.filter(qcol(tag_col) != "")
-    vocab = pivot_vocabulary(long, tag_col) if vocab is None else vocab
+    vocab = pivot_vocabulary(long, tag_col, max_tags) if vocab is None else vocab
     long = first_per_key(long, [name_col, tag_col], order_by)
     long = long.withColumn("__has", F.lit(mark))
     wide = widen(long, ids, tag_col, "__has", vocab)

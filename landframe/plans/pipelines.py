@@ -102,15 +102,16 @@ def publish_address_release(all_rows: DataFrame, boundary: DataFrame, root: str,
                             tables: tuple[str, str] = ("all", "clipped"), jdbc_url: str | None = None,
                             key: str = "objectid", release_col: str = "update_date", x: str = "x_coordinate",
                             y: str = "y_coordinate", crs: str = "EPSG:27700", boundary_crs: str = "EPSG:27700") -> DataFrame:
-    """L1 sinks: the shaped rows are computed once and fan out to two outputs, all rows and
-    those inside ``boundary`` (moved into its coordinate system), each as release-partitioned Parquet under ``root`` and
-    optionally as a database table (replace load, key checked first).
+    """L1 sinks: the shaped rows are written once; the second output, the rows inside ``boundary``
+    (moved into its coordinate system), reads them back from the first.  Each is
+    release-partitioned Parquet under ``root`` and
+    optionally a database table (replace load, key checked first).
 
     Returns one status row per output, from the rows of the loaded ``release`` alone.  An
     empty release empties its partition: what an earlier load left there is removed."""
     from landframe.operators.quality import row_gate
     from landframe.operators.spatial import clip, reproject
-    from landframe.sources.files import fan_out, replace_table, write_release
+    from landframe.sources.files import replace_table, write_release
     spark = all_rows.sparkSession
 
     def sink(name: str):
@@ -122,7 +123,9 @@ def publish_address_release(all_rows: DataFrame, boundary: DataFrame, root: str,
         return write
 
     whole, inside = tables
-    fan_out(all_rows, {whole: (lambda d: d, sink(whole)), inside: (lambda d: clip(reproject(d, x, y, crs, boundary_crs), boundary, x, y), sink(inside))})
+    sink(whole)(all_rows)
+    written = spark.read.schema(all_rows.schema).parquet(f"{root}/{whole}").filter(F.col(release_col) == release)
+    sink(inside)(clip(reproject(written, x, y, crs, boundary_crs), boundary, x, y))
     status = [row_gate(spark.read.schema(all_rows.schema).parquet(f"{root}/{t}").filter(F.col(release_col) == release), t, min_rows)
               for t in tables]
     return status[0].unionByName(status[1])

@@ -343,3 +343,28 @@ def f7_slice(spark, sf_dir):
     """rows 2..33 of the frame ordered by price (the positional slice is the feature)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return FL.slice_rows(o, 2, 33, [F.col("o_totalprice").desc(), F.col("o_orderkey")])
+
+
+@register("f8_profile", sql="""
+SELECT 1 AS position, 'c_custkey' AS "column", 'bigint' AS dtype, count(*) AS n_rows, count(*) - count(c_custkey) AS n_missing, count(DISTINCT c_custkey) AS n_distinct FROM customer
+UNION ALL SELECT 2, 'segment', 'string', count(*), count(*) FILTER (c_nationkey % 3 = 0), count(DISTINCT CASE WHEN c_nationkey % 3 <> 0 THEN c_mktsegment END) FROM customer
+UNION ALL SELECT 3, 'nation', 'string', count(*), 0, count(DISTINCT c_nationkey) FROM customer
+""")
+def f8_profile(spark, sf_dir):
+    """F8: rows, missing and distinct values of every column."""
+    c = table(spark, sf_dir, "customer")
+    return FL.profile_table(c.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment")).alias("segment"),
+                                     F.col("c_nationkey").cast("string").alias("nation")))
+
+
+@register("p12_large_and_small", sql="""
+SELECT o_orderkey, CASE o_orderkey WHEN 0 THEN '0' ELSE CAST(o_orderkey AS VARCHAR) || '000000000000000000000' END AS big, CAST(o_orderkey AS VARCHAR) || '.25' AS middle,
+       '0.00000000000000000000' || lpad(CAST(o_orderkey % 1000 + 1001 AS VARCHAR), 4, '0') || '7' AS small
+FROM orders
+""")
+def p12_large_and_small(spark, sf_dir):
+    """Numbers from 1e20 on and far below 1 in plain digits."""
+    k = F.col("o_orderkey").cast("string")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", X.plain_number(F.concat(k, F.lit("E21"))).alias("big"), X.plain_number(F.concat(k, F.lit(".2500"))).alias("middle"),
+        X.plain_number(F.concat((F.col("o_orderkey") % 1000 + 1001).cast("string"), F.lit("7E-25"))).alias("small"))

@@ -427,3 +427,32 @@ SELECT DISTINCT p_type FROM part ORDER BY p_type
 def u5_u6_unique_sorted(spark, sf_dir):
     """Sorted distinct values of one column."""
     return U.sort_by(U.unique_sorted(table(spark, sf_dir, "part"), "p_type"), ["p_type"])
+
+
+# Months of the orders, the columns of the block pivot below.
+_MONTHS = [f"{y}{m:02d}" for y in range(1992, 1999) for m in range(1, 13)]
+
+
+@register("r2_widen_blocks", sql="SELECT o_custkey, " + ", ".join(
+    f"max(CASE WHEN strftime(o_orderdate, '%Y%m') = '{m}' THEN o_orderkey END) AS \"{m}\"" for m in _MONTHS) + " FROM orders GROUP BY o_custkey")
+def r2_widen_blocks(spark, sf_dir):
+    """R2: a column a month, the vocabulary dealt into blocks of 16."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("month"), "o_orderkey")
+    return R.widen(o, ["o_custkey"], "month", "o_orderkey", vocab=_MONTHS, block=16)
+
+
+@register("u6_locale_order", sql="""
+WITH n AS (SELECT DISTINCT CASE p_partkey % 4 WHEN 0 THEN h WHEN 1 THEN upper(h) WHEN 2 THEN replace(h, 'e', chr(233)) ELSE replace(upper(h), 'E', chr(201)) END AS name
+           FROM (SELECT p_partkey, md5(CAST(p_partkey AS VARCHAR))[1:3] AS h FROM part))
+SELECT name, row_number() OVER (ORDER BY lower(strip_accents(name)), translate(lower(name), '0123456789abcdf' || chr(233), 'eeeeeeeeeeeeeeez'),
+       regexp_replace(regexp_replace(name, '[^A-Z' || chr(201) || ']', '0', 'g'), '[^0]', '1', 'g')) AS row_id
+FROM n
+""")
+def u6_locale_order(spark, sf_dir):
+    """Distinct names numbered in a locale's order: letters, then accents, then case."""
+    h = F.substring(F.md5(F.col("p_partkey").cast("string").cast("binary")), 1, 3)
+    kind = F.col("p_partkey") % 4
+    name = (F.when(kind == 0, h).when(kind == 1, F.upper(h)).when(kind == 2, F.replace(h, F.lit("e"), F.lit("é")))
+            .otherwise(F.replace(F.upper(h), F.lit("E"), F.lit("É"))))
+    names = U.unique_sorted(table(spark, sf_dir, "part").select(name.alias("name")), "name", collation="UNICODE")
+    return W.add_row_id(names, [U.locale_order("name", "UNICODE"), F.col("name")])

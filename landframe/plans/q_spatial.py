@@ -197,3 +197,48 @@ def g4_reproject(spark, sf_dir):
                    (F.lit(51.3) + F.col("value") / 200.0).alias("northing"))
     out = G.reproject(pts, "easting", "northing", "EPSG:4326", "EPSG:27700")
     return out.select("event_id", F.round("easting", 2).alias("easting"), F.round("northing", 2).alias("northing"))
+
+
+# ---------------------------------------------------------------- G4 grid shift, G5
+
+# A generated shift table (the published one is not available): metres at the
+# nodes of a grid of 250 m, by column and row.
+_SHIFT_SQL = """
+node AS (SELECT c.v AS col, r.v AS row, (c.v * 3 + r.v) % 7 / 8.0 + r.v / 16.0 AS se, (r.v * 5 + c.v) % 5 / 4.0 - c.v / 32.0 AS sn
+         FROM range(0, 60) c(v), range(0, 60) r(v)),
+pts AS (SELECT event_id, sqrt(CAST(user_id % 997 + 2 AS DOUBLE)) * 300 AS x, sqrt(CAST(event_id % 613 + 2 AS DOUBLE)) * 500 AS y FROM events),
+placed AS (SELECT *, floor(x / 250) AS c, floor(y / 250) AS r, x / 250 - floor(x / 250) AS t, y / 250 - floor(y / 250) AS u FROM pts),
+moved AS (SELECT event_id, x, y,
+    x + (1 - t) * (1 - u) * a.se + t * (1 - u) * b.se + (1 - t) * u * d.se + t * u * e.se AS mx,
+    y + (1 - t) * (1 - u) * a.sn + t * (1 - u) * b.sn + (1 - t) * u * d.sn + t * u * e.sn AS my
+  FROM placed LEFT JOIN node a ON a.col = c AND a.row = r LEFT JOIN node b ON b.col = c + 1 AND b.row = r
+  LEFT JOIN node d ON d.col = c AND d.row = r + 1 LEFT JOIN node e ON e.col = c + 1 AND e.row = r + 1)"""
+
+
+@register("g4_grid_shift", sql=f"""
+WITH {_SHIFT_SQL}
+SELECT event_id, round(mx, 6) AS x, round(my, 6) AS y, round(x, 4) AS back_x, round(y, 4) AS back_y FROM moved
+""")
+def g4_grid_shift(spark, sf_dir):
+    """Event places moved by a table of shifts, and back again by iteration."""
+    from landframe.operators.gridshift import grid_shift
+    side = spark.range(60).select(F.col("id").alias("col"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(59).cast("long"))).alias("row"))
+    nodes = side.select("col", "row", ((F.col("col") * 3 + F.col("row")) % 7 / 8.0 + F.col("row") / 16.0).alias("se"),
+                        ((F.col("row") * 5 + F.col("col")) % 5 / 4.0 - F.col("col") / 32.0).alias("sn"))
+    e = table(spark, sf_dir, "events")
+    pts = e.select("event_id", (F.sqrt(F.col("user_id") % 997 + 2) * 300).alias("x"), (F.sqrt(F.col("event_id") % 613 + 2) * 500).alias("y"))
+    there = grid_shift(pts, "x", "y", nodes, 250.0)
+    both = there.select("*", F.col("x").alias("back_x"), F.col("y").alias("back_y"))
+    back = grid_shift(both, "back_x", "back_y", nodes, 250.0, inverse=True, iterations=8)
+    return back.select("event_id", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), F.round("back_x", 4).alias("back_x"), F.round("back_y", 4).alias("back_y"))
+
+
+@register("g5_declared_crs", sql="""
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS x, CAST(l_suppkey AS DOUBLE) AS y, 'EPSG:27700' AS crs_x, 'EPSG:27700' AS crs_y,
+       'none' AS crs_key FROM lineitem
+""")
+def g5_declared_crs(spark, sf_dir):
+    """Points with a declared coordinate system; what the columns declare, as values."""
+    pts = G.set_crs(_points(spark, sf_dir), ["x", "y"], "EPSG:27700")
+    declared = {f.name: f.metadata.get("crs", "none") for f in pts.schema.fields}
+    return pts.select("*", F.lit(declared["x"]).alias("crs_x"), F.lit(declared["y"]).alias("crs_y"), F.lit(declared["l_orderkey"]).alias("crs_key"))

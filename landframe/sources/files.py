@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landframe.operators.quality import duplicate_keys
+from landframe.session import materialize
 
 
 def text_schema(names: Sequence[str]) -> T.StructType:
@@ -236,15 +236,12 @@ def replace_table(df: DataFrame, url: str, table: str, key: str | None = None, b
 def fan_out(df: DataFrame, sinks: Mapping[str, tuple[Callable[[DataFrame], DataFrame], Callable[[DataFrame], None]]]) -> None:
     """Send the same rows to several sinks, each with its own transform.
 
-    The input is persisted (memory and disk) so it is computed once; a lost executor
-    only recomputes its own partitions from lineage.
+    The input is written once to the shared checkpoint folder and every sink reads it from
+    there, so it is computed once, whatever executors are lost, and fills no executor's disk.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for _name, (transform, writer) in sinks.items():
-            writer(transform(df))
-    finally:
-        df.unpersist()
+    df = materialize(df)
+    for transform, writer in sinks.values():
+        writer(transform(df))
 
 
 def append_period_column(history: DataFrame, update: DataFrame, history_key: str, update_key: str,
