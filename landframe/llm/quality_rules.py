@@ -3,8 +3,10 @@
 Each document is measured once.  Rule failures are counted per host; a host's failure rate
 is shrunk towards all hosts' mean by a beta prior whose two parameters are fitted to the
 hosts (moments), so that a host with three documents is not condemned for two of them.  A
-host whose shrunk rate of a rule reaches ``host_limit`` is bad in that rule, and its
-documents that fail the rule are rejected.  Documents that fail no rule are always kept.
+host is bad in a rule if its posterior leaves hardly a doubt that its rate is above
+``HOST_MULTIPLE`` times the prior's mean: the shrunk rate less ``HOST_DOUBT`` posterior
+standard deviations.  Documents of a bad host that fail the rule are rejected; documents
+that fail no rule are always kept.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from landframe.session import materialize
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 MIN_WORDS = 50
-HOST_LIMIT = 0.5
+#: a bad host's rate lies above so many times the mean, but for a chance of one in twenty
+HOST_MULTIPLE, HOST_DOUBT = 2.0, 1.645
 #: bad hosts up to which they are broadcast; more are joined by a shuffle
 BROADCAST_HOSTS = 100_000
 #: parts over which a host's rows are dealt when verdicts are joined back by a shuffle
@@ -94,8 +97,9 @@ def host_key(host: Column) -> Column:
     return F.coalesce(F.concat(F.lit("h"), host.cast("string")), F.lit("-"))
 
 
-def bad_hosts(measured: DataFrame, host: Column, m: Column, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """Hosts that are bad in some rule: ``host, bad`` (names of those rules).
+def host_rates(measured: DataFrame, host: Column, m: Column) -> DataFrame:
+    """One row per host: ``host``, ``n`` documents, ``rates`` (per rule the ``mean`` and
+    ``strength`` of the prior and the host's ``shrunk`` rate) and ``bad``, the rules it is bad in.
 
     ``measured`` is read twice, so it should be a written table.  One row (two prior
     parameters a rule) goes through the driver.
@@ -106,25 +110,32 @@ def bad_hosts(measured: DataFrame, host: Column, m: Column, host_limit: float =
     # beta prior by moments: mean rate and the variance of the hosts' rates, weighted by size
     moments = hosts.select(F.sum("n").alias("n"), *[F.sum(r).alias(r) for r in rules],
                            *[F.sum(F.col(r) * F.col(r) / F.col("n")).alias(f"{r}_2") for r in rules]).first()
-    bad = []
+    rates, bad = [], []
     for r in rules:
         mean = (moments[r] or 0) / moments["n"] if moments["n"] else 0.0
         spread = max((moments[f"{r}_2"] or 0.0) / moments["n"] - mean * mean, 1e-9) if moments["n"] else 1e-9
         strength = min(max(mean * (1 - mean) / spread - 1, 2.0), 1000.0)
         shrunk = (F.col(r) + F.lit(mean * strength)) / (F.col("n") + F.lit(strength))
-        bad.append(F.when(shrunk >= host_limit, F.lit(r)))
-    named = hosts.select("host", F.array_compact(F.array(*bad)).alias("bad"))
-    return named.filter(F.size("bad") > 0)
+        doubt = F.sqrt(shrunk * (1 - shrunk) / (F.col("n") + F.lit(strength + 1)))
+        rates.append(F.struct(F.lit(mean).alias("mean"), F.lit(strength).alias("strength"), shrunk.alias("shrunk")).alias(r))
+        bad.append(F.when((F.col(r) > 0) & (shrunk - HOST_DOUBT * doubt > HOST_MULTIPLE * mean), F.lit(r)))
+    return hosts.select("host", "n", F.struct(*rates).alias("rates"), F.array_compact(F.array(*bad)).alias("bad"))
+
+
+def bad_hosts(measured: DataFrame, host: Column, m: Column) -> DataFrame:
+    """``host, rates, bad`` of the hosts that are bad in some rule."""
+    return host_rates(measured, host, m).filter(F.size("bad") > 0).select("host", "rates", "bad")
 
 
 def with_verdicts(measured: DataFrame, host: Column, m: Column, bad: DataFrame) -> DataFrame:
-    """``measured`` with ``failed_rules``, ``base_failed``, ``host_rejected`` and ``kept``.
+    """``measured`` with ``rates`` (of the hosts given), ``failed_rules``, ``base_failed``,
+    ``host_rejected`` and ``kept``.
 
-    The bad hosts are written and counted: up to ``BROADCAST_HOSTS`` they are broadcast, and
+    The hosts (``host, rates, bad``) are written and counted: up to ``BROADCAST_HOSTS`` they are broadcast, and
     no row is shuffled.  Beyond that they are repeated over ``SALTS`` parts, so that a host
     with a third of all rows is spread over as many tasks.
     """
-    bad = materialize(bad.toDF("__host", "__bad"))
+    bad = materialize(bad.toDF("__host", "rates", "__bad"))
     rows = measured.withColumn("__host", host_key(host))
     if bad.count() <= BROADCAST_HOSTS:
         joined = rows.join(F.broadcast(bad), "__host", "left").withColumn("__salt", F.lit(0))
@@ -143,15 +154,16 @@ def with_verdicts(measured: DataFrame, host: Column, m: Column, bad: DataFrame)
 
 
 def judge_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row per document row: ``doc_id, host``, the measures and the verdicts.
+    """One row per document row: ``doc_id, host``, the measures, the host's ``rates`` and the verdicts.
 
     Null texts have no words and fail the base rule; null hosts form one host; an empty
     table gives no rows.
     """
     slim = docs.select(column(docs, id_col).alias("doc_id"), column(docs, host_col).alias("host"), column(docs, text_col).alias("text"))
     measured = materialize(with_measures(slim, slim["text"]).drop("text"))
-    bad = bad_hosts(measured, F.col("host"), F.col("measures"))
-    return with_verdicts(measured, F.col("host"), F.col("measures"), bad).select("doc_id", "host", "measures.*", "failed_rules", "base_failed", "host_rejected", "kept")
+    hosts = host_rates(measured, F.col("host"), F.col("measures")).select("host", "rates", "bad")
+    return with_verdicts(measured, F.col("host"), F.col("measures"), hosts).select(
+        "doc_id", "host", "measures.*", "rates", "failed_rules", "base_failed", "host_rejected", "kept")
 
 
 def keep_good_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
@@ -166,11 +178,17 @@ def keep_good_documents(docs: DataFrame, text_col: str = "text", host_col: str =
     return kept.select("row.*")
 
 
+RULES = ["few_words", "repeats", "symbols", "dup_lines", "word_length"]
+
+
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
-    """Measures and verdicts of all documents, with ``source`` as the host."""
-    return judge_documents(documents(spark, sf_dir)).select(
+    """Measures and verdicts of all documents, with ``source`` as the host; of each rule the
+    prior's mean and strength and the host's shrunk rate (rounded)."""
+    judged = judge_documents(documents(spark, sf_dir))
+    rates = [F.round(F.col(f"rates.{r}.{part}"), 6).alias(f"{part}_{r}") for r in RULES for part in ("mean", "strength", "shrunk")]
+    return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        F.array_join("failed_rules", ",").alias("failed_rules"), "host_rejected")
+        F.array_join("failed_rules", ",").alias("failed_rules"), "host_rejected", *rates)
 
 
 ORACLE = r"""
@@ -193,12 +211,15 @@ long AS (SELECT host, rule, count(*) AS n, sum(failed::INT)::DOUBLE AS k
     GROUP BY host, rule),
 mo AS (SELECT rule, sum(k) / sum(n) AS mean, sum(k * k / n) / sum(n) AS sq FROM long GROUP BY rule),
 pr AS (SELECT rule, mean, least(greatest(mean * (1 - mean) / greatest(sq - mean * mean, 1e-9) - 1, 2.0), 1000.0) AS strength FROM mo),
-bad AS (SELECT host, list(rule) AS bad FROM long JOIN pr USING (rule)
-    WHERE (k + mean * strength) / (n + strength) >= 0.5 GROUP BY host),
+hr AS (SELECT host, rule, k, n, mean, strength, (k + mean * strength) / (n + strength) AS shrunk FROM long JOIN pr USING (rule)),
+bad AS (SELECT host, list(rule) AS bad FROM hr
+    WHERE k > 0 AND shrunk - 1.645 * sqrt(shrunk * (1 - shrunk) / (n + strength + 1)) > 2.0 * mean GROUP BY host),
+rates AS (SELECT host, __RATES__ FROM hr GROUP BY host),
 v AS (SELECT f.*, list_filter([CASE WHEN f1 THEN 'few_words' END, CASE WHEN f2 THEN 'repeats' END, CASE WHEN f3 THEN 'symbols' END,
     CASE WHEN f4 THEN 'dup_lines' END, CASE WHEN f5 THEN 'word_length' END], lambda x: x IS NOT NULL) AS failed, bad FROM f LEFT JOIN bad USING (host))
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
     n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, f1 OR f2 AS base_failed,
     NOT (f1 OR f2) AND NOT coalesce(list_has_any(failed, bad), FALSE) AS kept,
-    array_to_string(failed, ',') AS failed_rules, coalesce(list_has_any(failed, bad), FALSE) AS host_rejected
-FROM v"""
+    array_to_string(failed, ',') AS failed_rules, coalesce(list_has_any(failed, bad), FALSE) AS host_rejected, rates.* EXCLUDE (host)
+FROM v JOIN rates USING (host)""".replace("__RATES__", ", ".join(
+    f"round(max({part}) FILTER (rule = '{r}'), 6) AS {part}_{r}" for r in RULES for part in ("mean", "strength", "shrunk")))
