@@ -104,15 +104,16 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _pieces(html, names: Sequence[str]) -> Column:
+def _pieces(html, names: Sequence[str], with_attrs: bool) -> Column:
     """The page cut before each opening or closing tag of ``names``: structs of ``tag`` (name in
-    small letters, ``/`` before that of a closing one), ``attrs`` and the ``text`` up to the next."""
+    small letters, ``/`` before that of a closing one), ``attrs`` (empty unless asked for) and the
+    ``text`` up to the next."""
     any_of = "|".join(names)
     marked = F.regexp_replace(F.translate(strip_noise(html), "\x01", ""), f"(?i)(?=</?(?:{any_of})(?![\\w-]))", "\x01")
 
     def cut(p):
         tag = F.lower(F.regexp_extract(p, f"(?i)^<(/?(?:{any_of}))(?![\\w-])", 1))
-        attrs = F.regexp_extract(p, f"(?is)^<\\w+({_TAG_REST})", 1)
+        attrs = F.regexp_extract(p, f"(?is)^<\\w+({_TAG_REST})", 1) if with_attrs else F.lit("")
         return F.struct(tag.alias("tag"), attrs.alias("attrs"), F.regexp_replace(p, f"(?s)^</?\\w+(?:{_TAG_REST}|[^>]*+(?:>|$))", "").alias("text"))
 
     return F.transform(F.split(marked, "\x01"), cut)
@@ -176,7 +177,7 @@ def texts(html, tag: str, id_: str | None = None, class_: str | None = None) ->
     ones the outer text holds the inner."""
     closers, scopes = IMPLIED_END.get(tag, ((), ()))
     names = dict.fromkeys([tag, *closers, *scopes, *(BLOCKS if tag == "p" else ())])
-    return _let(_pieces(html, list(names)), lambda p: F.transform(_elements(p, tag, id_, class_), lambda e: _inner(p, e)))
+    return _let(_pieces(html, list(names), id_ is not None or class_ is not None), lambda p: F.transform(_elements(p, tag, id_, class_), lambda e: _inner(p, e)))
 
 
 def extract_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -255,7 +256,7 @@ def table_cells(html) -> Column:
         return F.transform(F.array_sort(found), lambda c: F.struct(
             c["tbl"].alias("tbl"), c["row"].alias("row"), c["col"].alias("col"), _inner(pieces, c).alias("text")))
 
-    return _let(_pieces(html, ["table", "tr", "td", "th", "thead", "tbody", "tfoot"]), cells)
+    return _let(_pieces(html, ["table", "tr", "td", "th", "thead", "tbody", "tfoot"], False), cells)
 
 
 def extract_table(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
