@@ -4,19 +4,23 @@ A shard is a bounded run of the words of a partition's documents.  Words that oc
 benchmark item can be part of no match, so a stretch of them is one separator; what is left
 is indexed, every test window is searched backward through the wavelet ranks, occurrences
 are located by sampled suffix positions, and the spans they cover are merged per document.
+A benchmark of one block (``BLOCK_BYTES`` of text) is searched in one pass without a shuffle.
+A larger one is searched block by block, each broadcast alone and released before the next,
+over the documents written once; only the hits of a pass are kept, and merged at the end.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landframe.llm.common import column, documents, hold, release, text_slices, words_of
 from landframe.llm.fm_index import FmIndex
+from landframe.session import materialize
 
 WINDOW = 10
 #: symbols of a shard's index, and bytes of benchmark text searched at a time
@@ -102,44 +106,89 @@ def find_contamination(texts: list[str | None], blocks: list[ItemWindows]) -> li
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                     window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> list:
-    """Broadcast blocks of test windows.  A benchmark of any size is cut by a hash of the item
-    id into blocks of about ``block_bytes`` of text; the driver holds one at a time."""
+def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> tuple[int, Callable]:
+    """The number of blocks of about ``BLOCK_BYTES`` of text that a benchmark is cut into by a
+    hash of the item id, and a function that broadcasts one of them.  The driver and every task
+    hold one block at a time."""
     slim = benchmark.select(column(benchmark, id_col).cast("string").alias("item"), column(benchmark, text_col).alias("text"))
     total = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // block_bytes))
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(ItemWindows([tuple(r) for r in slim.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == b).collect()], window))
-            for b in range(n)]
+    n = max(1, -(-total // BLOCK_BYTES))
 
+    def block(b: int):
+        rows = slim.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == b).collect()
+        return benchmark.sparkSession.sparkContext.broadcast(ItemWindows([tuple(r) for r in rows], window))
 
-def find_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document row: ``doc_id, n_words, n_hit, items`` (ids, sorted as strings)
-    and ``spans``, the merged removal spans in words from 0, end exclusive.
+    return n, block
 
-    Null texts have no words; items without words find nothing; a null item id counts as
-    ``null``; an empty benchmark finds nothing.  No shuffle.
-    """
+
+_FOUND = "n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>"
+
+
+def _search(docs: DataFrame, tests, only_hits: bool) -> DataFrame:
+    """``key`` of ``docs`` (key, text) with what a broadcast block finds in each text."""
     import pyarrow as pa
 
-    blocks = benchmark_blocks(benchmark)
-    slim = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).alias("text"))
-    id_type = slim.schema["doc_id"].dataType.simpleString()
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator) -> Iterator:
-        tests = [b.value for b in blocks]
         for batch in batches:
             for part in text_slices(batch, SLICE_BYTES):
-                found = find_contamination(part.column("text").to_pylist(), tests)
+                found = find_contamination(part.column("text").to_pylist(), [tests.value])
+                at = [i for i, f in enumerate(found) if f[3] or not only_hits]
+                found = [found[i] for i in at]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
+                    [part.column("key").take(pa.array(at, pa.int64())), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64()),
                      pa.array([f[2] for f in found], pa.list_(pa.string())),
                      pa.array([[{"start": a, "end": b} for a, b in f[3]] for f in found], span_type)],
-                    names=["doc_id", "n_words", "n_hit", "items", "spans"])
+                    names=["key", "n_words", "n_hit", "items", "spans"])
+
+    return docs.select("key", "text").mapInArrow(run, f"key {docs.schema['key'].dataType.simpleString()}, {_FOUND}")
+
 
-    return slim.mapInArrow(run, f"doc_id {id_type}, n_words long, n_hit long, items array<string>, spans array<struct<start: long, end: long>>")
+def merged_spans(spans: Column) -> Column:
+    """Sorted spans without overlaps or touching ends."""
+    empty = F.array().cast("array<struct<start:long,end:long>>")
+
+    def step(done, s):
+        last = F.try_element_at(done, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(last.isNotNull() & (s["start"] <= last["end"]), F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(
+            F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), empty, step)
+
+
+def _hits_of_all_blocks(rows: DataFrame, n: int, block: Callable) -> DataFrame:
+    """``key, items, spans`` of the rows (key, text) in which some block is found, one pass a block."""
+    found = None
+    for b in range(n):
+        tests = block(b)
+        hits = materialize(_search(rows, tests, True).select("key", "items", "spans"))
+        tests.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    return materialize(found.groupBy("key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), merged_spans(F.flatten(F.collect_list("spans"))).alias("spans")))
+
+
+def find_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document row: ``doc_id, n_words, n_hit, items`` (ids, sorted as strings)
+    and ``spans``, the merged removal spans in words from 0, end exclusive.
+
+    Null texts have no words; items without words find nothing; a null item id counts as
+    ``null``, and items of one id count as one; an empty benchmark finds nothing.
+    """
+    n, block = benchmark_blocks(benchmark)
+    given = docs.select(column(docs, id_col).alias("key"), column(docs, text_col).alias("text"))
+    if n == 1:
+        return _search(given, block(0), False).withColumnRenamed("key", "doc_id")
+    rows = materialize(given.select(F.col("key").alias("doc_id"), "text", F.monotonically_increasing_id().alias("key")))
+    hits = _hits_of_all_blocks(rows, n, block)
+    empty = benchmark.sparkSession.sparkContext.broadcast(ItemWindows([]))
+    words = _search(rows, empty, False).select("key", "n_words")
+    found = rows.select("key", "doc_id").join(words, "key").join(hits, "key", "left")
+    items, spans = F.coalesce("items", F.array().cast("array<string>")), F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>"))
+    return found.select("doc_id", "n_words", F.aggregate(spans, F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"]).alias("n_hit"),
+                        items.alias("items"), spans.alias("spans"))
 
 
 def remove_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -152,34 +201,60 @@ def remove_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the removal spans cut from their texts, again and again until a text
-    holds no window (the words around a cut may form one).  Clean rows are unchanged; a
-    document of which no word is left is dropped.  All columns are kept, whatever their names,
-    null texts too; repeated rows are cut alike; an empty table stays empty."""
+def _cut_texts(rows: DataFrame, cut) -> DataFrame:
+    """``rows`` (with ``text``) after ``cut(batch)``, which gives the new texts and the rows to keep."""
     import pyarrow as pa
 
-    blocks = benchmark_blocks(benchmark)
-    held = hold(docs, text_col)
+    names = rows.columns
 
     def run(batches: Iterator) -> Iterator:
-        tests = [b.value for b in blocks]
         for batch in batches:
             for part in text_slices(batch, SLICE_BYTES):
-                texts = part.column("text").to_pylist()
-                todo, gone = list(range(len(texts))), set()
-                while todo:
-                    found = find_contamination([texts[i] for i in todo], tests)
-                    todo = [i for i, f in zip(todo, found) if f[3]]
-                    for i, f in zip(todo, [f for f in found if f[3]]):
-                        texts[i] = remove_words(texts[i], f[3])
-                        if f[1] == f[0]:
-                            gone.add(i)
-                rest = pa.array([i for i in range(len(texts)) if i not in gone], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rest").take(rest), pa.array(texts, part.schema.field("text").type).take(rest)], names=["rest", "text"])
+                texts, keep = cut(part)
+                columns = [pa.array(texts, part.schema.field("text").type) if n == "text" else part.column(n) for n in names]
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(keep, pa.int64())) for c in columns], names=names)
+
+    return rows.mapInArrow(run, rows.schema)
+
 
-    return release(held.mapInArrow(run, held.schema), docs, text_col)
+def remove_benchmark_overlap(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with the removal spans cut from their texts, again and again until a text
+    holds no window (the words around a cut may form one).  Clean rows are unchanged; a
+    document of which no word is left is dropped.  All columns are kept, whatever their names,
+    null texts too; repeated rows are cut alike; an empty table stays empty."""
+    n, block = benchmark_blocks(benchmark)
+    held = hold(docs, text_col)
+    if n == 1:
+        tests = block(0)
+
+        def cut_all(part):
+            texts = part.column("text").to_pylist()
+            todo, gone = list(range(len(texts))), set()
+            while todo:
+                found = find_contamination([texts[i] for i in todo], [tests.value])
+                todo = [i for i, f in zip(todo, found) if f[3]]
+                for i, f in zip(todo, [f for f in found if f[3]]):
+                    texts[i] = remove_words(texts[i], f[3])
+                    if f[1] == f[0]:
+                        gone.add(i)
+            return texts, [i for i in range(len(texts)) if i not in gone]
+
+        return release(_cut_texts(held, cut_all), docs, text_col)
+
+    def cut_spans(part):
+        texts = part.column("text").to_pylist()
+        spans = [[(s["start"], s["end"]) for s in x] for x in part.column("spans").to_pylist()]
+        keep = [i for i, t in enumerate(texts) if sum(b - a for a, b in spans[i]) < len(words_of(t))]
+        return [remove_words(t, x) for t, x in zip(texts, spans)], keep
+
+    pending, done = materialize(held.withColumn("key", F.monotonically_increasing_id())), None
+    while True:
+        hits = _hits_of_all_blocks(pending, n, block)
+        clean = pending.join(hits, "key", "left_anti")
+        done = clean if done is None else done.unionByName(clean)
+        if hits.isEmpty():
+            return release(done, docs, text_col)
+        pending = materialize(_cut_texts(pending.join(hits.select("key", "spans"), "key"), cut_spans).select(*pending.columns))
 
 
 def op5_decontamination(spark, sf_dir) -> DataFrame:
