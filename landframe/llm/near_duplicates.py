@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landframe.llm import shingles
@@ -26,8 +26,10 @@ THRESHOLD = 0.8
 RECALL = 0.99999
 #: part of the missed pairs allowed that the paths may miss; the rest is the sketches'
 PATH_MISS = 0.85
-#: largest bucket or block that one task compares; larger ones are split or cut into blocks
+#: largest bucket or block that one task compares, in sets; larger ones are split or cut into blocks
 BUCKET = 2048
+#: shingles of a block of the exact comparison (two blocks meet in a task)
+BLOCK_SHINGLES = 2_000_000
 DEPTH = 3
 #: longest list of 64-bit keys that is broadcast (16 MB); a longer one is joined by a shuffle
 BROADCAST_KEYS = 2_000_000
@@ -89,11 +91,11 @@ def groups_of(batches: Iterator, keys: list[str]) -> Iterator:
         yield rest
 
 
-def in_block_pairs(rows: DataFrame, key: str, size: str, block: int) -> DataFrame:
-    """Deal groups out for comparison: a group of at most ``block`` rows is one unit; a larger
-    one is cut into blocks by hash, and every pair of blocks is a unit (``lo``, ``hi``; ``side``
-    tells which of the two blocks a row is of)."""
-    n = F.ceil(F.col(size) / F.lit(block)).cast("int")
+def in_block_pairs(rows: DataFrame, key: str, blocks: Column) -> DataFrame:
+    """Deal groups out for comparison: a group of one block is one unit; others are cut into
+    ``blocks`` by hash, and every pair of blocks is a unit (``lo``, ``hi``; ``side`` tells which
+    of the two blocks a row is of)."""
+    n = blocks.cast("int")
     # the hash of another number than the one that dealt rows before, else blocks are uneven
     own = F.pmod(F.xxhash64("cls", F.lit(11)), F.col("__n")).cast("int")
     return (
@@ -120,8 +122,8 @@ def bucket_rows(classes: DataFrame, depth: int, bucket: int) -> DataFrame:
     for level in range(1, depth + 1):
         rows = classes.select("cls", F.explode(F.arrays_zip(f"p{level}", f"q{level}")).alias("x"))
         rows = rows.select("cls", F.col(f"x.p{level}").alias("path"), F.col(f"x.q{level}").alias("parent"))
-        if parents is not None:
-            rows = rows.join(parents, "parent", "left_semi")
+        if parents is not None:  # written: they are counted, then joined with the counts
+            rows = materialize(rows.join(parents, "parent", "left_semi").drop("parent"))
         rows = rows.drop("parent")
         sizes = materialize(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
         small = sizes if level == depth else sizes.filter(F.col("size") <= bucket)
@@ -144,7 +146,7 @@ def candidate_links(classes: DataFrame, threshold: float, recall: float, depth:
 
     need = shingles.sketch_cutoff(threshold, (1 - PATH_MISS) * (1 - recall))
     rows = bucket_rows(classes, depth, bucket).join(classes.select("cls", "n", "sketch"), "cls")
-    dealt = in_block_pairs(rows, "path", "size", bucket).select("path", "lo", "hi", "cls", "n", "sketch")
+    dealt = in_block_pairs(rows, "path", F.ceil(F.col("size") / bucket)).select("path", "lo", "hi", "cls", "n", "sketch")
 
     def run(batches: Iterator) -> Iterator:
         a, b = [], []
@@ -189,12 +191,13 @@ def components(edges: DataFrame) -> DataFrame:
     return moved.select("cls", F.col("to").alias("comp"))
 
 
-def verified_links(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, threshold: float, block: int) -> DataFrame:
+def verified_links(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, threshold: float) -> DataFrame:
     """Exact join inside candidate groups: ``cls, other, degree``; ``other`` a neighbour in a
     spanning forest (null at its root), degrees to be summed per class.
 
-    ``members`` (cls, comp, size, doc, text_key) names one document of each class, whose text
-    is read again; only texts in candidate groups reach the exact comparison.
+    ``members`` (cls, comp, blocks, doc, text_key) names one document of each class, whose text
+    is read again; only texts in candidate groups reach the exact comparison, a group cut into
+    ``blocks``.  Of rows that repeat a document, each task passes one on.
     """
     import pyarrow as pa
 
@@ -204,22 +207,26 @@ def verified_links(docs: DataFrame, id_col: str, text_col: str, members: DataFra
     keys, n = checked(members.select(F.col("text_key").alias("key")).distinct())
     if n <= BROADCAST_KEYS:  # texts outside the groups are then left out before the shuffle
         texts = texts.join(keys, "key", "left_semi")
-    given = texts.join(members, texts["key"].eqNullSafe(members["text_key"]) & texts["doc_id"].eqNullSafe(members["doc"])).select("cls", "comp", "size", "text")
+    given = texts.join(members, texts["key"].eqNullSafe(members["text_key"]) & texts["doc_id"].eqNullSafe(members["doc"])).select("cls", "comp", "blocks", "text")
 
     def sets(batches: Iterator) -> Iterator:
+        seen = set()
         for batch in batches:
             for part in text_slices(batch):
                 cls, keep, tokens = part.column("cls").to_pylist(), [], []
                 for i, t in enumerate(part.column("text").to_pylist()):
+                    if cls[i] in seen:
+                        continue
                     s = shingles.shingle_set(t)
                     if len(s) and shingles.set_id(s) == cls[i]:
+                        seen.add(cls[i])
                         keep.append(i)
                         tokens.append(s.tobytes())
                 rest = part.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([rest.column("cls"), rest.column("comp"), rest.column("size"), pa.array(tokens, pa.binary())],
-                                                 names=["cls", "comp", "size", "tokens"])
+                yield pa.RecordBatch.from_arrays([rest.column("cls"), rest.column("comp"), rest.column("blocks"), pa.array(tokens, pa.binary())],
+                                                 names=["cls", "comp", "blocks", "tokens"])
 
-    dealt = in_block_pairs(given.mapInArrow(sets, "cls binary, comp binary, size long, tokens binary"), "comp", "size", block)
+    dealt = in_block_pairs(given.mapInArrow(sets, "cls binary, comp binary, blocks long, tokens binary"), "comp", F.col("blocks"))
 
     def run(batches: Iterator) -> Iterator:
         for group in groups_of(batches, ["comp", "lo", "hi"]):
@@ -262,9 +269,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumns({"doc": F.col("first.doc_id"), "text_key": F.col("first.text_key")}).drop("first"))
 
     groups = components(candidate_links(classes, threshold, recall, depth, bucket))
-    sizes = groups.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    members = groups.join(sizes, "comp").join(classes.select("cls", "doc", "text_key"), "cls")
-    links = materialize(verified_links(docs, id_col, text_col, members, threshold, bucket))
+    found = groups.join(classes.select("cls", "doc", "text_key", "n"), "cls")
+    # a block is bounded by its sets and by their shingles
+    sizes = found.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / bucket), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
+    members = found.drop("n").join(sizes, "comp")
+    links = materialize(verified_links(docs, id_col, text_col, members, threshold))
 
     linked = components(links.filter("other is not null").select(F.least("cls", "other").alias("a"), F.greatest("cls", "other").alias("b")).distinct())
     degrees = links.groupBy("cls").agg(F.sum("degree").alias("n_links"))
