@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landframe.functions._util import as_col
+from landframe.functions._util import as_col, let
 from landframe.session import materialize
 
 POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
@@ -94,20 +94,24 @@ def set_crs(df: DataFrame, cols: Sequence[str], crs: str) -> DataFrame:
 
 
 def ring_bbox(rings) -> Column:
-    """``struct(minx, miny, maxx, maxy)`` of all vertices of all rings."""
-    pts = F.flatten(as_col(rings))
-    xs, ys = F.transform(pts, lambda p: p["x"]), F.transform(pts, lambda p: p["y"])
-    return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"),
-                    F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))
+    """``struct(minx, miny, maxx, maxy)`` of all vertices of all rings (computed once)."""
+    def box(v):
+        return F.struct(F.array_min(v["xs"]).alias("minx"), F.array_min(v["ys"]).alias("miny"),
+                        F.array_max(v["xs"]).alias("maxx"), F.array_max(v["ys"]).alias("maxy"))
+
+    def values(pts):
+        return F.struct(F.transform(pts, lambda p: p["x"]).alias("xs"), F.transform(pts, lambda p: p["y"]).alias("ys"))
+    return let(let(F.flatten(as_col(rings)), values), box)
 
 
 def poslist_ring(text) -> Column:
     """A GML ``posList`` text (``"x1 y1 x2 y2 ..."``) as one ring of points."""
-    nums = F.transform(F.split(F.trim(as_col(text)), "\\s+"), lambda s: s.try_cast("double"))
-    n = F.size(nums)
-    idx = F.sequence(F.lit(0), F.greatest(n / 2 - 1, F.lit(0)).cast("int"))
-    return F.when(n >= 2, F.transform(idx, lambda i: F.struct(F.get(nums, i * 2).alias("x"),
-                                                               F.get(nums, i * 2 + 1).alias("y"))))
+    def ring(nums):
+        n = F.size(nums)
+        idx = F.sequence(F.lit(0), F.greatest(n / 2 - 1, F.lit(0)).cast("int"))
+        return F.when(n >= 2, F.transform(idx, lambda i: F.struct(F.get(nums, i * 2).alias("x"),
+                                                                   F.get(nums, i * 2 + 1).alias("y"))))
+    return let(F.transform(F.split(F.trim(as_col(text)), "\\s+"), lambda s: s.try_cast("double")), ring)
 
 
 def ring_edges(rings) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landframe.functions._util import as_col
+from landframe.functions._util import let as _let
 from landframe.operators.spatial import RINGS
 from landframe.sources.files import with_provenance
 from landframe.sources.layouts import MAP_LAYERS
@@ -36,12 +37,6 @@ GEOMETRY = T.StructType([
     T.StructField("error", T.StringType())])
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once: a plain nested expression would be computed
-    anew wherever it is written, inside a lambda for every element."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _all(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
