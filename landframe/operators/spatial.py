@@ -307,7 +307,7 @@ def _inside(px: Column, py: Column, boundary_inside: bool = True):
 _EDGE_BYTES, _CAND_BYTES = 72, 104
 
 
-def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, rings: str = "rings"):
+def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, rings: str = "rings", stats: dict | None = None):
     """Cell edge of level 0, smallest extent, the grid levels in use by a layer of simple
     polygons and whether its cell table may be broadcast.
 
@@ -319,7 +319,7 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
     edge), and a candidate holds its ordinal, box and edges but no attributes, so the cell
     table holds at most ``9 x (vertices x edge bytes + polygons x candidate bytes)``.
     """
-    st = layer_stats(polygons)
+    st = stats or layer_stats(polygons)
     base = cell_size or st["hi"] or 1.0
     least = st["lo"] or base
     if st["hi"] <= base < 4 * least:
@@ -337,7 +337,7 @@ def _cell_table(polygons: DataFrame, cell_size: float | None, broadcast_max_byte
     table is written once (checkpoint), so that its levels and its size are measured."""
     st = layer_stats(polygons)
     if st["mv"] <= SIMPLE_VERTICES:
-        base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes)
+        base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes, stats=st)
         return polygon_cells(polygons, base, least, order), base, levels, broadcast
     base = cell_size or st["hi"] or 1.0
     cells = materialize(polygon_cells(polygons, base, st["lo"] or base, order, rounds=1 if st["mv"] <= 16_384 else 2))

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from landframe.functions._util import let
 from landframe.operators.spatial import ring_bbox, tag_with_polygon
 from landframe.plans.registry import register
 from landframe.plans.tables import table
@@ -31,8 +32,11 @@ def _tag(name: str, *inner, attrs: str = ""):
 
 
 def _tiles(spark, sf_dir) -> str:
-    """Folder of tiles, 200 parts a file."""
-    p = table(spark, sf_dir, "part")
+    """Folder of tiles, 200 parts a file.  The rows are dealt by tile before the texts are made:
+    the table's file is small and would be one task.  All files lie in one folder, so reading
+    them lists one folder and not one for every tile."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", F.floor(F.col("p_partkey") / 200).alias("sheet"))
+    p = p.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "sheet")
     x, y = (F.col("p_partkey") % 40 * 4).cast("double"), (F.floor(F.col("p_partkey") / 40) * 4).cast("double")
     square = [(0.5, 0.5), (0.5, 3.5), (3.5, 3.5), (3.5, 0.5), (0.5, 0.5)]  # clockwise, as written
     hole = [(1.5, 1.5), (2.5, 1.5), (2.5, 2.5), (1.5, 2.5), (1.5, 1.5)]
@@ -51,12 +55,12 @@ def _tiles(spark, sf_dir) -> str:
         feature("TopographicLine", "line", _tag("osgb:polyline", _tag("gml:LineString", _tag("gml:coordinates", _pairs(x, y, [(0.5, 0.5), (2.0, 0.5), (3.5, 0.5)]))))),
         feature("CartographicText", "text", _tag("osgb:textString", F.regexp_replace("p_brand", "[<&]", "")),
                 _tag("osgb:anchorPoint", _tag("gml:Point", _tag("gml:coordinates", _pairs(x, y, [(2.0, 0.75)]))))))
-    tiles = p.groupBy(F.floor(F.col("p_partkey") / 200).alias("sheet")).agg(F.concat(
+    tiles = p.groupBy("sheet").agg(F.concat(
         F.lit('<osgb:FeatureCollection xmlns:osgb="urn:osgb" xmlns:gml="urn:gml">\n<osgb:queryExtent><gml:Box><gml:coordinates>0,'),
         F.min("p_partkey").cast("string"), F.lit(" 160,"), (F.max("p_partkey") + 1).cast("string"),
         F.lit("</gml:coordinates></gml:Box></osgb:queryExtent>\n"), F.array_join(F.collect_list(body), ""), F.lit("</osgb:FeatureCollection>")).alias("value"))
     path = f"{checkpoint_dir(spark)}/landframe-io/tiles-{uuid.uuid4().hex}"
-    tiles.write.partitionBy("sheet").text(path)
+    tiles.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -74,11 +78,11 @@ def l11_geometry(spark, sf_dir):
     """All layers of the tiles in one pass, with their geometry: vertices and signed
     area of each ring, bounding box, the lines' places and the anchor."""
     features = gml.read_map_features(spark, _tiles(spark, sf_dir))
-    box = ring_bbox("rings")
+    box = let(ring_bbox("rings"), lambda b: F.array(*[b[c] for c in ("minx", "miny", "maxx", "maxy")]))
     return features.select(
         "layer", "TOID", "FeatureCode", "TextString", F.transform("rings", lambda r: F.size(r)).alias("vertices"),
         F.transform("rings", lambda r: gml.signed_area(r) / 2).alias("areas"), F.transform(F.get("lines", F.lit(0)), lambda p: p["x"]).alias("line_x"),
-        F.when(F.col("rings").isNotNull(), F.array(*[box[c] for c in ("minx", "miny", "maxx", "maxy")])).alias("box"), F.col("point.x").alias("px"))
+        F.when(F.col("rings").isNotNull(), box).alias("box"), F.col("point.x").alias("px"))
 
 
 @register("l11_tag_areas", sql="""

@@ -1,10 +1,12 @@
 """Work on map geometry that must grow with the input and no faster: position lists, tiles, loads."""
 
+import os
 import time
 
 from pyspark.sql import functions as F
 
 from landframe.operators.spatial import poslist_ring, ring_bbox
+from landframe.plans import q_layers
 
 
 def test_a_long_position_list_is_read_once(spark):
@@ -16,3 +18,14 @@ def test_a_long_position_list_is_read_once(spark):
     assert time.time() - began < 40
     assert [tuple(r.b) for r in out] == [(1.0, -n, n, -1.0)] * 2 + [(1.0, 2.0, 1.0, 4.0), (None,) * 4]
     assert [r.n for r in out[:3]] == [n, n, 2]
+
+
+def test_tiles_are_made_by_many_tasks_into_one_folder(spark, tmp_path):
+    parts = spark.range(0, 4000, 1, 1).select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size"), F.lit("Brand#1").alias("p_brand"))
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    path = q_layers._tiles(spark, str(tmp_path)).removeprefix("file:")
+    found = [os.path.join(at, f) for at, _, files in os.walk(path) for f in files if f.endswith(".txt")]
+    tiles = [open(f).read() for f in found]
+    assert {os.path.dirname(f) for f in found} == {path}  # one folder to list, not one for every tile
+    assert len({os.path.basename(f).split("-")[1] for f in found}) > 2  # several tasks, though the table is one file
+    assert sorted(t.count("<osgb:TopographicArea ") for t in tiles) == [200] * 20 and all(t.count("queryExtent>") == 2 for t in tiles)
