@@ -248,7 +248,8 @@ def _cell_edges(edges: DataFrame, cells: DataFrame, base: float) -> DataFrame:
         leaving.select("ord", "lvl", "cx", "cy", F.lit(None).cast(cells.schema["bb"].dataType).alias("bb"), "odd", F.lit(False).alias("cell")))
     to_the_right = Window.partitionBy("ord", "lvl", "cy").orderBy(-F.col("cx")).rangeBetween(Window.unboundedPreceding, -1)
     anchored = marked.withColumn("anchor", (F.coalesce(F.sum("odd").over(to_the_right), F.lit(0)) % 2).cast("int")).filter("cell")
-    return anchored.drop("odd", "cell").join(listed, ["ord", "lvl", "cx", "cy"], "left").filter("edges is not null or anchor = 1")
+    # merged: the planner counts one edge a cell, so its estimate is no reason to broadcast them
+    return anchored.drop("odd", "cell").join(listed.hint("merge"), ["ord", "lvl", "cx", "cy"], "left").filter("edges is not null or anchor = 1")
 
 
 def _edge_cells(polygons: DataFrame, base: float, least: float, order: str, rings: str, rounds: int) -> DataFrame:
@@ -303,6 +304,9 @@ def _inside(px: Column, py: Column, boundary_inside: bool = True):
     return test
 
 
+#: attributes of more polygons than this are never broadcast
+BROADCAST_POLYGONS = 10_000
+
 # bytes per edge struct and per candidate, for the broadcast bound
 _EDGE_BYTES, _CAND_BYTES = 72, 104
 
@@ -331,11 +335,11 @@ def _plan_grid(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes
     return base, least, levels, bound <= broadcast_max_bytes
 
 
-def _cell_table(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, order: str):
+def _cell_table(polygons: DataFrame, cell_size: float | None, broadcast_max_bytes: int, order: str, stats: dict | None = None):
     """The cell table, the cell edge of level 0, the levels in use and whether the table may be
     broadcast.  A layer of simple polygons stays a plan (``_plan_grid``); with larger ones the
     table is written once (checkpoint), so that its levels and its size are measured."""
-    st = layer_stats(polygons)
+    st = stats or layer_stats(polygons)
     if st["mv"] <= SIMPLE_VERTICES:
         base, least, levels, broadcast = _plan_grid(polygons, cell_size, broadcast_max_bytes, stats=st)
         return polygon_cells(polygons, base, least, order), base, levels, broadcast
@@ -348,7 +352,7 @@ def _cell_table(polygons: DataFrame, cell_size: float | None, broadcast_max_byte
 
 
 def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick: str, cell_size: float | None,
-                  broadcast_max_bytes: int, order: str, boundary_inside: bool) -> DataFrame:
+                  broadcast_max_bytes: int, order: str, boundary_inside: bool, stats: dict | None = None) -> DataFrame:
     """Each point with ``__ord``: the highest (``pick="last"``) or lowest ordinal of the
     polygons containing it, or null.
 
@@ -358,7 +362,7 @@ def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick:
     The last step explodes a one-element array, which a later filter on the ordinal cannot
     be pushed through, so the test is evaluated once.
     """
-    cells, base, levels, broadcast = _cell_table(polygons, cell_size, broadcast_max_bytes, order)
+    cells, base, levels, broadcast = _cell_table(polygons, cell_size, broadcast_max_bytes, order, stats)
     keep = [F.col(f"`{c}`") for c in points.columns]
     best_of = F.array_max if pick == "last" else F.array_min
     cur = points.select("*", F.lit(None).cast(polygons.schema[order].dataType).alias("__ord"))
@@ -369,7 +373,7 @@ def _with_ordinal(points: DataFrame, polygons: DataFrame, x: str, y: str, pick:
         right = F.broadcast(right) if broadcast else right
         # hashes beside the cell: the cells' aggregate partitioning is not reused, so a hot cell can be split
         if not broadcast:
-            right = right.withColumn("__ch", F.xxhash64("__cx", "__cy"))
+            right = right.withColumn("__ch", F.xxhash64("__cx", "__cy")).hint("merge")
         keyed = cur.select(*keep, "__ord", _cell(F.col(x), size).alias("__cx"), _cell(F.col(y), size).alias("__cy"))
         if not broadcast:
             keyed = keyed.withColumn("__ch", F.xxhash64("__cx", "__cy"))
@@ -389,9 +393,12 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     Where polygons overlap, ``pick="last"`` takes the highest ordinal (the overlay the
     jobs used reports the last match), ``pick="first"`` the lowest; points on an edge or
     vertex count as inside unless ``boundary_inside=False``.  Exactly one output row per
-    input point; attributes are joined on by the ordinal at the end.
+    input point; attributes are joined on by the ordinal at the end, merged where the layer has
+    many polygons: the planner's estimate of a loaded layer (compressed bytes, shared out over its
+    columns) is far too low, and it would broadcast them through the driver.
     """
-    tagged = _with_ordinal(points, polygons, x, y, pick, cell_size, broadcast_max_bytes, order, boundary_inside)
+    st = layer_stats(polygons)
+    tagged = _with_ordinal(points, polygons, x, y, pick, cell_size, broadcast_max_bytes, order, boundary_inside, st)
     keep = [F.col(f"`{c}`") for c in points.columns]
     if not attrs:
         return tagged.select(*keep, F.col("__ord").alias(order))
@@ -399,6 +406,7 @@ def tag_with_polygon(points: DataFrame, polygons: DataFrame, x: str, y: str, att
     # hashed as well, so that the points of one large polygon can be split; points outside all
     # polygons match nothing and are dealt by their place, not gathered under the null key
     table = table.withColumn("__oh", F.xxhash64("__ord"))
+    table = table.hint("merge") if st["n"] > BROADCAST_POLYGONS else table
     dealt = F.when(F.col("__ord").isNull(), F.xxhash64(F.col(f"`{x}`"), F.col(f"`{y}`"))).otherwise(F.xxhash64("__ord"))
     joined = tagged.withColumn("__oh", dealt).join(table, ["__ord", "__oh"], "left")
     return joined.select(*keep, F.col("__ord").alias(order), *[F.col(f"__attrs.{a}").alias(a) for a in attrs])

@@ -1,11 +1,13 @@
 """Work on map geometry that must grow with the input and no faster: position lists, tiles, loads."""
 
+import contextlib
+import io
 import os
 import time
 
 from pyspark.sql import functions as F
 
-from landframe.operators.spatial import poslist_ring, ring_bbox
+from landframe.operators.spatial import poslist_ring, ring_bbox, tag_with_polygon
 from landframe.plans import q_layers
 
 
@@ -29,3 +31,21 @@ def test_tiles_are_made_by_many_tasks_into_one_folder(spark, tmp_path):
     assert {os.path.dirname(f) for f in found} == {path}  # one folder to list, not one for every tile
     assert len({os.path.basename(f).split("-")[1] for f in found}) > 2  # several tasks, though the table is one file
     assert sorted(t.count("<osgb:TopographicArea ") for t in tiles) == [200] * 20 and all(t.count("queryExtent>") == 2 for t in tiles)
+
+
+def test_a_loaded_layer_of_many_polygons_is_not_broadcast(spark, tmp_path):
+    n = 12_000  # a wide, well packed table: its estimate is far below its rows
+    at = lambda dx, dy: F.struct((F.col("id") * 2.0 + dx).alias("x"), F.lit(float(dy)).alias("y"))
+    wide = [F.lit(None).cast("string").alias(f"c{i}") for i in range(60)]
+    ring = F.array(F.array(at(0, 0), at(1, 0), at(1, 1), at(0, 1), at(0, 0)))
+    spark.range(n).select(F.col("id").alias("poly_id"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"), *wide, ring.alias("rings")).write.parquet(str(tmp_path / "areas"))
+    areas = spark.read.parquet(str(tmp_path / "areas"))
+    points = spark.range(3 * n).select("id", (F.col("id") * 1.0 - 0.5).alias("x"), F.lit(0.5).alias("y"))
+    tagged = tag_with_polygon(points, areas, "x", "y", ["name"], broadcast_max_bytes=0)
+    inside = (F.col("id") % 2 == 1) & (F.col("id") < 2 * n)
+    name = F.when(inside, F.concat(F.lit("n"), F.floor(F.col("id") / 2).cast("string")))
+    assert tagged.filter(~F.col("name").eqNullSafe(name)).count() == 0 and tagged.count() == 3 * n
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        tagged.explain()
+    assert "BroadcastExchange" not in said.getvalue() and said.getvalue().count("SortMergeJoin") >= 3
